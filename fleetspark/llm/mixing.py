@@ -20,9 +20,8 @@ columns start with ``__mx``; no other name clashes.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.llm.common import WORD, broadcast_if_small, stored, whole
@@ -63,45 +62,36 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights: tuple[int, .
     )
 
 
-def _log_factorial(k: Column) -> Column:
-    """ln k! by Stirling's series at k + 8."""
-    x = k.cast("double") + F.lit(9.0)
-    series = (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x * x * x)
-    return series - F.log(reduce(lambda a, b: a * b, [k.cast("double") + float(i) for i in range(1, 9)]))
+#: The draw of one node, as SQL text: one parse instead of thousands of calls into the JVM. In it, s is the state of the
+#: left half (population and draws still open, counts taken), m the blocks of the source at hand.
+#: - drawn: how many of s.draws from s.population are marked, by inverting the hypergeometric distribution within ten
+#:   deviations of its mean; log_p is ln of C(m, x) C(population - m, draws - x) up to a constant.
+#: - _let(a, v -> b) is b with v computed once, since nothing is shared between lambdas otherwise.
 
 
-def _log_choose(n: Column, k: Column) -> Column:
-    return _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
+def _let(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` of a value that is computed once: expressions inside lambdas are not shared otherwise."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _log_factorial(k: str) -> str:
+    """ln k! by Stirling's series at k + 4."""
+    series = "(x - 0.5D) * ln(x) - x + 0.9189385332046727D + 1 / (12 * x) - 1 / (360 * x * x * x) - ln((x - 1) * (x - 2) * (x - 3))"
+    return _let(f"double({k}) + 4", "x", series)
 
 
-def _hypergeometric(population: Column, marked: Column, draws: Column, u: Column) -> Column:
-    """How many of ``draws`` from ``population`` are marked, by inverting the distribution within ten deviations."""
-    n, k, d = population.cast("double"), marked.cast("double"), draws.cast("double")
-    mean = d * k / n
-    spread = F.sqrt(F.greatest(mean * (1 - k / n) * (n - d) / F.greatest(n - 1, F.lit(1.0)), F.lit(0.0))) * 10 + 10
-    low = F.greatest(F.lit(0).cast("long"), draws - (population - marked), F.floor(mean - spread).cast("long"))
-    high = F.least(marked, draws, F.ceil(mean + spread).cast("long"))
-    near = F.greatest(low, F.least(high, F.floor(mean).cast("long")))
-
-    def log_p(x):
-        return _log_choose(marked, x) + _log_choose(population - marked, draws - x)
-
-    def inverted(at):  # how many running sums of the chances stay below u times their total
-        chances = F.transform(F.sequence(at["low"], at["high"]), lambda x: F.exp(log_p(x) - at["top"]))
-        return at["low"] + _bind(chances, lambda all_: _bind(u * F.aggregate(all_, F.lit(0.0), lambda a, p: a + p), lambda goal: F.aggregate(all_, start, lambda a, p: step(a, p, goal), lambda a: a["passed"])))
-
-    def step(a, p, goal):
-        return _bind(a["sum"] + p, lambda total: F.struct(total.alias("sum"), (a["passed"] + (total < goal).cast("long")).alias("passed")))
-
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("passed"))
-    bounds = F.struct(low.alias("low"), high.alias("high"), log_p(near).alias("top"))
-    sampled = F.least(high, _bind(bounds, inverted))
-    return F.when((draws <= 0) | (marked <= 0), F.lit(0).cast("long")).when(draws >= population, marked).otherwise(sampled)
+def _drawn(u: str) -> str:
+    mean = "double(s.draws) * m / s.population"
+    spread = "10 + 10 * sqrt(greatest(0D, mean * (1 - double(m) / s.population) * (s.population - s.draws) / greatest(1D, s.population - 1D)))"
+    low = "greatest(0L, s.draws - (s.population - m), bigint(floor(mean - spread)))"
+    high = "least(m, s.draws, bigint(ceil(mean + spread)))"
+    log_p = f"-({_log_factorial('k')} + {_log_factorial('m - k')} + {_log_factorial('s.draws - k')} + {_log_factorial('s.population - m - s.draws + k')})"
+    total = "aggregate(p, 0D, (t, x) -> t + x)"
+    below = "aggregate(p, struct(0D AS t, 0L AS n), (a, x) -> struct(a.t + x AS t, a.n + if(a.t + x < goal, 1L, 0L) AS n), a -> a.n)"
+    counted = _let(f"transform(logs, x -> exp(x - top))", "p", _let(f"{u} * {total}", "goal", below))
+    at_mean = "element_at(logs, int(greatest(low, least(high, bigint(floor(mean)))) - low + 1))"
+    sampled = f"least(high, low + {_let(f'transform(sequence(low, high), k -> {log_p})', 'logs', _let(at_mean, 'top', counted))})"
+    sampled = _let(mean, "mean", _let(spread, "spread", _let(low, "low", _let(high, "high", sampled))))
+    return f"CASE WHEN s.draws <= 0 OR m <= 0 THEN 0L WHEN s.draws >= s.population THEN m ELSE {sampled} END"
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int = 0) -> DataFrame:
@@ -110,38 +100,24 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     ``quotas`` has ``__mx_source, quota``, one row a source. The tree has one row a node with an array over sources;
     each level is a narrow map, so it holds (sources x shards) numbers at its widest.
     """
-    root = quotas.agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__mx_source", "quota"))), lambda x: x["quota"]).alias("left"),
+    nodes = quotas.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__mx_source", "quota"))), lambda x: x["quota"]).alias("q"),
         F.sum("quota").alias("all"),
-    )
-    nodes = root.where(F.col("all").isNotNull()).select(F.lit(0).cast("long").alias("lo"), F.lit(shards).cast("long").alias("hi"), F.col("left").alias("q"), "all")
-
-    def upto(shard: Column) -> Column:
-        return F.call_function("div", shard * F.col("all"), F.lit(shards).cast("long"))
-
+    ).selectExpr("0L AS lo", f"{shards}L AS hi", "q", "`all`").where("`all` IS NOT NULL")
+    u = f"pmod(xxhash64({seed}, lo, hi, size(s.taken)), {1 << 53}L) / {float(1 << 53)!r}D"
+    begin = "struct(aggregate(q, 0L, (t, x) -> t + x) AS population, n AS draws, cast(array() AS array<bigint>) AS taken)"
+    step = _let(_drawn(u), "x", "struct(s.population - m AS population, s.draws - x AS draws, concat(s.taken, array(x)) AS taken)")
     for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
-        middle = F.call_function("div", F.col("lo") + F.col("hi"), F.lit(2).cast("long"))
-        at = nodes.withColumn("mid", middle).withColumn("n", upto(F.col("mid")) - upto(F.col("lo")))
-        population = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x)
-        begin = F.struct(population.alias("population"), F.col("n").alias("draws"), F.expr("cast(array() as array<bigint>)").alias("taken"))
-
-        def draw(state, marked):
-            u = F.pmod(F.xxhash64(F.lit(seed), F.col("lo"), F.col("hi"), F.size(state["taken"])), F.lit(1 << 53)) / float(1 << 53)
-            drawn = _hypergeometric(state["population"], marked, state["draws"], u)
-            return _bind(
-                drawn,
-                lambda x: F.struct((state["population"] - marked).alias("population"), (state["draws"] - x).alias("draws"), F.concat(state["taken"], F.array(x)).alias("taken")),
-            )
-
-        at = at.withColumn("taken", F.when(F.col("hi") - F.col("lo") > 1, F.aggregate("q", begin, draw, lambda s: s["taken"])))
-        whole_node = F.array(F.struct("lo", "hi", "q"))
-        halves = F.array(
-            F.struct(F.col("lo").alias("lo"), F.col("mid").alias("hi"), F.col("taken").alias("q")),
-            F.struct(F.col("mid").alias("lo"), F.col("hi").alias("hi"), F.zip_with("q", "taken", lambda a, b: a - b).alias("q")),
-        )
-        nodes = at.select(F.explode(F.when(F.col("taken").isNull(), whole_node).otherwise(halves)).alias("c"), "all").select("c.*", "all")
+        # a node of shards [lo, hi) has the blocks from lo * all div shards on; mid halves it
+        halved = nodes.selectExpr("*", "(lo + hi) div 2 AS mid").selectExpr("*", f"mid * `all` div {shards} - lo * `all` div {shards} AS n")
+        halved = halved.selectExpr("*", f"if(hi - lo > 1, aggregate(q, {begin}, (s, m) -> {step}, s -> s.taken), NULL) AS taken")
+        nodes = halved.selectExpr(
+            """explode(if(taken IS NULL, array(struct(lo, hi, q)), array(
+                struct(lo, mid AS hi, taken AS q), struct(mid AS lo, hi, zip_with(q, taken, (a, b) -> a - b) AS q)))) AS c""",
+            "`all`",
+        ).selectExpr("c.*", "`all`")
     before = Window.partitionBy("__mx_source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return nodes.select(F.col("lo").alias("shard"), F.posexplode("q").alias("__mx_source", "blocks")).withColumn("offset", F.coalesce(F.sum("blocks").over(before), F.lit(0)))
+    return nodes.selectExpr("lo AS shard", "posexplode(q) AS (__mx_source, blocks)").withColumn("offset", F.coalesce(F.sum("blocks").over(before), F.lit(0)))
 
 
 def mix(
