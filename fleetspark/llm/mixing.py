@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import WORD, broadcast_if_small, stored, whole
 
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
-BLOCK_WORDS, SHARD_BLOCKS, BUCKET_ROWS = 4096, 2048, 20_000
+BLOCK_WORDS, SHARD_BLOCKS, BUCKET_ROWS = 4096, 2048, 4096
 
 
 def sizes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

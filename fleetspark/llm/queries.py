@@ -7,14 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import exact_dedup, mixing
-from fleetspark.llm.common import documents
+from fleetspark.llm import bpe, exact_dedup, language_id, mixing
+from fleetspark.llm.common import documents, short_batches
+
+#: The vocabulary that op7 encodes with; its place is a parameter of the operator.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.label(documents(spark, sf_dir))
+    return found.select("doc_id", "__li.held_out", "__li.lang_pred", "__li.score", "__li.rejected")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_by_document(mixing.mix(documents(spark, sf_dir)))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    short_batches(spark)
+    found = bpe.digests(F.col("text"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return documents(spark, sf_dir).select("doc_id", found.alias("d")).select("doc_id", "d.*")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -28,7 +44,12 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_mixing": op4_mixing, "op8_exact_dedup": op8_exact_dedup}
+    return {
+        "op1_language_id": op1_language_id,
+        "op4_mixing": op4_mixing,
+        "op7_byte_bpe": op7_byte_bpe,
+        "op8_exact_dedup": op8_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
