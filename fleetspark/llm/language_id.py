@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import short_batches
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 2000, 64 << 10
-PIECE_BYTES, LEVEL = 2048, 5
+PIECE_BYTES, LEVEL = 2048, 6
+#: A text too short for a compressed block, which would be stored as it is, is repeated.
+SHORT_BYTES, REPEATS = 256, 4
 #: Only a tie is too narrow by default: a clean text, however short, is to stay.
 MIN_MARGIN = 0.0
 
@@ -76,6 +78,8 @@ class Identifier:
         data = letters(text)
         if not data or not self.langs:
             return "und", 0.0
+        if len(data) < SHORT_BYTES:
+            data = b" ".join([data] * REPEATS)
         pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
         sizes = [sum(len(c.compress(piece)) for piece in pieces) for c in self.compressors]
         best = min(range(len(sizes)), key=sizes.__getitem__)

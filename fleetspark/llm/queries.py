@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import bpe, exact_dedup, language_id, mixing
-from fleetspark.llm.common import documents, short_batches
+from fleetspark.llm import bpe, exact_dedup, language_id, mixing, toxicity, warc
+from fleetspark.llm.common import documents, new_path, short_batches
 
 #: The vocabulary that op7 encodes with; its place is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -19,10 +19,38 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "__li.held_out", "__li.lang_pred", "__li.score", "__li.rejected")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    scored = docs.select("doc_id", toxicity.held_out().alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_by_document(mixing.mix(documents(spark, sf_dir)))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    archives = warc.write_archives(warc.with_revisits(pages), new_path(spark, "warc"))
+    records = warc.read_archives(archives, with_payload=False)
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+OP5_SQL = """
+SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+       CASE WHEN r THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN r THEN first END AS refers_to
+FROM (SELECT *, strlen(coalesce(html, '')) >= 100 AND page_id <> first AS r
+      FROM (SELECT *, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages))
+"""
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -46,11 +74,13 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op3_toxicity": op3_toxicity,
         "op4_mixing": op4_mixing,
+        "op5_warc": op5_warc,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_exact_dedup": op8_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op5_warc": OP5_SQL, "op8_exact_dedup": OP8_SQL}
