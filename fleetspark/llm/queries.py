@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import bpe, exact_dedup, language_id, mixing, toxicity, warc
+from fleetspark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, toxicity, warc
 from fleetspark.llm.common import documents, new_path, short_batches
 
 #: The vocabulary that op7 encodes with; its place is a parameter of the operator.
@@ -19,6 +19,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "__li.held_out", "__li.lang_pred", "__li.score", "__li.rejected")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
@@ -63,6 +67,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.alike(documents(spark, sf_dir), n=3, percent=90)
+
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -74,11 +82,13 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_fingerprints": op2_fingerprints,
         "op3_toxicity": op3_toxicity,
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_exact_dedup": op8_exact_dedup,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 

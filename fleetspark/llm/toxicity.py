@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.llm.common import short_batches, whole
 
-SAMPLE_DOCS, SAMPLE_CHARS = 3000, 20_000
+SAMPLE_DOCS, SAMPLE_CHARS = 5000, 20_000
 BUCKETS, FEATURES, MIN_DOCS = 1 << 20, 20_000, 6
 ROUNDS, RATE, DECAY, BIAS = 200, 0.1, 2e-4, -6.0
 
@@ -151,8 +151,14 @@ def train(toxic: np.ndarray, ends: list[np.ndarray], numbers: list[np.ndarray])
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """A model from documents (doc_id, text) and labels (doc_id, toxic)."""
     short_batches(docs.sparkSession)
-    rows = _sample(docs, labels).collect()
-    return train(np.array([r["toxic"] for r in rows], int), [np.array(r["ends"], int) for r in rows], [np.array(r["numbers"], int) for r in rows])
+    rows = _sample(docs, labels).toArrow().combine_chunks()
+
+    def lists(name):  # views of one array, without an object for each number
+        column = rows.column(name).combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
+        values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+        return [values[a:b] for a, b in zip(offsets, offsets[1:])]
+
+    return train(rows.column("toxic").to_numpy(), lists("ends"), lists("numbers"))
 
 
 def score(text: Column, model: tuple[np.ndarray, np.ndarray, float]) -> Column:
