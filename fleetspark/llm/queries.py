@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, toxicity, warc
+from fleetspark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, toxicity, warc
 from fleetspark.llm.common import documents, new_path, short_batches
 
 #: The vocabulary that op7 encodes with; its place is a parameter of the operator.
@@ -55,6 +55,10 @@ FROM (SELECT *, strlen(coalesce(html, '')) >= 100 AND page_id <> first AS r
 """
 
 
+def op6_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.without_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,6 +71,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.alike(documents(spark, sf_dir), n=3, percent=90)
 
@@ -86,8 +94,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
+        "op6_suffix_trees": op6_suffix_trees,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_suffix_array": op9_suffix_array,
         "op10_ngram_join": op10_ngram_join,
     }
 
