@@ -252,20 +252,28 @@ class EncodedText:
         return b"".join(ids for _, ids in self.parts)
 
 
-def encode(text: Column, path: str, pattern: str) -> Column:
-    """A text's token ids."""
+def encoded(text: Column, path: str, pattern: str) -> Column:
+    """A struct of ``ids, n_tokens, ids_sha256, decoded_sha256``: a text is encoded, and its ids are decoded again."""
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        tokenizer = Tokenizer.of(path, pattern)
+    @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def made(texts: pd.Series) -> pd.DataFrame:
+        tokenizer, rows = Tokenizer.of(path, pattern), []
         tokenizer.learn([t or "" for t in texts])
-        return pd.Series([np.frombuffer(tokenizer.encode(t or ""), "<i4") for t in texts])
+        for text in texts:
+            ids = tokenizer.encode(text or "")
+            rows.append((np.frombuffer(ids, "<i4"), len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(tokenizer.decode(ids)).hexdigest()))
+        return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return ids(text)
+    return made(text)
+
+
+def encode(text: Column, path: str, pattern: str) -> Column:
+    """A text's token ids."""
+    return encoded(text, path, pattern)["ids"]
 
 
 def digests(text: Column, path: str, pattern: str) -> Column:
-    """A struct of ``n_tokens, ids_sha256, decoded_sha256``: a text is encoded, and its ids are decoded again."""
+    """A struct of ``n_tokens, ids_sha256, decoded_sha256``, without the ids."""
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digested(texts: pd.Series) -> pd.DataFrame:

@@ -129,13 +129,16 @@ def mix(
     block_words: int = BLOCK_WORDS,
     shard_blocks: int = SHARD_BLOCKS,
     bucket_rows: int = BUCKET_ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
 ) -> DataFrame:
     """Pieces of documents in the mix, and one row with null ``shard`` for a document the mix doesn't take.
 
     ``doc_id, source, size, source_size, target, row_key (struct), shard, block, epoch, from_word, words, order_key``:
     shard ``shard`` holds ``words`` words of the document from word ``from_word`` on, placed by ``order_key``.
     """
-    sizes = stored(sizes_of(docs), "mx-sizes")
+    sizes = stored(sizes_of(docs, id_col, text_col, source_col), "mx-sizes")
     targets = stored(source_targets(sizes, share, weights, epochs), "mx-targets")
     quota = F.ceil(F.round("target") / block_words).cast("long")
     facts = targets.agg(F.sum(quota).alias("blocks")).first()

@@ -27,7 +27,7 @@ from fleetspark.llm.common import BROADCAST_ROWS, short_batches, stored
 from fleetspark.llm.graph import components
 
 CELL_SHINGLES = 3_000_000
-ORDER_SAMPLE, ORDER_SHARE, ORDER_MOST = 20_000, 0.001, 200_000
+ORDER_SAMPLE, ORDER_SHARE, ORDER_MOST = 5000, 0.002, 200_000
 CACHE_WORDS = 500_000
 _TIMES, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
