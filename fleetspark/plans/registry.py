@@ -22,9 +22,15 @@ def query(name: str, oracle: str | None = None):
     return put
 
 
+def _load() -> None:
+    from fleetspark.plans import catalog, loads, reports  # noqa: F401  they register what they define
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return _ORACLES
