@@ -8,10 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: The local folder of a session without a shared one, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, or under a local one where that is unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="fleetspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="fleetspark-")
+        base = _LOCAL[app]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -11,10 +11,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(4, "4g", 4, "tests")
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     return session
 
 
