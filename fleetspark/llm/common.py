@@ -18,13 +18,18 @@ BATCH_ROWS = 512
 BROADCAST_ROWS = 100_000
 
 
+#: The local folder of a session without a shared one, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="fleetspark-")
-        spark.sparkContext.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="fleetspark-")
+        found = _LOCAL[app]
     return found.rstrip("/")
 
 
