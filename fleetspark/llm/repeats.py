@@ -8,12 +8,12 @@ equal offsets, and windows with one anchor are consecutive. So instead of every
    id alone goes on. Gram hashes that occur once are dropped: no window with such an anchor repeats.
 2. ``records``: for each anchor left, the windows that it has, as one string (its hull) with the places where it starts.
    Equal hulls of one batch are one record. The prefix by which records are grouped has a variable length: the gram where
-   its group fits into memory, and where a gram is hotter, the string common to a run of ``WIDTHS`` windows, down to the
-   window itself.
+   its group fits into memory, and where a gram is hotter, the string common to a run of fewer windows, down to the window itself
+   (``TIERS``).
 3. ``resolved``: a task sorts its groups by hull. Members of equal hulls are settled as they pass; of distinct hulls only
    one each is held, and a resolver tells which of their windows repeat.
 
-All hashes of grams only choose candidates or groups; hulls are told apart by 128 bits, windows by their content.
+Hashes of grams choose candidates and groups and are the first buckets within a group; hulls are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from fleetspark.llm.ngram_join import word_hashes
 
 #: Windows of one text that are looked at together; texts may be longer.
 SLAB = 1 << 20
-#: Members of a gram up to which its windows go together, then in runs of so many windows.
-TIERS = ((2000, 1 << 30), (16_000, 48), (64_000, 6), (1 << 62, 1))
+#: Members of a gram up to which all its windows go together (0), or in runs of the window's length divided by a number.
+TIERS = ((2000, 0), (16_000, 8), (64_000, 64), (1 << 62, 1 << 30))
 #: Bytes of distinct hulls that a task resolves together.
 GROUP_BYTES = 3 << 20
 
@@ -90,18 +90,23 @@ class Words:
     whole = property(lambda self: b" ".join(self.words))
 
 
+def _grams(symbols: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` symbols from each place on."""
+    sums = np.zeros(len(symbols) + 1, np.uint64)
+    np.cumsum(symbols * _power("up", _BASE, len(symbols)), out=sums[1:])
+    found = (sums[gram:] - sums[:-gram]) * _power("down", _INVERSE, len(symbols) - gram + 1)
+    found = (found ^ (found >> np.uint64(30))) * _M1
+    found = (found ^ (found >> np.uint64(27))) * _M2
+    return found ^ (found >> np.uint64(31))
+
+
 def anchors(text: Bytes | Words, length: int, gram: int) -> list[tuple[int, int, int, int]]:
     """(gram hash, place, first window, last window) of each anchor, in order of windows."""
     found = []
     for at in range(0, len(text) - length + 1, SLAB):
         symbols = text.symbols(at, at + SLAB + length - 1)
         count = len(symbols) - gram + 1
-        sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * _power("up", _BASE, len(symbols)), out=sums[1:])
-        grams = (sums[gram:] - sums[:-gram]) * _power("down", _INVERSE, count)
-        grams = (grams ^ (grams >> np.uint64(30))) * _M1
-        grams = (grams ^ (grams >> np.uint64(27))) * _M2
-        grams ^= grams >> np.uint64(31)
+        grams = _grams(symbols, gram)
         # the least of each window's grams, by minima from block edges; the low bits hold the place, later ones first
         width = length - gram + 1
         keys = np.full(-(-count // width) * width, np.uint64((1 << 64) - 1))
@@ -120,19 +125,25 @@ def anchors(text: Bytes | Words, length: int, gram: int) -> list[tuple[int, int,
 
 
 def keyed(docs: DataFrame, alphabet: type, length: int, gram: int) -> DataFrame:
-    """``doc_id, n, h1, h2, grams`` of each row."""
+    """``doc_id, n, h1, h2, grams`` of each row; a gram is listed once, with the places in the list of anchors that have it."""
+    spotted = pa.list_(pa.struct([("gram", pa.int64()), ("spots", pa.list_(pa.int32()))]))
 
     def made(batches):
         for batch in batches:
             texts = [alphabet(t) for t in batch.column("text").to_pylist()]
             digests = np.frombuffer(b"".join(xxhash.xxh128_digest(t.whole) for t in texts), np.int64).reshape(-1, 2)
-            lists = [[a[0] for a in anchors(t, length, gram)] for t in texts]
+            lists = []
+            for t in texts:
+                own: dict[int, list[int]] = {}
+                for spot, anchor in enumerate(anchors(t, length, gram)):
+                    own.setdefault(anchor[0], []).append(spot)
+                lists.append([{"gram": g, "spots": spots} for g, spots in own.items()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(lists, pa.list_(pa.int64()))],
+                [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(lists, spotted)],
                 names=["doc_id", "n", "h1", "h2", "grams"],
             )
 
-    return docs.mapInArrow(made, "doc_id long, n long, h1 long, h2 long, grams array<long>")
+    return docs.mapInArrow(made, "doc_id long, n long, h1 long, h2 long, grams array<struct<gram:long,spots:array<int>>>")
 
 
 def classes_of(keys: DataFrame) -> DataFrame:
@@ -141,57 +152,71 @@ def classes_of(keys: DataFrame) -> DataFrame:
     return known.agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("grams").alias("grams"))
 
 
-def shared_anchors(classes: DataFrame, across: bool) -> DataFrame:
-    """``rep, spots`` (place in the list of anchors, windows that go together); ``across``: only grams of two texts or more."""
-    listed = classes.select("rep", F.posexplode("grams").alias("spot", "gram"))
-    counts = listed.groupBy("gram").agg(F.count("*").alias("members"), F.min("rep").alias("low"), F.max("rep").alias("high"))
+def shared_anchors(classes: DataFrame, length: int, across: bool) -> DataFrame:
+    """``rep, grams`` (``spots``, and the windows that go together); ``across``: only grams of two texts or more."""
+    listed = classes.select("rep", F.explode("grams").alias("g")).select("rep", "g.gram", "g.spots")
+    counts = listed.groupBy("gram").agg(F.sum(F.size("spots")).alias("members"), F.min("rep").alias("low"), F.max("rep").alias("high"))
     kept = counts.where("low < high" if across else "members > 1")
-    width = F.lit(TIERS[-1][1])
-    for most, run in reversed(TIERS[:-1]):
-        width = F.when(F.col("members") <= most, F.lit(run)).otherwise(width)
-    return listed.join(kept.select("gram", width.alias("width")), "gram").groupBy("rep").agg(F.collect_list(F.struct("spot", "width")).alias("spots"))
+    width = F.lit(1)
+    for most, parts in reversed(TIERS):
+        width = F.when(F.col("members") <= most, F.lit(max(1, length // parts) if parts else length)).otherwise(width)
+    return listed.join(kept.select("gram", width.alias("width")), "gram").groupBy("rep").agg(F.collect_list(F.struct("spots", "width")).alias("grams"))
 
 
-def records(rows: DataFrame, alphabet: type, length: int, gram: int) -> DataFrame:
-    """``key, hull, content, windows, docs, starts`` for rows of ``doc_id, text, spots``."""
-    schema = "key long, hull binary, content binary, windows int, docs array<long>, starts array<long>"
+def records(rows: DataFrame, alphabet: type, length: int, gram: int, first_stays: bool) -> DataFrame:
+    """``key, hull, content, windows, docs, starts`` for rows of ``doc_id, text, grams``.
+
+    Members of equal hulls within a batch are settled at once (but for the least id, if that stays), and one of them goes
+    on, without members if they are all settled. What is settled is a row a document with a null hull and the spans.
+    """
+    ddl = "key long, hull binary, content binary, windows int, docs array<long>, starts array<long>"
+    schema = pa.schema([("key", pa.int64()), ("hull", pa.binary()), ("content", pa.binary()), ("windows", pa.int32()), ("docs", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
 
     def made(batches):
         for batch in batches:
             hulls: dict = {}
-            for id_, raw, spots in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("spots").to_pylist()):
+            settled: dict[int, list] = {}
+            for id_, raw, grams in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("grams").to_pylist()):
                 text = alphabet(raw)
                 found = anchors(text, length, gram)
-                for spot in spots:
-                    hash_, place, first, last = found[spot["spot"]]
-                    width = spot["width"]
-                    runs = [(hash_, first, last)]
-                    if width < length:
-                        low, high = (place - last) // width, (place - first) // width
-                        runs = []
-                        for g in range(low, high + 1):
-                            core = text.piece(place - g * width, place - g * width - width + 1 + length)
-                            runs.append((xxhash.xxh64_intdigest(core, seed=g) - (1 << 63), max(first, place - g * width - width + 1), min(last, place - g * width)))
-                    for key, start, end in runs:
-                        content = text.piece(start, end + length)
-                        hull = xxhash.xxh128_digest(content)
-                        known = hulls.setdefault((key, hull), (content, end - start + 1, [], []))
-                        known[2].append(id_)
-                        known[3].append(start)
+                for own in grams:
+                    for spot in own["spots"]:
+                        hash_, place, first, last = found[spot]
+                        content = text.piece(first, last + length)
+                        known = hulls.setdefault((hash_, xxhash.xxh128_digest(content)), (content, last - first + 1, place - first, own["width"], []))
+                        known[4].append((id_, first))
             out = []
-            for (key, hull), (content, windows, docs, starts) in hulls.items():
-                order = sorted(range(len(docs)), key=lambda i: (docs[i], starts[i]))
-                out.append({"key": key, "hull": hull, "content": content, "windows": windows, "docs": [docs[i] for i in order], "starts": [starts[i] for i in order]})
+            for (hash_, hull), (content, windows, offset, width, members) in hulls.items():
+                low = min(members)[0]
+                kept = [m for m in members if m[0] == low] if first_stays else members if len(members) == 1 else []
+                for id_, start in members:
+                    if id_ > low if first_stays else len(members) > 1:
+                        settled.setdefault(id_, []).append({"start": start, "stop": start + windows - 1 + length})
+                if width >= length:
+                    out.append({"key": hash_, "hull": hull, "content": content, "windows": windows, "docs": [m[0] for m in kept], "starts": [m[1] for m in kept]})
+                    continue
+                text = alphabet(content)
+                for g in range((offset - windows + 1) // width, offset // width + 1):  # windows start g * width to (g + 1) * width - 1 before the anchor
+                    a, b = max(0, offset - (g + 1) * width + 1), min(windows - 1, offset - g * width)
+                    if a > b:
+                        continue
+                    # all windows of the run hold these symbols, of which some may lie outside this hull's windows
+                    core = text.piece(max(0, offset - g * width), offset - (g + 1) * width + 1 + length)
+                    piece = text.piece(a, b + length)
+                    docs, starts = [m[0] for m in kept], [m[1] + a for m in kept]
+                    out.append({"key": xxhash.xxh64_intdigest(core, seed=g & 0xFFFF) - (1 << 63), "hull": xxhash.xxh128_digest(piece), "content": piece, "windows": b - a + 1, "docs": docs, "starts": starts})
+            for id_, spans in settled.items():
+                out.append({"key": id_, "hull": None, "content": None, "windows": 0, "docs": [id_], "starts": [x for span in merged(spans, False, 0) for x in span]})
             for i in range(0, len(out), 5000):
-                yield pa.RecordBatch.from_pylist(out[i : i + 5000], schema=pa.schema([("key", pa.int64()), ("hull", pa.binary()), ("content", pa.binary()), ("windows", pa.int32()), ("docs", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))]))
+                yield pa.RecordBatch.from_pylist(out[i : i + 5000], schema=schema)
 
-    return rows.mapInArrow(made, schema)
+    return rows.mapInArrow(made, ddl)
 
 
 def equal_windows(alphabet: type, contents: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each window of the contents, the content that it is in, and its place there; equal windows share a bucket.
 
-    Buckets of grams are refined by doubling: two places stay together if their buckets, and the buckets one bucket's length
+    The first buckets are those of grams, by their hashes. Buckets are refined by doubling: two places stay together if their buckets, and the buckets one bucket's length
     later, agree. A refinement reuses the identifiers of the last; the final one overlaps so as to end at ``length``. A place
     alone in its bucket is not sorted again.
     """
@@ -199,19 +224,18 @@ def equal_windows(alphabet: type, contents: list[bytes], length: int, gram: int)
     sizes = np.array([len(p) for p in parts], np.int64)
     symbols = np.concatenate([p.symbols(0, n) for p, n in zip(parts, sizes)])
     total = len(symbols)
-    _, ids = np.unique(symbols, return_inverse=True)
-    ids = ids.astype(np.int64)
-    span, alone = 1, None
+    _, ids, counts = np.unique(_grams(symbols, gram), return_inverse=True, return_counts=True)
+    alone = np.append(counts[ids] < 2, np.ones(total - len(ids), bool))
+    ids = np.append(ids.astype(np.int64), np.arange(total - len(ids)) + len(counts))
+    span = gram
     while span < length:
         step = min(span, length - span)
         later = np.zeros(total, np.int64)
         later[: total - step] = ids[step:]
         pair = ids << 32 | later
-        live = np.arange(total)
-        if alone is not None:
-            single = alone.copy()
-            single[: total - step] |= alone[step:]
-            live = np.flatnonzero(~single)
+        single = alone.copy()
+        single[: total - step] |= alone[step:]
+        live = np.flatnonzero(~single)
         values, inverse, counts = np.unique(pair[live], return_inverse=True, return_counts=True)
         fresh = np.arange(total) + len(values)  # a place alone keeps a number of its own
         fresh[live] = inverse
@@ -238,11 +262,11 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
 
     def settle(groups, out):
         """Distinct hulls of whole groups: windows that another hull, or another place in this one, has as well."""
-        groups = [g for g in groups if len(g) > 1 or not first_stays]
+        # windows of one hull differ, as they have one anchor; hulls without members are settled
+        groups = [g for g in groups if len(g) > 1 and any(h["open"] for h in g)]
         hulls = [h for g in groups for h in g]
         if not hulls:
             return
-        group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
         ids, owner, place = equal_windows(alphabet, [h["content"] for h in hulls], length, gram)
         # windows of different groups that are equal can't be: a window has one anchor, or one core
         size = int(ids.max()) + 1 if len(ids) else 0
@@ -267,6 +291,9 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
         group, groups, held, out = [], [], 0, []
         for batch in batches:
             for row in batch.to_pylist():
+                if row["hull"] is None:
+                    out += [(row["docs"][0], a, b) for a, b in zip(row["starts"][::2], row["starts"][1::2])]
+                    continue
                 if row["key"] != key:
                     if group:
                         groups.append(group)
@@ -313,7 +340,7 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
         settle(groups, out)
         yield spans(out)
 
-    dealt = found.repartition("key").sortWithinPartitions("key", "hull", F.col("docs")[0])
+    dealt = found.repartition("key").sortWithinPartitions("key", "hull", F.get("docs", F.lit(0)))
     return dealt.mapInArrow(made, "doc_id long, start long, stop long")
 
 
@@ -322,10 +349,10 @@ def spans_of(docs: DataFrame, alphabet: type, length: int, gram: int, first_stay
     short_batches(docs.sparkSession)
     keys = stored(keyed(docs, alphabet, length, gram), "rp-keys")
     classes = stored(classes_of(keys), "rp-classes")
-    spots = stored(shared_anchors(classes, first_stays), "rp-spots")
+    spots = stored(shared_anchors(classes, length, first_stays), "rp-spots")
     few = spots.limit(broadcast_rows + 1).count() <= broadcast_rows
-    texts = docs.join(F.broadcast(spots) if few else spots, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "spots")
-    covered = resolved(records(texts, alphabet, length, gram), alphabet, length, gram, first_stays)
+    texts = docs.join(F.broadcast(spots) if few else spots, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "grams")
+    covered = resolved(records(texts, alphabet, length, gram, first_stays), alphabet, length, gram, first_stays)
     spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     repeated = classes.where(F.col("n") >= length).where("rows > 1").select("n", "h1", "h2", "rep")
     gone = keys.select("doc_id", "n", "h1", "h2").join(repeated, ["n", "h1", "h2"]).where("doc_id > rep" if first_stays else "true").select("doc_id").distinct()

@@ -29,7 +29,7 @@ def made(seed=1):
 def tiers(request, monkeypatch):
     """With every group in memory, and with each tier of longer prefixes in use."""
     if request.param == "hot":
-        monkeypatch.setattr(repeats, "TIERS", ((2, 1 << 30), (4, 48), (8, 6), (1 << 62, 1)))
+        monkeypatch.setattr(repeats, "TIERS", ((2, 0), (4, 8), (8, 64), (1 << 62, 1 << 30)))
         monkeypatch.setattr(repeats, "GROUP_BYTES", 2000)
     return request.param
 
