@@ -1,10 +1,13 @@
 """N-gram Jaccard join by T-occurrence search: groups of documents whose shingle sets are alike.
 
 1. Each text becomes the set of its n-word shingles, as 64-bit hashes. Equal sets are one class, which its smallest id stands for.
-2. Candidates: in one order of all shingles, two sets that link share one of the first |x| - ceil(t |x|) + 1 shingles. The
-   order puts shingles that a sample of documents shows to be common last; it decides how much work there is, not what is
-   found. A shingle's list is tied together by edges to its least document, never by all its pairs, and the components of
-   these edges are the cells of the search: no link leaves a cell.
+2. Candidates: let a be the shingles that a set x may lack in a set it links with, |x| - ceil(t |x|). In any one order of
+   all shingles, the first a + k shingles of two linked sets share k at least. So a set of whose first 1.25 a shingles
+   too few are in any other set's is out (most are), and so is, of the rest, one of whose first 2 a + 1 too few are.
+   What they share there is put in order of rarity, and of that a short prefix must be shared again: its lists are tied
+   together, each by edges to its least document and never by all its pairs, and the components of these edges are the
+   cells of the search. No link leaves a cell. The first order is by hash with common shingles, as a sample of documents
+   tells them, last; it decides how much work there is, not what is found.
 3. Search: a cell's sets go to one task. There, for each set, the short inverted lists are merged and counted, documents
    with enough occurrences are probed in the long lists by binary search (DivideSkip), and those that reach the required
    overlap are linked. Documents already in one component are not compared again. A cell of more than ``CELL_SHINGLES``
@@ -20,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.llm.common import BROADCAST_ROWS, short_batches, stored
@@ -80,8 +83,13 @@ def common_shingles(docs: DataFrame, n: int, rows: int) -> np.ndarray:
     return np.sort(found.column("shingle").to_numpy())
 
 
-def _keys(docs: DataFrame, n: int, percent: int, common: np.ndarray) -> DataFrame:
-    """``doc_id, size, h1, h2, prefix`` of each row."""
+def _lacking(size, percent: int):
+    """How many of ``size`` shingles a set that links may lack."""
+    return size - -(-percent * size // 100)
+
+
+def _keys(docs: DataFrame, n: int, percent: int, common: np.ndarray, times: float) -> DataFrame:
+    """``doc_id, size, h1, h2, prefix`` of each row; the prefix has ``times`` the shingles that may lack, and one more at least."""
 
     def keyed(batches):
         for batch in batches:
@@ -91,7 +99,8 @@ def _keys(docs: DataFrame, n: int, percent: int, common: np.ndarray) -> DataFram
                 digest = np.frombuffer(xxhash.xxh128_digest(found.tobytes()), np.int64)
                 at = np.minimum(np.searchsorted(common, found), max(0, len(common) - 1))
                 is_common = common[at] == found if len(common) else np.zeros(len(found), bool)
-                keep = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
+                lacking = _lacking(len(found), percent)
+                keep = max(lacking + 2, int(lacking * times) + 1)
                 sizes.append(len(found))
                 first.append(int(digest[0]))
                 second.append(int(digest[1]))
@@ -106,6 +115,37 @@ def _keys(docs: DataFrame, n: int, percent: int, common: np.ndarray) -> DataFram
     return docs.mapInArrow(keyed, "doc_id long, size long, h1 long, h2 long, prefix array<long>")
 
 
+def _shared(keys: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The shingles of prefixes that several sets have (``rep, shingle, n``), and the sets of whose prefix enough are (``rep, size, length, shared``)."""
+    lists = keys.select("rep", F.explode("prefix").alias("shingle"))
+    several = lists.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    kept = lists.join(several, "shingle")
+    sizes = keys.select("rep", "size", F.size("prefix").alias("length"))
+    alive = kept.groupBy("rep").agg(F.count("*").alias("shared")).join(sizes, "rep")
+    lacking = F.col("size") - F.ceil(F.col("size") * percent / 100)
+    return kept, alive.where(F.col("shared") >= F.col("length") - lacking)
+
+
+def _candidate_edges(rows: DataFrame, keys: DataFrame, n: int, percent: int, common: np.ndarray, broadcast_rows: int) -> DataFrame:
+    """``a, b``: edges whose components no link leaves."""
+    first = stored(_shared(keys, percent)[1].select(F.col("rep").alias("__nj_rep")), "nj-first")
+    few = first.limit(broadcast_rows + 1).count() <= broadcast_rows
+    left = rows.join(F.broadcast(first) if few else first, F.col("doc_id") == F.col("__nj_rep")).select("doc_id", "text")
+    longer = stored(_keys(left, n, percent, common, 2.0).dropDuplicates(["doc_id", "h1", "h2"]).select(F.col("doc_id").alias("rep"), "size", "prefix"), "nj-longer")
+    kept, alive = _shared(longer, percent)
+    # a partner has percent of the size at least; of two prefixes as many are shared as the smaller set may lack, and one
+    lacking = F.col("size") - F.ceil(F.col("size") * percent / 100)
+    smaller = F.ceil(F.col("size") * percent / 100)
+    both = smaller - F.ceil(smaller * percent / 100) + 1
+    # shingles of this set alone would come first in the order of rarity
+    span = F.greatest(F.lit(1), F.col("length") - F.least(both, F.col("length") - lacking) + 1) - (F.col("length") - F.col("shared"))
+    ranked = kept.join(alive.select("rep", span.alias("span")), "rep")
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("n", "shingle"))  # a set's own prefix: as long as its text at most
+    rare = stored(ranked.withColumn("rank", rank).where("rank <= span").select("rep", "shingle"), "nj-rare")
+    heads = rare.groupBy("shingle").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("shingle", "head")
+    return rare.join(heads, "shingle").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+
+
 class Cell:
     """Sets of one cell and their inverted lists; ``links`` joins what is alike."""
 
@@ -231,12 +271,15 @@ def alike(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id"
     spark = docs.sparkSession
     short_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keys = stored(_keys(rows, n, percent, common_shingles(rows, n, rows.count())), "nj-keys")
-    classes = stored(keys.where("size > 0 AND doc_id IS NOT NULL").groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "nj-classes")
-
-    lists = classes.select("rep", F.explode("prefix").alias("shingle"))
-    heads = lists.groupBy("shingle").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("shingle", "head")
-    edges = lists.join(heads, "shingle").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    common = common_shingles(rows, n, rows.count())
+    keys = stored(_keys(rows, n, percent, common, 1.25), "nj-keys")
+    named = keys.where("size > 0 AND doc_id IS NOT NULL")
+    classes = stored(named.groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "nj-classes")
+    copies = named.select("doc_id", "size", "h1", "h2").join(classes.where("rows > 1"), ["size", "h1", "h2"]).where("doc_id <> rep").select(F.col("doc_id").alias("__nj_copy")).distinct()
+    copies = stored(copies, "nj-copies")
+    few = copies.limit(broadcast_rows + 1).count() <= broadcast_rows
+    alone = named.join(F.broadcast(copies) if few else copies, F.col("doc_id") == F.col("__nj_copy"), "left_anti")
+    edges = _candidate_edges(rows, alone.select(F.col("doc_id").alias("rep"), "size", "prefix"), n, percent, common, broadcast_rows)
     cells = stored(components(edges), "nj-cells")
 
     sized = stored(cells.join(classes.groupBy("rep").agg(F.sum("size").alias("size")), F.col("node") == F.col("rep")).select("node", "component", "size"), "nj-sized")
