@@ -185,3 +185,14 @@ def window_start(target: str | Column, days: int = 3) -> Column:
 def scan_start(cursor: str | Column, end: str | Column, lookback_days: int) -> Column:
     """Where a scan starts: at the cursor, else some days back, never behind its end."""
     return F.least(F.coalesce(c(cursor), F.date_sub(c(end), lookback_days)), c(end))
+
+
+def content_window_start(cursor: str | Column, now: str | Column) -> Column:
+    """Start of a content scan: the cursor, or six hours back at first, but within the seven days less ten minutes that are kept."""
+    oldest = c(now) - F.expr("INTERVAL 7 DAYS") + F.expr("INTERVAL 10 MINUTES")
+    return F.greatest(F.coalesce(c(cursor), c(now) - F.expr("INTERVAL 6 HOURS")), oldest)
+
+
+def content_window_end(start: Column, now: str | Column) -> Column:
+    """End of a content scan: at most a day behind its start."""
+    return F.least(start + F.expr("INTERVAL 24 HOURS"), c(now))

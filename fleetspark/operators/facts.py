@@ -131,3 +131,40 @@ def credits_with_people(mixed: DataFrame, order: str) -> DataFrame:
     people = keep_last(mixed.where("kind = 'people'"), ["person_id"], [order]).select("person_id", "organization", "licensed")
     activity = mixed.where("kind = 'activity'").drop("organization", "licensed", "kind")
     return activity.join(people, "person_id", "left").withColumn("organization", F.coalesce("organization", F.lit("")))
+
+
+def agents_from_spans(spans: DataFrame, agents: DataFrame, cloud: str = "aws") -> DataFrame:
+    """Agents of a cloud that only spans know: the service's name where there is one, else the id."""
+    named = F.coalesce(F.nullif(F.col("service_name"), F.lit("")), F.col("native_agent_id"))
+    seen = spans.where(F.col("cloud") == cloud).select(F.lit(cloud).alias("cloud"), named.alias("native_agent_id")).where("native_agent_id IS NOT NULL").distinct()
+    return seen.join(agents.select("cloud", "native_agent_id"), ["cloud", "native_agent_id"], "left_anti")
+
+
+def metric_consumption(metrics: DataFrame, agents: DataFrame) -> DataFrame:
+    """Metric points on the sentinel of their cloud, not attributed."""
+    sentinel = agents.where(F.col("native_agent_id") == SENTINEL).select("cloud", "agent_key")
+    return metrics.join(sentinel, "cloud", "left").withColumn("attributed", F.lit(0)).withColumn("resolution_tier", F.lit("unattributed"))
+
+
+def cost_fact(lines: DataFrame, order: str) -> DataFrame:
+    """Cost lines by cloud, resource, day and meter: a missing meter is empty, the last line of a key counts, lines without a resource go."""
+    rows = lines.where("resource_id IS NOT NULL").withColumn("meter_name", F.coalesce("meter_name", F.lit(""))).withColumn("cost_basis", F.lit("metered"))
+    return keep_last(rows, ["cloud", "resource_id", "date_key", "meter_name"], [order])
+
+
+def prototype_consumption(spans: DataFrame, measures: list[str]) -> DataFrame:
+    """The earlier loader's reading: everything counts as attributed, on the sentinel too."""
+    return consumption(spans, measures).withColumn("attributed", F.lit(1))
+
+
+def prototype_agents(batch: DataFrame, order: list[str]) -> DataFrame:
+    """The earlier loader's registry: rebuilt each time, the first row of an agent as it is."""
+    rank = F.row_number().over(Window.partitionBy("cloud", "native_agent_id").orderBy(*order))
+    return batch.withColumn("_r", rank).where("_r = 1").drop("_r")
+
+
+def restated(existing: DataFrame, batch: DataFrame, key: list[str], day: str, first: int, last: int) -> DataFrame:
+    """A merge bounded to the days [first, last]: rows of other days are neither joined nor changed."""
+    inside = F.col(day).between(first, last)
+    update = [c for c in existing.columns if c not in key]
+    return existing.where(~inside).unionByName(upsert(existing.where(inside), batch.where(inside), key, update))

@@ -127,3 +127,9 @@ def agent_details(df: DataFrame) -> DataFrame:
     clean = lambda a: F.array_distinct(F.array_compact(a))
     found = base.withColumn("instructions", prompt)
     return found.withColumn("skills", clean(skills)).withColumn("connectors", clean(F.concat(actions, calls))).withColumn("config_hash", F.when(x.text("instructions").isNotNull(), x.hash16("instructions"))).drop("defs")
+
+
+def wide_to_long(df: DataFrame, keys: list[str], columns: list[str], name: str, value: str) -> DataFrame:
+    """A column a workload to a row a workload; blanks go."""
+    long = df.unpivot(keys, columns, name, "_v").where(F.trim("_v") != "")
+    return long.select(*keys, name, F.trim("_v").try_cast("int").alias(value))

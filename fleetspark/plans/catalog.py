@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetspark.functions import expressions as x
-from fleetspark.operators import facts, quality
-from fleetspark.plans import views
+from fleetspark.operators import facts, flatten, quality
+from fleetspark.plans import measures, views
 from fleetspark.plans.bind import bound, with_views
 from fleetspark.plans.registry import query
 
@@ -454,8 +454,7 @@ def ghost_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("wide_to_long", "SELECT o_orderkey, workload, CAST(v AS INT) AS active_users FROM (SELECT o_orderkey, 'Exchange' AS workload, CAST(o_custkey AS VARCHAR) AS v FROM orders UNION ALL SELECT o_orderkey, 'Teams', CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE CAST(o_orderkey % 50 AS VARCHAR) END FROM orders) WHERE trim(v) <> ''")
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("Exchange"), F.when(F.col("o_orderkey") % 3 == 0, " ").otherwise((F.col("o_orderkey") % 50).cast("string")).alias("Teams"))
-    long = wide.unpivot(["o_orderkey"], ["Exchange", "Teams"], "workload", "v").where(F.trim("v") != "")
-    return long.select("o_orderkey", "workload", F.col("v").try_cast("int").alias("active_users"))
+    return flatten.wide_to_long(wide, ["o_orderkey"], ["Exchange", "Teams"], "workload", "active_users")
 
 
 @query(
@@ -471,3 +470,59 @@ def credits_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return facts.credits_with_people(mixed, "event_id").select("event_id", "person_id", "credits", "licensed", "organization")
 
+
+@query("agents_from_spans", _sql(["b_agent", "b_span"], " SELECT DISTINCT 'azure' AS cloud, coalesce(NULLIF(CASE WHEN span_id % 2 = 0 THEN caller_id ELSE '' END, ''), native_agent_id) AS native_agent_id FROM b_span WHERE coalesce(NULLIF(CASE WHEN span_id % 2 = 0 THEN caller_id ELSE '' END, ''), native_agent_id) NOT IN (SELECT native_agent_id FROM b_agent WHERE cloud = 'azure')"))
+def agents_from_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = bound(spark, sf_dir, "b_span").withColumn("service_name", F.when(F.col("span_id") % 2 == 0, F.col("caller_id")).otherwise(""))
+    return facts.agents_from_spans(spans, bound(spark, sf_dir, "b_agent"), "azure")
+
+
+@query("metric_consumption", _sql(["b_agent"], " SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(-1 AS BIGINT) ELSE CAST(-2 AS BIGINT) END AS agent_key, 0 AS attributed, 'unattributed' AS resolution_tier FROM events"))
+def metric_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, "aws").otherwise("azure").alias("cloud"))
+    return facts.metric_consumption(metrics, bound(spark, sf_dir, "b_agent")).select("event_id", "agent_key", "attributed", "resolution_tier")
+
+
+@query("cost_fact", _sql(["b_cost"], " SELECT cloud, resource_id, date_key, coalesce(CASE WHEN line % 5 = 0 THEN NULL ELSE meter_name END, '') AS meter_name, max(line) AS line, 'metered' AS cost_basis FROM b_cost WHERE line % 11 <> 0 GROUP BY 1, 2, 3, 4"))
+def cost_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = bound(spark, sf_dir, "b_cost").withColumn("meter_name", F.when(F.col("line") % 5 != 0, F.col("meter_name"))).withColumn("resource_id", F.when(F.col("line") % 11 != 0, F.col("resource_id")))
+    return facts.cost_fact(lines, "line").select("cloud", "resource_id", "date_key", "meter_name", "line", "cost_basis")
+
+
+@query("prototype_loader", _sql(SPAN_VIEWS, SPANS, "SELECT metric, count(*) AS n, count(*) AS attributed FROM (SELECT 'input_tokens' AS metric, input_tokens AS v FROM r_span UNION ALL SELECT 'output_tokens', output_tokens FROM r_span) WHERE v IS NOT NULL GROUP BY 1"))
+def prototype_loader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = facts.prototype_consumption(spans_of(spark, sf_dir), ["input_tokens", "output_tokens"])
+    return rows.groupBy("metric").agg(F.count("*").alias("n"), F.sum("attributed").alias("attributed"))
+
+
+@query("prototype_registry", "SELECT c_nationkey AS native_agent_id, min(c_custkey) AS first_row FROM customer GROUP BY 1")
+def prototype_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = table(spark, sf_dir, "customer").select(F.lit("m365").alias("cloud"), F.col("c_nationkey").alias("native_agent_id"), F.col("c_custkey").alias("first_row"))
+    return facts.prototype_agents(batch, ["first_row"]).select("native_agent_id", "first_row")
+
+
+@query("restatement", "SELECT event_id AS id, CASE WHEN day(ts) BETWEEN 10 AND 14 AND event_id % 2 = 0 THEN 'restated' ELSE event_type END AS kind, CAST(day(ts) AS INT) AS d FROM events")
+def restatement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.dayofmonth("ts").alias("d"))
+    return facts.restated(rows, rows.where("id % 2 = 0").withColumn("kind", F.lit("restated")), ["id"], "d", 10, 14)
+
+
+@query("billed_variance", "SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (WHERE o_orderstatus = 'F') AS billed, sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (WHERE o_orderstatus <> 'F') AS estimated, coalesce(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (WHERE o_orderstatus = 'F'), 0) - coalesce(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (WHERE o_orderstatus <> 'F'), 0) AS variance FROM orders GROUP BY 1")
+def billed_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "orders").select("o_custkey", F.when(F.col("o_orderstatus") == "F", "billed").otherwise("estimated").alias("cost_source"), F.col("o_totalprice").cast("decimal(18,2)").alias("cost"))
+    return measures.billed_variance(lines, ["o_custkey"])
+
+
+@query("owner_licences", _sql(["b_agent"], " SELECT l.owner_id, licences, coalesce(agents, 0) AS agents FROM (SELECT 'owner' || CAST(user_id % 20 AS VARCHAR) AS owner_id, count(*) AS licences FROM events WHERE event_type = 'signup' GROUP BY 1) l LEFT JOIN (SELECT owner_id, count(*) AS agents FROM b_agent GROUP BY 1) a ON a.owner_id = l.owner_id"))
+def owner_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    licences = table(spark, sf_dir, "events").where("event_type = 'signup'").select(F.concat(F.lit("owner"), F.col("user_id") % 20).alias("owner_id"))
+    return measures.owner_licences(bound(spark, sf_dir, "b_agent"), licences)
+
+
+@query("content_windows", "SELECT event_id, CAST(date_diff('second', s, n) AS BIGINT) AS back, CAST(date_diff('second', s, least(s + INTERVAL 24 HOUR, n)) AS BIGINT) AS length FROM (SELECT event_id, n, greatest(coalesce(CASE WHEN event_id % 3 <> 0 THEN date_trunc('second', ts) END, n - INTERVAL 6 HOUR), n - INTERVAL 7 DAY + INTERVAL 10 MINUTE) AS s FROM (SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS n FROM events))")
+def content_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan windows of a content feed by cursor: how far back they start, and how long they are."""
+    now = F.expr("TIMESTAMP '2024-02-01 00:00:00'")
+    start = x.content_window_start(F.when(F.col("event_id") % 3 != 0, F.date_trunc("second", "ts").cast("timestamp")), now)
+    seconds = lambda a, b: F.unix_timestamp(b) - F.unix_timestamp(a)
+    return table(spark, sf_dir, "events").select("event_id", seconds(start, now).alias("back"), seconds(start, x.content_window_end(start, now)).alias("length"))

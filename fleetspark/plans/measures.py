@@ -83,3 +83,15 @@ def unobserved(agents: DataFrame, audit: DataFrame, as_of: int, days: int = 7) -
     joined = agents.where("cloud = 'm365' AND agent_key > 0").join(last, "agent_key", "left")
     gap = F.datediff(x.key_date(F.lit(as_of)), x.key_date("last_day"))
     return joined.select("agent_key", "last_day", gap.alias("days_since")).where(F.col("last_day").isNull() | (F.col("days_since") > days))
+
+
+def billed_variance(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Billed beside estimated cost by key; the two are never added up."""
+    by = lines.groupBy(*keys).pivot("cost_source", ["billed", "estimated"]).agg(F.sum("cost"))
+    return by.withColumn("variance", F.coalesce("billed", F.lit(0)) - F.coalesce("estimated", F.lit(0)))
+
+
+def owner_licences(agents: DataFrame, licences: DataFrame) -> DataFrame:
+    """Licences at the owner's grain; agents are counted beside them and get no share."""
+    owned = agents.where("owner_id IS NOT NULL").groupBy("owner_id").agg(F.count("*").alias("agents"))
+    return licences.groupBy("owner_id").agg(F.count("*").alias("licences")).join(owned, "owner_id", "left").withColumn("agents", F.coalesce("agents", F.lit(0)))

@@ -100,3 +100,17 @@ def active_files(actions: DataFrame, last_commit_only: bool = False) -> DataFram
     path = F.coalesce("add", "remove").alias("path")
     state = actions.select("version", path, F.col("add").isNotNull().alias("live")).groupBy("path").agg(F.max_by("live", F.struct("version", "live")).alias("live"))
     return state.where("live").select("path")
+
+
+def csv_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A report with a header line, as text columns; a byte-order mark is dropped by the reader."""
+    return spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in columns))
+
+
+def ndjson_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Records of JSON-lines parts: ``raw, _file, _row``; parts that are not there are left out by the glob.
+
+    Lines have no number that a rerun would give again, so a line's place is a hash of its text.
+    """
+    lines = spark.read.option("ignoreMissingFiles", True).text(paths).select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("_file"))
+    return lines.where(F.trim("raw") != "").withColumn("_row", F.xxhash64("raw"))
