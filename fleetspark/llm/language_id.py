@@ -25,6 +25,8 @@ SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 2000, 64 << 10
 PIECE_BYTES, LEVEL = 2048, 6
 #: A text too short for a compressed block, which would be stored as it is, is repeated.
 SHORT_BYTES, REPEATS = 256, 4
+#: A tie is put to the test of the first piece, repeated so often each time.
+TIE_REPEATS = (2, 3, 5, 6, 8, 12)
 #: Only a tie is too narrow by default: a clean text, however short, is to stay.
 MIN_MARGIN = 0.0
 
@@ -82,6 +84,10 @@ class Identifier:
             data = b" ".join([data] * REPEATS)
         pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
         sizes = [sum(len(c.compress(piece)) for piece in pieces) for c in self.compressors]
+        for times in TIE_REPEATS:
+            if len(sizes) < 2 or sizes.count(min(sizes)) == 1:
+                break
+            sizes = [size + len(c.compress(b" ".join(pieces[:1] * times))) for size, c in zip(sizes, self.compressors)]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         others = sizes[:best] + sizes[best + 1 :]
         return self.langs[best], 1.0 if not others else (min(others) - sizes[best]) / min(others)
