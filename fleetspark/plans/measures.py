@@ -73,7 +73,8 @@ def cost_anomalies(daily: DataFrame, keys: list[str], window: int = 30) -> DataF
     """Z-score of a day's cost against the days before it; the first ``window`` days are the baseline."""
     before = Window.partitionBy(*keys).orderBy("date_key").rowsBetween(-window, -1)
     seen = F.row_number().over(Window.partitionBy(*keys).orderBy("date_key"))
-    z = F.try_divide(F.col("cost").cast("double") - F.avg("cost").over(before), F.stddev(F.col("cost").cast("double")).over(before))
+    cost = F.col("cost").cast("double")
+    z = F.try_divide(cost - F.avg(cost).over(before), F.stddev(cost).over(before))
     return daily.withColumn("baseline_period", seen <= window).withColumn("z_score", F.round(z, 4))
 
 

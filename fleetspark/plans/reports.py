@@ -107,6 +107,22 @@ def cost_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.cost_anomalies(daily, ["cloud"], 10).drop("z_score")
 
 
+@query(
+    "cost_anomaly_scores",
+    _sql(
+        ["b_cost"],
+        """, d AS (SELECT cloud, date_key, sum(CAST(coalesce(effective_cost, billed_cost, 0) AS DECIMAL(18, 2))) AS cost FROM b_cost GROUP BY 1, 2),
+        w AS (SELECT *, CAST(cost AS DOUBLE) AS c, row_number() OVER (PARTITION BY cloud ORDER BY date_key) AS i,
+            avg(CAST(cost AS DOUBLE)) OVER (PARTITION BY cloud ORDER BY date_key ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS m,
+            stddev_samp(CAST(cost AS DOUBLE)) OVER (PARTITION BY cloud ORDER BY date_key ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS s FROM d)
+        SELECT cloud, date_key, cost, i <= 30 AS baseline_period, round((c - m) / nullif(s, 0), 4) AS z_score FROM w""",
+    ),
+)
+def cost_anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = bound(spark, sf_dir, "b_cost").groupBy("cloud", "date_key").agg(F.sum(x.effective_cost()).alias("cost"))
+    return measures.cost_anomalies(daily, ["cloud"])
+
+
 @query("unobserved_agents", _sql(["b_agent", "b_audit"], AUDIT, "SELECT a.agent_key, l AS last_day, CAST(date_diff('day', strptime(CAST(l AS VARCHAR), '%Y%m%d'), DATE '2024-01-31') AS INT) AS days_since FROM b_agent a LEFT JOIN (SELECT agent_key, max(date_key) AS l FROM r_audit GROUP BY 1) USING (agent_key) WHERE cloud = 'm365' AND agent_key > 0 AND (l IS NULL OR date_diff('day', strptime(CAST(l AS VARCHAR), '%Y%m%d'), DATE '2024-01-31') > 1)"))
 def unobserved_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.unobserved(bound(spark, sf_dir, "b_agent"), audit_of(spark, sf_dir), 20240131, 1)
