@@ -3,7 +3,9 @@
 ``fit`` fills one raw-content dictionary a language from a bounded sample of labelled rows: at most ``SAMPLE_DOCS``
 documents a language by the hash of their id, ``SAMPLE_CHARS`` characters of each, ``DICTIONARY_BYTES`` in all. ``identify``
 lower-cases a whole text, keeps its letters, and compresses it piece by piece with each dictionary; the smallest sum of
-sizes wins. The score is the margin (second - best) / second; at or below ``MIN_MARGIN`` the text is rejected.
+sizes wins. The score is the margin (second - best) / second. A text is rejected at or below ``MIN_MARGIN`` times its evidence,
+which is its compressed size (second) over ``SHORT_BYTES``, at most 1, since repeated words tell no more than one; or if more than
+``MIXED`` of its pieces are won by other languages by as much. A text of twice ``SHORT_BYTES`` or more has two pieces at least.
 
 Defined cases: a text that is null or has no letters is ``und`` with score 0 and rejected; ties go to the language that is
 first in the alphabet; labelled rows without text, or no labelled rows at all, teach nothing (then all is ``und``).
@@ -27,8 +29,10 @@ PIECE_BYTES, LEVEL = 2048, 6
 SHORT_BYTES, REPEATS = 256, 4
 #: A tie is put to the test of the first piece, repeated so often each time.
 TIE_REPEATS = (2, 3, 5, 6, 8, 12)
-#: Only a tie is too narrow by default: a clean text, however short, is to stay.
-MIN_MARGIN = 0.0
+#: The margin that a text of full evidence needs, fitted on rows not held out; one of less needs as much less.
+MIN_MARGIN = 0.06
+#: A text is mixed if more than this share of its pieces is clearly in other languages than the whole.
+MIXED = 1 / 3
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -76,29 +80,36 @@ class Identifier:
             cls._made = {key: cls(dictionaries)}
         return cls._made[key]
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
+    def __call__(self, text: str | None, min_margin: float = MIN_MARGIN) -> tuple[str, float, bool]:
         data = letters(text)
         if not data or not self.langs:
-            return "und", 0.0
+            return "und", 0.0, True
         if len(data) < SHORT_BYTES:
             data = b" ".join([data] * REPEATS)
-        pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
-        sizes = [sum(len(c.compress(piece)) for piece in pieces) for c in self.compressors]
+            step = len(data)
+        else:
+            step = -(-len(data) // max(-(-len(data) // PIECE_BYTES), 1 + (len(data) >= 2 * SHORT_BYTES)))
+        pieces = [data[i : i + step] for i in range(0, len(data), step)]
+        by_piece = [[len(c.compress(piece)) for piece in pieces] for c in self.compressors]
+        sizes = [sum(found) for found in by_piece]
         for times in TIE_REPEATS:
             if len(sizes) < 2 or sizes.count(min(sizes)) == 1:
                 break
             sizes = [size + len(c.compress(b" ".join(pieces[:1] * times))) for size, c in zip(sizes, self.compressors)]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         others = sizes[:best] + sizes[best + 1 :]
-        return self.langs[best], 1.0 if not others else (min(others) - sizes[best]) / min(others)
+        evidence = min(1.0, min(others or sizes) / SHORT_BYTES)
+        score = 1.0 if not others else (min(others) - sizes[best]) / min(others)
+        elsewhere = sum(min(found) < (1 - min_margin) * found[best] for found in zip(*by_piece))
+        return self.langs[best], score, score <= min_margin * evidence or elsewhere > MIXED * len(pieces)
 
 
-def identify(text: Column, dictionaries: dict[str, bytes]) -> Column:
-    """A struct of ``lang_pred`` and ``score`` for a text column."""
+def identify(text: Column, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN) -> Column:
+    """A struct of ``lang_pred``, ``score`` and ``rejected`` for a text column."""
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(list(map(Identifier.of(dictionaries), texts)), columns=["lang_pred", "score"])
+        return pd.DataFrame([Identifier.of(dictionaries)(text, min_margin) for text in texts], columns=["lang_pred", "score", "rejected"])
 
     return predicted(text)
 
@@ -111,6 +122,5 @@ def label(docs: DataFrame, min_margin: float = MIN_MARGIN, id_col: str = "doc_id
     """``docs`` with ``__li`` (struct of ``lang_pred, score, rejected, held_out``), learnt from the rows not held out."""
     short_batches(docs.sparkSession)
     dictionaries = fit(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
-    found = docs.withColumn("__li", identify(F.col(text_col), dictionaries))
-    rejected = (F.col("__li.lang_pred") == "und") | (F.col("__li.score") <= min_margin)
-    return found.withColumn("__li", F.struct("__li.lang_pred", "__li.score", rejected.alias("rejected"), held_out(id_col).alias("held_out")))
+    found = docs.withColumn("__li", identify(F.col(text_col), dictionaries, min_margin))
+    return found.withColumn("__li", F.struct("__li.lang_pred", "__li.score", "__li.rejected", held_out(id_col).alias("held_out")))
