@@ -13,6 +13,15 @@ def got(v: str | Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(F.col(v) if isinstance(v, str) else v, path, kind)
 
 
+def place(df: DataFrame, *at: str) -> list[Column]:
+    """Where a record comes from (``_file, _row``), with its places in its page (``_pos``), if the page tells; else nothing."""
+    if "_row" not in df.columns:
+        return []
+    own = [F.col("_pos")] if "_pos" in df.columns else []
+    here = [F.array(*[F.col(a).cast("int") for a in at])] if at else []
+    return [F.col("_file"), F.col("_row"), F.concat(*own, *here).alias("_pos") if own or here else F.expr("cast(array() as array<int>)").alias("_pos")]
+
+
 def envelope(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Objects of JSON documents that are a list, one object, or an object with the list under ``value``: ``doc, pos``."""
     parsed = df.withColumn("_v", F.try_parse_json(raw)).where("_v IS NOT NULL")
@@ -25,15 +34,16 @@ def envelope(df: DataFrame, raw: str = "raw") -> DataFrame:
 def cost_buckets(df: DataFrame) -> DataFrame:
     """Day buckets with groups to a row for each day and group; amounts default to 0."""
     shape = "struct<TimePeriod:struct<Start:string>,Groups:array<struct<Keys:array<string>,Metrics:struct<UnblendedCost:struct<Amount:string>,UsageQuantity:struct<Amount:string>>>>>"
-    groups = df.select(F.from_json("raw", shape).alias("b")).select(F.col("b.TimePeriod.Start").alias("time_period_start"), F.explode("b.Groups").alias("g"))
+    groups = df.select("*", F.from_json("raw", shape).alias("b")).select("*", F.col("b.TimePeriod.Start").alias("time_period_start"), F.posexplode("b.Groups").alias("_i", "g"))
     amount = lambda n: F.coalesce(F.col(f"g.Metrics.{n}.Amount").try_cast("double"), F.lit(0.0))
-    return groups.select("time_period_start", F.get("g.Keys", F.lit(0)).alias("usage_type"), F.get("g.Keys", F.lit(1)).alias("operation"), amount("UnblendedCost").alias("unblended_cost"), amount("UsageQuantity").alias("usage_quantity"))
+    return groups.select(*place(groups, "_i"), "time_period_start", F.get("g.Keys", F.lit(0)).alias("usage_type"), F.get("g.Keys", F.lit(1)).alias("operation"), amount("UnblendedCost").alias("unblended_cost"), amount("UsageQuantity").alias("usage_quantity"))
 
 
 def log_envelope(df: DataFrame) -> DataFrame:
     """Log events whose message is JSON; a bad message leaves nulls and the event's id."""
     e = df.withColumn("e", F.try_parse_json("raw")).withColumn("m", F.try_parse_json(got("e", "$.message")))
     return e.select(
+        *place(e), got("m", "$.schemaType").alias("schema_type"), got("m", "$.identity.arn").alias("identity_arn"),
         F.coalesce(got("m", "$.requestId"), got("e", "$.eventId")).alias("request_id"), got("m", "$.timestamp").alias("timestamp"), got("m", "$.modelId").alias("model_id"), got("m", "$.operation").alias("operation"),
         got("m", "$.accountId").alias("account_id"), got("m", "$.region").alias("region"), got("m", "$.input.inputTokenCount", "bigint").alias("input_token_count"), got("m", "$.output.outputTokenCount", "bigint").alias("output_token_count"),
     )
@@ -42,10 +52,11 @@ def log_envelope(df: DataFrame) -> DataFrame:
 def metric_arrays(df: DataFrame, identity: DataFrame) -> DataFrame:
     """Parallel lists of times and values to points, as many as the shorter has, with the metric's identity by query id."""
     shape = "struct<Id:string,Timestamps:array<string>,Values:array<double>>"
-    r = df.select(F.from_json("raw", shape).alias("r")).select("r.*")
+    r = df.select("*", F.from_json("raw", shape).alias("r")).select("*", "r.*")
     n = F.least(F.size("Timestamps"), F.size("Values"))
     zipped = r.withColumn("Timestamps", F.slice("Timestamps", F.lit(1), n)).withColumn("Values", F.slice("Values", F.lit(1), n))
-    points = zipped.select("Id", F.explode(F.arrays_zip("Timestamps", "Values")).alias("p")).select(F.col("Id").alias("id"), F.col("p.Timestamps").alias("timestamp"), F.col("p.Values").alias("value"))
+    points = zipped.select("*", F.posexplode(F.arrays_zip("Timestamps", "Values")).alias("_i", "p"))
+    points = points.select(*place(points, "_i"), F.col("Id").alias("id"), F.col("p.Timestamps").alias("timestamp"), F.col("p.Values").alias("value"))
     return points.join(identity, "id").drop("id").withColumn("stat", x.metric_stat("metric_name"))
 
 
@@ -56,7 +67,7 @@ def otel_spans(df: DataFrame) -> DataFrame:
     input_, output = F.coalesce(a("gen_ai.usage.input_tokens", "bigint"), a("gen_ai.usage.prompt_tokens", "bigint")), F.coalesce(a("gen_ai.usage.output_tokens", "bigint"), a("gen_ai.usage.completion_tokens", "bigint"))
     error = x.span_error(F.coalesce(got("s", "$.status.code"), F.lit("")), got("s", "$.status.message"), a("http.response.status_code", "int"), a("exception.type"))
     return s.select(
-        got("s", "$.spanId").alias("span_id"), got("s", "$.traceId").alias("trace_id"), got("s", "$.parentSpanId").alias("parent_span_id"), got("s", "$.name").alias("operation_name"),
+        *place(s), got("s", "$.spanId").alias("span_id"), got("s", "$.traceId").alias("trace_id"), got("s", "$.parentSpanId").alias("parent_span_id"), got("s", "$.name").alias("operation_name"),
         x.nanos_iso(got("s", "$.startTimeUnixNano")).alias("timestamp"), (got("s", "$.durationNano", "double") / 1e6).alias("latency_ms"), a("gen_ai.agent.id").alias("gen_ai_agent_id"), a("session.id").alias("session_id"),
         F.coalesce(got("res", "$['service.name']"), a("service.name")).alias("service_name"), x.token_total(a("gen_ai.usage.total_tokens", "bigint"), input_, output).alias("token_count"), error.alias("error_type"),
     ).where("span_id IS NOT NULL")
@@ -65,30 +76,58 @@ def otel_spans(df: DataFrame) -> DataFrame:
 def named_rows(df: DataFrame) -> DataFrame:
     """Rows by position with a list of column names to maps; short rows lack the last names."""
     shape = "struct<columns:array<struct<name:string>>,rows:array<array<string>>>"
-    t = df.select(F.from_json("raw", shape).alias("t")).select(F.col("t.columns.name").alias("names"), F.explode("t.rows").alias("row"))
+    t = df.select("*", F.from_json("raw", shape).alias("t")).select("*", F.col("t.columns.name").alias("names"), F.posexplode("t.rows").alias("_i", "row"))
     n = F.least(F.size("names"), F.size("row"))
-    return t.select(F.map_from_arrays(F.slice("names", F.lit(1), n), F.slice("row", F.lit(1), n)).alias("record"))
+    return t.select(*place(t, "_i"), F.map_from_arrays(F.slice("names", F.lit(1), n), F.slice("row", F.lit(1), n)).alias("record"))
 
 
 def cost_rows(df: DataFrame) -> DataFrame:
     """Cost lines of positional rows; a line needs a resource and a day."""
     r = lambda k: F.element_at("record", k)
-    return named_rows(df).select(
+    rows = named_rows(df)
+    return rows.select(
+        *place(rows),
         r("ResourceId").alias("resource_id"), x.iso_day(r("UsageDate")).alias("charge_period_start"), r("Cost").try_cast("double").alias("billed_cost"), r("CostUSD").try_cast("double").alias("effective_cost"),
         r("UsageQuantity").try_cast("double").alias("consumed_quantity"), r("Meter").alias("meter_name"), r("MeterCategory").alias("meter_category"), r("Currency").alias("currency"),
         x.resource_part(r("ResourceId"), "subscriptions").alias("subscription_id"), x.resource_part(r("ResourceId"), "resourcegroups").alias("resource_group"),
     ).where("resource_id IS NOT NULL AND charge_period_start IS NOT NULL")
 
 
+def table_records(df: DataFrame) -> DataFrame:
+    """The tables of a query's answer to a record (JSON text, ``raw``) for each row."""
+    shape = "struct<tables:array<struct<columns:array<struct<name:string>>,rows:array<array<string>>>>>"
+    t = df.select("*", F.from_json("raw", shape).alias("t")).select("*", F.posexplode("t.tables").alias("_i", "table"))
+    r = t.select("*", F.posexplode("table.rows").alias("_j", "row"))
+    n = F.least(F.size("table.columns"), F.size("row"))
+    return r.select(*place(r, "_i", "_j"), F.to_json(F.map_from_arrays(F.slice("table.columns.name", F.lit(1), n), F.slice("row", F.lit(1), n))).alias("raw"))
+
+
+def gen_ai_spans(df: DataFrame) -> DataFrame:
+    """Spans of a dependency table with a property bag (an object, or its text): those of gen_ai scope, aliases resolved, an empty value as missing."""
+    s = df.withColumn("s", F.try_parse_json("raw")).withColumn("b", F.coalesce(F.try_parse_json(got("s", "$.Properties")), got("s", "$.Properties", "variant")))
+    a = lambda k: F.nullif(got("s", f"$.{k}"), F.lit(""))
+    p = lambda k: F.nullif(got("b", f"$['{k}']"), F.lit(""))
+    n = lambda k: p(k).try_cast("double").try_cast("bigint")
+    scope = p("gen_ai.system").isNotNull() | p("gen_ai.agent.id").isNotNull() | F.coalesce(p("gen_ai.operation.name").isin("invoke_agent", "create_agent"), F.lit(False))
+    input_, output = F.coalesce(n("gen_ai.usage.input_tokens"), n("gen_ai.usage.prompt_tokens")), F.coalesce(n("gen_ai.usage.output_tokens"), n("gen_ai.usage.completion_tokens"))
+    return s.where(a("Id").isNotNull() & scope).select(
+        *place(s), a("Id").alias("span_id"), a("OperationId").alias("trace_id"), a("ParentId").alias("parent_span_id"), a("TimeGenerated").alias("timestamp"),
+        F.coalesce(p("user.id"), p("enduser.id"), a("UserAuthenticatedId"), a("UserId")).alias("caller_id"), F.coalesce(p("gen_ai.agent.id"), p("gen_ai.assistant.id")).alias("gen_ai_agent_id"),
+        p("gen_ai.agent.name").alias("gen_ai_agent_name"), F.coalesce(p("gen_ai.operation.name"), a("Name")).alias("span_kind"),
+        F.coalesce(p("gen_ai.response.model"), p("gen_ai.request.model")).alias("model_name"), p("gen_ai.request.model").alias("deployment_name"), input_.alias("prompt_tokens"), output.alias("completion_tokens"),
+        F.coalesce(n("gen_ai.usage.total_tokens"), F.coalesce(input_, F.lit(0)) + F.coalesce(output, F.lit(0))).alias("total_tokens"), a("DurationMs").try_cast("double").alias("latency_ms"), a("ResultCode").alias("status_code"),
+    )
+
+
 def metric_series(df: DataFrame) -> DataFrame:
     """Metrics with series of points; a point's value is its total, average, count, maximum or minimum; gaps go."""
     shape = "struct<name:struct<value:string>,timeseries:array<struct<metadatavalues:array<struct<name:struct<value:string>,value:string>>,data:array<struct<timeStamp:string,total:double,average:double,count:double,maximum:double,minimum:double>>>>>"
-    m = df.select(F.from_json("raw", shape).alias("m")).select(F.col("m.name.value").alias("metric_name"), F.explode("m.timeseries").alias("s"))
+    m = df.select("*", F.from_json("raw", shape).alias("m")).select("*", F.col("m.name.value").alias("metric_name"), F.posexplode("m.timeseries").alias("_i", "s"))
     dims = F.map_from_entries(F.transform(F.coalesce("s.metadatavalues", F.expr("array()")), lambda d: F.struct(F.lower(d["name"]["value"]), d["value"])))
-    points = m.select("metric_name", dims.alias("dims"), F.explode("s.data").alias("d"))
+    points = m.select("*", dims.alias("dims"), F.posexplode("s.data").alias("_j", "d"))
     names = {"modeldeploymentname": "model_deployment_name", "modelname": "model_name", "modelversion": "model_version", "region": "region", "apiname": "api_name", "statuscode": "status_code"}
     value = F.coalesce("d.total", "d.average", "d.count", "d.maximum", "d.minimum")
-    return points.select("metric_name", F.col("d.timeStamp").alias("timestamp"), value.alias("value"), *[F.element_at("dims", k).alias(v) for k, v in names.items()]).where("value IS NOT NULL")
+    return points.select(*place(points, "_i", "_j"), "metric_name", F.col("d.timeStamp").alias("timestamp"), value.alias("value"), *[F.element_at("dims", k).alias(v) for k, v in names.items()]).where("value IS NOT NULL")
 
 
 def audit_events(df: DataFrame) -> DataFrame:
@@ -98,7 +137,7 @@ def audit_events(df: DataFrame) -> DataFrame:
     inner = F.json_object_keys(F.coalesce(F.to_json("d"), F.lit("{}")))
     either = lambda k: F.when(F.array_contains(inner, k), got("d", f"$.{k}")).otherwise(got("e", f"$.{k}"))
     return e.where(scope).select(
-        got("e", "$.Id").alias("record_id"), got("e", "$.CreationTime").alias("creation_date"), got("e", "$.RecordType").alias("record_type"), got("e", "$.Operation").alias("operation"),
+        *place(e), got("e", "$.Id").alias("record_id"), got("e", "$.CreationTime").alias("creation_date"), got("e", "$.RecordType").alias("record_type"), got("e", "$.Operation").alias("operation"),
         got("e", "$.UserId").alias("user_id"), got("e", "$.Workload").alias("workload"), either("AppIdentity").alias("app_identity"), either("TargetPlatformAgentId").alias("native_agent_id"),
         either("AppHost").alias("app_host"), either("ErrorType").alias("error_type"), got("d", "$.DLPEvaluationDeferred", "boolean").cast("int").alias("dlp_evaluation_deferred"),
     )

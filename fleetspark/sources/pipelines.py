@@ -2,43 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetspark.operators import quality
+from fleetspark.operators import flatten, quality
 
 
 @dataclass(frozen=True)
 class Source:
-    """A source: where it lands, its columns (``name type``), required ones, the key of a record and allowed values."""
+    """A source: where it lands, its columns (``name type``), required ones, the key of a record, allowed values, and how its
+    payloads become records: functions of ``flatten`` in order, each with the lists a payload must have for it."""
 
     landing: str
     columns: str
     required: list[str]
     key: list[str]
     enums: dict[str, list[str]] = field(default_factory=dict)
+    steps: tuple[tuple[Callable[..., DataFrame], list[str]], ...] = ()
 
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.columns)
 
 
+def _metric_points(pages: DataFrame, identity: DataFrame) -> DataFrame:
+    """Points without their statistic, which is no column of the source."""
+    return flatten.metric_arrays(pages, identity).drop("stat")
+
+
 # Record schemas, keys and landing paths of the sources.
 SOURCES = {
-    "bedrock_cost": Source("bedrock/cost", "time_period_start string, service string, usage_type string, operation string, unblended_cost double, usage_quantity double", ["time_period_start"], ["usage_type", "operation", "time_period_start"]),
-    "bedrock_invocations": Source("bedrock/invocation_logs", "request_id string, timestamp string, schema_type string, account_id string, identity_arn string, region string, operation string, model_id string, input_token_count long, output_token_count long", ["request_id"], ["request_id", "timestamp"]),
-    "bedrock_metrics": Source("bedrock/metrics", "metric_name string, timestamp string, value double, model_id string, operation_name string, namespace string", ["metric_name", "timestamp"], ["metric_name", "model_id", "timestamp"]),
-    "bedrock_traces": Source("bedrock/traces", "span_id string, trace_id string, timestamp string, agent_endpoint_id string, session_id string, gen_ai_agent_id string, tool_invocations array<string>, latency_ms double, token_count long, error_type string", ["span_id"], ["span_id", "timestamp"]),
-    "foundry_cost": Source("foundry/cost", "resource_id string, charge_period_start string, billed_cost double, effective_cost double, consumed_quantity double, consumed_unit string, meter_category string, meter_name string, subscription_id string, resource_group string, tags map<string,string>", ["resource_id", "charge_period_start"], ["resource_id", "meter_name", "charge_period_start"]),
-    "foundry_metrics": Source("foundry/metrics", "metric_name string, timestamp string, value double, model_deployment_name string, model_name string, model_version string, region string, api_name string, status_code string", ["metric_name", "timestamp"], ["metric_name", "model_deployment_name", "timestamp"]),
-    "foundry_traces": Source("foundry/traces", "span_id string, trace_id string, parent_span_id string, timestamp string, gen_ai_agent_id string, gen_ai_agent_name string, caller_id string, span_kind string, model_name string, model_version string, deployment_name string, prompt_tokens long, completion_tokens long, total_tokens long, latency_ms double, status_code string, tool_calls array<string>", ["span_id"], ["span_id", "timestamp"]),
+    "bedrock_cost": Source("bedrock/cost", "time_period_start string, service string, usage_type string, operation string, unblended_cost double, usage_quantity double", ["time_period_start"], ["usage_type", "operation", "time_period_start"], steps=((flatten.cost_buckets, ["Groups"]),)),
+    "bedrock_invocations": Source("bedrock/invocation_logs", "request_id string, timestamp string, schema_type string, account_id string, identity_arn string, region string, operation string, model_id string, input_token_count long, output_token_count long", ["request_id"], ["request_id", "timestamp"], steps=((flatten.log_envelope, []),)),
+    "bedrock_metrics": Source("bedrock/metrics", "metric_name string, timestamp string, value double, model_id string, operation_name string, namespace string", ["metric_name", "timestamp"], ["metric_name", "model_id", "timestamp"], steps=((_metric_points, ["Timestamps", "Values"]),)),
+    "bedrock_traces": Source("bedrock/traces", "span_id string, trace_id string, timestamp string, agent_endpoint_id string, session_id string, gen_ai_agent_id string, tool_invocations array<string>, latency_ms double, token_count long, error_type string", ["span_id"], ["span_id", "timestamp"], steps=((flatten.otel_spans, []),)),
+    "foundry_cost": Source("foundry/cost", "resource_id string, charge_period_start string, billed_cost double, effective_cost double, consumed_quantity double, consumed_unit string, meter_category string, meter_name string, subscription_id string, resource_group string, tags map<string,string>", ["resource_id", "charge_period_start"], ["resource_id", "meter_name", "charge_period_start"], steps=((flatten.cost_rows, ["columns", "rows"]),)),
+    "foundry_metrics": Source("foundry/metrics", "metric_name string, timestamp string, value double, model_deployment_name string, model_name string, model_version string, region string, api_name string, status_code string", ["metric_name", "timestamp"], ["metric_name", "model_deployment_name", "timestamp"], steps=((flatten.metric_series, ["timeseries"]),)),
+    "foundry_traces": Source("foundry/traces", "span_id string, trace_id string, parent_span_id string, timestamp string, gen_ai_agent_id string, gen_ai_agent_name string, caller_id string, span_kind string, model_name string, model_version string, deployment_name string, prompt_tokens long, completion_tokens long, total_tokens long, latency_ms double, status_code string, tool_calls array<string>", ["span_id"], ["span_id", "timestamp"], steps=((flatten.table_records, ["tables"]), (flatten.gen_ai_spans, []))),
     "m365_registry": Source("m365-registry", "package_id string, agent_type string, name string, description string, publisher_email string, created string, last_modified string, deployment_status string, enabled boolean, dlp_compliant boolean, connectors array<string>, permissions array<string>", ["package_id", "agent_type"], ["package_id", "last_modified"], {"agent_type": ["copilot_studio", "agent_builder", "custom_engine", "sharepoint"]}),
     "m365_usage": Source("m365-usage", "package_id string, report_date string, agent_name string, active_users long, total_message_count long, agent_type string, last_activity string, is_anonymized boolean", ["package_id", "report_date"], ["package_id", "report_date"]),
     "m365_user_activity": Source("m365-user-activity", "user_id string, report_date string, product string, activity_count long, is_active boolean, is_anonymized boolean", ["user_id", "report_date"], ["user_id", "report_date"]),
-    "purview_audit": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"]),
+    "purview_audit": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((flatten.audit_events, []),)),
     "purview_dspm": Source("m365/purview/dspm_posture", "dspm_agent_instance_id string, assessment_date string, insider_risk_level string, sensitivity_accessed array<string>, dlp_violations long, oversharing_detected boolean, entra_agent_id string, package_id string", ["dspm_agent_instance_id"], ["dspm_agent_instance_id", "assessment_date"]),
 }
 
@@ -60,15 +68,35 @@ def parsed(pages: DataFrame, source: Source) -> DataFrame:
     wrong += [F.when(text[f.name].isNotNull() & value(f).isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")) for f in fields]
     wrong += [F.when(~text[k].isin(allowed), F.lit(f"{k}: not allowed")) for k, allowed in source.enums.items()]
     checked = F.when(F.col("_record").isNull(), F.array(F.lit("not an object"))).otherwise(F.array_compact(F.array(*wrong)))
-    return rows.select(*[value(f).alias(f.name) for f in fields], quality.drift("_record", [f.name for f in fields]).alias("_drift"), checked.alias("_errors"), "raw", "_file", "_row")
-
-
-def run(pages: DataFrame, source: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return rows.select(*[value(f).alias(f.name) for f in fields], quality.drift("_record", [f.name for f in fields]).alias("_drift"), checked.alias("_errors"), "raw", "_file", "_row", "_pos")
+
+
+def records(pages: DataFrame, source: Source, *context: DataFrame) -> DataFrame:
+    """Pages as one JSON record a row, with ``_file, _row, _pos``. A payload that is no object, that has a required column already or
+    that lacks a step's lists passes as it is, so that validation, not the step, decides on it. ``context`` goes to the steps."""
+    rows = pages.select("raw", "_file", "_row", F.expr("cast(array() as array<int>)").alias("_pos"))
+    for step, lists in source.steps:
+        v = F.try_parse_json("raw")
+        kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))  # noqa: B023, E731
+        nested = F.schema_of_variant(v).startswith("OBJECT")
+        for k in source.required:
+            nested &= F.try_variant_get(v, f"$.{k}", "variant").isNull()
+        for k in lists:
+            nested &= kind(f"$.{k}").startswith("ARRAY")
+        marked = rows.withColumn("_nested", F.coalesce(nested, F.lit(False)))
+        flat = step(marked.where("_nested").drop("_nested"), *context)
+        raw = F.col("raw") if "raw" in flat.columns else F.to_json(F.struct(*[c for c in flat.columns if c not in ("_file", "_row", "_pos")]))
+        flat = flat.select(F.explode(F.array(raw)).alias("raw"), "_file", "_row", "_pos")  # a generator, so that later expressions are not merged with the step's
+        rows = marked.where("NOT _nested").drop("_nested").unionByName(flat)
+    return rows
+
+
+def run(pages: DataFrame, source: Source, *context: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Valid rows without repeats (containers as JSON text), quarantined rows, and one row of counts."""
-    rows = parsed(pages, source)
+    rows = parsed(records(pages, source, *context), source)
     good, bad = F.size("_errors") == 0, F.size("_errors") > 0
     names = [f.name for f in source.schema.fields]
-    valid = quality.keep_first(rows.where(good), source.key, ["_file", "_row"]).select(*names, "_drift")
+    valid = quality.keep_first(rows.where(good), source.key, ["_file", "_row", "_pos"]).select(*names, "_drift")
     quarantine = rows.where(bad).select(F.array_join("_errors", "; ").alias("error"), "raw")
     stats = quality.run_stats(rows, source.key, good, F.col("_drift").isNotNull())
     return quality.coerce_containers(valid), quarantine, stats
