@@ -5,8 +5,8 @@ coin tossing gives each name a small label that depends on it and a few names to
 and phrases end before labels that are local maxima. A phrase's name is a hash of its names, so names need no dictionary and equal substrings have
 equal interior phrases wherever they stand. Each level is at most half as long as the one below.
 
-The fingerprint is a sketch of the set of phrase names of level ``LEVEL`` (about fifteen bytes each): ``BINS`` bins of 16 bits,
-each the least hash of the names that fall into it, in hexadecimal, ``....`` for an empty bin. The likeness of two
+The fingerprint is a sketch of the set of phrase names of level ``LEVEL`` (about fifteen bytes each): ``BINS`` bins of 32 bits,
+each the least hash of the names that fall into it, in hexadecimal, ``........`` for an empty bin. The likeness of two
 fingerprints is the share of equal bins among the bins that either fills, an estimate of the sets' Jaccard similarity.
 
 Defined cases: a null text is empty; the fingerprint of an empty text has no filled bin, and two such are alike (1), else
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import short_batches, whole
 
 LEVEL, BINS = 3, 64
+#: One more than a bin can hold. Even in a text of 2 GB two unrelated bins agree with a chance of 0.0003 at most.
+EMPTY = 1 << 32
 RANGE_ROWS, MAX_RANGES = 4096, 20_000
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Place of the lowest set bit of a byte.
@@ -106,23 +108,23 @@ def parse(texts: list[bytes], level: int = LEVEL) -> tuple[np.ndarray, np.ndarra
 
 
 def sketch(texts: list[str], level: int = LEVEL) -> np.ndarray:
-    """One row of bins a text; 65536 marks an empty bin."""
+    """One row of bins a text; ``EMPTY`` marks an empty bin."""
     names, owner = parse([t.encode() for t in texts], level)
-    found = np.full(len(texts) * BINS, 1 << 16, np.int64)
+    found = np.full(len(texts) * BINS, EMPTY, np.int64)
     if len(names):
         spread = _mixed(names.astype(np.uint64) + _STEP)
         bins = owner * BINS + (spread >> np.uint64(58)).astype(np.int64) % BINS
-        np.minimum.at(found, bins, (spread & np.uint64(0xFFFF)).astype(np.int64))
+        np.minimum.at(found, bins, (spread & np.uint64(EMPTY - 1)).astype(np.int64))
     return found.reshape(len(texts), BINS)
 
 
 def written(bins: np.ndarray) -> list[str]:
-    return ["".join("...." if b > 0xFFFF else f"{b:04x}" for b in row) for row in bins.tolist()]
+    return ["".join("........" if b == EMPTY else f"{b:08x}" for b in row) for row in bins.tolist()]
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Row by row: equal bins among those that either fills."""
-    filled = (left <= 0xFFFF) | (right <= 0xFFFF)
+    filled = (left < EMPTY) | (right < EMPTY)
     equal = ((left == right) & filled).sum(axis=1)
     total = filled.sum(axis=1)
     return np.where(total > 0, equal / np.maximum(total, 1), 1.0)
