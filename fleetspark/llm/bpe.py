@@ -7,8 +7,12 @@ edit keeps those before it. ``EncodedText`` keeps a text's chunks and re-encodes
 
 A text is cut by the tokenizer's pattern first. Cutting at single spaces beforehand changes nothing, as no match holds a
 space behind another character unless white space surrounds it; so chunks between such spaces are looked up in a bounded
-cache of each worker, and only new ones are encoded. Defined cases: null is empty; an empty text has no tokens; any
-length works, in time linear in it. Every row is on its own: no shuffle.
+cache of each worker, and only new ones are encoded. A long text is cut into slabs at such spaces, so a worker holds the ids
+of one batch and the tables of one slab. Defined cases: null is empty; an empty text has no tokens; any length works, in
+time linear in it. Every row is on its own: no shuffle.
+
+A chunk of one space and letters is one piece of the pattern; this shortcut is right for patterns that, like byte-level
+BPE's usual ones, match an optional space and a run of letters first.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,8 +28,12 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Chunks that a worker keeps, in two generations.
-CACHE_CHUNKS = 500_000
+#: Bytes of encoded chunks, and pairs of tokens, that a worker keeps; each is emptied when full.
+CACHE_BYTES, CACHE_PAIRS = 48 << 20, 200_000
+#: What an entry takes beside its characters, about.
+_ENTRY = 250
+#: Characters of a text that are cut into chunks at once.
+SLAB = 1 << 20
 
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _TWO_SPACES = re.compile(r"\s\s")
@@ -68,6 +77,8 @@ class Vocabulary:
         key = left << 32 | right
         known = self.follows.get(key)
         if known is None:
+            if len(self.follows) >= CACHE_PAIRS:
+                self.follows.clear()
             known = self.follows[key] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
 
@@ -140,23 +151,22 @@ class PrefixTable:
 
 
 class _Chunks(dict):
-    """Encodings of chunks, as bytes of little-endian 32-bit ids; the older half goes when full."""
+    """Encodings of chunks, as bytes of little-endian 32-bit ids, up to ``CACHE_BYTES``."""
 
     def __init__(self, encode, prefix: str):
         super().__init__()
-        self.encode, self.prefix, self.old = encode, prefix, {}
+        self.encode, self.prefix, self.held = encode, prefix, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self.old.get(chunk)
-        if found is None:
-            found = self.encode(self.prefix + chunk)
+        found = self.encode(self.prefix + chunk)
         self.put(chunk, found)
         return found
 
     def put(self, chunk: str, ids: bytes) -> None:
-        if len(self) >= CACHE_CHUNKS:
-            self.old = dict(self)
+        if self.held > CACHE_BYTES:
             self.clear()
+            self.held = 0
+        self.held += len(chunk) + len(ids) + _ENTRY
         self[chunk] = ids
 
 
@@ -184,13 +194,10 @@ class Tokenizer:
             ids += [whole] if whole is not None and self.vocabulary.stands(whole) else PrefixTable(self.vocabulary, data).ids()
         return np.array(ids, "<u4").tobytes()
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the new chunks of many texts in sorted order, in one table: neighbours share most of their prefixes."""
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Encode the new ones of chunks behind spaces in sorted order, in one table: neighbours share most of their prefixes."""
         known, table = self.behind_space, PrefixTable(self.vocabulary)
-        fresh = set()
-        for text in texts:
-            fresh.update(self.chunks(text)[1:])
-        fresh = {c: self.pieces(" " + c) for c in fresh if c not in known and c not in known.old}
+        fresh = {c: self.pieces(" " + c) for c in set(chunks) if c not in known}
         made = {}
         for piece in sorted({p.encode() for pieces in fresh.values() for p in pieces}):
             table.become(piece)
@@ -205,13 +212,56 @@ class Tokenizer:
         """Chunks whose encodings, joined, are the text's; all but the first lost a space before them."""
         return _SAFE_SPACE.split(text) if _TWO_SPACES.search(text) else text.split(" ")
 
+    def slabs(self, text: str) -> Iterator[tuple[bool, str]]:
+        """Stretches of a text between safe spaces, and whether the space before each is left out of it."""
+        at, behind = 0, False
+        while len(text) - at > SLAB and (space := _SAFE_SPACE.search(text, at + SLAB)):
+            yield behind, text[at : space.start()]
+            at, behind = space.end(), True
+        yield behind, text[at:]
+
+    def encoded_slabs(self, text: str) -> Iterator[bytes]:
+        """The encodings of a text's slabs, one after the other."""
+        for behind, slab in self.slabs(text) if text else ():
+            first, *others = self.chunks(slab)
+            if len(others) > 2000:
+                self.learn(others)
+            head = self.behind_space[first] if behind else self.encode_chunk(first)
+            yield head + b"".join(map(self.behind_space.__getitem__, others))
+
     def encode(self, text: str) -> bytes:
-        first, *others = self.chunks(text)
-        return self.encode_chunk(first) + b"".join(map(self.behind_space.__getitem__, others)) if text else b""
+        return b"".join(self.encoded_slabs(text))
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of tokens, SHA-256 of the ids and of the bytes that they decode to, slab by slab."""
+        count, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        for slab in self.encoded_slabs(text):
+            count += len(slab) // 4
+            ids.update(slab)
+            decoded.update(self.decode(slab))
+        return count, ids.hexdigest(), decoded.hexdigest()
+
+    def learn_short(self, texts: Iterable[str]) -> None:
+        """``learn`` the chunks of all texts of one slab, up to a slab's characters at a time."""
+        held, chunks = 0, []
+        for text in texts:
+            if len(text) <= SLAB:
+                held += len(text)
+                chunks += self.chunks(text)[1:]
+            if held > SLAB:
+                self.learn(chunks)
+                held, chunks = 0, []
+        self.learn(chunks)
 
     def decode(self, ids: bytes) -> bytes:
         return self.vocabulary.decode(np.frombuffer(ids, "<u4"))
 
+    def decoded_sha256(self, ids: bytes) -> str:
+        found = hashlib.sha256()
+        for at in range(0, len(ids), 4 * SLAB):
+            found.update(self.decode(ids[at : at + 4 * SLAB]))
+        return found.hexdigest()
+
 
 class EncodedText:
     """A text with the encodings of its chunks: appends and edits re-encode only the chunks they touch."""
@@ -258,10 +308,11 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
     def made(texts: pd.Series) -> pd.DataFrame:
         tokenizer, rows = Tokenizer.of(path, pattern), []
-        tokenizer.learn([t or "" for t in texts])
+        texts = texts.fillna("")
+        tokenizer.learn_short(texts)
         for text in texts:
-            ids = tokenizer.encode(text or "")
-            rows.append((np.frombuffer(ids, "<i4"), len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(tokenizer.decode(ids)).hexdigest()))
+            ids = tokenizer.encode(text)
+            rows.append((np.frombuffer(ids, "<i4"), len(ids) // 4, hashlib.sha256(ids).hexdigest(), tokenizer.decoded_sha256(ids)))
         return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return made(text)
@@ -277,11 +328,9 @@ def digests(text: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digested(texts: pd.Series) -> pd.DataFrame:
-        tokenizer, rows = Tokenizer.of(path, pattern), []
-        tokenizer.learn([t or "" for t in texts])
-        for text in texts:
-            ids = tokenizer.encode(text or "")
-            rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(tokenizer.decode(ids)).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        tokenizer = Tokenizer.of(path, pattern)
+        texts = texts.fillna("")
+        tokenizer.learn_short(texts)
+        return pd.DataFrame([tokenizer.digests(t) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digested(text)

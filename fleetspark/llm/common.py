@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 #: Word characters are all but ASCII white space: the pattern every word count here uses.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of text in an Arrow batch. Texts run to megabytes, so batches are kept short.
-BATCH_ROWS = 512
+#: Rows and bytes of text in an Arrow batch. Texts run to megabytes, so batches are kept short.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 #: A side joined by broadcast has at most so many rows (of a few hundred bytes); beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
@@ -47,6 +47,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound what a Python worker holds at once; applies to plans executed after the call."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

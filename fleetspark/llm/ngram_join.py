@@ -31,7 +31,8 @@ from fleetspark.llm.graph import components
 
 CELL_SHINGLES = 3_000_000
 ORDER_SAMPLE, ORDER_SHARE, ORDER_MOST = 5000, 0.002, 200_000
-CACHE_WORDS = 500_000
+#: Words whose hashes a worker keeps, and the bytes of the longest of them.
+CACHE_WORDS, CACHED_BYTES = 150_000, 64
 _TIMES, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -39,9 +40,11 @@ class _Hashes(dict):
     """64-bit hashes of words, kept while there is room."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
+        found = xxhash.xxh64_intdigest(word)
+        if len(word) <= CACHED_BYTES:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = found
         return found
 
 

@@ -43,10 +43,22 @@ def test_as_the_library_encodes(tokenizer, reference):
 def test_learning_a_batch_changes_nothing(reference):
     fresh = bpe.Tokenizer(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
     batch = texts(500, 2) + ["unbelievably rethinking rethink re", ""]
-    fresh.learn(batch)
+    fresh.learn_short(batch)
     assert all(fresh.encode(t) == packed(reference, t) for t in batch)
 
 
+def test_slabs_and_full_caches_change_nothing(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "SLAB", 5)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    monkeypatch.setattr(bpe, "CACHE_PAIRS", 50)
+    fresh = bpe.Tokenizer(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
+    for text in [*texts(800, 6), "the quick brown fox  jumps over the lazy dog " * 40, "x" * 300]:
+        ids, raw = packed(reference, text), text.encode()
+        assert fresh.encode(text) == ids and fresh.digests(text) == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(raw).hexdigest())
+        assert fresh.decoded_sha256(ids) == hashlib.sha256(raw).hexdigest()
+        assert len(fresh.vocabulary.follows) <= 50 and fresh.behind_space.held < 5000
+
+
 def test_a_long_piece(tokenizer, reference):
     text = "".join(random.Random(3).choice("abcde") for _ in range(3000)) + " " * 500 + "x"
     assert tokenizer.encode(text) == packed(reference, text)
@@ -83,3 +95,10 @@ def test_columns(spark, reference):
     got = spark.createDataFrame(rows, "text string").select("text", bpe.encoded(F.col("text"), PATH, public_tokenizers.PATTERN).alias("e")).collect()
     assert [r["e"]["n_tokens"] for r in got] == [0, 0, 4]
     assert got[2]["e"]["ids"] == reference.encode_ordinary("Hello  world\n") and got[2]["e"]["decoded_sha256"] == hashlib.sha256(b"Hello  world\n").hexdigest()
+
+
+def test_odd_tables(spark):
+    assert spark.createDataFrame([], "text string").select(bpe.digests(F.col("text"), PATH, public_tokenizers.PATTERN)).count() == 0
+    rows = [("a b", 1, "x"), ("a b", 1, "x"), (None, None, None)]
+    got = spark.createDataFrame(rows, "text string, ids int, n_tokens string").select(bpe.encoded(F.col("text"), PATH, public_tokenizers.PATTERN).alias("e"), "ids", "n_tokens").collect()
+    assert [(r["e"]["n_tokens"], r["ids"], r["n_tokens"]) for r in got] == [(2, 1, "x"), (2, 1, "x"), (0, None, None)]
