@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import BROADCAST_ROWS, broadcast_if_small, stored, whole
+from fleetspark.llm.common import BROADCAST_BYTES, ROW_BYTES, broadcast_if_small, stored, whole
 
 PREFIX_CHARS = 256
 LENGTH, PREFIX, FULL = "__xd_length", "__xd_prefix", "__xd_full"
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, broadcast_rows: int) -> DataFrame:
+def _groups(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, broadcast_bytes: int) -> DataFrame:
     """Groups of two rows or more: length, prefix hash, full hash, id that stays, rows, rows that have that id."""
     text = whole(text_col)
     keyed = docs.select(
@@ -31,7 +31,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, broa
     narrow = stored(keyed.groupBy(LENGTH, PREFIX).agg(F.count("*").alias("__xd_n")), "xd-lengths")
     lengths = narrow.groupBy(LENGTH).agg(F.sum("__xd_n").alias("__xd_same")).where("__xd_same > 1").select(LENGTH)
     survivors = stored(narrow.where("__xd_n > 1").join(lengths, LENGTH, "left_semi").select(LENGTH, PREFIX), "xd-prefixes")
-    small = survivors.limit(broadcast_rows + 1).count() <= broadcast_rows
+    small = survivors.count() * ROW_BYTES <= broadcast_bytes
     full = F.sha2(F.col("__xd_text"), 256).alias(FULL)
     if small:  # the hash is computed behind the join, for survivors alone
         left = keyed.join(F.broadcast(survivors), [LENGTH, PREFIX], "left_semi").select("__xd_id", LENGTH, PREFIX, full)
@@ -50,7 +50,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, broa
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS, broadcast_rows: int = BROADCAST_ROWS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """The rows of ``docs`` with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``; the largest id of equal texts stays.
 
@@ -58,7 +58,7 @@ def exact_groups(
     shuffles ids and hashes, and adaptive execution splits the partition of a hot group.
     """
     text = whole(text_col)
-    groups = broadcast_if_small(stored(_groups(docs, id_col, text_col, prefix_chars, broadcast_rows), "xd-groups"), broadcast_rows)
+    groups = broadcast_if_small(stored(_groups(docs, id_col, text_col, prefix_chars, broadcast_bytes), "xd-groups"), 3 * ROW_BYTES, broadcast_bytes)
     rows = docs.drop("keep_id", "group_size", "kept", "text_sha256").withColumns(
         {LENGTH: F.octet_length(text), PREFIX: F.xxhash64(F.substring(text, 1, prefix_chars)), FULL: F.sha2(text, 256)}
     )

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import broadcast_if_small, short_batches, stored, whole
+from fleetspark.llm.common import ROW_BYTES, broadcast_if_small, short_batches, stored, whole
 
 REVISIT_BYTES = 100
 SPLIT_BYTES = 16 << 20
@@ -57,7 +57,7 @@ def with_revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, id_col:
     )
     same = rows.where(F.octet_length("html") >= revisit_bytes).groupBy("digest").agg(F.min("order").alias("first"), F.count("*").alias("n"))
     repeated = stored(same.where("n > 1 AND first IS NOT NULL").select("digest", "first"), "warc-repeated")
-    found = rows.join(broadcast_if_small(repeated), "digest", "left")
+    found = rows.join(broadcast_if_small(repeated, 3 * ROW_BYTES), "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("order").eqNullSafe(F.col("first"))
     return found.select("id", "url", "html", "digest", F.when(revisit, F.col("first").cast("string")).alias("first"))
 
