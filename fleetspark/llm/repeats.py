@@ -11,9 +11,10 @@ equal offsets, and windows with one anchor are consecutive. So instead of every
    its group fits into memory, and where a gram is hotter, the string common to a run of fewer windows, down to the window itself
    (``TIERS``).
 3. ``resolved``: a task sorts its groups by hull. Members of equal hulls are settled as they pass; of distinct hulls only
-   one each is held, and a resolver tells which of their windows repeat.
+   one each is held, and the caller's index (suffix trees or a suffix array) tells which of their windows are equal.
 
-Hashes of grams choose candidates and groups and are the first buckets within a group; hulls are told apart by 128 bits.
+Hashes of grams choose candidates and groups; hulls and windows are compared by their content. Only whole texts are told apart
+by 128-bit hashes and their lengths.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import BROADCAST_ROWS, short_batches, stored
+from fleetspark.llm.common import BROADCAST_BYTES, broadcast_if_small, short_batches, stored
 from fleetspark.llm.ngram_join import word_hashes
 
 #: Windows of one text that are looked at together; texts may be longer.
@@ -34,7 +35,11 @@ SLAB = 1 << 20
 #: Members of a gram up to which all its windows go together (0), or in runs of the window's length divided by a number.
 TIERS = ((2000, 0), (16_000, 8), (64_000, 64), (1 << 62, 1 << 30))
 #: Bytes of distinct hulls that a task resolves together.
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 2 << 20
+
+#: From contents, the group of each, and a length to the class of each window, the content that it is in and its place there;
+#: windows are in the order of contents and places, and equal windows of a group share a class.
+Index = Callable[[list[bytes], np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -90,7 +95,7 @@ class Words:
     whole = property(lambda self: b" ".join(self.words))
 
 
-def _grams(symbols: np.ndarray, gram: int) -> np.ndarray:
+def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
     """A hash of the ``gram`` symbols from each place on."""
     sums = np.zeros(len(symbols) + 1, np.uint64)
     np.cumsum(symbols * _power("up", _BASE, len(symbols)), out=sums[1:])
@@ -106,7 +111,7 @@ def anchors(text: Bytes | Words, length: int, gram: int) -> list[tuple[int, int,
     for at in range(0, len(text) - length + 1, SLAB):
         symbols = text.symbols(at, at + SLAB + length - 1)
         count = len(symbols) - gram + 1
-        grams = _grams(symbols, gram)
+        grams = gram_hashes(symbols, gram)
         # the least of each window's grams, by minima from block edges; the low bits hold the place, later ones first
         width = length - gram + 1
         keys = np.full(-(-count // width) * width, np.uint64((1 << 64) - 1))
@@ -183,11 +188,11 @@ def records(rows: DataFrame, alphabet: type, length: int, gram: int, first_stays
                     for spot in own["spots"]:
                         hash_, place, first, last = found[spot]
                         content = text.piece(first, last + length)
-                        known = hulls.setdefault((hash_, xxhash.xxh128_digest(content)), (content, last - first + 1, place - first, own["width"], []))
-                        known[4].append((id_, first))
+                        known = hulls.setdefault((hash_, content), (last - first + 1, place - first, own["width"], []))
+                        known[3].append((id_, first))
             out = []
-            for (hash_, hull), (content, windows, offset, width, members) in hulls.items():
-                low = min(members)[0]
+            for (hash_, content), (windows, offset, width, members) in hulls.items():
+                hull, low = xxhash.xxh128_digest(content), min(members)[0]
                 kept = [m for m in members if m[0] == low] if first_stays else members if len(members) == 1 else []
                 for id_, start in members:
                     if id_ > low if first_stays else len(members) > 1:
@@ -213,43 +218,14 @@ def records(rows: DataFrame, alphabet: type, length: int, gram: int, first_stays
     return rows.mapInArrow(made, ddl)
 
 
-def equal_windows(alphabet: type, contents: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each window of the contents, the content that it is in, and its place there; equal windows share a bucket.
+def windows_of(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The content and the place of each window, for contents of so many symbols on end."""
+    windows = np.maximum(sizes - length + 1, 0)
+    owner = np.repeat(np.arange(len(sizes)), windows)
+    return owner, np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
 
-    The first buckets are those of grams, by their hashes. Buckets are refined by doubling: two places stay together if their buckets, and the buckets one bucket's length
-    later, agree. A refinement reuses the identifiers of the last; the final one overlaps so as to end at ``length``. A place
-    alone in its bucket is not sorted again.
-    """
-    parts = [alphabet(c) for c in contents]
-    sizes = np.array([len(p) for p in parts], np.int64)
-    symbols = np.concatenate([p.symbols(0, n) for p, n in zip(parts, sizes)])
-    total = len(symbols)
-    _, ids, counts = np.unique(_grams(symbols, gram), return_inverse=True, return_counts=True)
-    alone = np.append(counts[ids] < 2, np.ones(total - len(ids), bool))
-    ids = np.append(ids.astype(np.int64), np.arange(total - len(ids)) + len(counts))
-    span = gram
-    while span < length:
-        step = min(span, length - span)
-        later = np.zeros(total, np.int64)
-        later[: total - step] = ids[step:]
-        pair = ids << 32 | later
-        single = alone.copy()
-        single[: total - step] |= alone[step:]
-        live = np.flatnonzero(~single)
-        values, inverse, counts = np.unique(pair[live], return_inverse=True, return_counts=True)
-        fresh = np.arange(total) + len(values)  # a place alone keeps a number of its own
-        fresh[live] = inverse
-        alone = np.ones(total, bool)
-        alone[live] = counts[inverse] < 2
-        ids, span = fresh, span + step
-    starts = np.cumsum(sizes) - sizes
-    windows = sizes - length + 1
-    owner = np.repeat(np.arange(len(parts)), windows)
-    place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    return ids[starts[owner] + place], owner, place
-
-
-def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_stays: bool) -> DataFrame:
+
+def resolved(found: DataFrame, index: Index, length: int, first_stays: bool) -> DataFrame:
     """``doc_id, start, stop``: symbols covered by windows that repeat.
 
     ``first_stays``: a window counts only if a smaller id has it; else if any other place has it.
@@ -267,8 +243,8 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
         hulls = [h for g in groups for h in g]
         if not hulls:
             return
-        ids, owner, place = equal_windows(alphabet, [h["content"] for h in hulls], length, gram)
-        # windows of different groups that are equal can't be: a window has one anchor, or one core
+        # equal windows are of one group: a window has one anchor, and one core
+        ids, owner, place = index([h["content"] for h in hulls], np.repeat(np.arange(len(groups)), [len(g) for g in groups]), length)
         size = int(ids.max()) + 1 if len(ids) else 0
         if first_stays:
             lowest = np.full(size, np.iinfo(np.int64).max)
@@ -287,7 +263,7 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
                 out += [(d, s + int(place[run[0]]), s + int(place[run[-1]]) + length) for d, s in zip(hull["docs"], hull["starts"])]
 
     def made(batches):
-        key = hull = None
+        key = hull = now = None
         group, groups, held, out = [], [], 0, []
         for batch in batches:
             for row in batch.to_pylist():
@@ -302,7 +278,7 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
                         settle(groups, out)
                         groups, held = [], 0
                 stop = row["windows"] - 1 + length
-                if row["hull"] != hull:
+                if row["hull"] != hull or row["content"] != now["content"]:
                     hull = row["hull"]
                     now = {"content": row["content"], "docs": [], "starts": [], "open": True}
                     group.append(now)
@@ -344,15 +320,15 @@ def resolved(found: DataFrame, alphabet: type, length: int, gram: int, first_sta
     return dealt.mapInArrow(made, "doc_id long, start long, stop long")
 
 
-def spans_of(docs: DataFrame, alphabet: type, length: int, gram: int, first_stays: bool, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def spans_of(docs: DataFrame, alphabet: type, index: Index, length: int, gram: int, first_stays: bool, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id, spans, all_gone`` of the texts that lose something; ``docs`` has ``doc_id, text``."""
     short_batches(docs.sparkSession)
     keys = stored(keyed(docs, alphabet, length, gram), "rp-keys")
     classes = stored(classes_of(keys), "rp-classes")
     spots = stored(shared_anchors(classes, length, first_stays), "rp-spots")
-    few = spots.limit(broadcast_rows + 1).count() <= broadcast_rows
-    texts = docs.join(F.broadcast(spots) if few else spots, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "grams")
-    covered = resolved(records(texts, alphabet, length, gram, first_stays), alphabet, length, gram, first_stays)
+    size = F.lit(48) + F.aggregate("grams", F.lit(0), lambda total, g: total + 48 + 4 * F.size(g["spots"]))
+    texts = docs.join(broadcast_if_small(spots, size, broadcast_bytes), F.col("doc_id") == F.col("rep")).select("doc_id", "text", "grams")
+    covered = resolved(records(texts, alphabet, length, gram, first_stays), index, length, first_stays)
     spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     repeated = classes.where(F.col("n") >= length).where("rows > 1").select("n", "h1", "h2", "rep")
     gone = keys.select("doc_id", "n", "h1", "h2").join(repeated, ["n", "h1", "h2"]).where("doc_id > rep" if first_stays else "true").select("doc_id").distinct()
@@ -372,11 +348,10 @@ def merged(spans: list[dict] | None, all_gone: bool, n: int) -> list[tuple[int,
     return [(a, b) for a, b in out]
 
 
-def removed(docs: DataFrame, spans: DataFrame, alphabet: type, row: Callable[[Bytes | Words, list[tuple[int, int]]], tuple], schema: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def removed(docs: DataFrame, spans: DataFrame, alphabet: type, row: Callable[[Bytes | Words, list[tuple[int, int]]], tuple], schema: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id`` and what ``row`` makes of each text and the runs that it loses."""
-    few = spans.limit(broadcast_rows + 1).count() <= broadcast_rows
-    lost = spans.withColumnRenamed("doc_id", "__rp_id")
-    joined = docs.join(F.broadcast(lost) if few else lost, F.col("doc_id") == F.col("__rp_id"), "left").select("doc_id", "text", "spans", F.coalesce("all_gone", F.lit(False)).alias("all_gone"))
+    lost = broadcast_if_small(spans.withColumnRenamed("doc_id", "__rp_id"), F.lit(48) + 32 * F.coalesce(F.size("spans"), F.lit(0)), broadcast_bytes)
+    joined = docs.join(lost, F.col("doc_id") == F.col("__rp_id"), "left").select("doc_id", "text", "spans", F.coalesce("all_gone", F.lit(False)).alias("all_gone"))
     names = ["doc_id", *[c.split()[0] for c in schema.split(", ")]]
 
     def made(batches):

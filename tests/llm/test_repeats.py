@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fleetspark.llm import repeats, suffix_array, suffix_trees
 from tests.llm import brute
@@ -68,12 +69,66 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     assert sorted(r["n_removed"] for r in found) == [0, len(text), len(text)]
 
 
-def test_equal_windows_are_those_with_equal_content():
-    rng = np.random.default_rng(0)
-    contents = [bytes(rng.integers(97, 99, rng.integers(20, 90), np.uint8)) for _ in range(30)]
-    ids, owner, place = repeats.equal_windows(repeats.Bytes, contents, 13, 4)
+def contents(seed=0, count=30, letters=2):
+    rng = np.random.default_rng(seed)
+    return [bytes(rng.integers(97, 97 + letters, rng.integers(20, 90), np.uint8)) for _ in range(count)]
+
+
+def same(ids, owner, place, window):
     seen = {}
-    for i, o, p in zip(ids.tolist(), owner, place):
-        window = contents[o][p : p + 13]
-        assert seen.setdefault(window, i) == i
+    for i, o, p in zip(ids.tolist(), owner.tolist(), place.tolist()):
+        assert seen.setdefault(window(o, p), i) == i
     assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("length,gram,together", [(12, 4, 1 << 17), (12, 4, 7), (5, 5, 50), (40, 5, 16)])
+def test_a_suffix_array_puts_equal_windows_together(monkeypatch, length, gram, together):
+    monkeypatch.setattr(suffix_array, "TOGETHER", together)
+    found = contents() + [b"ab" * 40, b"ab" * 41, b"a" * 60, b"", b"abc"]
+    found += [found[3][5:] + b"b", b"b" + found[3]]
+    same(*suffix_array.array_index(found, np.zeros(len(found), int), length, gram), lambda o, p: found[o][p : p + length])
+    with pytest.raises(ValueError):
+        suffix_array.SuffixArray(found, length + 1, 4 if gram == 4 else gram)
+
+
+@pytest.mark.parametrize("read", [1, 1 << 21])
+def test_suffix_trees_have_all_nodes(monkeypatch, read):
+    monkeypatch.setattr(suffix_trees, "READ_WORDS", read)
+    texts = [" ".join(chr(b) for b in c).encode() for c in contents(1)]
+    texts += [texts[4][8:], b"x " + texts[4], b" ".join([b"a"] * 40), b"", b"a b"]
+    groups = np.arange(len(texts)) // 9
+    words = [t.split() for t in texts]
+    same(*suffix_trees.tree_index(texts, groups, 6), lambda o, p: (groups[o], *words[o][p : p + 6]))
+    trees = suffix_trees.SuffixTrees(texts, groups, 6)
+    suffixes = [(groups[o], *words[o][p:], ("end", o)) for o, p in zip(trees.owner, trees.place)]
+    ordered = [suffixes[i] for i in trees.leaves]
+
+    def shared(a, b):
+        return next(k for k in range(len(a)) if a[k] != b[k]) - 1
+
+    assert [shared(a, b) for a, b in zip(ordered, ordered[1:])] == trees.branch[1:].tolist()
+    # a node is a prefix that goes on in several ways
+    ways = {}
+    for s in suffixes:
+        for k in range(7, len(s)):
+            ways.setdefault(s[:k], set()).add(s[k])
+    want = sorted(len(prefix) - 1 for prefix, then in ways.items() if len(then) > 1)
+    found = trees.nodes(6)
+    assert sorted(depth for depth, _, _ in found) == want
+    for depth, first, last in found:
+        assert len({s[: depth + 1] for s in ordered[first : last + 1]}) == 1
+
+
+def test_ids_are_numbers(spark):
+    docs = spark.createDataFrame([("7", "a b"), ("8", None)], "doc_id string, text string")
+    assert {r["doc_id"] for r in suffix_trees.without_repeats(docs).collect()} == {7, 8}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        suffix_array.without_repeats(docs.withColumn("doc_id", F.concat(F.lit("x"), "doc_id"))).collect()
+
+
+def test_small_and_large_sides_give_the_same(spark, monkeypatch):
+    rows = made(4)
+    monkeypatch.setattr(repeats.spans_of, "__defaults__", (0,))
+    monkeypatch.setattr(repeats.removed, "__defaults__", (0,))
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in suffix_trees.without_repeats(frame(spark, rows)).collect()}
+    assert got == brute.repeats_of_words(rows)
