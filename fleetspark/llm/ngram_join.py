@@ -4,32 +4,43 @@
 2. Candidates: let a be the shingles that a set x may lack in a set it links with, |x| - ceil(t |x|). In any one order of
    all shingles, the first a + k shingles of two linked sets share k at least. So a set of whose first 1.25 a shingles
    too few are in any other set's is out (most are), and so is, of the rest, one of whose first 2 a + 1 too few are.
-   What they share there is put in order of rarity, and of that a short prefix must be shared again: its lists are tied
-   together, each by edges to its least document and never by all its pairs, and the components of these edges are the
-   cells of the search. No link leaves a cell. The first order is by hash with common shingles, as a sample of documents
-   tells them, last; it decides how much work there is, not what is found.
-3. Search: a cell's sets go to one task. There, for each set, the short inverted lists are merged and counted, documents
-   with enough occurrences are probed in the long lists by binary search (DivideSkip), and those that reach the required
-   overlap are linked. Documents already in one component are not compared again. A cell of more than ``CELL_SHINGLES``
-   is cut into blocks and each pair of blocks is a task, so memory stays bounded and nothing is left out.
+   What they share there is put in order of rarity, and of that a short prefix must be shared again: linked sets meet in one
+   of its lists. The first order is by hash with common shingles, as a sample of documents tells them, last; it decides how
+   much work there is, not what is found.
+3. Stars: each set is compared with one other, the least document of its lists. A large group of near copies is linked by that
+   alone, in time linear in it; lists whose sets are all linked by now are done.
+4. Cells: the lists left are tied together, each by edges to its least document and never by all its pairs; the components of
+   these edges are the cells of the search. No link leaves a cell.
+5. Search: a cell's sets go to one task. There, for each set, DivideSkip: the short inverted lists are merged by a heap that
+   skips documents which can't occur often enough (MergeSkip), those that do are probed in the long lists by binary search,
+   and those that reach the required overlap are linked. Sets already linked, directly or not, are not compared. A cell of more
+   than ``CELL_SHINGLES`` is cut into blocks and each pair of blocks is a task, but blocks of one group of linked sets don't
+   meet; so memory stays bounded, a group however large meets the rest of its cell only, and nothing is left out.
 
 Words are lower-cased A-Z runs of non-white-space bytes. Defined cases: a text with fewer than n words is one shingle of
 all its words; without words (or null) it has no shingle and links with nothing. A null id stands for no document: the row gets its
-class's smallest id. Rows with one id are one node. An empty table gives an empty result. Other columns are ignored.
+class's smallest id. Rows with one id are one node. An empty table gives an empty result. Other columns are ignored. Ids are whole
+numbers; one that can't be cast to a number is an error.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import BROADCAST_ROWS, short_batches, stored
+from fleetspark.llm.common import BROADCAST_BYTES, broadcast_if_small, short_batches, stored
 from fleetspark.llm.graph import components
 
-CELL_SHINGLES = 3_000_000
+CELL_SHINGLES, STAR_SETS = 2_000_000, 2000
+#: How dear a step of the heap is beside a binary search, which decides how many lists are long.
+HEAP_COST = 0.01
 ORDER_SAMPLE, ORDER_SHARE, ORDER_MOST = 5000, 0.002, 200_000
 #: Words whose hashes a worker keeps, and the bytes of the longest of them.
 CACHE_WORDS, CACHED_BYTES = 150_000, 64
@@ -129,11 +140,10 @@ def _shared(keys: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return kept, alive.where(F.col("shared") >= F.col("length") - lacking)
 
 
-def _candidate_edges(rows: DataFrame, keys: DataFrame, n: int, percent: int, common: np.ndarray, broadcast_rows: int) -> DataFrame:
-    """``a, b``: edges whose components no link leaves."""
+def _rare_lists(rows: DataFrame, keys: DataFrame, n: int, percent: int, common: np.ndarray, broadcast_bytes: int) -> DataFrame:
+    """``rep, shingle``: short lists, in one of which any two linked sets meet."""
     first = stored(_shared(keys, percent)[1].select(F.col("rep").alias("__nj_rep")), "nj-first")
-    few = first.limit(broadcast_rows + 1).count() <= broadcast_rows
-    left = rows.join(F.broadcast(first) if few else first, F.col("doc_id") == F.col("__nj_rep")).select("doc_id", "text")
+    left = rows.join(broadcast_if_small(first, most=broadcast_bytes), F.col("doc_id") == F.col("__nj_rep")).select("doc_id", "text")
     longer = stored(_keys(left, n, percent, common, 2.0).dropDuplicates(["doc_id", "h1", "h2"]).select(F.col("doc_id").alias("rep"), "size", "prefix"), "nj-longer")
     kept, alive = _shared(longer, percent)
     # a partner has percent of the size at least; of two prefixes as many are shared as the smaller set may lack, and one
@@ -144,15 +154,39 @@ def _candidate_edges(rows: DataFrame, keys: DataFrame, n: int, percent: int, com
     span = F.greatest(F.lit(1), F.col("length") - F.least(both, F.col("length") - lacking) + 1) - (F.col("length") - F.col("shared"))
     ranked = kept.join(alive.select("rep", span.alias("span")), "rep")
     rank = F.row_number().over(Window.partitionBy("rep").orderBy("n", "shingle"))  # a set's own prefix: as long as its text at most
-    rare = stored(ranked.withColumn("rank", rank).where("rank <= span").select("rep", "shingle"), "nj-rare")
-    heads = rare.groupBy("shingle").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("shingle", "head")
-    return rare.join(heads, "shingle").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    return stored(ranked.withColumn("rank", rank).where("rank <= span").select("rep", "shingle"), "nj-rare")
+
+
+def occurring(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
+    """(document, occurrences) of those in ``least`` of the ascending lists or more: a heap of the lists' heads, and skips (MergeSkip)."""
+    heap = [(own[0], k, 0) for k, own in enumerate(lists) if own]
+    heapq.heapify(heap)
+    out = []
+    while len(heap) >= least:
+        now, popped = heap[0][0], []
+        while heap and heap[0][0] == now:
+            popped.append(heapq.heappop(heap))
+        if len(popped) >= least:
+            out.append((now, len(popped)))
+            then = now + 1
+        else:  # what is before the head of the least-th list can't occur often enough
+            for _ in range(min(least - 1 - len(popped), len(heap))):
+                popped.append(heapq.heappop(heap))
+            if not heap:
+                break
+            then = heap[0][0]
+        for _, k, at in popped:
+            own = lists[k]
+            at = bisect_left(own, then, at)
+            if at < len(own):
+                heapq.heappush(heap, (own[at], k, at))
+    return out
 
 
 class Cell:
-    """Sets of one cell and their inverted lists; ``links`` joins what is alike."""
+    """Sets of one cell and their inverted lists; ``links`` joins what is alike. Sets of one of ``groups`` are joined before."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int, left: np.ndarray | None = None):
+    def __init__(self, sets: list[np.ndarray], percent: int, left: np.ndarray | None = None, groups: np.ndarray | None = None):
         self.percent, self.count = percent, len(sets)
         order = np.argsort([len(s) for s in sets], kind="stable")
         self.order, self.sizes = order, np.array([len(sets[i]) for i in order], np.int64)
@@ -168,6 +202,10 @@ class Cell:
         starts = np.cumsum(self.sizes) - self.sizes
         self.own = [np.sort(place[a : a + n]) for a, n in zip(starts, self.sizes)]
         self.parent = np.arange(self.count)
+        if groups is not None:
+            _, first, group = np.unique(groups[order], return_index=True, return_inverse=True)
+            self.parent = first[group]
+        self.apart = int((self.parent == np.arange(self.count)).sum())
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -181,11 +219,21 @@ class Cell:
             up = higher
         return up
 
-    def merged(self, lists: np.ndarray) -> np.ndarray:
-        """How often each document occurs in the lists."""
-        return np.bincount(np.concatenate([self.docs[self.starts[i] : self.ends[i]] for i in lists]), minlength=self.count) if len(lists) else np.zeros(self.count, np.int64)
+    def candidates(self, x: int, lists: np.ndarray) -> list[list[int]]:
+        """Of each list, the sets after ``x`` that are small enough and not yet joined with it."""
+        most = int(np.searchsorted(self.sizes, self.sizes[x] * 100 // self.percent, side="right"))
+        spans = [self.docs[a:b] for a, b in zip(self.starts[lists], self.ends[lists])]
+        ends = np.cumsum([len(s) for s in spans])
+        all_ = np.concatenate(spans)
+        good = (all_ > x) & (all_ < most)
+        if self.left is not None:
+            good[good] = self.left[all_[good]] != self.left[x]
+        good[good] = self.roots(all_[good]) != self.root(x)
+        counts = np.append(0, np.cumsum(good))[np.append(0, ends)]
+        kept = all_[good].tolist()
+        return [kept[a:b] for a, b in zip(counts, counts[1:])]
 
-    def search(self, x: int) -> np.ndarray:
+    def search(self, x: int) -> list[int]:
         """The sets after ``x`` (no smaller) that are alike and not yet joined with it."""
         size, percent = int(self.sizes[x]), self.percent
         least = -(-2 * percent * size // (100 + percent))  # the overlap that a set of the same size needs
@@ -194,40 +242,37 @@ class Cell:
         lists, lengths = lists[np.argsort(lengths, kind="stable")], np.sort(lengths)
         live = int(np.searchsorted(lengths, 1, side="right"))  # lists of x alone
         if size - live < least:
-            return np.zeros(0, np.int64)
-        long = max(0, min(least - 1, least * 19 // 20))
+            return []
+        long = min(least - 1, int(least / (HEAP_COST * math.log2(lengths[-1]) + 1)))
         split = size - long
-        counts = self.merged(lists[min(live, split) : split])
-        found = np.flatnonzero(counts >= least - long)
-        found = found[(found > x) & (self.sizes[found] * percent <= size * 100)]
-        if self.left is not None:
-            found = found[self.left[found] != self.left[x]]
-        found = found[self.roots(found) != self.root(x)]
-        if not len(found):
-            return found
-        rest = lists[split:]
-        if len(found) * len(rest) * 8 > lengths[split:].sum():
-            overlap = counts[found] + self.merged(rest)[found]
-        else:
-            wanted = rest[:, None] * self.count + found[None, :]
-            at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-            overlap = counts[found] + (self.pairs[at] == wanted).sum(axis=0)
-        return found[100 * overlap >= percent * (size + self.sizes[found] - overlap)]
+        if split <= live:
+            return []
+        short = occurring(self.candidates(x, lists[live:split]), least - long)
+        if not short:
+            return []
+        found, counts = np.array(short, np.int64).T
+        wanted = lists[split:, None] * self.count + found[None, :]
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        overlap = counts + (self.pairs[at] == wanted).sum(axis=0)
+        return found[100 * overlap >= percent * (size + self.sizes[found] - overlap)].tolist()
 
     def links(self) -> list[tuple[int, int]]:
         """A forest of links, as places in the list of sets."""
         made = []
         for x in range(self.count):
+            if self.apart == 1:
+                break
             for y in self.search(x):
-                a, b = self.root(x), self.root(int(y))
+                a, b = self.root(x), self.root(y)
                 if a != b:
                     self.parent[max(a, b)] = min(a, b)
+                    self.apart -= 1
                     made.append((int(self.order[x]), int(self.order[y])))
         return made
 
 
-def _searched(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) of the cells of ``rows``: doc_id, text, cell, i, j, block; i = j where all pairs of a cell count."""
+def _dealt_sets(rows: DataFrame, n: int) -> DataFrame:
+    """``doc_id, shingles`` and the fields of the spots of ``rows`` (doc_id, text, spots), a row a spot."""
 
     def sets(batches):
         for batch in batches:
@@ -238,38 +283,118 @@ def _searched(rows: DataFrame, n: int, percent: int) -> DataFrame:
 
     spots = rows.schema["spots"].dataType.simpleString()
     made = rows.mapInArrow(sets, f"doc_id long, spots {spots}, shingles array<long>")
-    spread = made.select("doc_id", "shingles", F.explode("spots").alias("s")).select("doc_id", "shingles", "s.*")
+    return made.select("doc_id", "shingles", F.explode("spots").alias("s")).select("doc_id", "shingles", "s.*")
+
+
+def _arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+    lists = batch.column("shingles")
+    values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(offsets, offsets[1:])]
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+
+def _with_heads(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) of sets with the head of their star: ``rows`` has doc_id, text and spots (head, part, member)."""
 
-    def solve(ids, found, blocks, mixed):
-        cell = Cell(found, percent, np.array(blocks) == blocks[0] if mixed else None)
-        return [(ids[a], ids[b]) for a, b in cell.links()]
+    def compared(batches):
+        at, head = None, np.zeros(0, np.int64)
+        for batch in batches:
+            out = []
+            for now, part, id_, own in zip(batch.column("head").to_pylist(), batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), _arrays(batch)):
+                if id_ == now:
+                    at, head = (now, part), own.copy()
+                elif at == (now, part):
+                    both = len(np.intersect1d(head, own, assume_unique=True))
+                    if 100 * both >= percent * (len(head) + len(own) - both):
+                        out.append((id_, now))
+            yield _links(out)
+
+    dealt = _dealt_sets(rows, n).repartition("head", "part").sortWithinPartitions("head", "part", "member")
+    return dealt.select("doc_id", "head", "part", "shingles").mapInArrow(compared, "a long, b long")
+
+
+def _searched(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) of the cells of ``rows``: doc_id, text and spots (cell, i, j, block, linked); i = j where all pairs of a block count."""
+
+    def solve(key, ids, found, blocks, linked):
+        left = np.array(blocks) == blocks[0] if key[1] != key[2] else None
+        return [(ids[a], ids[b]) for a, b in Cell(found, percent, left, np.array(linked)).links()]
 
     def searched(batches):
-        key, ids, found, blocks, out = None, [], [], [], []
+        key, held, out = None, ([], [], [], []), []
         for batch in batches:
-            lists = batch.column("shingles")
-            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             keys = list(zip(*(batch.column(c).to_pylist() for c in ("cell", "i", "j"))))
-            for r, (now, id_, block) in enumerate(zip(keys, batch.column("doc_id").to_pylist(), batch.column("block").to_pylist())):
+            for now, id_, own, block, linked in zip(keys, batch.column("doc_id").to_pylist(), _arrays(batch), batch.column("block").to_pylist(), batch.column("linked").to_pylist()):
                 if now != key:
-                    if len(ids) > 1:
-                        out += solve(ids, found, blocks, key[1] != key[2])
-                    key, ids, found, blocks = now, [], [], []
-                ids.append(id_)
-                found.append(values[offsets[r] : offsets[r + 1]].copy())
-                blocks.append(block)
+                    if len(held[0]) > 1:
+                        out += solve(key, *held)
+                    key, held = now, ([], [], [], [])
+                for column, value in zip(held, (id_, own.copy(), block, linked)):
+                    column.append(value)
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
+                yield _links(out)
                 out = []
-        if len(ids) > 1:
-            out += solve(ids, found, blocks, key[1] != key[2])
-        yield pa.RecordBatch.from_pydict({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
+        if len(held[0]) > 1:
+            out += solve(key, *held)
+        yield _links(out)
 
-    dealt = spread.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "block", "doc_id")
-    return dealt.select("doc_id", "cell", "i", "j", "block", "shingles").mapInArrow(searched, "a long, b long")
+    dealt = _dealt_sets(rows, n).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "block", "doc_id")
+    return dealt.select("doc_id", "cell", "i", "j", "block", "linked", "shingles").mapInArrow(searched, "a long, b long")
 
 
-def alike(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", cell_shingles: int = CELL_SHINGLES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def _star_spots(rare: DataFrame, star_sets: int) -> DataFrame:
+    """``member, spots``: each set at the least of its lists' heads, in parts of ``star_sets``; a head stands in all parts of its star."""
+    heads = rare.groupBy("shingle").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("shingle", "head")
+    least = stored(rare.join(heads, "shingle").where("rep <> head").groupBy("rep").agg(F.min("head").alias("head")), "nj-stars")
+    parts = least.groupBy("head").agg((F.floor(F.count("*") / star_sets) + 1).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    spot = F.struct("head", part.alias("part"), F.lit(True).alias("member"))
+    members = least.join(parts, "head").select("rep", F.array(spot).alias("spots"))
+    all_parts = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.col("head"), p.alias("part"), F.lit(False).alias("member")))
+    both = members.unionByName(parts.select(F.col("head").alias("rep"), all_parts.alias("spots")))
+    return both.groupBy(F.col("rep").alias("member")).agg(F.flatten(F.collect_list("spots")).alias("spots"))  # two rows an id at most
+
+
+def _cell_spots(cells: DataFrame, sizes: DataFrame, linked: DataFrame, cell_shingles: int) -> DataFrame:
+    """``member, spots``: the pairs of blocks that each set of a cell goes to.
+
+    Small groups of linked sets share blocks by the group's hash; one of more than half a cell's bound has blocks of its own,
+    which don't meet one another. A task sees two blocks, so a block holds half of a cell's bound.
+    """
+    most = max(1, cell_shingles // 2)
+    sized = cells.join(sizes, F.col("node") == F.col("rep")).join(linked, "node", "left").select("node", F.col("component").alias("cell"), "size", F.coalesce("linked", "node").alias("linked"))
+    sized = stored(sized, "nj-sized")
+    groups = sized.groupBy("cell", "linked").agg(F.sum("size").alias("load"))
+    loads = groups.groupBy("cell").agg(F.sum("load").alias("all"), F.sum(F.when(F.col("load") <= most, F.col("load")).otherwise(0)).alias("small"))
+    shared = F.when(F.col("all") <= cell_shingles, 1).otherwise(F.floor(F.col("small") / most) + 1).cast("int")
+    loads = loads.select("cell", shared.alias("shared"), (F.col("all") > cell_shingles).alias("cut"))
+    groups = stored(groups, "nj-linked")
+    large = groups.where(F.col("load") > most).join(loads.where("cut"), "cell").withColumn("own", F.ceil(F.col("load") / most).cast("int"))
+    in_cell = Window.partitionBy("cell").orderBy("linked")  # a row for each large group of a cell
+    large = large.select("cell", "linked", "own", (F.sum("own").over(in_cell) - F.col("own")).cast("int").alias("skip"))
+    totals = large.groupBy("cell").agg(F.sum("own").cast("int").alias("large"))
+    placed = sized.join(loads, "cell").join(totals, "cell", "left").join(large, ["cell", "linked"], "left")
+    first = F.col("shared") + F.col("skip")
+    block = F.when(F.col("own").isNull(), F.pmod(F.xxhash64("linked"), F.col("shared"))).otherwise(first + F.pmod(F.xxhash64("node"), F.col("own"))).cast("int")
+    placed = placed.withColumn("block", block).withColumn("blocks", F.col("shared") + F.coalesce("large", F.lit(0)))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.col("own").isNull() | (o < first) | (o >= first + F.col("own")))
+    spots = F.transform(others, lambda o: F.struct("cell", F.least("block", o).alias("i"), F.greatest("block", o).alias("j"), "block", "linked"))
+    return placed.select(F.col("node").alias("member"), spots.alias("spots"))
+
+
+def alike(
+    docs: DataFrame,
+    n: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    cell_shingles: int = CELL_SHINGLES,
+    star_sets: int = STAR_SETS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row: documents link if 100 |x & y| >= percent |x | y|."""
     spark = docs.sparkSession
     short_batches(spark)
@@ -279,26 +404,24 @@ def alike(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id"
     named = keys.where("size > 0 AND doc_id IS NOT NULL")
     classes = stored(named.groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "nj-classes")
     copies = named.select("doc_id", "size", "h1", "h2").join(classes.where("rows > 1"), ["size", "h1", "h2"]).where("doc_id <> rep").select(F.col("doc_id").alias("__nj_copy")).distinct()
-    copies = stored(copies, "nj-copies")
-    few = copies.limit(broadcast_rows + 1).count() <= broadcast_rows
-    alone = named.join(F.broadcast(copies) if few else copies, F.col("doc_id") == F.col("__nj_copy"), "left_anti")
-    edges = _candidate_edges(rows, alone.select(F.col("doc_id").alias("rep"), "size", "prefix"), n, percent, common, broadcast_rows)
-    cells = stored(components(edges), "nj-cells")
+    copies = broadcast_if_small(stored(copies, "nj-copies"), most=broadcast_bytes)
+    alone = named.join(copies, F.col("doc_id") == F.col("__nj_copy"), "left_anti").select(F.col("doc_id").alias("rep"), "size", "prefix")
+    rare = _rare_lists(rows, alone, n, percent, common, broadcast_bytes)
+
+    def at_spots(spots: DataFrame) -> DataFrame:
+        side = broadcast_if_small(spots, F.lit(48) + 48 * F.size("spots"), broadcast_bytes)
+        return rows.join(side, F.col("doc_id") == F.col("member")).select("doc_id", "spots", "text")
 
-    sized = stored(cells.join(classes.groupBy("rep").agg(F.sum("size").alias("size")), F.col("node") == F.col("rep")).select("node", "component", "size"), "nj-sized")
-    loads = sized.groupBy("component").agg((F.floor(F.sum("size") / cell_shingles) + 1).cast("int").alias("k"))
-    # blocks hold half of a cell's bound, since a task sees two of them
-    loads = stored(loads.withColumn("k", F.when(F.col("k") > 1, 2 * F.col("k")).otherwise(1)), "nj-loads")
-    placed = sized.join(loads, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-    spot = F.transform(
-        F.sequence(F.lit(0), F.col("k") - 1),
-        lambda other: F.struct(F.col("component").alias("cell"), F.least("block", other).alias("i"), F.greatest("block", other).alias("j"), F.col("block").alias("block")),
-    )
-    members = stored(placed.select(F.col("node").alias("member"), spot.alias("spots")), "nj-members")
-    few = members.limit(broadcast_rows + 1).count() <= broadcast_rows
-    texts = rows.join(F.broadcast(members) if few else members, F.col("doc_id") == F.col("member")).select("doc_id", "spots", "text")
-    links = stored(_searched(texts, n, percent), "nj-links")
-    groups = stored(components(links), "nj-groups")
+    starred = stored(_with_heads(at_spots(stored(_star_spots(rare, star_sets), "nj-star-spots")), n, percent), "nj-starred")
+    linked = stored(components(starred).select("node", F.col("component").alias("linked")), "nj-star-groups")
+
+    lists = rare.join(linked, F.col("rep") == F.col("node"), "left").select("rep", "shingle", F.coalesce("linked", "rep").alias("linked"))
+    open_ = lists.groupBy("shingle").agg(F.min("rep").alias("head"), F.min("linked").alias("low"), F.max("linked").alias("high")).where("low < high")
+    edges = lists.join(open_.select("shingle", "head"), "shingle").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    cells = stored(components(edges), "nj-cells")
+    sizes = classes.groupBy("rep").agg(F.sum("size").alias("size"))
+    searched = stored(_searched(at_spots(stored(_cell_spots(cells, sizes, linked, cell_shingles), "nj-members")), n, percent), "nj-links")
+    groups = stored(components(starred.unionByName(searched)), "nj-groups")
 
     ranked = keys.join(classes.select("h1", "h2", "size", "rep"), ["h1", "h2", "size"], "left")
     found = ranked.join(groups, F.col("rep") == F.col("node"), "left")
@@ -306,8 +429,7 @@ def alike(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id"
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with only the smallest id of each component; rows with a null id stay where no other row of their class has one."""
+    """``docs`` with only the smallest id of each component; rows with a null id stay, as no decision can name them."""
     found = alike(docs, n, percent, id_col, text_col)
     dropped = stored(found.where("doc_id IS NOT NULL AND component_id <> doc_id").select(F.col("doc_id").alias("__nj_id")).distinct(), "nj-dropped")
-    few = dropped.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(dropped) if few else dropped, F.col(id_col) == F.col("__nj_id"), "left_anti")
+    return docs.join(broadcast_if_small(dropped), F.col(id_col) == F.col("__nj_id"), "left_anti")

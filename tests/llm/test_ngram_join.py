@@ -1,5 +1,7 @@
+import collections
 import random
 
+import numpy as np
 import pytest
 
 from fleetspark.llm import graph, ngram_join
@@ -21,14 +23,49 @@ def made(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("n,percent,cell,few", [(3, 90, ngram_join.CELL_SHINGLES, 100_000), (5, 80, ngram_join.CELL_SHINGLES, 1), (3, 80, 200, 100_000)])
-def test_against_all_pairs(spark, n, percent, cell, few):
+@pytest.mark.parametrize(
+    "n,percent,cell,star,most",
+    [(3, 90, ngram_join.CELL_SHINGLES, 2000, 1 << 25), (5, 80, ngram_join.CELL_SHINGLES, 3, 0), (3, 80, 200, 2, 1 << 25), (3, 60, 600, 1, 0)],
+)
+def test_against_all_pairs(spark, n, percent, cell, star, most):
     rows = made(n + percent)
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, size int, component string").repartition(3)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.alike(docs, n, percent, cell_shingles=cell, broadcast_rows=few).collect()}
+    found = ngram_join.alike(docs, n, percent, cell_shingles=cell, star_sets=star, broadcast_bytes=most)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
     assert got == brute.alike(rows, n, percent)
 
 
+def test_the_heap_merge_counts_as_a_plain_count():
+    rng = random.Random(3)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(30), rng.randint(0, 20))) for _ in range(rng.randint(1, 9))]
+        least = rng.randint(1, 6)
+        counts = collections.Counter(d for own in lists for d in own)
+        assert ngram_join.occurring(lists, least) == sorted((d, c) for d, c in counts.items() if c >= least)
+
+
+def test_cells_link_as_all_pairs_do():
+    """Chains: neighbours are alike, others are not; whatever is joined before, the groups come out the same."""
+    rng = np.random.default_rng(1)
+    sets = [np.arange(i * 5, i * 5 + 100) for i in range(40)] + [np.sort(rng.choice(10_000, 60, False)) + 100_000 for _ in range(20)]
+    sets += [np.append(sets[45], 7), sets[50][1:]]
+
+    def parts(links, groups=None):
+        parent = list(range(len(sets))) if groups is None else [int(np.flatnonzero(groups == g)[0]) for g in groups]
+        root = lambda x: x if parent[x] == x else root(parent[x])
+        for a, b in links:
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+        return [root(x) for x in range(len(sets))]
+
+    want = parts([(i, j) for i in range(len(sets)) for j in range(i) if 10 * len(np.intersect1d(sets[i], sets[j])) >= 9 * len(np.union1d(sets[i], sets[j]))])
+    assert len(set(want)) == 21
+    assert parts(ngram_join.Cell(sets, 90).links()) == want
+    joined = np.arange(len(sets))
+    joined[:10] = 0
+    assert parts(ngram_join.Cell(sets, 90, groups=joined).links(), joined) == want
+
+
 def test_cases_without_an_answer(spark):
     schema = "doc_id long, text string"
     assert ngram_join.alike(spark.createDataFrame([], schema)).count() == 0
