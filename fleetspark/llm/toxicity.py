@@ -4,14 +4,17 @@ A sentence's chance is logistic in its words; a document's is the noisy-or of it
 trained from document labels alone and then tell which sentences offend. A word counts as itself and as its first four and
 six letters, so that endings don't hide a stem; features are hashed to ``BUCKETS``.
 
-``fit`` learns from a bounded sample of labelled rows: ``SAMPLE_DOCS`` of each label, by the hash of their id, and at most
-``SAMPLE_CHARS`` characters of each. Executors turn the sample to feature numbers; only these, and the counts of them, reach
-the driver, whose work is bounded by the sample. Of the features that ``MIN_DOCS`` sampled documents have, the ``FEATURES``
-that tell the labels apart best are kept. Scoring takes whole texts, row by row, without a shuffle.
+``fit`` learns from a bounded sample of labelled rows: of at most ``SAMPLE_DOCS`` of each label, by the hash of their id, those
+whose whole texts fit into ``SAMPLE_BYTES`` a label. Executors turn the sample to feature numbers; only these reach the
+driver, whose work is bounded by the sample. Of the features that ``MIN_DOCS`` sampled documents have, the ``FEATURES``
+that tell the labels apart best are kept. Toxic documents are few, so the noisy-or's chances are low for all but the plainest;
+``fit`` therefore scores each third of the sample by a model of the others, takes the chance that tells the labels apart best
+there, and shifts log odds so that it becomes 0.5. Scoring takes whole texts, row by row, without a shuffle.
 
 Defined cases: a null or empty text has no sentence and the score 0; labels other than 0 and 1, null labels and labels
 without a document are left out; with no labelled rows, or only one label, all scores are 0. A label row that is repeated
-counts once.
+counts once, and of labels that disagree 1 counts; of documents that share an id the longest teaches. Null ids teach nothing
+and are scored like others.
 """
 
 from __future__ import annotations
@@ -22,18 +25,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import short_batches, whole
+from fleetspark.llm.common import least_hashed, short_batches, stored, whole, within
 
-SAMPLE_DOCS, SAMPLE_CHARS = 5000, 20_000
+SAMPLE_DOCS, SAMPLE_BYTES = 5000, 8 << 20
 BUCKETS, FEATURES, MIN_DOCS = 1 << 20, 20_000, 6
 ROUNDS, RATE, DECAY, BIAS = 200, 0.1, 2e-4, -6.0
+#: Parts of the sample that are scored by a model of the others, and how many missed toxic shares a false one weighs.
+FOLDS, FALSE_WEIGHT = 3, 2.0
 
 _SENTENCE = re.compile(r"[.!?\n|]+")
 _EDGES = " ,;:()[]{}\"'*&$#%<>/\\-_=+~`^@.!?|"
-CACHE_WORDS = 400_000
+#: Words whose weights a worker keeps, and the characters of the longest of them.
+CACHE_WORDS, CACHED_CHARS = 150_000, 64
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -52,24 +58,26 @@ class Model:
 
     _made: dict[bytes, "Model"] = {}
 
-    def __init__(self, numbers: np.ndarray, weights: np.ndarray, bias: float):
+    def __init__(self, numbers: np.ndarray, weights: np.ndarray, bias: float, shift: float = 0.0):
         self.table = dict(zip(numbers.tolist(), weights.tolist()))
-        self.bias = bias
+        self.bias, self.shift = bias, shift
         self.words: dict[str, float] = {}
 
     @classmethod
-    def of(cls, numbers: np.ndarray, weights: np.ndarray, bias: float) -> "Model":
-        key = xxhash.xxh128_digest(numbers.tobytes() + weights.tobytes() + str(bias).encode())
+    def of(cls, numbers: np.ndarray, weights: np.ndarray, bias: float, shift: float) -> "Model":
+        key = xxhash.xxh128_digest(numbers.tobytes() + weights.tobytes() + f"{bias} {shift}".encode())
         if key not in cls._made:
-            cls._made = {key: cls(numbers, weights, bias)}
+            cls._made = {key: cls(numbers, weights, bias, shift)}
         return cls._made[key]
 
     def weight(self, word: str) -> float:
         known = self.words.get(word)
         if known is None:
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            known = self.words[word] = sum(self.table.get(f, 0.0) for f in features(word))
+            known = sum(self.table.get(f, 0.0) for f in features(word))
+            if len(word) <= CACHED_CHARS:
+                if len(self.words) >= CACHE_WORDS:
+                    self.words.clear()
+                self.words[word] = known
         return known
 
     def odds(self, text: str | None) -> np.ndarray:
@@ -79,17 +87,26 @@ class Model:
 
     def score(self, text: str | None) -> float:
         odds = self.odds(text)
-        return float(-np.expm1(-np.logaddexp(0, odds).sum())) if self.table and len(odds) else 0.0
+        return float(_shifted(np.logaddexp(0, odds).sum(), self.shift)) if self.table and len(odds) else 0.0
+
+
+def _shifted(total: np.ndarray | float, shift: float) -> np.ndarray:
+    """The chance whose log odds are those of 1 - exp(-total), and ``shift`` more."""
+    log_odds = total + np.log(-np.expm1(-np.maximum(total, 1e-300)))
+    return 1 / (1 + np.exp(-np.clip(log_odds + shift, -700, 700)))
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``toxic, sentence_ends, numbers`` of sampled documents."""
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy("at", "doc_id"))
-    chosen = (
-        labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .withColumn("at", F.xxhash64("doc_id")).withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("doc_id", "toxic")
-    )
-    texts = docs.select("doc_id", F.substring(whole(), 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most 2 * SAMPLE_DOCS rows
+    """``toxic, ends, numbers`` of sampled documents: each sentence's end in the list of feature numbers."""
+    marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    drawn = least_hashed(marked.withColumn("at", F.xxhash64("doc_id")), "toxic", "at", SAMPLE_DOCS)
+    drawn = stored(drawn, "tx-drawn")  # 2 * SAMPLE_DOCS rows at most
+    sizes = docs.select("doc_id", F.octet_length(whole()).alias("size")).join(F.broadcast(drawn), "doc_id").groupBy("toxic", "at", "doc_id").agg(F.max("size").alias("size"))
+    fits = within(sizes.select("toxic", "size", "at", "doc_id").orderBy("toxic", "at").collect(), SAMPLE_BYTES)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"], r["at"]) for r in fits], f"doc_id {kind}, toxic int, at long")
+    texts = docs.select("doc_id", whole().alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic", "at").agg(F.max_by("text", F.struct(F.octet_length("text"), "text")).alias("text"))
 
     def numbered(batches):
         for batch in batches:
@@ -104,11 +121,10 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     own.append(len(found))
                 ends.append(own)
                 numbers.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic").cast(pa.int32()), pa.array(ends, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int32()))], names=["toxic", "ends", "numbers"]
-            )
+            columns = [batch.column("toxic"), batch.column("at"), pa.array(ends, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "at", "ends", "numbers"])
 
-    return texts.select("toxic", "text").mapInArrow(numbered, "toxic int, ends array<int>, numbers array<int>")
+    return texts.select("toxic", "at", "text").mapInArrow(numbered, "toxic int, at long, ends array<int>, numbers array<int>")
 
 
 def train(toxic: np.ndarray, ends: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, float]:
@@ -139,7 +155,7 @@ def train(toxic: np.ndarray, ends: list[np.ndarray], numbers: list[np.ndarray])
         odds = bias + np.bincount(sentence, weights[column], at)
         total = np.bincount(document, np.logaddexp(0, odds), len(toxic))
         slope = np.where(toxic == 1, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-6), 1.0)
-        inner = slope[document] / (1 + np.exp(-odds))
+        inner = slope[document] / (1 + np.exp(-np.clip(odds, -700, 700)))
         gradient = np.append(np.bincount(column, inner[sentence], len(kept)), inner.sum()) / len(toxic)
         gradient[:-1] += DECAY * weights
         step1, step2 = 0.9 * step1 + 0.1 * gradient, 0.99 * step2 + 0.01 * gradient**2
@@ -148,20 +164,48 @@ def train(toxic: np.ndarray, ends: list[np.ndarray], numbers: list[np.ndarray])
     return kept.astype(np.int64), weights, float(bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
-    """A model from documents (doc_id, text) and labels (doc_id, toxic)."""
+def _totals(ends: list[np.ndarray], numbers: list[np.ndarray], numbers_kept: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    """-ln(1 - noisy-or) of each document."""
+    table = np.zeros(BUCKETS)
+    table[numbers_kept] = weights
+    out = []
+    for own, found in zip(ends, numbers):
+        sums = np.append(0.0, np.cumsum(table[found]))[np.append(0, own)]
+        out.append(np.logaddexp(0, bias + np.diff(sums)).sum() if len(own) else 0.0)
+    return np.array(out)
+
+
+def calibrated(toxic: np.ndarray, ends: list[np.ndarray], numbers: list[np.ndarray]) -> float:
+    """The shift of log odds that puts 0.5 where the labels are told apart best, by models that have not seen the documents."""
+    totals = np.zeros(len(toxic))
+    for fold in range(FOLDS):
+        inside = np.arange(len(toxic)) % FOLDS == fold
+        learnt = train(toxic[~inside], [e for e, i in zip(ends, inside) if not i], [n for n, i in zip(numbers, inside) if not i])
+        totals[inside] = _totals([e for e, i in zip(ends, inside) if i], [n for n, i in zip(numbers, inside) if i], *learnt)
+    order = np.argsort(-totals, kind="stable")
+    caught = np.cumsum(toxic[order] == 1) / max(1, (toxic == 1).sum())
+    false = np.cumsum(toxic[order] == 0) / max(1, (toxic == 0).sum())
+    at = int(np.argmax(caught - FALSE_WEIGHT * false))
+    total = np.maximum((totals[order[at]] + totals[order[min(at + 1, len(order) - 1)]]) / 2, 1e-12)
+    return float(-(total + np.log(-np.expm1(-total))))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """Feature numbers, weights, bias and shift from documents (doc_id, text) and labels (doc_id, toxic)."""
     short_batches(docs.sparkSession)
-    rows = _sample(docs, labels).toArrow().combine_chunks()
+    rows = _sample(docs, labels).toArrow().combine_chunks().sort_by([("at", "ascending"), ("toxic", "ascending")]).combine_chunks()
 
     def lists(name):  # views of one array, without an object for each number
         column = rows.column(name).combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
         values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
         return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
-    return train(rows.column("toxic").to_numpy(), lists("ends"), lists("numbers"))
+    toxic, ends, numbers = rows.column("toxic").to_numpy(), lists("ends"), lists("numbers")
+    learnt = train(toxic, ends, numbers)
+    return *learnt, calibrated(toxic, ends, numbers) if len(learnt[0]) else 0.0
 
 
-def score(text: Column, model: tuple[np.ndarray, np.ndarray, float]) -> Column:
+def score(text: Column, model: tuple[np.ndarray, np.ndarray, float, float]) -> Column:
     """A text's chance of being toxic."""
 
     @F.pandas_udf("double")
@@ -172,7 +216,7 @@ def score(text: Column, model: tuple[np.ndarray, np.ndarray, float]) -> Column:
     return scored(text)
 
 
-def offending(text: Column, model: tuple[np.ndarray, np.ndarray, float], least: float = 0.5) -> Column:
+def offending(text: Column, model: tuple[np.ndarray, np.ndarray, float, float], least: float = 0.5) -> Column:
     """The sentences (number from 0, words joined by spaces, chance) whose chance is at least ``least``."""
 
     @F.pandas_udf("array<struct<number:int,sentence:string,chance:double>>")
