@@ -30,7 +30,7 @@ from fleetspark.llm.common import short_batches, whole
 LEVEL, BINS = 3, 64
 #: One more than a bin can hold. Even in a text of 2 GB two unrelated bins agree with a chance of 0.0003 at most.
 EMPTY = 1 << 32
-RANGE_ROWS, MAX_RANGES = 4096, 20_000
+RANGE_ROWS, MAX_RANGES = 4096, 200_000
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Place of the lowest set bit of a byte.
 _LOWEST = np.array([8] + [(i & -i).bit_length() - 1 for i in range(1, 256)], np.uint8)
@@ -144,7 +144,10 @@ EDITS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, ed
 
 
 def _ranged(docs: DataFrame, range_rows: int) -> tuple[DataFrame, int]:
-    """``doc_id, text, range, ahead``: rows by range of ids, and the first row of a range once more, ahead, in the range before."""
+    """``doc_id, text, range, ahead``: rows by range of ids, and the first row of a range once more, ahead, in the range before.
+
+    Ranges hold about ``range_rows`` rows, more only beyond ``MAX_RANGES`` of them; what the driver sees is a number or two a range.
+    """
     ids = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids")).first()
     ranges = min(MAX_RANGES, max(1, -(-ids["n"] // range_rows)))
     marks = np.unique(np.array(docs.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ids["ids"] and ranges > 1 else [], np.int64))
@@ -153,29 +156,18 @@ def _ranged(docs: DataFrame, range_rows: int) -> tuple[DataFrame, int]:
     def at(values: pd.Series) -> pd.Series:  # null ids come first
         return pd.Series(np.where(values.isna(), 0, np.searchsorted(marks, values.fillna(0).to_numpy(np.int64), side="right"))).astype("int32")
 
-    rows = docs.select("doc_id", whole().alias("text"))
-    placed = rows.withColumn("range", at("doc_id"))
     used = docs.select("doc_id").withColumn("range", at("doc_id")).groupBy("range")
-    heads = sorted((r["range"], r["none"], r["head"]) for r in used.agg(F.min("doc_id").alias("head"), F.max(F.col("doc_id").isNull()).alias("none")).collect())
+    heads = sorted(map(tuple, used.agg(F.max(F.col("doc_id").isNull()), F.min("doc_id")).collect()))
+    placed = docs.select("doc_id", whole().alias("text")).withColumn("range", at("doc_id"))
     if not heads:
         return placed.withColumn("ahead", F.lit(0)), 1
-    before = {heads[i][0]: heads[i - 1][0] for i in range(len(heads))}
-
-    @F.pandas_udf("array<struct<range:int,ahead:int>>")
-    def copies(ranges_: pd.Series, values: pd.Series) -> pd.Series:
-        first = {r: (none, head) for r, none, head in heads}
-        out = []
-        for r, v in zip(ranges_.tolist(), values.tolist()):
-            missing = v is None or v != v
-            none, head = first[r]
-            own = [{"range": r, "ahead": 0}]
-            if missing if none else v == head:
-                own.append({"range": before[r], "ahead": 1 if r else 2})
-            out.append(own)
-        return pd.Series(out)
-
-    spread = placed.select("doc_id", "text", F.explode(copies("range", "doc_id")).alias("c")).select("doc_id", "text", "c.*")
-    return spread, len(heads)
+    # ranges that hold rows are numbered anew, without gaps; the first row of the first goes behind the last
+    known = [(r, i, (i - 1) % len(heads), 1 if i else 2, None if none else head) for i, (r, none, head) in enumerate(heads)]
+    known = docs.sparkSession.createDataFrame(known, "range int, own int, before int, turn int, head long")
+    own, before = F.struct(F.col("own").alias("range"), F.lit(0).alias("ahead")), F.struct(F.col("before").alias("range"), F.col("turn").alias("ahead"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("head"))
+    spots = F.explode(F.when(is_head, F.array(own, before)).otherwise(F.array(own)))
+    return placed.join(F.broadcast(known), "range").select("doc_id", "text", spots.alias("c")).select("doc_id", "text", "c.*"), len(heads)  # a row a range
 
 
 def with_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -197,7 +189,7 @@ def with_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
             if pairs:
                 yield _edited(pairs)
 
-    spread = rows.repartition(ranges, "range").sortWithinPartitions(F.col("range"), "ahead", F.col("doc_id").asc_nulls_first(), "text")
+    spread = rows.repartitionById(ranges, F.col("range")).sortWithinPartitions(F.col("range"), "ahead", F.col("doc_id").asc_nulls_first(), "text")
     return spread.select("range", "ahead", "doc_id", "text").mapInArrow(compared, EDITS)
 
 

@@ -21,6 +21,48 @@ def test_interior_phrases_don_t_depend_on_offset():
     assert inner <= set(a.tolist()) and inner <= set(b.tolist())
 
 
+def plain_parse(data, level):
+    """One text, name by name, as the module's text says."""
+    mask, step = (1 << 64) - 1, int(fp._STEP)
+
+    def mixed(x):
+        x = ((x ^ x >> 30) * int(fp._MIX1)) & mask
+        x = ((x ^ x >> 27) * int(fp._MIX2)) & mask
+        return x ^ x >> 31
+
+    def tossed(left, right):
+        place = ((left ^ right) & -(left ^ right)).bit_length() - 1
+        return 2 * place + (right >> place & 1)
+
+    names = list(data)
+    for _ in range(level):
+        runs = []
+        for name in names:
+            if runs and runs[-1][0] == name:
+                runs[-1][1] += 1
+            else:
+                runs.append([name, 1])
+        labels = [name for name, _ in runs]
+        for _ in range(4):
+            labels = [labels[0] & 1] + [tossed(a, b) for a, b in zip(labels, labels[1:])]
+        wide = [mixed((name + length * step) & mask) if length > 1 else name for name, length in runs]
+        phrases = []
+        for i, name in enumerate(wide):
+            if i == 0 or 1 < i < len(wide) - 1 and labels[i - 1] < labels[i] > labels[i + 1]:
+                phrases.append([])
+            phrases[-1].append(name)
+        names = [mixed((sum(mixed((n + (k + 1) * step) & mask) for k, n in enumerate(p)) + len(p)) & mask) for p in phrases]
+    return names
+
+
+def test_parsing_as_a_plain_loop_does():
+    texts = [words(i, i * 4).encode() for i in range(1, 25)] + [b"a", b"ab", b"aaaa", b"aab" * 9, "é漢".encode() * 30]
+    for level in (1, 2, 3):
+        names, owner = fp.parse(texts, level)
+        for i, t in enumerate(texts):
+            assert names[owner == i].tolist() == plain_parse(t, level), (level, t)
+
+
 def test_batches_don_t_matter_and_phrases_are_short():
     texts = [words(i, i * 3) for i in range(40)] + ["", "a", "aaaa" * 500, "ab" * 300]
     together = fp.sketch(texts)
