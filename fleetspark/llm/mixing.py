@@ -24,10 +24,12 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import WORD, broadcast_if_small, stored, whole
+from fleetspark.llm.common import ROW_BYTES, WORD, broadcast_if_small, stored, whole
 
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
-BLOCK_WORDS, SHARD_BLOCKS, BUCKET_ROWS = 4096, 2048, 4096
+BLOCK_WORDS, SHARD_BLOCKS, BUCKET_ROWS, RUN_BUCKETS = 4096, 2048, 4096, 1024
+#: Nodes of the tree from which on they are dealt out.
+SPREAD_NODES = 64
 
 
 def sizes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -97,27 +99,40 @@ def _drawn(u: str) -> str:
 def split_quotas(quotas: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """``__mx_source, shard, offset, blocks``: how many blocks of each source a shard gets and where they start.
 
-    ``quotas`` has ``__mx_source, quota``, one row a source. The tree has one row a node with an array over sources;
-    each level is a narrow map, so it holds (sources x shards) numbers at its widest.
+    ``quotas`` has ``__mx_source, quota``, one row a source. The tree has one row a node with arrays over sources: blocks, and
+    where they start in each source's stream. Each level is a narrow map; a level of more than ``SPREAD_NODES`` nodes is dealt out first.
     """
     nodes = quotas.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__mx_source", "quota"))), lambda x: x["quota"]).alias("q"),
         F.sum("quota").alias("all"),
-    ).selectExpr("0L AS lo", f"{shards}L AS hi", "q", "`all`").where("`all` IS NOT NULL")
+    ).selectExpr("0L AS lo", f"{shards}L AS hi", "q", "transform(q, x -> 0L) AS o", "`all`").where("`all` IS NOT NULL")
     u = f"pmod(xxhash64({seed}, lo, hi, size(s.taken)), {1 << 53}L) / {float(1 << 53)!r}D"
     begin = "struct(aggregate(q, 0L, (t, x) -> t + x) AS population, n AS draws, cast(array() AS array<bigint>) AS taken)"
     step = _let(_drawn(u), "x", "struct(s.population - m AS population, s.draws - x AS draws, concat(s.taken, array(x)) AS taken)")
-    for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
+    for level in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
+        if 1 << level in (SPREAD_NODES, SPREAD_NODES**2):
+            nodes = nodes.repartition(1 << level, "lo")
         # a node of shards [lo, hi) has the blocks from lo * all div shards on; mid halves it
         halved = nodes.selectExpr("*", "(lo + hi) div 2 AS mid").selectExpr("*", f"mid * `all` div {shards} - lo * `all` div {shards} AS n")
         halved = halved.selectExpr("*", f"if(hi - lo > 1, aggregate(q, {begin}, (s, m) -> {step}, s -> s.taken), NULL) AS taken")
         nodes = halved.selectExpr(
-            """explode(if(taken IS NULL, array(struct(lo, hi, q)), array(
-                struct(lo, mid AS hi, taken AS q), struct(mid AS lo, hi, zip_with(q, taken, (a, b) -> a - b) AS q)))) AS c""",
+            """explode(if(taken IS NULL, array(struct(lo, hi, q, o)), array(
+                struct(lo, mid AS hi, taken AS q, o),
+                struct(mid AS lo, hi, zip_with(q, taken, (a, b) -> a - b) AS q, zip_with(o, taken, (a, b) -> a + b) AS o)))) AS c""",
             "`all`",
         ).selectExpr("c.*", "`all`")
-    before = Window.partitionBy("__mx_source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return nodes.selectExpr("lo AS shard", "posexplode(q) AS (__mx_source, blocks)").withColumn("offset", F.coalesce(F.sum("blocks").over(before), F.lit(0)))
+    return nodes.selectExpr("lo AS shard", "posexplode(arrays_zip(q, o)) AS (__mx_source, c)").selectExpr("__mx_source", "shard", "c.o AS offset", "c.q AS blocks")
+
+
+def _sums_before(cells: DataFrame) -> DataFrame:
+    """``__mx_source, __mx_bucket, __mx_base``: the words in a source's buckets before each, by sums over runs of buckets first."""
+    runs = cells.withColumn("__mx_run", F.expr(f"__mx_bucket div {RUN_BUCKETS}"))
+    whole_runs = runs.groupBy("__mx_source", "__mx_run").agg(F.sum("__mx_words").alias("__mx_all"))
+    so_far = Window.partitionBy("__mx_source").orderBy("__mx_run").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__mx_source", "__mx_run").orderBy("__mx_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole_runs.select("__mx_source", "__mx_run", F.coalesce(F.sum("__mx_all").over(so_far), F.lit(0)).alias("__mx_before"))
+    base = F.col("__mx_before") + F.coalesce(F.sum("__mx_words").over(inside), F.lit(0))
+    return runs.join(before, ["__mx_source", "__mx_run"]).select("__mx_source", "__mx_bucket", base.alias("__mx_base"))
 
 
 def mix(
@@ -148,7 +163,7 @@ def mix(
     shares = split_quotas(targets.select("__mx_source", quota.alias("quota")), shards, seed)
     owners = shares.where("blocks > 0").select("__mx_source", "shard", F.explode(F.sequence("offset", F.col("offset") + F.col("blocks") - 1)).alias("block"))
 
-    known = broadcast_if_small(targets)
+    known = broadcast_if_small(targets, F.lit(ROW_BYTES) + F.coalesce(F.octet_length("source"), F.lit(0)))
     placed = (
         sizes.alias("d").join(known.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
         .select("d.doc_id", "d.source", "d.size", "t.__mx_source", "t.source_size", "t.target")
@@ -156,15 +171,13 @@ def mix(
         .withColumn("__mx_bucket", F.pmod("__mx_hash", F.lit(buckets)))
     )
     cells = placed.groupBy("__mx_source", "__mx_bucket").agg(F.sum("size").alias("__mx_words"))
-    earlier = Window.partitionBy("__mx_source").orderBy("__mx_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("__mx_source", "__mx_bucket", F.coalesce(F.sum("__mx_words").over(earlier), F.lit(0)).alias("__mx_base"))
     inside = Window.partitionBy("__mx_source", "__mx_bucket").orderBy("__mx_hash", "doc_id", "size")
     lined = placed.withColumns(
         {
             "__mx_row": F.row_number().over(inside),
             "__mx_at": F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         }
-    ).join(cells, ["__mx_source", "__mx_bucket"])
+    ).join(_sums_before(cells), ["__mx_source", "__mx_bucket"])
 
     goal = F.round("target").cast("long")
     copies = lined.withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(epochs)])))

@@ -2,6 +2,8 @@ import collections
 import math
 import re
 
+from pyspark.sql import functions as F
+
 from fleetspark.llm import mixing
 
 
@@ -36,6 +38,32 @@ def test_mix_meets_its_targets(spark, sf_dir):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_what_is_taken_as_a_plain_walk_takes(spark, sf_dir, monkeypatch):
+    """Each source's documents in their permuted order, one after the other and once more, until the target is reached."""
+    monkeypatch.setattr(mixing, "RUN_BUCKETS", 3)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = mixing.taken_by_document(mixing.mix(docs, block_words=16, shard_blocks=200, bucket_rows=7)).withColumn("h", F.xxhash64(F.lit(0), "doc_id", "size", "source")).collect()
+    buckets, want = math.ceil(len(rows) / 7), {}
+    for source in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: (r["h"] % buckets, r["h"], r["doc_id"]))
+        left = round(own[0]["target"])
+        for r in [*own, *own]:
+            take = min(left, r["size"])
+            want[r["doc_id"]] = want.get(r["doc_id"], 0) + take
+            left -= take
+    assert {r["doc_id"]: r["taken"] for r in rows} == want
+
+
+def test_a_tree_dealt_out_on_the_way_is_the_same(spark, monkeypatch):
+    quotas = spark.createDataFrame([(0, 3000), (1, 1000), (2, 77)], "__mx_source int, quota long")
+    plain = sorted(map(tuple, mixing.split_quotas(quotas, 40, seed=3).collect()))
+    monkeypatch.setattr(mixing, "SPREAD_NODES", 4)
+    assert sorted(map(tuple, mixing.split_quotas(quotas, 40, seed=3).collect())) == plain
+    for source in range(3):  # shards take a source's blocks without gaps
+        own = sorted((c for c in plain if c[0] == source), key=lambda c: c[1])
+        assert all(a[2] + a[3] == b[2] for a, b in zip(own, own[1:])) and own[0][2] == 0
+
+
 def test_blocks_are_disjoint_and_shards_even(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     pieces = mixing.mix(docs, block_words=16, shard_blocks=200).where("shard IS NOT NULL").collect()
