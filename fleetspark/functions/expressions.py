@@ -124,6 +124,11 @@ def nanos_iso(x: str | Column) -> Column:
     return F.date_format(F.timestamp_micros(micros), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def iso_stamp(x: str | Column) -> Column:
+    """A timestamp as ISO text in UTC; text passes as it is."""
+    return F.date_format(c(x), "yyyy-MM-dd'T'HH:mm:ssXXX")
+
+
 def utc_stamp(x: str | Column) -> Column:
     """Naive times are UTC."""
     return F.try_to_timestamp(F.when(c(x).endswith("Z"), c(x)).otherwise(F.concat(c(x), F.lit("Z"))))

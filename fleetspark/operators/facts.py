@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions import expressions as x
 from fleetspark.operators.quality import keep_last
+from fleetspark.sources.scratch import folder
 
 SENTINEL = "(unattributed)"
 
@@ -99,13 +100,15 @@ def merge_newest(existing: DataFrame, batch: DataFrame, key: list[str], order: l
 def with_keys(existing: DataFrame, naturals: DataFrame, natural: list[str], key: str) -> DataFrame:
     """A key map with numbers for naturals that it lacks; numbers once given never change.
 
-    New naturals are numbered by range: ranks are taken within the partitions of a range sort and shifted by the
-    partitions' counts, so no task sees them all.
+    New naturals are numbered by range: ranks are taken within the partitions of a range sort, stored, and shifted by the
+    partitions' counts, so no task sees them all and ranks and counts are of one sort.
     """
     fresh = naturals.select(*natural).distinct().join(existing, natural, "left_anti")
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))
     ranged = fresh.repartitionByRange(*natural).sortWithinPartitions(*natural).withColumn("_p", F.spark_partition_id())
-    ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*natural)))
+    path = folder(fresh.sparkSession, "keys")
+    ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*natural))).write.parquet(path)
+    ranked = fresh.sparkSession.read.parquet(path)
     sizes = ranked.groupBy("_p").agg(F.count("*").alias("_n"))
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     numbered = ranked.join(F.broadcast(offsets), "_p").crossJoin(F.broadcast(top))  # a row a partition; one row

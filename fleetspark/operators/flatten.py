@@ -61,7 +61,7 @@ def metric_arrays(df: DataFrame, identity: DataFrame) -> DataFrame:
 
 
 def otel_spans(df: DataFrame) -> DataFrame:
-    """Spans with attributes at the span or its resource, nested or flat; without a span id they go."""
+    """Spans with attributes at the span or its resource, nested or flat; without a span id they go. What a source doesn't declare becomes its drift."""
     s = df.withColumn("s", F.try_parse_json("raw")).withColumn("res", F.coalesce(got("s", "$.resource.attributes", "variant"), got("s", "$.resource", "variant")))
     a = lambda k, kind="string": got("s", f"$.attributes['{k}']", kind)
     input_, output = F.coalesce(a("gen_ai.usage.input_tokens", "bigint"), a("gen_ai.usage.prompt_tokens", "bigint")), F.coalesce(a("gen_ai.usage.output_tokens", "bigint"), a("gen_ai.usage.completion_tokens", "bigint"))
@@ -69,7 +69,9 @@ def otel_spans(df: DataFrame) -> DataFrame:
     return s.select(
         *place(s), got("s", "$.spanId").alias("span_id"), got("s", "$.traceId").alias("trace_id"), got("s", "$.parentSpanId").alias("parent_span_id"), got("s", "$.name").alias("operation_name"),
         x.nanos_iso(got("s", "$.startTimeUnixNano")).alias("timestamp"), (got("s", "$.durationNano", "double") / 1e6).alias("latency_ms"), a("gen_ai.agent.id").alias("gen_ai_agent_id"), a("session.id").alias("session_id"),
-        F.coalesce(got("res", "$['service.name']"), a("service.name")).alias("service_name"), x.token_total(a("gen_ai.usage.total_tokens", "bigint"), input_, output).alias("token_count"), error.alias("error_type"),
+        F.coalesce(got("res", "$['service.name']"), a("service.name")).alias("service_name"), got("s", "$.kind").alias("span_kind"), got("s", "$.name").alias("span_name"),
+        F.coalesce(got("res", "$['cloud.resource_id']"), got("res", "$['service.name']")).alias("agent_endpoint_id"), F.array_compact(F.array(F.coalesce(a("gen_ai.tool.name"), a("tool.name")))).alias("tool_invocations"),
+        got("res", "$['aws.service.type']").alias("aws_service_type"), a("gen_ai.request.model").alias("gen_ai_request_model"), got("s", "$.attributes", "map<string,string>").alias("span_attributes"), x.token_total(a("gen_ai.usage.total_tokens", "bigint"), input_, output).alias("token_count"), error.alias("error_type"),
     ).where("span_id IS NOT NULL")
 
 

@@ -34,9 +34,11 @@ def catalogue_kpis(card: DataFrame) -> DataFrame:
 
 
 def cost_hierarchy(cost: DataFrame) -> DataFrame:
-    """Subscription, resource group and meter with subtotals."""
-    rows = cost.select(x.resource_part("resource_id", "subscriptions").alias("subscription_id"), x.resource_part("resource_id", "resourcegroups").alias("resource_group"), "meter_name", x.effective_cost().alias("c"))
-    return rows.rollup("subscription_id", "resource_group", "meter_name").agg(F.sum("c").alias("cost"), F.grouping_id().cast("long").alias("level"))
+    """Subscription, resource group, category (where there is one) and meter with subtotals."""
+    levels = ["subscription_id", "resource_group", *[c for c in ("meter_category",) if c in cost.columns], "meter_name"]
+    parts = {"subscription_id": x.resource_part("resource_id", "subscriptions"), "resource_group": x.resource_part("resource_id", "resourcegroups")}
+    rows = cost.select(*[parts.get(c, F.col(c)).alias(c) for c in levels], x.effective_cost().alias("c"))
+    return rows.rollup(*levels).agg(F.sum("c").alias("cost"), F.grouping_id().cast("long").alias("level"))
 
 
 def top(df: DataFrame, measure: str, tie: str, n: int) -> DataFrame:

@@ -30,7 +30,7 @@ def json_pages(spark: SparkSession, path: str) -> DataFrame:
     return v.select("_file", F.posexplode(listed).alias("_row", "r")).select(F.to_json("r").alias("raw"), "_file", "_row")
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "dt") -> None:
+def write_partitioned(df: DataFrame, path: str, by: str | list[str] = "dt") -> None:
     """Typed Parquet by partition; partitions present in ``df`` are replaced whole, others stay."""
     df.drop(*ORDER).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(by).parquet(path)
 
@@ -107,10 +107,22 @@ def csv_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in columns))
 
 
-def ndjson_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records of JSON-lines parts: ``raw, _file, _row``; parts that are not there are left out by the glob.
+def ndjson_parts(spark: SparkSession, pattern: str) -> DataFrame:
+    """Records of the JSON-lines parts that a glob finds, or none: ``raw, _file, _row``.
 
     Lines have no number that a rerun would give again, so a line's place is a hash of its text.
     """
-    lines = spark.read.option("ignoreMissingFiles", True).text(paths).select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("_file"))
-    return lines.where(F.trim("raw") != "").withColumn("_row", F.xxhash64("raw"))
+    try:
+        lines = spark.read.option("ignoreMissingFiles", True).text(pattern)
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], "raw string, _file string, _row long")
+    rows = lines.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("_file"))
+    return rows.where(F.trim("raw") != "").withColumn("_row", F.xxhash64("raw"))
+
+
+def write_by_hour(df: DataFrame, path: str, time: str) -> None:
+    """Typed Parquet by the day and hour of an event; hours present in ``df`` are replaced whole, others stay."""
+    hours = df.withColumns({"dt": F.date_format(time, "yyyy-MM-dd"), "hour": F.date_format(time, "HH")})
+    hours.drop(*ORDER).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("dt", "hour").parquet(path)
