@@ -32,9 +32,9 @@ def validate(df: DataFrame, required: list[str], types: dict[str, str] | None =
 def drift(record: str | Column, declared: list[str]) -> Column:
     """Undeclared keys of a map of JSON values, sorted, as JSON; null if there are none."""
     r = F.col(record) if isinstance(record, str) else record
-    left = F.map_filter(r, lambda k, v: ~k.isin(declared))
-    entries = F.array_sort(F.map_entries(left))
-    return F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(entries)))
+    extra = F.array_except(F.map_keys(r), F.array(*[F.lit(d) for d in declared]))
+    entries = F.transform(F.sort_array(extra), lambda k: F.struct(k, F.element_at(r, k)))
+    return F.when(F.size(extra) > 0, F.to_json(F.map_from_entries(entries)))
 
 
 def coerce_containers(df: DataFrame) -> DataFrame:
@@ -43,9 +43,14 @@ def coerce_containers(df: DataFrame) -> DataFrame:
     return df.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, kinds) else F.col(f.name) for f in df.schema])
 
 
+def key_text(columns: list[str]) -> Column:
+    """The values joined by colons; null reads ``None``."""
+    return F.concat_ws(":", *[F.coalesce(F.col(x).cast("string"), F.lit("None")) for x in columns])
+
+
 def dedup_key(columns: list[str]) -> Column:
-    """SHA-256 of the values joined by colons; null reads ``None``."""
-    return F.sha2(F.concat_ws(":", *[F.coalesce(F.col(x).cast("string"), F.lit("None")) for x in columns]), 256)
+    """SHA-256 of the key's text."""
+    return F.sha2(key_text(columns), 256)
 
 
 def _ranked(df: DataFrame, by: list[Column], order: list[Column]) -> DataFrame:
@@ -54,7 +59,7 @@ def _ranked(df: DataFrame, by: list[Column], order: list[Column]) -> DataFrame:
 
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key. The rank is limited before the shuffle, so a hot key sends one row a task."""
-    return _ranked(df, [dedup_key(key)], [F.col(o).asc_nulls_last() for o in order])
+    return _ranked(df, [key_text(key)], [F.col(o).asc_nulls_last() for o in order])
 
 
 def keep_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -66,7 +71,7 @@ def run_stats(df: DataFrame, key: list[str], is_valid: Column, drifted: Column)
     """One row: kept, duplicates, invalid, drifted."""
     valid = df.where(is_valid)
     counts = df.agg(F.count_if(~is_valid).alias("invalid"), F.count_if(is_valid).alias("valid"), F.count_if(is_valid & drifted).alias("drifted"))
-    kept = valid.select(dedup_key(key).alias("k")).distinct().agg(F.count("*").alias("kept"))
+    kept = valid.select(key_text(key).alias("k")).distinct().agg(F.count("*").alias("kept"))
     return counts.crossJoin(F.broadcast(kept)).select("kept", (F.col("valid") - F.col("kept")).alias("duplicates"), "invalid", "drifted")  # one row each
 
 

@@ -57,8 +57,8 @@ def parsed(pages: DataFrame, source: Source) -> DataFrame:
     Every value is read as JSON text first and then cast, so that a value of the wrong type is told from a missing one.
     """
     fields = source.schema.fields
-    record = F.from_json("raw", "map<string,string>")
-    rows = pages.withColumn("_record", record)
+    record = F.explode(F.array(F.from_json("raw", "map<string,string>")))  # a generator, so that a record is parsed once, however often its values are read
+    rows = pages.select("*", record.alias("_record"))
     text = {f.name: F.element_at("_record", f.name) for f in fields}
 
     def value(f):
