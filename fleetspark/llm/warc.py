@@ -6,12 +6,14 @@ task a byte range. The task looks for gzip's magic number in its range and takes
 the bytes there inflate to a WARC header; from then on it goes from member to member. It owns the records that start in its
 range and reads beyond the range's end to finish the last one, so no index is needed and each record is read once.
 
-Files are reached with pyarrow's file systems by URI, as Spark has no sink for binary members; the folder must be shared.
+Files are reached with pyarrow's file systems by URI, as Spark has no sink for binary members; the folder must be shared. Spark's
+name for an object store, ``s3a``, is read as pyarrow's, ``s3``.
 A task writes to a name of its own attempt and renames it, so a retried task leaves one whole file.
 
 Defined cases: null html is an empty payload, a null or odd URL is written as an escaped one, a null id is written as an
 empty one and never chosen for the response while another id has the payload. Rows that repeat the smallest id are all
-responses. An empty table gives no archive and no record. A task holds one record and an output batch of bounded bytes.
+responses. An empty table gives no archive and no record. A record that is damaged or cut off is an error, or with ``skip_damaged``
+passed over up to the next header. A task holds one record and an output batch of bounded bytes.
 """
 
 from __future__ import annotations
@@ -86,12 +88,23 @@ def member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def spelled(uri: str) -> str:
+    """A URI as pyarrow spells it."""
+    scheme, mark, rest = uri.partition("://")
+    return f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri
+
+
+def located(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a URI, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(spelled(uri))
+
+
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
     """Write the rows of ``with_revisits``; the archives' ``path`` and ``bytes``, one row each, as a stored table."""
 
     def write(batches):
         task = TaskContext.get()
-        system, base = pyarrow.fs.FileSystem.from_uri(folder)
+        system, base = located(folder)
         system.create_dir(base, recursive=True)
         name = f"part-{task.partitionId():06d}.warc.gz"
         own, size = f"{base}/.{name}.{task.taskAttemptId()}", 0
@@ -115,7 +128,7 @@ class Archive:
     """Members of one archive, reached by position."""
 
     def __init__(self, path: str):
-        system, place = pyarrow.fs.FileSystem.from_uri(path)
+        system, place = located(path)
         self.file = system.open_input_file(place)
         self.size = self.file.size()
 
@@ -157,12 +170,18 @@ class Archive:
             at += len(data)
         return b"".join(parts), at - len(opened.unused_data)
 
-    def records(self, start: int, end: int):
+    def records(self, start: int, end: int, skip_damaged: bool = False):
         """The records that start in [start, end)."""
         end = min(end, self.size)
         at = self.find(start, end)
         while at is not None and at < end:
-            data, behind = self.member(at)
+            try:
+                data, behind = self.member(at)
+            except (zlib.error, ValueError):
+                if not skip_damaged:
+                    raise
+                at = self.find(at + 1, end)
+                continue
             yield parsed(data)
             at = behind if behind >= end or self.header(behind) else self.find(behind, end)
 
@@ -187,7 +206,7 @@ def parsed(data: bytes) -> tuple:
     return plain("warc-record-id"), kind, fields.get("warc-target-uri"), plain("warc-refers-to"), len(payload), hashlib.sha256(payload).hexdigest(), payload
 
 
-def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool = True) -> DataFrame:
+def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool = True, skip_damaged: bool = False) -> DataFrame:
     """The records of archives given by ``path`` and ``bytes``: columns of ``RECORDS``."""
     names = [c.split()[0] for c in RECORDS.split(", ")]
     schema = pa.schema([(n, pa.int64() if n == "payload_bytes" else pa.binary() if n == "payload" else pa.string()) for n in names])
@@ -199,7 +218,7 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payl
         for ranges in batches:
             for row in ranges.to_pylist():
                 rows, held = [], 0
-                for found in Archive(row["path"]).records(row["start"], row["start"] + split_bytes):
+                for found in Archive(row["path"]).records(row["start"], row["start"] + split_bytes, skip_damaged):
                     rows.append(found if with_payload else found[:-1] + (None,))
                     held += len(found[-1] or b"") if with_payload else 100
                     if held > OUT_BYTES:
@@ -215,6 +234,6 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payl
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     """``path`` and ``bytes`` of the archives in a folder, for folders that this library didn't write."""
-    system, base = pyarrow.fs.FileSystem.from_uri(folder)
+    system, base = located(folder)
     found = [(f"{folder.rstrip('/')}/{x.base_name}", x.size) for x in system.get_file_info(pyarrow.fs.FileSelector(base)) if x.is_file and x.base_name.endswith(".warc.gz")]
     return spark.createDataFrame(found, "path string, bytes long")

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import os
+import zlib
 
 import pytest
 
@@ -51,3 +52,23 @@ def test_a_false_start_is_passed_over(tmp_path):
 def test_no_pages(spark):
     _, got = records(spark, spark.createDataFrame([], SCHEMA), 100)
     assert got.count() == 0
+
+
+def test_damaged_records_are_an_error_or_passed_over(tmp_path):
+    members = [warc.member(warc.record(str(i), "u", f"page {i} " * 50, "d", None)) for i in range(5)]
+    members[1] = members[1][:60] + b"\0" * 20 + members[1][80:]
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(members)[:-9])
+    archive = warc.Archive(str(path))
+    for step in (archive.size, 50):
+        cuts = [(a, a + step) for a in range(0, archive.size, step)]
+        assert [r[0] for a, b in cuts for r in archive.records(a, b, skip_damaged=True)] == ["0", "2", "3"]
+        with pytest.raises((ValueError, zlib.error)):
+            [list(archive.records(a, b)) for a, b in cuts]
+
+
+def test_a_very_long_page_and_object_stores(spark):
+    _, got = records(spark, spark.createDataFrame([(1, "u", "é" * 6_000_000, 0), (2, "u", "x", 0)], SCHEMA), 1000)
+    rows = {r["record_id"]: (r["payload_bytes"], r["payload_digest"]) for r in got.drop("payload").collect()}
+    assert rows["1"] == (12_000_000, hashlib.sha256(("é" * 6_000_000).encode()).hexdigest()) and rows["2"][0] == 1
+    assert warc.spelled("s3a://bucket/folder") == "s3://bucket/folder" and warc.located("/tmp/x")[1] == "/tmp/x"
