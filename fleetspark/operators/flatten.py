@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from fleetspark.functions import expressions as x
 
 
+# Fields of an audit event's envelope that have columns of their own.
+AUDIT_FIELDS = ["Id", "CreationTime", "RecordType", "Operation", "UserId", "Workload"]
+
+
 def got(v: str | Column, path: str, kind: str = "string") -> Column:
     """A value of a variant, or null."""
     return F.try_variant_get(F.col(v) if isinstance(v, str) else v, path, kind)
@@ -133,15 +137,17 @@ def metric_series(df: DataFrame) -> DataFrame:
 
 
 def audit_events(df: DataFrame) -> DataFrame:
-    """Audit events in scope: those with interaction data or of an AI workload. An inner field that is absent takes the envelope's; one that is null stays null."""
+    """Audit events in scope: those with interaction data or of an AI workload. An inner field that is absent takes the envelope's; one that is null stays null. ``rest`` has
+    what the envelope says besides, its interaction data included."""
     e = df.withColumn("e", F.try_parse_json("raw")).withColumn("d", got("e", "$.CopilotEventData", "variant"))
     scope = F.col("d").isNotNull() | F.lower(got("e", "$.Workload")).isin("copilot", "aiapps", "ai")
+    rest = F.map_filter(F.from_json("raw", "map<string,string>"), lambda k, v: ~k.isin(AUDIT_FIELDS) & v.isNotNull())
     inner = F.json_object_keys(F.coalesce(F.to_json("d"), F.lit("{}")))
     either = lambda k: F.when(F.array_contains(inner, k), got("d", f"$.{k}")).otherwise(got("e", f"$.{k}"))
     return e.where(scope).select(
         *place(e), got("e", "$.Id").alias("record_id"), got("e", "$.CreationTime").alias("creation_date"), got("e", "$.RecordType").alias("record_type"), got("e", "$.Operation").alias("operation"),
         got("e", "$.UserId").alias("user_id"), got("e", "$.Workload").alias("workload"), either("AppIdentity").alias("app_identity"), either("TargetPlatformAgentId").alias("native_agent_id"),
-        either("AppHost").alias("app_host"), either("ErrorType").alias("error_type"), got("d", "$.DLPEvaluationDeferred", "boolean").cast("int").alias("dlp_evaluation_deferred"),
+        either("AppHost").alias("app_host"), either("ErrorType").alias("error_type"), got("d", "$.DLPEvaluationDeferred", "boolean").cast("int").alias("dlp_evaluation_deferred"), rest.alias("rest"),
     )
 
 

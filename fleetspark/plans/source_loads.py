@@ -97,6 +97,15 @@ def source_purview_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _valid(spark, sf_dir, "purview_audit", text).select("record_id", "operation", "app_identity")
 
 
+@query("source_purview_audit_drift", _first("'a' || h AS record_id, 'ip' || user_id AS client, CASE WHEN event_type = 'view' THEN NULL ELSE '{\"AppIdentity\":\"inner\"}' END AS interaction, 'host' AS app_host", "event_type <> 'click'"))
+def source_purview_audit_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an event says besides its columns is kept as drift."""
+    text = """named_struct('Id', concat('a', event_id div 2), 'CreationTime', 't', 'Operation', event_type, 'Workload', if(event_type = 'view', 'AI', 'Exchange'), 'ClientIP', concat('ip', user_id), 'AppHost', 'host',
+        'CopilotEventData', if(event_type IN ('click', 'view'), NULL, named_struct('AppIdentity', 'inner')))"""
+    said = lambda k: F.get_json_object("_drift", f"$.{k}")
+    return _valid(spark, sf_dir, "purview_audit", text).select("record_id", said("ClientIP").alias("client"), said("CopilotEventData").alias("interaction"), said("app_host").alias("app_host"))
+
+
 @query("source_purview_dspm", _first("'i' || h AS dspm_agent_instance_id, event_id AS dlp_violations, '[\"s\"]' AS sensitivity_accessed"))
 def source_purview_dspm(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "named_struct('dspm_agent_instance_id', concat('i', event_id div 2), 'dlp_violations', event_id, 'sensitivity_accessed', array('s'))"

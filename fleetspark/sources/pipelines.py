@@ -34,6 +34,14 @@ def _metric_points(pages: DataFrame, identity: DataFrame) -> DataFrame:
     return flatten.metric_arrays(pages, identity).drop("stat")
 
 
+def _audit_records(pages: DataFrame) -> DataFrame:
+    """Audit events as records (``raw``) that also hold what has no column, so that it is kept as drift."""
+    flat = flatten.audit_events(pages)
+    told = [c for c in flat.columns if c not in ("_file", "_row", "_pos", "rest")]
+    own = F.map_filter(F.create_map(*[v for c in told for v in (F.lit(c), F.col(c).cast("string"))]), lambda k, v: v.isNotNull())
+    return flat.select(F.to_json(F.map_concat("rest", own)).alias("raw"), "_file", "_row", "_pos")
+
+
 # Record schemas, keys and landing paths of the sources.
 SOURCES = {
     "bedrock_cost": Source("bedrock/cost", "time_period_start string, service string, usage_type string, operation string, unblended_cost double, usage_quantity double", ["time_period_start"], ["usage_type", "operation", "time_period_start"], steps=((flatten.cost_buckets, ["Groups"]),)),
@@ -46,7 +54,7 @@ SOURCES = {
     "m365_registry": Source("m365-registry", "package_id string, agent_type string, name string, description string, publisher_email string, created string, last_modified string, deployment_status string, enabled boolean, dlp_compliant boolean, connectors array<string>, permissions array<string>", ["package_id", "agent_type"], ["package_id", "last_modified"], {"agent_type": ["copilot_studio", "agent_builder", "custom_engine", "sharepoint"]}),
     "m365_usage": Source("m365-usage", "package_id string, report_date string, agent_name string, active_users long, total_message_count long, agent_type string, last_activity string, is_anonymized boolean", ["package_id", "report_date"], ["package_id", "report_date"]),
     "m365_user_activity": Source("m365-user-activity", "user_id string, report_date string, product string, activity_count long, is_active boolean, is_anonymized boolean", ["user_id", "report_date"], ["user_id", "report_date"]),
-    "purview_audit": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((flatten.audit_events, []),)),
+    "purview_audit": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((_audit_records, []),)),
     "purview_dspm": Source("m365/purview/dspm_posture", "dspm_agent_instance_id string, assessment_date string, insider_risk_level string, sensitivity_accessed array<string>, dlp_violations long, oversharing_detected boolean, entra_agent_id string, package_id string", ["dspm_agent_instance_id"], ["dspm_agent_instance_id", "assessment_date"]),
 }
 
