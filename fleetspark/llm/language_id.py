@@ -31,7 +31,7 @@ TIE_REPEATS = (2, 3, 5, 8, 12)
 #: The margin that a text of full evidence needs, fitted on rows not held out; one of less needs as much less.
 MIN_MARGIN, FULL_BYTES = 0.03, 192
 #: A text is mixed if more than this share of its pieces is clearly in other languages than the whole.
-MIXED = 1 / 4
+MIXED = 0.4
 
 _LETTER, _NOT_LETTERS = regex.compile(r"\p{L}"), regex.compile(r"[^\p{L}\p{M}]+")
 
