@@ -10,6 +10,7 @@ from fleetspark.operators import facts, flatten, quality
 from fleetspark.plans import measures, views
 from fleetspark.plans.bind import bound, with_views
 from fleetspark.plans.registry import query
+from fleetspark.sources.scratch import folder
 
 SINCE = "2024-01-01"
 
@@ -37,7 +38,11 @@ def unified_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scorecard_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.scorecard(bound(spark, sf_dir, "b_agent"), audit_of(spark, sf_dir), spans_of(spark, sf_dir), allocation_of(spark, sf_dir))
+    """The scorecard; spans are resolved once, for their use and for what they are allocated."""
+    path = folder(spark, "spans")
+    spans_of(spark, sf_dir).write.parquet(path)
+    spans = spark.read.parquet(path)
+    return views.scorecard(bound(spark, sf_dir, "b_agent"), audit_of(spark, sf_dir), spans, views.cost_allocation(spans, bound(spark, sf_dir, "b_cost")))
 
 
 # --- pieces of the SQL twins -------------------------------------------------------------------------------------
