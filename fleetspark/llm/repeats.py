@@ -13,6 +13,7 @@ equal offsets, and windows with one anchor are consecutive. So instead of every
 3. ``resolved``: a task sorts its groups by hull. Members of equal hulls are settled as they pass; of distinct hulls only
    one each is held, and the caller's index (suffix trees or a suffix array) tells which of their windows are equal.
 
+Texts are joined with their spots, and later with their spans, by id: rows of either grow with a text, so none is broadcast.
 Hashes of grams choose candidates and groups; hulls and windows are compared by their content. Only whole texts are told apart
 by 128-bit hashes and their lengths.
 """
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import BROADCAST_BYTES, broadcast_if_small, short_batches, stored
+from fleetspark.llm.common import short_batches, stored
 from fleetspark.llm.ngram_join import word_hashes
 
 #: Windows of one text that are looked at together; texts may be longer.
@@ -320,14 +321,13 @@ def resolved(found: DataFrame, index: Index, length: int, first_stays: bool) ->
     return dealt.mapInArrow(made, "doc_id long, start long, stop long")
 
 
-def spans_of(docs: DataFrame, alphabet: type, index: Index, length: int, gram: int, first_stays: bool, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def spans_of(docs: DataFrame, alphabet: type, index: Index, length: int, gram: int, first_stays: bool) -> DataFrame:
     """``doc_id, spans, all_gone`` of the texts that lose something; ``docs`` has ``doc_id, text``."""
     short_batches(docs.sparkSession)
     keys = stored(keyed(docs, alphabet, length, gram), "rp-keys")
     classes = stored(classes_of(keys), "rp-classes")
     spots = stored(shared_anchors(classes, length, first_stays), "rp-spots")
-    size = F.lit(48) + F.aggregate("grams", F.lit(0), lambda total, g: total + 48 + 4 * F.size(g["spots"]))
-    texts = docs.join(broadcast_if_small(spots, size, broadcast_bytes), F.col("doc_id") == F.col("rep")).select("doc_id", "text", "grams")
+    texts = docs.join(spots, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "grams")
     covered = resolved(records(texts, alphabet, length, gram, first_stays), index, length, first_stays)
     spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     repeated = classes.where(F.col("n") >= length).where("rows > 1").select("n", "h1", "h2", "rep")
@@ -348,10 +348,9 @@ def merged(spans: list[dict] | None, all_gone: bool, n: int) -> list[tuple[int,
     return [(a, b) for a, b in out]
 
 
-def removed(docs: DataFrame, spans: DataFrame, alphabet: type, row: Callable[[Bytes | Words, list[tuple[int, int]]], tuple], schema: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def removed(docs: DataFrame, spans: DataFrame, alphabet: type, row: Callable[[Bytes | Words, list[tuple[int, int]]], tuple], schema: str) -> DataFrame:
     """``doc_id`` and what ``row`` makes of each text and the runs that it loses."""
-    lost = broadcast_if_small(spans.withColumnRenamed("doc_id", "__rp_id"), F.lit(48) + 32 * F.coalesce(F.size("spans"), F.lit(0)), broadcast_bytes)
-    joined = docs.join(lost, F.col("doc_id") == F.col("__rp_id"), "left").select("doc_id", "text", "spans", F.coalesce("all_gone", F.lit(False)).alias("all_gone"))
+    joined = docs.join(spans.withColumnRenamed("doc_id", "__rp_id"), F.col("doc_id") == F.col("__rp_id"), "left").select("doc_id", "text", "spans", F.coalesce("all_gone", F.lit(False)).alias("all_gone"))
     names = ["doc_id", *[c.split()[0] for c in schema.split(", ")]]
 
     def made(batches):

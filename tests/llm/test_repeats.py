@@ -124,11 +124,3 @@ def test_ids_are_numbers(spark):
     assert {r["doc_id"] for r in suffix_trees.without_repeats(docs).collect()} == {7, 8}
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         suffix_array.without_repeats(docs.withColumn("doc_id", F.concat(F.lit("x"), "doc_id"))).collect()
-
-
-def test_small_and_large_sides_give_the_same(spark, monkeypatch):
-    rows = made(4)
-    monkeypatch.setattr(repeats.spans_of, "__defaults__", (0,))
-    monkeypatch.setattr(repeats.removed, "__defaults__", (0,))
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in suffix_trees.without_repeats(frame(spark, rows)).collect()}
-    assert got == brute.repeats_of_words(rows)
