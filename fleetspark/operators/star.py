@@ -163,3 +163,14 @@ def restated_at(existing: DataFrame, batch: DataFrame, key: list[str], day: str,
     stamped = batch.where(inside).withColumn("ingested_at", ingested_at)
     update = [c for c in existing.columns if c not in key]
     return existing.where(~inside).unionByName(facts.upsert(existing.where(inside), stamped, key, update))
+
+
+def rated(usage: DataFrame, rates: DataFrame, unit: str, day: str, quantity: str) -> DataFrame:
+    """Usage in native units with the rate of its day: ``rates`` has the unit, ``valid_from``, ``valid_to`` (null is open) and ``unit_rate``.
+
+    Usage is summed by unit and day before it meets the rates, which are curated and few. Usage without a rate keeps null costs.
+    """
+    sums = usage.groupBy(unit, day).agg(F.sum(quantity).alias(quantity))
+    dated = rates.select(F.col(unit).alias("_unit"), "valid_from", "valid_to", "unit_rate")
+    inside = (F.col(unit) == F.col("_unit")) & (F.col(day) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to")))
+    return sums.join(dated, inside, "left").select(unit, day, quantity, "unit_rate", (F.col(quantity) * F.col("unit_rate")).alias("cost"))

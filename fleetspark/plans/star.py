@@ -332,6 +332,19 @@ def agent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.agent_alerts(card, usage, 20240120, idle_days=2, drop=0.9)
 
 
+@query(
+    "native_unit_rating",
+    """SELECT unit, date_key, quantity, CASE WHEN unit = 'view' AND date_key >= 20240110 THEN 3 WHEN unit = 'view' THEN 2 WHEN unit = 'click' AND date_key < 20240120 THEN 5 END AS unit_rate,
+    quantity * CASE WHEN unit = 'view' AND date_key >= 20240110 THEN 3 WHEN unit = 'view' THEN 2 WHEN unit = 'click' AND date_key < 20240120 THEN 5 END AS cost
+    FROM (SELECT event_type AS unit, CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INT) AS date_key, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS quantity FROM events GROUP BY 1, 2)""",
+)
+def native_unit_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities at the rates of their days: a rate that changed, one that ended, and units without any."""
+    rates = spark.createDataFrame([("view", 0, 20240110, 2), ("view", 20240110, None, 3), ("click", 0, 20240120, 5)], "unit string, valid_from int, valid_to int, unit_rate long")
+    usage = table(spark, sf_dir, "events").select(F.col("event_type").alias("unit"), x.date_key("ts").alias("date_key"), F.floor("value").cast("long").alias("quantity"))
+    return star.rated(usage, rates, "unit", "date_key", "quantity")
+
+
 # --- files -------------------------------------------------------------------------------------------------------------
 
 
@@ -404,6 +417,16 @@ def cursor_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).crossJoin(F.broadcast(batches))  # one row
 
 
+@query("full_rebuild", "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rebuild reads files that the load log has as well."""
+    path = folder(spark, "rebuilt")
+    table(spark, sf_dir, "events").select("event_id", "event_type").write.parquet(path)
+    scanned = landing.scan(spark, path)
+    rows = landing.new_files(scanned, scanned.select(F.col("_file").alias("file_path")).distinct(), full_scan=True)
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
 @query("hour_partitions", "SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour, count(*) AS n FROM events GROUP BY 1, 2")
 def hour_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by day and hour; two hours are written twice and not doubled."""
