@@ -93,6 +93,10 @@ def test_odd_rows(spark):
     got = mixing.taken_by_document(mixing.mix(spark.createDataFrame(rows, schema))).collect()
     assert sorted((str(r["doc_id"]), r["size"]) for r in got) == [("1", 3), ("1", 3), ("2", 0), ("2", 0), ("None", 2)]
     assert sum(r["taken"] for r in got) == 12
+    long = [(1, "w " * 300_000, "a", 0), (2, "x y", "a", 0), (3, "\u3000\u00a0 z", "b", 0)]
+    found = {r["doc_id"]: r for r in mixing.taken_by_document(mixing.mix(spark.createDataFrame(long, schema))).collect()}
+    assert found[1]["size"] == 300_000 and found[3]["size"] == 2 and all(r["taken"] <= 2 * r["size"] for r in found.values())
+    assert abs(sum(r["taken"] for r in found.values()) - 450_006) <= 1
 
 
 def test_shards_hold_the_words(spark, sf_dir, tmp_path):
