@@ -64,12 +64,13 @@ def least_hashed(rows: DataFrame, label: str, at: str, most: int) -> DataFrame:
     """Of each label the ``most`` rows of least ``at`` (a hash).
 
     Labels are counted first, and a row goes on only if its hash is below a bound that leaves about twice as many rows as are
-    asked for. So a hot label's rows are filtered where they are read, and the rank sees a bounded number a label.
+    asked for. So a hot label's rows are filtered where they are read, rows that repeat in all columns become one in map tasks
+    already, and the rank sees a bounded number a label.
     """
     counts = rows.groupBy(label).agg(F.count("*").alias("__n"))
     bounds = counts.select(F.col(label).alias("__label"), (F.lit(2.0 * most + 100) / F.col("__n")).alias("__share"))
     unit = F.pmod(F.col(at), F.lit(1 << 24)) / float(1 << 24)
-    near = rows.join(F.broadcast(bounds), F.col(label) == F.col("__label")).where(unit < F.col("__share")).drop("__label", "__share")  # a row a label
+    near = rows.join(F.broadcast(bounds), F.col(label) == F.col("__label")).where(unit < F.col("__share")).select(rows.columns).distinct()  # a row a label
     rank = F.row_number().over(Window.partitionBy(label).orderBy(F.pmod(F.col(at), F.lit(1 << 24)), at, *[c for c in rows.columns if c not in (label, at)]))
     return near.withColumn("__rank", rank).where(F.col("__rank") <= most).drop("__rank")
 

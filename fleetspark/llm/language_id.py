@@ -1,7 +1,7 @@
 """Language ID by compression: the language whose dictionary compresses a text best.
 
 ``fit`` fills one raw-content dictionary a language with whole texts of labelled rows: of at most ``SAMPLE_DOCS`` rows a language,
-by the hash of their text, those that fit into ``DICTIONARY_BYTES``. ``identify`` lower-cases a whole text, keeps its letters
+by the hash of their id and text, those that fit into ``DICTIONARY_BYTES``. ``identify`` lower-cases a whole text, keeps its letters
 and their marks, cuts it into pieces of even length, and compresses each, ``REPEATS`` times over so that short ones fill a
 block, with each dictionary; the smallest sum of sizes wins. On a tie the pieces are compressed at other numbers of repeats as
 well. The score is the margin (second - best) / second. A text is rejected if its margin is at most ``MIN_MARGIN``, or if more
@@ -10,7 +10,7 @@ than ``MIXED`` of its pieces are won by other languages by as much. Both are ask
 
 Defined cases: a text that is null or has no letters (of category L) is ``und`` with score 0 and rejected; ties that stay go to the
 language that is first in the alphabet, and are rejected; labelled rows without letters, or no labelled rows at all, teach nothing (then
-all is ``und``). Rows that repeat a text teach it once. Ids play no part, so null ids and repeated ones are like others.
+all is ``und``). Rows that repeat a text teach it once. Ids only choose the sample; null ids and repeated ones are like others.
 Memory is one Arrow batch and one piece; every row is on its own, so nothing is shuffled but hashes of a bounded sample.
 """
 
@@ -42,14 +42,15 @@ def letters(text: str | None) -> bytes:
     return _NOT_LETTERS.sub(" ", lower).strip().encode() if _LETTER.search(lower) else b""
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionaries by language; what reaches the driver are the sampled rows' sizes and ``DICTIONARY_BYTES`` of texts a language."""
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    hashed = known.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("at"), F.octet_length(text_col).alias("size"))
-    sample = least_hashed(hashed.where(F.col("size") <= DICTIONARY_BYTES), "lang", "at", SAMPLE_DOCS).distinct()
+    at = F.xxhash64(id_col, text_col)
+    hashed = known.select(F.col(lang_col).alias("lang"), at.alias("at"), F.octet_length(text_col).alias("size"))
+    sample = least_hashed(hashed.where(F.col("size") <= DICTIONARY_BYTES), "lang", "at", SAMPLE_DOCS)
     fits = within(sample.select("lang", "size", "at").orderBy("lang", "at").collect(), DICTIONARY_BYTES)
     chosen = labelled.sparkSession.createDataFrame([(r["lang"], r["at"]) for r in fits], "__lang string, __at long")
-    matches = (F.col(lang_col) == F.col("__lang")) & (F.xxhash64(text_col) == F.col("__at"))
+    matches = (F.col(lang_col) == F.col("__lang")) & (at == F.col("__at"))
     rows = known.join(F.broadcast(chosen), matches).groupBy("__lang", "__at").agg(F.min(text_col).alias("text")).orderBy("__lang", "__at").collect()  # as many rows as fit
     texts: dict[str, dict[bytes, None]] = {}
     for row in rows:
@@ -124,6 +125,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 def label(docs: DataFrame, min_margin: float = MIN_MARGIN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with ``__li`` (struct of ``lang_pred, score, rejected, held_out``), learnt from the rows not held out."""
     short_batches(docs.sparkSession)
-    dictionaries = fit(docs.where(~held_out(id_col)), text_col, lang_col)
+    dictionaries = fit(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
     found = docs.withColumn("__li", identify(F.col(text_col), dictionaries, min_margin))
     return found.withColumn("__li", F.struct("__li.lang_pred", "__li.score", "__li.rejected", held_out(id_col).alias("held_out")))
