@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import BROADCAST_BYTES, broadcast_if_small, short_batches, stored
 from fleetspark.llm.graph import components
 
-CELL_SHINGLES, STAR_SETS = 2_000_000, 2000
+CELL_SHINGLES, STAR_SETS, JUMPS = 2_000_000, 2000, 2
 #: How dear a step of the heap is beside a binary search, which decides how many lists are long.
 HEAP_COST = 0.01
 ORDER_SAMPLE, ORDER_SHARE, ORDER_MOST = 5000, 0.002, 200_000
@@ -358,6 +358,15 @@ def _star_spots(rare: DataFrame, star_sets: int) -> DataFrame:
     return both.groupBy(F.col("rep").alias("member")).agg(F.flatten(F.collect_list("spots")).alias("spots"))  # two rows an id at most
 
 
+def _star_labels(starred: DataFrame) -> DataFrame:
+    """``node, linked``: the head that a set's links lead to in ``1 + JUMPS`` steps. Sets of one label are linked; of linked sets some may have two."""
+    steps = starred.select(F.col("a").alias("node"), F.col("b").alias("linked"))
+    up = starred.select(F.col("a").alias("__nj_at"), F.col("b").alias("__nj_up"))
+    for _ in range(JUMPS):
+        steps = steps.join(up, F.col("linked") == F.col("__nj_at"), "left").select("node", F.coalesce("__nj_up", "linked").alias("linked"))
+    return steps
+
+
 def _cell_spots(cells: DataFrame, sizes: DataFrame, linked: DataFrame, cell_shingles: int) -> DataFrame:
     """``member, spots``: the pairs of blocks that each set of a cell goes to.
 
@@ -413,7 +422,7 @@ def alike(
         return rows.join(side, F.col("doc_id") == F.col("member")).select("doc_id", "spots", "text")
 
     starred = stored(_with_heads(at_spots(stored(_star_spots(rare, star_sets), "nj-star-spots")), n, percent), "nj-starred")
-    linked = stored(components(starred).select("node", F.col("component").alias("linked")), "nj-star-groups")
+    linked = stored(_star_labels(starred), "nj-star-groups")
 
     lists = rare.join(linked, F.col("rep") == F.col("node"), "left").select("rep", "shingle", F.coalesce("linked", "rep").alias("linked"))
     open_ = lists.groupBy("shingle").agg(F.min("rep").alias("head"), F.min("linked").alias("low"), F.max("linked").alias("high")).where("low < high")
