@@ -360,8 +360,9 @@ def _star_spots(rare: DataFrame, star_sets: int) -> DataFrame:
 
 def _star_labels(starred: DataFrame) -> DataFrame:
     """``node, linked``: the head that a set's links lead to in ``1 + JUMPS`` steps. Sets of one label are linked; of linked sets some may have two."""
-    steps = starred.select(F.col("a").alias("node"), F.col("b").alias("linked"))
-    up = starred.select(F.col("a").alias("__nj_at"), F.col("b").alias("__nj_up"))
+    once = stored(starred.groupBy("a").agg(F.min("b").alias("b")), "nj-steps")  # rows that share an id are one node
+    steps = once.select(F.col("a").alias("node"), F.col("b").alias("linked"))
+    up = once.select(F.col("a").alias("__nj_at"), F.col("b").alias("__nj_up"))
     for _ in range(JUMPS):
         steps = steps.join(up, F.col("linked") == F.col("__nj_at"), "left").select("node", F.coalesce("__nj_up", "linked").alias("linked"))
     return steps

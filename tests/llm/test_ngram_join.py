@@ -74,6 +74,13 @@ def test_cases_without_an_answer(spark):
     assert got == [("2", 1, "2"), ("3", 1, "2"), ("3", 1, "2"), ("None", 0, "None"), ("None", 1, "2")]
 
 
+def test_rows_that_share_an_id_are_one_node(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i % 4, " ".join(base[: 30 + i % 4] + [f"x{i % 4}"] + base[30 + i % 4 :])) for i in range(12)]
+    found = {(r["doc_id"], r["component_id"]) for r in ngram_join.alike(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80, star_sets=1).collect()}
+    assert found == {(i, 0) for i in range(4)}
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(100))
     docs = spark.createDataFrame([(1, text + " x", "q"), (2, text, "q"), (3, "other words", "q"), (None, text, "q")], "doc_id long, text string, lang string")
