@@ -28,8 +28,8 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Bytes of encoded chunks, and pairs of tokens, that a worker keeps; each is emptied when full.
-CACHE_BYTES, CACHE_PAIRS = 48 << 20, 200_000
+#: Bytes of encoded chunks, and pairs of tokens, that a worker keeps. Of full chunks the older half goes, full pairs go.
+CACHE_BYTES, CACHE_PAIRS = 80 << 20, 400_000
 #: What an entry takes beside its characters, about.
 _ENTRY = 250
 #: Characters of a text that are cut into chunks at once.
@@ -155,15 +155,18 @@ class _Chunks(dict):
 
     def __init__(self, encode, prefix: str):
         super().__init__()
-        self.encode, self.prefix, self.held = encode, prefix, 0
+        self.encode, self.prefix, self.held, self.old = encode, prefix, 0, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self.encode(self.prefix + chunk)
+        found = self.old.get(chunk)
+        if found is None:
+            found = self.encode(self.prefix + chunk)
         self.put(chunk, found)
         return found
 
     def put(self, chunk: str, ids: bytes) -> None:
-        if self.held > CACHE_BYTES:
+        if self.held > CACHE_BYTES // 2:
+            self.old = dict(self)
             self.clear()
             self.held = 0
         self.held += len(chunk) + len(ids) + _ENTRY
@@ -197,7 +200,7 @@ class Tokenizer:
     def learn(self, chunks: Iterable[str]) -> None:
         """Encode the new ones of chunks behind spaces in sorted order, in one table: neighbours share most of their prefixes."""
         known, table = self.behind_space, PrefixTable(self.vocabulary)
-        fresh = {c: self.pieces(" " + c) for c in set(chunks) if c not in known}
+        fresh = {c: self.pieces(" " + c) for c in set(chunks) if c not in known and c not in known.old}
         made = {}
         for piece in sorted({p.encode() for pieces in fresh.values() for p in pieces}):
             table.become(piece)
