@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, toxicity, warc
+from fleetspark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, token_files, toxicity, warc
 from fleetspark.llm.common import documents, new_path, short_batches
 
 #: The vocabulary that op7 encodes with; its place is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The tokenizer of op12's files, and the id behind each document.
+FILE_TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.alike(documents(spark, sf_dir), n=3, percent=90)
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_path(spark, "token-files")
+    token_files.write_tokens(documents(spark, sf_dir), path, public_tokenizers.path(FILE_TOKENIZER), END_ID)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", token_files.ids_crc32(F.col("ids")).alias("ids_crc32"))
+
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -99,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_suffix_array": op9_suffix_array,
         "op10_ngram_join": op10_ngram_join,
+        "op12_token_files": op12_token_files,
     }
 
 
