@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, token_files, toxicity, warc
+from fleetspark.llm import alignment, bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, token_files, toxicity, warc
 from fleetspark.llm.common import documents, new_path, short_batches
 
 #: The vocabulary that op7 encodes with; its place is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The tokenizer of op12's files, and the id behind each document.
 FILE_TOKENIZER, END_ID = "word_bpe_49k.json", 2
+#: The two tokenizers that op13 aligns.
+TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +91,13 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", token_files.ids_crc32(F.col("ids")).alias("ids_crc32"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    aligned = alignment.align(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER_A), public_tokenizers.path(TOKENIZER_B))
+    return alignment.with_counts(aligned, alignment.pair_counts(aligned))
+
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -110,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_array": op9_suffix_array,
         "op10_ngram_join": op10_ngram_join,
         "op12_token_files": op12_token_files,
+        "op13_alignment": op13_alignment,
     }
 
 
