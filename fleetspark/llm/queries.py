@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.llm import alignment, bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, token_files, toxicity, warc
+from fleetspark.llm import alignment, bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, suffix_array, suffix_trees, token_files, toxicity, warc, whitening
 from fleetspark.llm.common import documents, new_path, short_batches
 
 #: The vocabulary that op7 encodes with; its place is a parameter of the operator.
@@ -83,6 +83,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.alike(documents(spark, sf_dir), n=3, percent=90)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = whitening.whiten(vectors, whitening.fit(vectors))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -118,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_suffix_array": op9_suffix_array,
         "op10_ngram_join": op10_ngram_join,
+        "op11_whitening": op11_whitening,
         "op12_token_files": op12_token_files,
         "op13_alignment": op13_alignment,
     }
