@@ -163,10 +163,14 @@ def token_total(total: Column, input_: Column, output: Column) -> Column:
     return F.coalesce(total, F.when(input_.isNotNull() | output.isNotNull(), parts))
 
 
+# Status codes of a failed span, in upper case.
+FAILED = ["ERROR", "STATUS_CODE_ERROR"]
+
+
 def span_error(status_code: Column, message: Column, http: Column, exception: Column) -> Column:
     """Error label: of a failed status its message, the exception or ERROR; of HTTP 400 and up its number; the exception."""
-    failed = F.upper(status_code).contains("ERROR")
-    return F.when(failed, F.coalesce(F.nullif(message, F.lit("")), exception, F.lit("ERROR"))).when(http >= 400, F.concat(F.lit("HTTP "), http.cast("string"))).otherwise(exception)
+    failed, named = F.upper(status_code).isin(FAILED), F.nullif(exception, F.lit(""))
+    return F.when(failed, F.coalesce(F.nullif(message, F.lit("")), named, F.lit("ERROR"))).when(http >= 400, F.concat(F.lit("HTTP "), http.cast("string"))).otherwise(named)
 
 
 def resource_part(x: str | Column, part: str) -> Column:

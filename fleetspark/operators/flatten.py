@@ -18,12 +18,26 @@ def got(v: str | Column, path: str, kind: str = "string") -> Column:
 
 
 def place(df: DataFrame, *at: str) -> list[Column]:
-    """Where a record comes from (``_file, _row``), with its places in its page (``_pos``), if the page tells; else nothing."""
+    """Where a record comes from (``_file, _row``), with its places in its page (``_pos``), if the page tells, and what it passes by with (``_pass``); else nothing."""
     if "_row" not in df.columns:
         return []
+    passing = [F.col("_pass")] if "_pass" in df.columns else []
     own = [F.col("_pos")] if "_pos" in df.columns else []
     here = [F.array(*[F.col(a).cast("int") for a in at])] if at else []
-    return [F.col("_file"), F.col("_row"), F.concat(*own, *here).alias("_pos") if own or here else F.expr("cast(array() as array<int>)").alias("_pos")]
+    now = F.concat(*own, *here) if own or here else F.expr("cast(array() as array<int>)")
+    return [F.col("_file"), F.col("_row"), (F.when(F.col("_pass").isNull(), now).otherwise(F.col("_pos")) if passing else now).alias("_pos"), *passing]
+
+
+def each(df: DataFrame, items: Column, place_name: str, item_name: str) -> DataFrame:
+    """A row for each item of a list. A row that passes by (``_pass`` is not null, and there is no list) stays one row."""
+    if "_pass" not in df.columns:
+        return df.select("*", F.posexplode(items).alias(place_name, item_name))
+    return kept(df.select("*", F.posexplode_outer(items).alias(place_name, item_name)), F.col(place_name).isNotNull())
+
+
+def kept(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows of a condition, and those that pass by."""
+    return df.where(condition | F.col("_pass").isNotNull()) if "_pass" in df.columns else df.where(condition)
 
 
 def envelope(df: DataFrame, raw: str = "raw") -> DataFrame:
@@ -38,7 +52,8 @@ def envelope(df: DataFrame, raw: str = "raw") -> DataFrame:
 def cost_buckets(df: DataFrame) -> DataFrame:
     """Day buckets with groups to a row for each day and group; amounts default to 0."""
     shape = "struct<TimePeriod:struct<Start:string>,Groups:array<struct<Keys:array<string>,Metrics:struct<UnblendedCost:struct<Amount:string>,UsageQuantity:struct<Amount:string>>>>>"
-    groups = df.select("*", F.from_json("raw", shape).alias("b")).select("*", F.col("b.TimePeriod.Start").alias("time_period_start"), F.posexplode("b.Groups").alias("_i", "g"))
+    groups = df.select("*", F.from_json("raw", shape).alias("b")).select("*", F.col("b.TimePeriod.Start").alias("time_period_start"))
+    groups = each(groups, F.col("b.Groups"), "_i", "g")
     amount = lambda n: F.coalesce(F.col(f"g.Metrics.{n}.Amount").try_cast("double"), F.lit(0.0))
     return groups.select(*place(groups, "_i"), "time_period_start", F.get("g.Keys", F.lit(0)).alias("usage_type"), F.get("g.Keys", F.lit(1)).alias("operation"), amount("UnblendedCost").alias("unblended_cost"), amount("UsageQuantity").alias("usage_quantity"))
 
@@ -59,30 +74,46 @@ def metric_arrays(df: DataFrame, identity: DataFrame) -> DataFrame:
     r = df.select("*", F.from_json("raw", shape).alias("r")).select("*", "r.*")
     n = F.least(F.size("Timestamps"), F.size("Values"))
     zipped = r.withColumn("Timestamps", F.slice("Timestamps", F.lit(1), n)).withColumn("Values", F.slice("Values", F.lit(1), n))
-    points = zipped.select("*", F.posexplode(F.arrays_zip("Timestamps", "Values")).alias("_i", "p"))
+    points = each(zipped, F.arrays_zip("Timestamps", "Values"), "_i", "p")
     points = points.select(*place(points, "_i"), F.col("Id").alias("id"), F.col("p.Timestamps").alias("timestamp"), F.col("p.Values").alias("value"))
-    return points.join(identity, "id").drop("id").withColumn("stat", x.metric_stat("metric_name"))
+    known = points.join(identity.withColumn("_known", F.lit(True)), "id", "left")
+    return kept(known, F.col("_known").isNotNull()).drop("id", "_known").withColumn("stat", x.metric_stat("metric_name"))
 
 
 def otel_spans(df: DataFrame) -> DataFrame:
-    """Spans with attributes at the span or its resource, nested or flat; without a span id they go. What a source doesn't declare becomes its drift."""
-    s = df.withColumn("s", F.try_parse_json("raw")).withColumn("res", F.coalesce(got("s", "$.resource.attributes", "variant"), got("s", "$.resource", "variant")))
-    a = lambda k, kind="string": got("s", f"$.attributes['{k}']", kind)
-    input_, output = F.coalesce(a("gen_ai.usage.input_tokens", "bigint"), a("gen_ai.usage.prompt_tokens", "bigint")), F.coalesce(a("gen_ai.usage.output_tokens", "bigint"), a("gen_ai.usage.completion_tokens", "bigint"))
-    error = x.span_error(F.coalesce(got("s", "$.status.code"), F.lit("")), got("s", "$.status.message"), a("http.response.status_code", "int"), a("exception.type"))
-    return s.select(
-        *place(s), got("s", "$.spanId").alias("span_id"), got("s", "$.traceId").alias("trace_id"), got("s", "$.parentSpanId").alias("parent_span_id"), got("s", "$.name").alias("operation_name"),
-        x.nanos_iso(got("s", "$.startTimeUnixNano")).alias("timestamp"), (got("s", "$.durationNano", "double") / 1e6).alias("latency_ms"), a("gen_ai.agent.id").alias("gen_ai_agent_id"), a("session.id").alias("session_id"),
-        F.coalesce(got("res", "$['service.name']"), a("service.name")).alias("service_name"), got("s", "$.kind").alias("span_kind"), got("s", "$.name").alias("span_name"),
-        F.coalesce(got("res", "$['cloud.resource_id']"), got("res", "$['service.name']")).alias("agent_endpoint_id"), F.array_compact(F.array(F.coalesce(a("gen_ai.tool.name"), a("tool.name")))).alias("tool_invocations"),
-        got("res", "$['aws.service.type']").alias("aws_service_type"), a("gen_ai.request.model").alias("gen_ai_request_model"), got("s", "$.attributes", "map<string,string>").alias("span_attributes"), x.token_total(a("gen_ai.usage.total_tokens", "bigint"), input_, output).alias("token_count"), error.alias("error_type"),
-    ).where("span_id IS NOT NULL")
+    """Spans with attributes at the span or its resource, nested or flat; without a span id they go. What a source doesn't declare becomes its drift.
+
+    Ids are spelled in camel or snake case. An empty value is as good as none; a token count under a key that is there counts even if it is null.
+    """
+    s = df.withColumn("s", F.try_parse_json("raw")).withColumn("_m", got("s", "$.attributes", "map<string,variant>"))
+    nested = got("s", "$.resource.attributes", "variant")
+    s = s.withColumn("res", F.when(F.schema_of_variant(nested).startswith("OBJECT"), nested).otherwise(got("s", "$.resource", "variant")))
+    t = lambda path: F.nullif(got("s", path), F.lit(""))
+    a = lambda k: F.nullif(got("s", f"$.attributes['{k}']"), F.lit(""))
+    r = lambda k: F.nullif(got("res", f"$['{k}']"), F.lit(""))
+    whole = lambda k: got("s", f"$.attributes['{k}']", "bigint")
+    used = lambda k, alias: F.when(F.map_contains_key("_m", k), a(k)).otherwise(a(alias))
+    input_, output = used("gen_ai.usage.input_tokens", "gen_ai.usage.prompt_tokens"), used("gen_ai.usage.output_tokens", "gen_ai.usage.completion_tokens")
+    readable = (input_.isNull() | input_.try_cast("bigint").isNotNull()) & (output.isNull() | output.try_cast("bigint").isNotNull())
+    parts = F.when(readable, x.token_total(F.lit(None).cast("bigint"), input_.try_cast("bigint"), output.try_cast("bigint")))
+    tokens = F.coalesce(whole("gen_ai.usage.total_tokens"), whole("llm.usage.total_tokens"), parts)
+    http = F.coalesce(F.nullif(whole("http.response.status_code"), F.lit(0)), whole("http.status_code"))
+    error = x.span_error(F.coalesce(got("s", "$.status.code"), F.lit("")), got("s", "$.status.message"), http, a("exception.type"))
+    lasted = F.when(F.schema_of_variant(got("s", "$.durationNano", "variant")) != "STRING", got("s", "$.durationNano", "double") / 1e6)
+    found = s.select(
+        *place(s), F.coalesce(t("$.spanId"), t("$.span_id")).alias("span_id"), F.coalesce(t("$.traceId"), t("$.trace_id")).alias("trace_id"), got("s", "$.parentSpanId").alias("parent_span_id"), got("s", "$.name").alias("operation_name"),
+        x.nanos_iso(got("s", "$.startTimeUnixNano")).alias("timestamp"), lasted.alias("latency_ms"), F.coalesce(a("gen_ai.agent.id"), a("gen_ai.agent.name"), r("service.name")).alias("gen_ai_agent_id"),
+        F.coalesce(a("session.id"), a("gen_ai.conversation.id"), a("aws.bedrock.agentcore.session.id")).alias("session_id"), r("service.name").alias("service_name"), got("s", "$.kind").alias("span_kind"), got("s", "$.name").alias("span_name"),
+        F.coalesce(r("cloud.resource_id"), r("service.name")).alias("agent_endpoint_id"), F.array_compact(F.array(F.coalesce(a("gen_ai.tool.name"), a("tool.name")))).alias("tool_invocations"), r("cloud.provider").alias("cloud_provider"),
+        r("cloud.region").alias("cloud_region"), r("aws.service.type").alias("aws_service_type"), a("gen_ai.request.model").alias("gen_ai_request_model"), got("s", "$.attributes", "map<string,string>").alias("span_attributes"), tokens.alias("token_count"), error.alias("error_type"),
+    )
+    return kept(found, F.col("span_id").isNotNull())
 
 
 def named_rows(df: DataFrame) -> DataFrame:
     """Rows by position with a list of column names to maps; short rows lack the last names."""
     shape = "struct<columns:array<struct<name:string>>,rows:array<array<string>>>"
-    t = df.select("*", F.from_json("raw", shape).alias("t")).select("*", F.col("t.columns.name").alias("names"), F.posexplode("t.rows").alias("_i", "row"))
+    t = each(df.select("*", F.from_json("raw", shape).alias("t")).select("*", F.col("t.columns.name").alias("names")), F.col("t.rows"), "_i", "row")
     n = F.least(F.size("names"), F.size("row"))
     return t.select(*place(t, "_i"), F.map_from_arrays(F.slice("names", F.lit(1), n), F.slice("row", F.lit(1), n)).alias("record"))
 
@@ -91,19 +122,20 @@ def cost_rows(df: DataFrame) -> DataFrame:
     """Cost lines of positional rows; a line needs a resource and a day."""
     r = lambda k: F.element_at("record", k)
     rows = named_rows(df)
-    return rows.select(
+    found = rows.select(
         *place(rows),
         r("ResourceId").alias("resource_id"), x.iso_day(r("UsageDate")).alias("charge_period_start"), r("Cost").try_cast("double").alias("billed_cost"), r("CostUSD").try_cast("double").alias("effective_cost"),
         r("UsageQuantity").try_cast("double").alias("consumed_quantity"), r("Meter").alias("meter_name"), r("MeterCategory").alias("meter_category"), r("Currency").alias("currency"),
         x.resource_part(r("ResourceId"), "subscriptions").alias("subscription_id"), x.resource_part(r("ResourceId"), "resourcegroups").alias("resource_group"),
-    ).where("resource_id IS NOT NULL AND charge_period_start IS NOT NULL")
+    )
+    return kept(found, F.col("resource_id").isNotNull() & F.col("charge_period_start").isNotNull())
 
 
 def table_records(df: DataFrame) -> DataFrame:
     """The tables of a query's answer to a record (JSON text, ``raw``) for each row."""
     shape = "struct<tables:array<struct<columns:array<struct<name:string>>,rows:array<array<string>>>>>"
-    t = df.select("*", F.from_json("raw", shape).alias("t")).select("*", F.posexplode("t.tables").alias("_i", "table"))
-    r = t.select("*", F.posexplode("table.rows").alias("_j", "row"))
+    t = each(df.select("*", F.from_json("raw", shape).alias("t")), F.col("t.tables"), "_i", "table")
+    r = each(t, F.col("table.rows"), "_j", "row")
     n = F.least(F.size("table.columns"), F.size("row"))
     return r.select(*place(r, "_i", "_j"), F.to_json(F.map_from_arrays(F.slice("table.columns.name", F.lit(1), n), F.slice("row", F.lit(1), n))).alias("raw"))
 
@@ -116,7 +148,8 @@ def gen_ai_spans(df: DataFrame) -> DataFrame:
     n = lambda k: p(k).try_cast("double").try_cast("bigint")
     scope = p("gen_ai.system").isNotNull() | p("gen_ai.agent.id").isNotNull() | F.coalesce(p("gen_ai.operation.name").isin("invoke_agent", "create_agent"), F.lit(False))
     input_, output = F.coalesce(n("gen_ai.usage.input_tokens"), n("gen_ai.usage.prompt_tokens")), F.coalesce(n("gen_ai.usage.output_tokens"), n("gen_ai.usage.completion_tokens"))
-    return s.where(a("Id").isNotNull() & scope).select(
+    s = kept(s, a("Id").isNotNull() & scope)
+    return s.select(
         *place(s), a("Id").alias("span_id"), a("OperationId").alias("trace_id"), a("ParentId").alias("parent_span_id"), a("TimeGenerated").alias("timestamp"),
         F.coalesce(p("user.id"), p("enduser.id"), a("UserAuthenticatedId"), a("UserId")).alias("caller_id"), F.coalesce(p("gen_ai.agent.id"), p("gen_ai.assistant.id")).alias("gen_ai_agent_id"),
         p("gen_ai.agent.name").alias("gen_ai_agent_name"), F.coalesce(p("gen_ai.operation.name"), a("Name")).alias("span_kind"),
@@ -128,52 +161,79 @@ def gen_ai_spans(df: DataFrame) -> DataFrame:
 def metric_series(df: DataFrame) -> DataFrame:
     """Metrics with series of points; a point's value is its total, average, count, maximum or minimum; gaps go."""
     shape = "struct<name:struct<value:string>,timeseries:array<struct<metadatavalues:array<struct<name:struct<value:string>,value:string>>,data:array<struct<timeStamp:string,total:double,average:double,count:double,maximum:double,minimum:double>>>>>"
-    m = df.select("*", F.from_json("raw", shape).alias("m")).select("*", F.col("m.name.value").alias("metric_name"), F.posexplode("m.timeseries").alias("_i", "s"))
+    m = df.select("*", F.from_json("raw", shape).alias("m")).select("*", F.col("m.name.value").alias("metric_name"))
+    m = each(m, F.col("m.timeseries"), "_i", "s")
     dims = F.map_from_entries(F.transform(F.coalesce("s.metadatavalues", F.expr("array()")), lambda d: F.struct(F.lower(d["name"]["value"]), d["value"])))
-    points = m.select("*", dims.alias("dims"), F.posexplode("s.data").alias("_j", "d"))
+    points = each(m.withColumn("dims", dims), F.col("s.data"), "_j", "d")
     names = {"modeldeploymentname": "model_deployment_name", "modelname": "model_name", "modelversion": "model_version", "region": "region", "apiname": "api_name", "statuscode": "status_code"}
     value = F.coalesce("d.total", "d.average", "d.count", "d.maximum", "d.minimum")
-    return points.select(*place(points, "_i", "_j"), "metric_name", F.col("d.timeStamp").alias("timestamp"), value.alias("value"), *[F.element_at("dims", k).alias(v) for k, v in names.items()]).where("value IS NOT NULL")
+    found = points.select(*place(points, "_i", "_j"), "metric_name", F.col("d.timeStamp").alias("timestamp"), value.alias("value"), *[F.element_at("dims", k).alias(v) for k, v in names.items()])
+    return kept(found, F.col("value").isNotNull())
+
+
+def graph_audit(df: DataFrame) -> DataFrame:
+    """Records of a Graph audit search to audit events (``raw``): the fields of ``auditData``, and those of the record where a key is absent.
+
+    A key that is there keeps its value, null included; so the record's fields are only added under keys that ``auditData`` lacks.
+    """
+    e = df.withColumn("e", F.try_parse_json("raw")).withColumn("d", F.coalesce(got("e", "$.auditData", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)")))
+    text = lambda v: F.to_variant_object(F.struct(v.alias("v")))
+    user = F.coalesce(F.nullif(got("e", "$.userPrincipalName"), F.lit("")), got("e", "$.userId"))
+    said = {"Id": got("e", "$.id"), "CreationTime": got("e", "$.createdDateTime"), "Operation": got("e", "$.operation"), "UserId": user, "Workload": got("e", "$.service")}
+    given = F.create_map(*[v for k, value in said.items() for v in (F.lit(k), F.try_variant_get(text(value), "$.v", "variant"))])
+    lacking = F.map_filter(given, lambda k, v: ~F.map_contains_key("d", k) & v.isNotNull())
+    return e.select(*place(e), F.to_json(F.map_concat(lacking, "d")).alias("raw"))
 
 
 def audit_events(df: DataFrame) -> DataFrame:
-    """Audit events in scope: those with interaction data or of an AI workload. An inner field that is absent takes the envelope's; one that is null stays null. ``rest`` has
-    what the envelope says besides, its interaction data included."""
-    e = df.withColumn("e", F.try_parse_json("raw")).withColumn("d", got("e", "$.CopilotEventData", "variant"))
+    """Audit events in scope: those with an id, and interaction data or an AI workload. The identity and what else is said of the agent come from
+    the interaction data alone. ``rest`` has what the event says besides, its interaction data included."""
+    data = got("e", "$.CopilotEventData", "variant")
+    e = df.withColumn("e", F.try_parse_json("raw")).withColumn("d", F.when(~F.is_variant_null(data), data))
+    t = lambda path: F.nullif(got("e", path), F.lit(""))
+    i = lambda k: F.nullif(got("d", f"$.{k}"), F.lit(""))
     scope = F.col("d").isNotNull() | F.lower(got("e", "$.Workload")).isin("copilot", "aiapps", "ai")
     rest = F.map_filter(F.from_json("raw", "map<string,string>"), lambda k, v: ~k.isin(AUDIT_FIELDS) & v.isNotNull())
-    inner = F.json_object_keys(F.coalesce(F.to_json("d"), F.lit("{}")))
-    either = lambda k: F.when(F.array_contains(inner, k), got("d", f"$.{k}")).otherwise(got("e", f"$.{k}"))
-    return e.where(scope).select(
-        *place(e), got("e", "$.Id").alias("record_id"), got("e", "$.CreationTime").alias("creation_date"), got("e", "$.RecordType").alias("record_type"), got("e", "$.Operation").alias("operation"),
-        got("e", "$.UserId").alias("user_id"), got("e", "$.Workload").alias("workload"), either("AppIdentity").alias("app_identity"), either("TargetPlatformAgentId").alias("native_agent_id"),
-        either("AppHost").alias("app_host"), either("ErrorType").alias("error_type"), got("d", "$.DLPEvaluationDeferred", "boolean").cast("int").alias("dlp_evaluation_deferred"), rest.alias("rest"),
+    identity = F.coalesce(i("AppIdentity"), i("TargetPlatformAgentId"))
+    e = kept(e, scope & t("$.Id").isNotNull())
+    return e.select(
+        *place(e), t("$.Id").alias("record_id"), got("e", "$.CreationTime").alias("creation_date"), got("e", "$.RecordType").alias("record_type"), got("e", "$.Operation").alias("operation"),
+        got("e", "$.UserId").alias("user_id"), t("$.Workload").alias("workload"), identity.alias("app_identity"), identity.alias("native_agent_id"), F.coalesce(i("AppHost"), i("ChannelName")).alias("app_host"),
+        i("ErrorType").alias("error_type"), got("d", "$.DLPEvaluationDeferred", "boolean").cast("int").alias("dlp_evaluation_deferred"), rest.alias("rest"),
     )
 
 
 def agent_details(df: DataFrame) -> DataFrame:
     """Catalogue entries with their definitions read: ``native_agent_id, agent_name, ..., instructions, skills, connectors``.
 
-    Definitions are JSON inside JSON in three dialects; of a list's items, objects give their name and text is itself.
+    Definitions are JSON inside JSON in three dialects; of a list's items, objects give their name and text is itself. Lists keep the
+    order of the definitions, and in each its own items before those of its tools. Who says nothing of being blocked is neither enabled nor not.
     """
     docs = envelope(df)
+    said = lambda path: x.text(got("doc", path))
     base = docs.select(
-        got("doc", "$.id").alias("native_agent_id"), x.text(got("doc", "$.displayName")).alias("agent_name"), got("doc", "$.platform").alias("agent_type"), got("doc", "$.publisher").alias("publisher"), got("doc", "$.ownerId").alias("owner_id"),
-        F.coalesce(x.text(got("doc", "$.longDescription")), x.text(got("doc", "$.shortDescription"))).alias("description"), (~F.coalesce(got("doc", "$.isBlocked", "boolean"), F.lit(False))).cast("int").alias("enabled"),
+        *place(docs), "pos", said("$.id").alias("native_agent_id"), said("$.displayName").alias("agent_name"), said("$.platform").alias("agent_type"), said("$.publisher").alias("publisher"), said("$.ownerId").alias("owner_id"),
+        F.coalesce(said("$.longDescription"), said("$.shortDescription")).alias("description"), (~got("doc", "$.isBlocked", "boolean")).cast("int").alias("enabled"), F.coalesce(said("$.availableTo"), said("$.deployedTo")).alias("status"),
+        x.dotnet_date(got("doc", "$.createdDateTime")).alias("created"), x.dotnet_date(got("doc", "$.lastModifiedDateTime")).alias("last_modified"),
         F.expr("transform(flatten(transform(coalesce(try_variant_get(doc, '$.elementDetails', 'array<variant>'), array()), d -> coalesce(try_variant_get(d, '$.elements', 'array<variant>'), array()))), e -> try_parse_json(try_variant_get(e, '$.definition', 'string')))").alias("defs"),
     ).where("native_agent_id IS NOT NULL")
-    either = "coalesce(nullif(try_variant_get(d, '$.instructions', 'string'), ''), nullif(try_variant_get(d, '$.Instructions', 'string'), ''))"
-    prompt = F.expr(f"try_element_at(filter(transform(defs, d -> {either}), i -> i IS NOT NULL), 1)")
-    name = "nullif(coalesce(if(schema_of_variant(i) LIKE 'OBJECT%', try_variant_get(i, '$.name', 'string'), try_variant_get(i, '$', 'string')){more}), '')"
-    listed = "flatten(transform(defs, d -> transform(coalesce(try_variant_get(d, '$.{key}', 'array<variant>'), array()), i -> " + name + ")))"
-    tools = "flatten(transform(defs, d -> coalesce(try_variant_get(d, '$.Tools', 'array<variant>'), array())))"
-    tool = "transform(filter(" + tools + ", t -> try_variant_get(t, '$.metadata.tool_type', 'string') = '{kind}'), t -> {value})"
-    skills = F.expr("concat(" + listed.format(key="capabilities", more="") + ", " + tool.format(kind="capability", value="coalesce(try_variant_get(t, '$.metadata.capability_type', 'string'), try_variant_get(t, '$.name', 'string'))") + ")")
-    actions = F.expr(listed.format(key="actions", more=", if(schema_of_variant(i) LIKE 'OBJECT%', try_variant_get(i, '$.id', 'string'), NULL)"))
-    calls = F.transform(F.expr(tool.format(kind="api_action", value="try_variant_get(t, '$.name', 'string')")), lambda n: x.connector_service(n))
-    clean = lambda a: F.array_distinct(F.array_compact(a))
-    found = base.withColumn("instructions", prompt)
-    return found.withColumn("skills", clean(skills)).withColumn("connectors", clean(F.concat(actions, calls))).withColumn("config_hash", F.when(x.text("instructions").isNotNull(), x.hash16("instructions"))).drop("defs")
+    given = lambda v, path: F.nullif(F.try_variant_get(v, path, "string"), F.lit(""))
+    items = lambda d, key: F.coalesce(F.try_variant_get(d, f"$.{key}", "array<variant>"), F.expr("cast(array() as array<variant>)"))
+    is_object = lambda i: F.schema_of_variant(i).startswith("OBJECT")
+
+    def named(d: Column, key: str, *fields: str) -> Column:
+        return F.transform(items(d, key), lambda i: F.when(is_object(i), F.coalesce(*[given(i, f"$.{f}") for f in fields])).otherwise(given(i, "$")))
+
+    def tools(d: Column, kind: str, value) -> Column:
+        return F.transform(F.filter(items(d, "Tools"), lambda t: F.try_variant_get(t, "$.metadata.tool_type", "string") == kind), value)
+
+    skills = F.transform("defs", lambda d: F.concat(named(d, "capabilities", "name"), tools(d, "capability", lambda t: F.coalesce(given(t, "$.metadata.capability_type"), given(t, "$.name")))))
+    connectors = F.transform("defs", lambda d: F.concat(named(d, "actions", "name", "id"), tools(d, "api_action", lambda t: x.connector_service(given(t, "$.name")))))
+    clean = lambda a: F.array_distinct(F.array_compact(F.flatten(F.filter(a, lambda v: v.isNotNull()))))
+    prompt = F.try_element_at(F.filter(F.transform("defs", lambda d: F.coalesce(given(d, "$.instructions"), given(d, "$.Instructions"))), lambda i: i.isNotNull()), F.lit(1))
+    found = base.withColumns({"instructions": prompt, "skills": clean(skills), "connectors": clean(connectors)}).drop("defs")
+    told = F.coalesce("instructions", "description")
+    return found.withColumn("config_hash", F.when(x.text(told).isNotNull(), x.hash16(told)))
 
 
 def wide_to_long(df: DataFrame, keys: list[str], columns: list[str], name: str, value: str) -> DataFrame:

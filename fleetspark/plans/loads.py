@@ -45,16 +45,27 @@ def flatten_metric_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "flatten_spans",
     """SELECT 's' || event_id AS span_id, 't' || CAST(event_id // 5 AS VARCHAR) AS trace_id, event_type AS operation_name, CASE WHEN event_id % 2 = 0 THEN 'svc' || user_id END AS service_name,
-    CASE WHEN event_id % 3 = 0 THEN CAST(floor(value) AS BIGINT) WHEN event_id % 3 = 1 THEN CAST(floor(value) AS BIGINT) + 7 END AS token_count,
-    CASE WHEN event_type = 'error' THEN 'boom' WHEN event_type = 'signup' THEN 'HTTP 500' END AS error_type FROM events WHERE event_id % 10 <> 9""",
+    CASE WHEN event_id % 2 = 0 THEN 'r1' END AS cloud_region, CASE event_id % 4 WHEN 0 THEN CAST(floor(value) AS BIGINT) WHEN 1 THEN CAST(floor(value) AS BIGINT) + 1 WHEN 2 THEN CAST(floor(value) AS BIGINT) + 7 END AS token_count,
+    CASE event_id % 3 WHEN 0 THEN 'a' || user_id WHEN 1 THEN 'n' || user_id ELSE CASE WHEN event_id % 2 = 0 THEN 'svc' || user_id END END AS gen_ai_agent_id,
+    CASE event_id % 5 WHEN 0 THEN 's0' WHEN 1 THEN 's1' WHEN 2 THEN 's2' END AS session_id,
+    CASE event_type WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'boom' END WHEN 'purchase' THEN 'ERROR' WHEN 'signup' THEN 'HTTP 500' WHEN 'click' THEN 'HTTP 503' WHEN 'view' THEN 'E' END AS error_type FROM events WHERE event_id % 10 <> 9""",
 )
 def flatten_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attributes = """map_filter(map('gen_ai.usage.total_tokens', if(event_id % 3 = 0, string(bigint(floor(value))), NULL), 'gen_ai.usage.input_tokens', if(event_id % 3 = 1, string(bigint(floor(value))), NULL),
-        'gen_ai.usage.completion_tokens', if(event_id % 3 = 1, '7', NULL), 'http.response.status_code', if(event_type = 'signup', '500', NULL)), (k, v) -> v IS NOT NULL)"""
-    text = f"""named_struct('spanId', if(event_id % 10 = 9, NULL, concat('s', event_id)), 'traceId', concat('t', event_id div 5), 'name', event_type,
-        'status', if(event_type = 'error', named_struct('code', 'STATUS_ERROR', 'message', 'boom'), NULL),
-        'attributes', {attributes}, 'resource', if(event_id % 2 = 0, map('service.name', concat('svc', user_id)), NULL))"""
-    return flatten.otel_spans(_json(table(spark, sf_dir, "events"), text)).select("span_id", "trace_id", "operation_name", "service_name", "token_count", "error_type")
+    """Every spelling and alias of ids, agents, sessions, tokens and errors; a status that only looks like an error isn't one."""
+    said = {
+        "gen_ai.usage.total_tokens": "if(event_id % 4 = 0, string(bigint(floor(value))), NULL)", "llm.usage.total_tokens": "if(event_id % 4 = 1, string(bigint(floor(value)) + 1), NULL)",
+        "gen_ai.usage.input_tokens": "if(event_id % 4 = 2, string(bigint(floor(value))), NULL)", "gen_ai.usage.completion_tokens": "if(event_id % 4 = 2, '7', NULL)",
+        "gen_ai.agent.id": "if(event_id % 3 = 0, concat('a', user_id), if(event_id % 3 = 1, '', NULL))", "gen_ai.agent.name": "if(event_id % 3 = 1, concat('n', user_id), NULL)",
+        "session.id": "if(event_id % 5 = 0, 's0', NULL)", "gen_ai.conversation.id": "if(event_id % 5 < 2, 's1', NULL)", "aws.bedrock.agentcore.session.id": "if(event_id % 5 < 3, 's2', NULL)",
+        "http.response.status_code": "if(event_type = 'signup', '500', NULL)", "http.status_code": "if(event_type = 'click', '503', NULL)", "exception.type": "if(event_type = 'view', 'E', NULL)",
+    }
+    attributes = f"map_filter(map({', '.join(f'{k!r}, {v}' for k, v in said.items())}), (k, v) -> v IS NOT NULL)"
+    text = f"""named_struct('spanId', if(event_id % 10 >= 8, NULL, concat('s', event_id)), 'span_id', if(event_id % 10 = 8, concat('s', event_id), NULL), 'traceId', if(event_id % 10 = 8, NULL, concat('t', event_id div 5)),
+        'trace_id', if(event_id % 10 = 8, concat('t', event_id div 5), NULL), 'name', event_type,
+        'status', CASE event_type WHEN 'error' THEN named_struct('code', if(event_id % 2 = 0, 'STATUS_CODE_ERROR', 'STATUS_ERROR'), 'message', 'boom') WHEN 'purchase' THEN named_struct('code', 'error', 'message', '') END,
+        'attributes', {attributes}, 'resource', if(event_id % 2 = 0, map('service.name', concat('svc', user_id), 'cloud.region', 'r1'), NULL))"""
+    found = flatten.otel_spans(_json(table(spark, sf_dir, "events"), text))
+    return found.select("span_id", "trace_id", "operation_name", "service_name", "cloud_region", "token_count", "gen_ai_agent_id", "session_id", "error_type")
 
 
 @query("flatten_cost_rows", "SELECT '/subscriptions/s' || CAST(o_custkey % 9 AS VARCHAR) || '/resourceGroups/g' || CAST(o_custkey % 5 AS VARCHAR) AS resource_id, strftime(o_orderdate, '%Y-%m-%d') AS charge_period_start, o_totalprice AS billed_cost, 's' || CAST(o_custkey % 9 AS VARCHAR) AS subscription_id, 'g' || CAST(o_custkey % 5 AS VARCHAR) AS resource_group FROM orders WHERE o_orderkey % 6 <> 0")
@@ -72,11 +83,13 @@ def flatten_metric_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.metric_series(_json(table(spark, sf_dir, "events"), text)).select("metric_name", "timestamp", "value", "model_deployment_name")
 
 
-@query("flatten_audit", "SELECT 'a' || event_id AS record_id, event_type AS operation, CASE WHEN event_type = 'view' THEN 'Copilot' ELSE 'Exchange' END AS workload, CASE WHEN event_id % 3 = 0 THEN 'inner' WHEN event_id % 3 = 1 THEN 'outer' ELSE 'outer' END AS app_host FROM events WHERE event_id % 3 <> 2 OR event_type = 'view'")
+@query("flatten_audit", "SELECT 'a' || event_id AS record_id, event_type AS operation, CASE WHEN event_type = 'view' THEN 'Copilot' ELSE 'Exchange' END AS workload, CASE event_id % 6 WHEN 0 THEN 'app' WHEN 3 THEN 'agent' END AS app_identity, CASE event_id % 3 WHEN 0 THEN 'inner' WHEN 1 THEN 'channel' END AS app_host FROM events WHERE event_id % 7 <> 0 AND (event_id % 3 <> 2 OR event_type = 'view')")
 def flatten_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = """named_struct('Id', concat('a', event_id), 'Operation', event_type, 'Workload', if(event_type = 'view', 'Copilot', 'Exchange'), 'AppHost', 'outer',
-        'CopilotEventData', if(event_id % 3 = 2, NULL, named_struct('ThreadId', 'x', 'AppHost', if(event_id % 3 = 0, 'inner', NULL))))"""
-    return flatten.audit_events(_json(table(spark, sf_dir, "events"), text)).select("record_id", "operation", "workload", "app_host")
+    """Events without an id or out of scope go; identity and host come from the interaction data, whatever the event itself says."""
+    text = """named_struct('Id', if(event_id % 7 = 0, if(event_id % 2 = 0, '', NULL), concat('a', event_id)), 'Operation', event_type, 'Workload', if(event_type = 'view', 'Copilot', 'Exchange'), 'AppHost', 'outer', 'AppIdentity', 'outer',
+        'CopilotEventData', if(event_id % 3 = 2, NULL, named_struct('ThreadId', 'x', 'AppHost', if(event_id % 3 = 0, 'inner', ''), 'ChannelName', 'channel',
+            'AppIdentity', if(event_id % 6 = 0, 'app', if(event_id % 6 = 3, '', NULL)), 'TargetPlatformAgentId', if(event_id % 3 = 0, 'agent', NULL))))"""
+    return flatten.audit_events(_json(table(spark, sf_dir, "events"), text)).select("record_id", "operation", "workload", "app_identity", "app_host")
 
 
 @query("flatten_agents", "SELECT 'p' || CAST(p_partkey AS VARCHAR) AS native_agent_id, p_name AS agent_name, CASE WHEN p_partkey % 3 <> 2 THEN p_type END AS instructions, CASE WHEN p_partkey % 3 <> 2 THEN substr(sha256(p_type), 1, 16) END AS config_hash, p_brand AS skill FROM part")

@@ -47,11 +47,14 @@ def source_bedrock_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _valid(spark, sf_dir, "bedrock_metrics", text, identity).select("metric_name", "model_id", "timestamp", "value")
 
 
-@query("source_bedrock_traces", _first("'s' || h AS span_id, 'a' || user_id AS gen_ai_agent_id, event_id + 7 AS token_count, CASE WHEN event_type = 'error' THEN 'boom' END AS error_type", "event_id % 5 <> 0"))
+@query("source_bedrock_traces", _first("'s' || h AS span_id, 't' || h AS trace_id, CASE WHEN event_id % 3 = 0 THEN 'a' || user_id ELSE 'svc' END AS gen_ai_agent_id, 'c' || user_id AS session_id, event_id + 7 AS token_count, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'boom' WHEN event_type = 'view' THEN 'HTTP 503' END AS error_type, 'r1' AS region", "event_id % 5 <> 0"))
 def source_bedrock_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = """named_struct('spanId', if(event_id % 5 = 0, NULL, concat('s', event_id div 2)), 'startTimeUnixNano', '1700000000000000000', 'status', if(event_type = 'error', named_struct('code', 'STATUS_ERROR', 'message', 'boom'), NULL),
-        'attributes', map('gen_ai.agent.id', concat('a', user_id), 'gen_ai.usage.input_tokens', string(event_id), 'gen_ai.usage.output_tokens', '7'))"""
-    return _valid(spark, sf_dir, "bedrock_traces", text).select("span_id", "gen_ai_agent_id", "token_count", "error_type")
+    text = """named_struct('spanId', if(event_id % 5 = 0 OR event_id % 5 = 1, NULL, concat('s', event_id div 2)), 'span_id', if(event_id % 5 = 1, concat('s', event_id div 2), NULL), 'trace_id', concat('t', event_id div 2), 'startTimeUnixNano', '1700000000000000000',
+        'status', if(event_type = 'error', named_struct('code', if(event_id % 2 = 0, 'STATUS_CODE_ERROR', 'STATUS_ERROR'), 'message', 'boom'), NULL),
+        'attributes', map_filter(map('gen_ai.agent.name', if(event_id % 3 = 0, concat('a', user_id), NULL), 'gen_ai.conversation.id', concat('c', user_id), 'gen_ai.usage.input_tokens', string(event_id), 'gen_ai.usage.output_tokens', '7',
+            'http.status_code', if(event_type = 'view', '503', NULL)), (k, v) -> v IS NOT NULL),
+        'resource', named_struct('attributes', map('service.name', 'svc', 'cloud.region', 'r1')))"""
+    return _valid(spark, sf_dir, "bedrock_traces", text).select("span_id", "trace_id", "gen_ai_agent_id", "session_id", "token_count", "error_type", F.get_json_object("_drift", "$.cloud_region").alias("region"))
 
 
 @query("source_foundry_cost", _first("'/subscriptions/s/resourceGroups/g/r' || h AS resource_id, '2024-01-31' AS charge_period_start, 'm' AS meter_name, value AS billed_cost, 's' AS subscription_id, 'g' AS resource_group", "event_id % 5 <> 0"))
@@ -91,17 +94,43 @@ def source_m365_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _valid(spark, sf_dir, "m365_user_activity", text).select("user_id", "report_date", "product", "activity_count")
 
 
-@query("source_purview_audit", _first("'a' || h AS record_id, event_type AS operation, 'inner' AS app_identity", "event_type <> 'click'"))
+@query("source_purview_audit", _first("'a' || h AS record_id, event_type AS operation, CASE WHEN event_id % 3 = 0 THEN 'inner' ELSE 'target' END AS app_identity", "event_type <> 'click' AND event_id % 7 <> 0"))
 def source_purview_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = "named_struct('Id', concat('a', event_id div 2), 'CreationTime', 't', 'Operation', event_type, 'Workload', 'Exchange', 'CopilotEventData', if(event_type = 'click', NULL, named_struct('AppIdentity', 'inner')))"
+    """Clicks are out of scope, and so is an event without an id."""
+    text = """named_struct('Id', if(event_id % 7 = 0, NULL, concat('a', event_id div 2)), 'CreationTime', 't', 'Operation', event_type, 'Workload', 'Exchange', 'AppIdentity', 'outer',
+        'CopilotEventData', if(event_type = 'click', NULL, named_struct('AppIdentity', if(event_id % 3 = 0, 'inner', NULL), 'TargetPlatformAgentId', 'target')))"""
     return _valid(spark, sf_dir, "purview_audit", text).select("record_id", "operation", "app_identity")
 
 
-@query("source_purview_audit_drift", _first("'a' || h AS record_id, 'ip' || user_id AS client, CASE WHEN event_type = 'view' THEN NULL ELSE '{\"AppIdentity\":\"inner\"}' END AS interaction, 'host' AS app_host", "event_type <> 'click'"))
+@query("source_audit_rejects", "SELECT count(*) FILTER (WHERE event_id % 17 <> 0 AND event_id % 7 <> 0) AS valid, count(*) FILTER (WHERE event_id % 17 = 0) AS rejected FROM events")
+def source_audit_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event without an id is dropped, not quarantined; broken text is quarantined."""
+    text = "named_struct('Id', if(event_id % 7 = 0, NULL, concat('a', event_id)), 'CreationTime', 't', 'Workload', 'AI')"
+    valid, rejected, _ = pipelines.run(_pages(spark, sf_dir, text), pipelines.SOURCES["purview_audit"])
+    return valid.agg(F.count("*").alias("valid")).crossJoin(rejected.agg(F.count("*").alias("rejected")))  # one row each
+
+
+@query(
+    "source_audit_graph",
+    """SELECT CASE WHEN event_id % 4 = 2 THEN 'own' || event_id ELSE 'g' || event_id END AS record_id, 't' || event_id AS creation_date, CASE event_id % 4 WHEN 1 THEN NULL WHEN 2 THEN 'inner' ELSE event_type END AS operation,
+    CASE WHEN event_id % 4 = 2 THEN NULL WHEN event_id % 3 = 0 THEN 'u' || user_id ELSE 'id' || user_id END AS user_id, CASE WHEN event_id % 4 = 1 THEN NULL WHEN event_type = 'view' THEN 'Copilot' ELSE 'Exchange' END AS workload,
+    CASE event_id % 4 WHEN 1 THEN 'a' || user_id WHEN 2 THEN 'b' || user_id END AS app_identity
+    FROM events WHERE event_id % 17 <> 0 AND (event_id % 4 IN (1, 2) OR event_type = 'view')""",
+)
+def source_audit_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph records whose audit data lacks a key, has it as null, or has it; or that have no audit data."""
+    data = """CASE event_id % 4 WHEN 0 THEN parse_json('{}') WHEN 1 THEN parse_json(concat('{"Operation":null,"Workload":null,"CopilotEventData":{"AppIdentity":"a', user_id, '"}}'))
+        WHEN 2 THEN parse_json(concat('{"Id":"own', event_id, '","Operation":"inner","UserId":null,"CopilotEventData":{"AppIdentity":"","TargetPlatformAgentId":"b', user_id, '"}}')) END"""
+    text = f"""named_struct('id', concat('g', event_id), 'createdDateTime', concat('t', event_id), 'operation', event_type, 'userPrincipalName', if(event_id % 3 = 0, concat('u', user_id), ''), 'userId', concat('id', user_id),
+        'service', if(event_type = 'view', 'Copilot', 'Exchange'), 'auditData', {data})"""
+    return _valid(spark, sf_dir, "audit_graph", text).select("record_id", "creation_date", "operation", "user_id", "workload", "app_identity")
+
+
+@query("source_purview_audit_drift", _first("'a' || h AS record_id, 'ip' || user_id AS client, CASE WHEN event_type = 'view' THEN NULL ELSE '{\"AppIdentity\":\"inner\",\"AppHost\":\"host\"}' END AS interaction, CASE WHEN event_type <> 'view' THEN 'host' END AS app_host", "event_type <> 'click'"))
 def source_purview_audit_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an event says besides its columns is kept as drift."""
     text = """named_struct('Id', concat('a', event_id div 2), 'CreationTime', 't', 'Operation', event_type, 'Workload', if(event_type = 'view', 'AI', 'Exchange'), 'ClientIP', concat('ip', user_id), 'AppHost', 'host',
-        'CopilotEventData', if(event_type IN ('click', 'view'), NULL, named_struct('AppIdentity', 'inner')))"""
+        'CopilotEventData', if(event_type IN ('click', 'view'), NULL, named_struct('AppIdentity', 'inner', 'AppHost', 'host')))"""
     said = lambda k: F.get_json_object("_drift", f"$.{k}")
     return _valid(spark, sf_dir, "purview_audit", text).select("record_id", said("ClientIP").alias("client"), said("CopilotEventData").alias("interaction"), said("app_host").alias("app_host"))
 

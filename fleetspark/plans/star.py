@@ -466,11 +466,11 @@ def scalar_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "flatten_agent_attributes",
-    """SELECT 'p' || p_partkey AS native_agent_id, p_brand AS agent_type, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type END AS description, CASE WHEN p_partkey % 4 = 0 THEN 0 ELSE 1 END AS enabled, p_type AS owner_id,
+    """SELECT 'p' || p_partkey AS native_agent_id, p_brand AS agent_type, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type END AS description, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 END AS enabled, p_type AS owner_id,
     unnest(['Jira', p_brand]) AS connector FROM part""",
 )
 def flatten_agent_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue entries with their attributes (the short description where there is no long one, enabled unless blocked) and connectors by service."""
+    """Catalogue entries with their attributes (the short description where there is no long one, enabled if said not to be blocked) and connectors by service."""
     text = """named_struct('value', array(named_struct('id', concat('p', p_partkey), 'displayName', p_name, 'platform', p_brand, 'ownerId', p_type, 'isBlocked', if(p_partkey % 4 = 0, true, if(p_partkey % 4 = 1, false, NULL)),
         'longDescription', if(p_partkey % 3 = 0, p_name, ' '), 'shortDescription', p_type, 'elementDetails', array(named_struct('elements', array(named_struct('definition', to_json(named_struct(
             'Tools', array(named_struct('name', 'Jira issues', 'metadata', named_struct('tool_type', 'api_action')), named_struct('name', p_brand, 'metadata', named_struct('tool_type', 'api_action')), named_struct('name', 'Jira', 'metadata', named_struct('tool_type', 'api_action'))))))))))))"""

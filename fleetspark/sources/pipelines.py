@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetspark.operators import flatten, quality
+from fleetspark.sources.scratch import folder
 
 
 @dataclass(frozen=True)
 class Source:
-    """A source: where it lands, its columns (``name type``), required ones, the key of a record, allowed values, and how its
-    payloads become records: functions of ``flatten`` in order, each with the lists a payload must have for it."""
+    """A source: where it lands, its columns (``name type``), required ones, the key of a record, allowed values, how its
+    payloads become records: functions of ``flatten`` in order, each with the lists a payload must have for it; and columns of
+    which a record has one and a payload none (by default the required ones)."""
 
     landing: str
     columns: str
@@ -23,6 +25,7 @@ class Source:
     key: list[str]
     enums: dict[str, list[str]] = field(default_factory=dict)
     steps: tuple[tuple[Callable[..., DataFrame], list[str]], ...] = ()
+    own: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -37,9 +40,9 @@ def _metric_points(pages: DataFrame, identity: DataFrame) -> DataFrame:
 def _audit_records(pages: DataFrame) -> DataFrame:
     """Audit events as records (``raw``) that also hold what has no column, so that it is kept as drift."""
     flat = flatten.audit_events(pages)
-    told = [c for c in flat.columns if c not in ("_file", "_row", "_pos", "rest")]
+    told = [c for c in flat.columns if c not in ("_file", "_row", "_pos", "_pass", "rest")]
     own = F.map_filter(F.create_map(*[v for c in told for v in (F.lit(c), F.col(c).cast("string"))]), lambda k, v: v.isNotNull())
-    return flat.select(F.to_json(F.map_concat("rest", own)).alias("raw"), "_file", "_row", "_pos")
+    return flat.select(*flatten.place(flat), F.to_json(F.map_concat("rest", own)).alias("raw"))
 
 
 # Record schemas, keys and landing paths of the sources.
@@ -47,7 +50,7 @@ SOURCES = {
     "bedrock_cost": Source("bedrock/cost", "time_period_start string, service string, usage_type string, operation string, unblended_cost double, usage_quantity double", ["time_period_start"], ["usage_type", "operation", "time_period_start"], steps=((flatten.cost_buckets, ["Groups"]),)),
     "bedrock_invocations": Source("bedrock/invocation_logs", "request_id string, timestamp string, schema_type string, account_id string, identity_arn string, region string, operation string, model_id string, input_token_count long, output_token_count long", ["request_id"], ["request_id", "timestamp"], steps=((flatten.log_envelope, []),)),
     "bedrock_metrics": Source("bedrock/metrics", "metric_name string, timestamp string, value double, model_id string, operation_name string, namespace string", ["metric_name", "timestamp"], ["metric_name", "model_id", "timestamp"], steps=((_metric_points, ["Timestamps", "Values"]),)),
-    "bedrock_traces": Source("bedrock/traces", "span_id string, trace_id string, timestamp string, agent_endpoint_id string, session_id string, gen_ai_agent_id string, tool_invocations array<string>, latency_ms double, token_count long, error_type string", ["span_id"], ["span_id", "timestamp"], steps=((flatten.otel_spans, []),)),
+    "bedrock_traces": Source("bedrock/traces", "span_id string, trace_id string, timestamp string, agent_endpoint_id string, session_id string, gen_ai_agent_id string, tool_invocations array<string>, latency_ms double, token_count long, error_type string", ["span_id"], ["span_id", "timestamp"], steps=((flatten.otel_spans, []),), own=("timestamp", "agent_endpoint_id", "gen_ai_agent_id", "token_count")),
     "foundry_cost": Source("foundry/cost", "resource_id string, charge_period_start string, billed_cost double, effective_cost double, consumed_quantity double, consumed_unit string, meter_category string, meter_name string, subscription_id string, resource_group string, tags map<string,string>", ["resource_id", "charge_period_start"], ["resource_id", "meter_name", "charge_period_start"], steps=((flatten.cost_rows, ["columns", "rows"]),)),
     "foundry_metrics": Source("foundry/metrics", "metric_name string, timestamp string, value double, model_deployment_name string, model_name string, model_version string, region string, api_name string, status_code string", ["metric_name", "timestamp"], ["metric_name", "model_deployment_name", "timestamp"], steps=((flatten.metric_series, ["timeseries"]),)),
     "foundry_traces": Source("foundry/traces", "span_id string, trace_id string, parent_span_id string, timestamp string, gen_ai_agent_id string, gen_ai_agent_name string, caller_id string, span_kind string, model_name string, model_version string, deployment_name string, prompt_tokens long, completion_tokens long, total_tokens long, latency_ms double, status_code string, tool_calls array<string>", ["span_id"], ["span_id", "timestamp"], steps=((flatten.table_records, ["tables"]), (flatten.gen_ai_spans, []))),
@@ -55,6 +58,7 @@ SOURCES = {
     "m365_usage": Source("m365-usage", "package_id string, report_date string, agent_name string, active_users long, total_message_count long, agent_type string, last_activity string, is_anonymized boolean", ["package_id", "report_date"], ["package_id", "report_date"]),
     "m365_user_activity": Source("m365-user-activity", "user_id string, report_date string, product string, activity_count long, is_active boolean, is_anonymized boolean", ["user_id", "report_date"], ["user_id", "report_date"]),
     "purview_audit": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((_audit_records, []),)),
+    "audit_graph": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((flatten.graph_audit, []), (_audit_records, []))),
     "purview_dspm": Source("m365/purview/dspm_posture", "dspm_agent_instance_id string, assessment_date string, insider_risk_level string, sensitivity_accessed array<string>, dlp_violations long, oversharing_detected boolean, entra_agent_id string, package_id string", ["dspm_agent_instance_id"], ["dspm_agent_instance_id", "assessment_date"]),
 }
 
@@ -80,31 +84,40 @@ def parsed(pages: DataFrame, source: Source) -> DataFrame:
 
 
 def records(pages: DataFrame, source: Source, *context: DataFrame) -> DataFrame:
-    """Pages as one JSON record a row, with ``_file, _row, _pos``. A payload that is no object, that has a required column already or
-    that lacks a step's lists passes as it is, so that validation, not the step, decides on it. ``context`` goes to the steps."""
+    """Pages as one JSON record a row, with ``_file, _row, _pos``. A payload that is no object, that has a column of a record already or
+    that lacks a step's lists passes by the step as it is (``_pass``), in the same scan, so that validation, not the step, decides on it.
+    ``context`` goes to the steps."""
     rows = pages.select("raw", "_file", "_row", F.expr("cast(array() as array<int>)").alias("_pos"))
     for step, lists in source.steps:
         v = F.try_parse_json("raw")
         kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))  # noqa: B023, E731
         nested = F.schema_of_variant(v).startswith("OBJECT")
-        for k in source.required:
+        for k in source.own or source.required:
             nested &= F.try_variant_get(v, f"$.{k}", "variant").isNull()
         for k in lists:
             nested &= kind(f"$.{k}").startswith("ARRAY")
         marked = rows.withColumn("_nested", F.coalesce(nested, F.lit(False)))
-        flat = step(marked.where("_nested").drop("_nested"), *context)
-        raw = F.col("raw") if "raw" in flat.columns else F.to_json(F.struct(*[c for c in flat.columns if c not in ("_file", "_row", "_pos")]))
-        flat = flat.select(F.explode(F.array(raw)).alias("raw"), "_file", "_row", "_pos")  # a generator, so that later expressions are not merged with the step's
-        rows = marked.where("NOT _nested").drop("_nested").unionByName(flat)
+        flat = step(marked.withColumns({"_pass": F.when(~F.col("_nested"), F.struct("raw")), "raw": F.when(F.col("_nested"), F.col("raw"))}).drop("_nested"), *context)
+        made = F.col("raw") if "raw" in flat.columns else F.to_json(F.struct(*[c for c in flat.columns if c not in ("_file", "_row", "_pos", "_pass")]))
+        made = F.when(F.col("_pass").isNotNull(), F.col("_pass.raw")).otherwise(made)
+        rows = flat.select(F.explode(F.array(made)).alias("raw"), "_file", "_row", "_pos")  # a generator, so that later expressions are not merged with the step's
     return rows
 
 
 def run(pages: DataFrame, source: Source, *context: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Valid rows without repeats (containers as JSON text), quarantined rows, and one row of counts."""
-    rows = parsed(records(pages, source, *context), source)
-    good, bad = F.size("_errors") == 0, F.size("_errors") > 0
+    """Valid rows without repeats (containers as JSON text), quarantined rows, and one row of counts.
+
+    Pages are read and parsed once: the parsed rows are written, counted on the way, and all three results read what they need of them.
+    """
+    spark, rows = pages.sparkSession, parsed(records(pages, source, *context), source)
+    good = F.size("_errors") == 0
+    counts, path = Observation(), folder(spark, "source")
+    counted = rows.observe(counts, F.count_if(good).alias("valid"), F.count_if(~good).alias("invalid"), F.count_if(good & F.col("_drift").isNotNull()).alias("drifted"))
+    counted.withColumn("raw", F.when(~good, F.col("raw"))).write.parquet(path)
+    rows, told = spark.read.schema(rows.schema).parquet(path), counts.get
     names = [f.name for f in source.schema.fields]
     valid = quality.keep_first(rows.where(good), source.key, ["_file", "_row", "_pos"]).select(*names, "_drift")
-    quarantine = rows.where(bad).select(F.array_join("_errors", "; ").alias("error"), "raw")
-    stats = quality.run_stats(rows, source.key, good, F.col("_drift").isNotNull())
+    quarantine = rows.where(~good).select(F.array_join("_errors", "; ").alias("error"), "raw")
+    stats = rows.where(good).select(quality.key_text(source.key).alias("k")).distinct().agg(F.count("*").alias("kept"))
+    stats = stats.select("kept", (F.lit(told["valid"]) - F.col("kept")).alias("duplicates"), F.lit(told["invalid"]).alias("invalid"), F.lit(told["drifted"]).alias("drifted"))
     return quality.coerce_containers(valid), quarantine, stats

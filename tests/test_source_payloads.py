@@ -17,3 +17,27 @@ def test_payloads_are_flattened_or_quarantined_whole(spark):
     assert sorted((r["time_period_start"], r["usage_type"] or "") for r in valid.collect()) == [("d", "u"), ("d", "v"), ("flat", "")]
     assert sorted(r["raw"] for r in quarantine.collect()) == sorted(raw[1:3])
     assert tuple(stats.select("kept", "duplicates", "invalid").first()) == (3, 1, 2)
+
+
+def test_pages_are_scanned_once(spark, tmp_path):
+    """One scan in the plan of the parsed rows, for a source of two steps, and results by Observation; no page gives zeros."""
+    names = '{"name":"Id"},{"name":"Properties"}'
+    page = f'{{"tables":[{{"columns":[{names}],"rows":[["s1","{{\\"gen_ai.system\\":\\"x\\"}}"],["s2",null]]}}]}}'
+    rows = [(page, "f", 0), ("{bad", "f", 1), ('{"span_id":"s3","x":1}', "f", 2), ('{"span_id":"s3"}', "f", 3), (None, "f", 4)]
+    spark.createDataFrame(rows, "raw string, _file string, _row long").write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    source = pipelines.SOURCES["foundry_traces"]
+    plan = pipelines.records(pages, source)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    valid, rejected, stats = pipelines.run(pages, source)
+    assert sorted(r["span_id"] for r in valid.collect()) == ["s1", "s3"]
+    assert sorted(str(r["raw"]) for r in rejected.collect()) == ["None", "{bad"]
+    assert stats.first().asDict() == {"kept": 2, "duplicates": 1, "invalid": 2, "drifted": 1}
+    assert pipelines.run(pages.where("false"), source)[2].first().asDict() == {"kept": 0, "duplicates": 0, "invalid": 0, "drifted": 0}
+
+
+def test_a_span_in_snake_case_is_no_record(spark):
+    rows = [('{"span_id":"s1","trace_id":"t1","name":"n"}', "f", 0), ('{"span_id":"s2","timestamp":"t","extra":1}', "f", 1)]
+    valid, _, _ = pipelines.run(spark.createDataFrame(rows, "raw string, _file string, _row long"), pipelines.SOURCES["bedrock_traces"])
+    got = {r["span_id"]: r for r in valid.collect()}
+    assert got["s1"]["trace_id"] == "t1" and '"span_name":"n"' in got["s1"]["_drift"] and got["s2"]["timestamp"] == "t" and got["s2"]["_drift"] == '{"extra":"1"}'
