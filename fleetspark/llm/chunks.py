@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
 
 #: Bytes of encodings that a worker keeps for one tokenizer.
 KEPT_BYTES = 96 << 20
@@ -37,8 +36,8 @@ class Memo:
 
 def numbered(chunks: list[str]) -> tuple[np.ndarray, list[str]]:
     """Of each chunk its place among the distinct ones, and these."""
-    coded = pa.array(chunks, pa.large_string()).dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    places = {c: i for i, c in enumerate(dict.fromkeys(chunks))}
+    return np.fromiter(map(places.__getitem__, chunks), np.int64, len(chunks)), list(places)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -22,7 +22,9 @@ a repeated id doesn't fill one task; a task sorts its range on disk if need be a
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetspark.llm import chunks
+from fleetspark.llm.alignment import byte_letters
 from fleetspark.llm.common import broadcast_if_small, short_batches, whole
 
 #: Bytes of a stripe before compression, rows of a row group, and the share of other ids that a Bloom filter lets pass.
@@ -43,39 +46,81 @@ STRIPE_BYTES, GROUP_ROWS, FALSE_SHARE = 16 << 20, 1000, 0.01
 READ_ROWS, CHECK_ROWS = 512, 100
 
 
+#: How the tokenizer of words cuts a text, by its file. Only for files that say so are short words cut here.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words in which nothing composes and no letter's case depends on its neighbours, and their pieces in lower case.
+_SIMPLE = re.compile(r"[\n\t -&(-~À-ÖØ-öø-ÿ]*\Z")
+_SIMPLE_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\n\t 0-9a-zß-öø-ÿ]+")
+
+
 class WordIds:
-    """Encodings of texts by a file of the tokenizers library."""
+    """Encodings of texts by a file of the tokenizers library, as little-endian 32-bit ids.
+
+    A word of ASCII and Latin-1 characters without an apostrophe is cut by the file's own pattern, in short, and the library's model encodes
+    each new piece; any other new word goes through the library whole.
+    """
 
     def __init__(self, path: str, cut_at_spaces: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library, self.cut_at_spaces = Tokenizer.from_file(path), cut_at_spaces
-        self.words = chunks.Memo(self.encoded, lambda word, ids: 250 + len(word) + 4 * len(ids))
+        said = json.loads(self.library.to_str())
+        cut, bytes_ = ((said["pre_tokenizer"] or {}).get("pretokenizers") or [{}, {}])[:2]
+        normal = [n["type"] for n in (said["normalizer"] or {}).get("normalizers", [])]
+        self.simple = normal == _NORMALIZERS and cut.get("pattern") == {"Regex": _PIECES} and bytes_.get("type") == "ByteLevel" and said["model"]["type"] == "BPE"
+        self.special = [t["content"] for t in said["added_tokens"]]
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, list[int]] = {}
+        self.held = 0
 
     @staticmethod
     @lru_cache(maxsize=4)
     def of(path: str, cut_at_spaces: bool) -> WordIds:
         return WordIds(path, cut_at_spaces)
 
-    def encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<i4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = [t.id for t in self.library.model.tokenize(letters)]
+            self.held += 200
+        return ids
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the new ones of words; when too much is kept, all goes first."""
+        if self.held > chunks.KEPT_BYTES:
+            self.words.clear()
+            self.pieces.clear()
+            self.held = 0
+        whole_ = []
+        for word in words.difference(self.words):
+            if self.simple and _SIMPLE.match(word) and not any(s in word for s in self.special):
+                ids = [i for p in _SIMPLE_PIECES.findall(word.lower()) for i in self.piece(p)]
+                self.words[word] = np.array(ids, "<i4").tobytes()
+                self.held += 160 + len(word) + 4 * len(ids)
+            else:
+                whole_.append(word)
+        for word, ids in zip(whole_, self.encoded(whole_)):
+            self.words[word] = ids
+            self.held += 160 + len(word) + len(ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if not self.cut_at_spaces:
             return self.encoded(texts)
-        found: list[list[np.ndarray]] = [[] for _ in texts]
+        found: list[list[bytes]] = [[] for _ in texts]
         for group in chunks.slabs(texts, lambda text, at: (space + 1 if (space := text.find(" ", at)) >= 0 else len(text))):
             cut = [stretch.split(" ") for _, stretch in group]
-            at, distinct = chunks.numbered([word for words in cut for word in words])
-            entries = self.words.of(distinct)
-            lengths = np.array([len(e) for e in entries], np.int64)
-            ids = np.concatenate(entries)[chunks.ragged(chunks.before(lengths)[:-1][at], lengths[at])]
-            edges = chunks.before(lengths[at])[chunks.before(np.array([len(words) for words in cut]))]
-            for (place, _), low, high in zip(group, edges[:-1], edges[1:]):
-                found[place].append(ids[low:high])
-        return [np.concatenate(parts) if parts else np.array([], np.int32) for parts in found]
+            self.learn(set().union(*cut))
+            for (place, _), words in zip(group, cut):
+                found[place].append(b"".join(map(self.words.__getitem__, words)))
+        return [b"".join(parts) for parts in found]
 
 
 def write_tokens(
@@ -91,11 +136,12 @@ def write_tokens(
 
     def encode(batches):
         library, part, at = WordIds.of(tokenizer_path, cut_at_spaces), TaskContext.get().partitionId(), 0
+        end = np.array([end_id], "<i4").tobytes()
         for batch in batches:
-            ids = [np.append(x, np.int32(end_id)) for x in library.encode(batch["text"].to_pylist())]
-            counts = np.array([len(x) for x in ids], np.int64)
+            ids = [x + end for x in library.encode(batch["text"].to_pylist())]
+            counts = np.array([len(x) // 4 for x in ids], np.int64)
             edges = at + chunks.before(counts)
-            held = pa.ListArray.from_arrays(pa.array(edges - at, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+            held = pa.ListArray.from_arrays(pa.array(edges - at, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
             columns = [batch["doc_id"], pa.array(np.full(len(ids), part), pa.int32()), pa.array(edges[:-1]), pa.array(edges[1:]), pa.array(counts, pa.int32()), held]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
             at = int(edges[-1])

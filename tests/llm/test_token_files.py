@@ -32,8 +32,16 @@ def test_words_as_the_library_encodes_texts(library, monkeypatch):
         monkeypatch.setattr(chunks, "KEPT_BYTES", kept)
         fresh = token_files.WordIds(PATH, True)
         got = [ids for at in range(0, len(texts), 100) for ids in fresh.encode(texts[at : at + 100])]
-        assert [x.tolist() for x in got] == [plain(library, t) for t in texts]
-    assert [x.tolist() for x in token_files.WordIds(PATH, False).encode(texts[:50])] == [plain(library, t) for t in texts[:50]]
+        assert fresh.simple and [np.frombuffer(x, "<i4").tolist() for x in got] == [plain(library, t) for t in texts]
+    assert [np.frombuffer(x, "<i4").tolist() for x in token_files.WordIds(PATH, False).encode(texts[:50])] == [plain(library, t) for t in texts[:50]]
+
+
+def test_each_short_word_as_the_library_encodes_it(library):
+    """All pairs of characters of ASCII and Latin-1, and some others, cut here or not."""
+    some = [chr(c) for c in range(1, 260)] + ["Σ", "ʼ", "̈", "\u2028"]
+    fresh, words = token_files.WordIds(PATH, True), [a + b for a in some for b in some if " " not in a + b]
+    fresh.learn(set(words))
+    assert all(fresh.words[w] == np.array(e.ids, "<i4").tobytes() for w, e in zip(words, library.encode_batch(words, add_special_tokens=False)))
 
 
 ROWS = [
