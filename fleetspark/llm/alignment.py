@@ -5,8 +5,8 @@ the ends are followed by a running maximum, and a group ends where a start reach
 a group overlaps are expanded: every token of A is linked with every token of B.
 
 A text is cut at spaces behind which neither tokenizer looks back (see ``bpe``; no piece of B holds a space behind another character,
-which ``Pair`` checks). Each end of a chunk is an end of tokens of both, so groups lie inside chunks, and a worker encodes and aligns
-each distinct chunk once and keeps what came out, up to a bound.
+which ``Pair`` checks). A worker encodes each distinct chunk once and keeps its ids, up to a bound; a batch's documents are then aligned
+as one line of bytes.
 
 Corpus-wide counts: ``align`` stores a row a document with its distinct pairs of ids and how often each is linked. ``pair_counts`` counts
 documents a pair. ``with_counts`` brings the counts back: pairs that make up more than a ``HEAVY``-th of all rows number at most ``HEAVY``,
@@ -22,8 +22,10 @@ tokens of both sides is expanded by distinct ids, some ids of A at a time; rows
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -74,38 +76,36 @@ def _tallied(*keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
 def linked_pairs(owner_a: np.ndarray, ids_a: np.ndarray, group_a: np.ndarray, ids_b: np.ndarray, group_b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each owner of groups the distinct ``a * width + b`` of tokens that share a group, and how many pairs of occurrences each has.
 
-    Equal ids of a group are one entry with a number of times first. Entries of A in order of owner and id are expanded in slices that
-    end where these change, so a slice has about ``EXPAND`` pairs, or those of one id: not more than there are entries of B.
+    Up to ``EXPAND`` pairs are expanded at once. More are expanded by distinct ids: equal ids of a group are one entry with a number of
+    times, and entries of A in order of owner and id go in slices that end where these change, so a slice has about ``EXPAND`` pairs, or
+    those of one id: not more than there are entries of B.
     """
-    owner, a, ga, na = _tallied(owner_a, ids_a, group_a, times=np.ones(len(ids_a), np.int64))
-    gb, b, nb = _tallied(group_b, ids_b, times=np.ones(len(ids_b), np.int64))
-    low = np.searchsorted(gb, ga)
-    partners = np.searchsorted(gb, ga, "right") - low
-    edges = np.append(np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (owner[1:] != owner[:-1])))), len(a)) if len(a) else np.zeros(1, np.int64)
+    ones = np.ones(len(ids_a), np.int64)
+    low = np.searchsorted(group_b, group_a)
+    partners = np.searchsorted(group_b, group_a, "right") - low
+    if partners.sum() <= EXPAND:
+        owner, a, n, b, m = owner_a, ids_a, ones, ids_b, np.ones(len(ids_b), np.int64)
+        edges = np.array([0, len(a)])
+    else:
+        owner, a, group_a, n = _tallied(owner_a, ids_a, group_a, times=ones)
+        group_b, b, m = _tallied(group_b, ids_b, times=np.ones(len(ids_b), np.int64))
+        low = np.searchsorted(group_b, group_a)
+        partners = np.searchsorted(group_b, group_a, "right") - low
+        edges = np.append(np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (owner[1:] != owner[:-1])))), len(a))
     made = chunks.before(partners)[edges]
     found, at = [(np.array([], np.int64),) * 3], 0
     while at < len(edges) - 1:
         until = max(at + 1, int(np.searchsorted(made, made[at] + EXPAND, "right")) - 1)
-        entries = np.arange(edges[at], edges[until])
-        left, right = np.repeat(entries, partners[entries]), chunks.ragged(low[entries], partners[entries])
-        found.append(_tallied(owner[left], a[left] * width + b[right], times=na[left] * nb[right]))
+        entries = slice(edges[at], edges[until])
+        right = chunks.ragged(low[entries], partners[entries])
+        spread = lambda x: np.repeat(x[entries], partners[entries])  # noqa: B023, E731
+        found.append(_tallied(spread(owner), spread(a * width) + b[right], times=spread(n) * m[right]))
         at = until
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-@dataclass(slots=True)
-class Aligned:
-    """What a chunk, or a stretch of a document, gives; ``whole`` says whether both tokenizers keep its bytes."""
-
-    whole: bool
-    counts: np.ndarray  # tokens of A, tokens of B, groups, links
-    written: str  # its groups, as ids
-    keys: np.ndarray
-    times: np.ndarray
-
-
 class Pair:
-    """Two tokenizers, and alignments of chunks."""
+    """Two tokenizers, and the ids of chunks by both."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -121,42 +121,47 @@ class Pair:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece holds a space behind another character, so texts can't be cut at spaces")
         of_b = {i: bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.match(p)) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)}
-        self.bytes_a, self.bytes_b, self.width = of_a, of_b, len(pieces)
+        self.bytes_a, self.bytes_b, self.width, self.width_a = of_a, of_b, len(pieces), max(of_a) + 1
         self.lengths_a, self.lengths_b = (np.array([len(t.get(i, b"")) for i in range(max(t) + 1)], np.int64) for t in (of_a, of_b))
         self.space = self.b.piece_to_id("▁")
-        self.known = chunks.Memo(self.aligned, lambda chunk, x: 600 + len(chunk) + len(x.written) + 16 * len(x.keys))
+        self.written = [mark + b"%d" % i for mark, n in ((b",", self.width_a), (b";", self.width_a), (b",", self.width), (b"|", self.width)) for i in range(n)]
+        said = json.loads(self.a.to_str())
+        cut = said["pre_tokenizer"] or {}
+        #: Whether a space and letters are one piece, whose bytes the model encodes as they are.
+        self.letters_alone = said["normalizer"] is None and said["model"]["type"] == "BPE" and (cut.get("type"), cut.get("use_regex"), cut.get("add_prefix_space")) == ("ByteLevel", True, False)
+        self.spelled = {b_: c for c, b_ in letters.items()}
+        self.ids_a: dict[str, bytes] = {}
+        self.ids_b: dict[str, bytes] = {}
+        self.broken: set[str] = set()
+        self.held = 0
 
     @staticmethod
     @lru_cache(maxsize=4)
     def of(path_a: str, path_b: str) -> Pair:
         return Pair(path_a, path_b)
 
-    def aligned(self, texts: list[str]) -> list[Aligned]:
-        """Alignments of stretches, each with a space before it."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = [ids if t else [self.space] for t, ids in zip(texts, self.b.encode(texts, num_threads=1))]
-        good = np.array([b"".join([self.bytes_a[i] for i in x]) == (" " + t).encode() == b"".join([self.bytes_b[i] for i in y]) for t, x, y in zip(texts, a, b)])
-        a, b = ([x if g else [] for x, g in zip(ids, good)] for ids in (a, b))
-        ids_a, ids_b = (np.array([i for x in ids for i in x], np.int64) for ids in (a, b))
-        end_a, end_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
-        group_a, group_b = groups_of(end_a - self.lengths_a[ids_a], end_a, end_b - self.lengths_b[ids_b], end_b)
-        edge_a, edge_b = (chunks.before(np.array([len(x) for x in ids])) for ids in (a, b))
-        owner, keys, times = linked_pairs(np.repeat(np.arange(len(texts)), np.diff(edge_a)), ids_a, group_a, ids_b, group_b, self.width)
-        cut = np.searchsorted(owner, np.arange(len(texts) + 1))
-        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
-        at_a, at_b, links = chunks.before(n_a), chunks.before(n_b), chunks.before(n_a * n_b)
-        named_a, named_b = ids_a.astype(str).tolist(), ids_b.astype(str).tolist()
-        found = []
-        for i, whole_ in enumerate(good.tolist()):
-            la, ha, lb, hb = edge_a[i], edge_a[i + 1], edge_b[i], edge_b[i + 1]
-            if la == ha:
-                found.append(Aligned(whole_, np.zeros(4, np.int64), "", keys[:0], times[:0]))
-                continue
-            first, last = int(group_a[la]), int(group_a[ha - 1])
-            written = ";".join([f"{','.join(named_a[at_a[g]:at_a[g + 1]])}|{','.join(named_b[at_b[g]:at_b[g + 1]])}" for g in range(first, last + 1)])
-            own = slice(cut[i], cut[i + 1])
-            found.append(Aligned(whole_, np.array([ha - la, hb - lb, last + 1 - first, links[last + 1] - links[first]]), written, keys[own].copy(), times[own].copy()))
-        return found
+    def encoded_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids of stretches, each with a space before it."""
+        alone = [self.letters_alone and t.isalpha() for t in texts]
+        others = iter(self.a.encode_batch([" " + t for t, one in zip(texts, alone) if not one], add_special_tokens=False))
+        spelled = lambda t: (" " + t).encode().decode("latin-1").translate(self.spelled)
+        return [[x.id for x in self.a.model.tokenize(spelled(t))] if one else next(others).ids for t, one in zip(texts, alone)]
+
+    def learn(self, stretches: set[str]) -> None:
+        """Encode the new ones of chunks; when too much is kept, all goes first. Those whose bytes either tokenizer changes are ``broken``."""
+        if self.held > chunks.KEPT_BYTES:
+            self.ids_a.clear()
+            self.ids_b.clear()
+            self.broken.clear()
+            self.held = 0
+        fresh = list(stretches.difference(self.ids_a))
+        bytes_a, bytes_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        for t, a, b in zip(fresh, self.encoded_a(fresh), self.b.encode(fresh, num_threads=1) if fresh else ()):
+            b = b if t else [self.space]
+            if not b"".join(map(bytes_a, a)) == b" " + t.encode() == b"".join(map(bytes_b, b)):
+                self.broken.add(t)
+            self.ids_a[t], self.ids_b[t] = array("i", a).tobytes(), array("i", b).tobytes()
+            self.held += 350 + len(t) + 4 * (len(a) + len(b))
 
     def cut(self, stretch: str, later: bool) -> list[str]:
         """A stretch of a text as chunks that each have a space before them; one that isn't the first begins with its space."""
@@ -166,37 +171,66 @@ class Pair:
         first, *others = _SAFE_SPACE.split(spaced)  # the space in front has nothing behind it, so it stays with the first
         return [first[1:], *others]
 
-    def documents(self, texts: list[str]) -> list[tuple[bool, np.ndarray, str, np.ndarray, np.ndarray]]:
-        """Of each text whether it is whole, its four counts, the hash of its groups, its distinct pairs and how often each is linked."""
+    def documents(self, texts: list[str]) -> list[Aligned]:
+        """Alignments of texts, slab by slab."""
         good, counts, hashes = np.ones(len(texts), bool), np.zeros((len(texts), 4), np.int64), [hashlib.sha256() for _ in texts]
-        pairs: list[tuple[np.ndarray, ...]] = []
+        pairs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
+        begun: set[int] = set()
         for group in chunks.slabs(texts, lambda text, at: m.start() if (m := _SAFE_SPACE.search(text, at)) else len(text)):
-            cut = [self.cut(stretch, bool(counts[place, 0])) for place, stretch in group]
-            at, distinct = chunks.numbered([c for chunk in cut for c in chunk])
-            known = self.known.of(distinct)
-            edges = chunks.before(np.array([len(c) for c in cut]))
-            places = np.repeat([place for place, _ in group], np.diff(edges))
-            np.logical_and.at(good, places, np.array([x.whole for x in known])[at])
-            sums = np.array([x.counts for x in known])[at]
-            for (place, _), low, high in zip(group, edges[:-1], edges[1:]):
-                if counts[place, 0]:
-                    hashes[place].update(b";")
-                hashes[place].update(";".join([known[i].written for i in at[low:high]]).encode())
-                counts[place] += sums[low:high].sum(0)
-            lengths = np.array([len(x.keys) for x in known], np.int64)
-            take = chunks.ragged(chunks.before(lengths)[:-1][at], lengths[at])
-            pairs.append(_tallied(np.repeat(places, lengths[at]), np.concatenate([x.keys for x in known])[take], times=np.concatenate([x.times for x in known])[take]))
-        if pairs:
-            place, keys, times = _tallied(*[np.concatenate(x) for x in zip(*[p[:2] for p in pairs])], times=np.concatenate([p[2] for p in pairs])) if len(pairs) > 1 else pairs[0]
-        else:
-            place = keys = times = np.array([], np.int64)
-        edges, found = np.searchsorted(place, np.arange(len(texts) + 1)), []
-        for i in range(len(texts)):
-            kept = bool(good[i]) and bool(counts[i, 0])
-            low, high = (edges[i], edges[i + 1]) if kept else (0, 0)
-            found.append((kept, counts[i] if kept else np.zeros(4, np.int64), hashes[i].hexdigest() if kept else "", keys[low:high], times[low:high]))
+            cut = [self.cut(stretch, place in begun) for place, stretch in group]
+            self.learn(set().union(*cut))
+            for (place, _), words in zip(group, cut):
+                good[place] &= self.broken.isdisjoint(words)
+            kept = [(place, words) for (place, _), words in zip(group, cut) if good[place]]
+            a, b = ([b"".join(map(ids.__getitem__, words)) for _, words in kept] for ids in (self.ids_a, self.ids_b))
+            for (place, _), *stretch in zip(kept, *self.aligned(a, b)):
+                n, written, keys, times = stretch
+                hashes[place].update(written if place in begun else written[1:])
+                counts[place] += n
+                pairs[place].append((keys, times))
+            begun.update(place for place, _ in group)
+        found = []
+        for place in range(len(texts)):
+            if not good[place] or not pairs[place]:
+                found.append(Aligned(np.zeros(4, np.int64), "", np.array([], np.int64), np.array([], np.int64)))
+                continue
+            keys, times = pairs[place][0] if len(pairs[place]) == 1 else _tallied(np.concatenate([k for k, _ in pairs[place]]), times=np.concatenate([t for _, t in pairs[place]]))
+            found.append(Aligned(counts[place], hashes[place].hexdigest(), keys, times))
         return found
 
+    def aligned(self, a: list[bytes], b: list[bytes]) -> tuple[np.ndarray, list[bytes], list[np.ndarray], list[np.ndarray]]:
+        """Of stretches, given as ids of both: tokens of A, tokens of B, groups and links; the groups as text, each with a mark before it; the pairs of
+        ids and how often each is linked. Stretches have as many bytes by A as by B, so one line of places holds all of them."""
+        ids_a, ids_b = (np.frombuffer(b"".join(x), "<i4").astype(np.int64) for x in (a, b))
+        edge_a, edge_b = (chunks.before(np.array([len(x) // 4 for x in ids])) for ids in (a, b))
+        length_a, length_b = self.lengths_a[ids_a], self.lengths_b[ids_b]
+        end_a, end_b = np.cumsum(length_a), np.cumsum(length_b)
+        group_a, group_b = groups_of(end_a - length_a, end_a, end_b - length_b, end_b)
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        at_a, at_b, links = chunks.before(n_a), chunks.before(n_b), chunks.before(n_a * n_b)
+        edge_g = np.searchsorted(group_a, np.arange(len(n_a) + 1))  # where a group's tokens of A begin
+        edge_g = np.searchsorted(edge_g, edge_a)  # how many groups are before a stretch
+        counts = np.stack((np.diff(edge_a), np.diff(edge_b), np.diff(edge_g), np.diff(links[edge_g])), 1)
+        code = np.empty(len(ids_a) + len(ids_b), np.int64)
+        first_a, first_b = (np.concatenate(([True], g[1:] != g[:-1]))[: len(g)] for g in (group_a, group_b))
+        code[np.arange(len(ids_a)) + at_b[group_a]] = ids_a + first_a * self.width_a
+        code[np.arange(len(ids_b)) + at_a[group_b + 1]] = ids_b + 2 * self.width_a + first_b * self.width
+        word, edges = self.written.__getitem__, edge_a + edge_b
+        written = [b"".join(map(word, code[low:high].tolist())) for low, high in zip(edges[:-1], edges[1:])]
+        owner, keys, times = linked_pairs(np.repeat(np.arange(len(a)), np.diff(edge_a)), ids_a, group_a, ids_b, group_b, self.width)
+        own = np.searchsorted(owner, np.arange(len(a) + 1))
+        return counts, written, np.split(keys, own[1:-1]), np.split(times, own[1:-1])
+
+
+@dataclass(slots=True)
+class Aligned:
+    """What a document gives."""
+
+    counts: np.ndarray  # tokens of A, tokens of B, groups, links
+    groups_sha256: str
+    keys: np.ndarray
+    times: np.ndarray
+
 
 _ROWS = "doc_id {}, row long, first boolean, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, width int, pairs array<long>, links array<long>"
 
@@ -216,12 +250,12 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         for batch in batches:
             ids, numbers = batch["doc_id"].take, batch["row"].to_numpy()
             found = pair.documents(batch["text"].to_pylist())
-            parts = [(i, at) for i, x in enumerate(found) for at in range(0, max(1, len(x[3])), ROW_PAIRS)]
-            lists = [(found[i][3][at : at + ROW_PAIRS], found[i][4][at : at + ROW_PAIRS]) for i, at in parts]
+            parts = [(i, at) for i, x in enumerate(found) for at in range(0, max(1, len(x.keys)), ROW_PAIRS)]
+            lists = [(found[i].keys[at : at + ROW_PAIRS], found[i].times[at : at + ROW_PAIRS]) for i, at in parts]
             edges = pa.array(chunks.before(np.array([len(k) for k, _ in lists], np.int64)), pa.int32())
             place = np.array([i for i, _ in parts], np.int64)
-            counts = np.array([x[1] for x in found]).reshape(-1, 4)[place]
-            columns = [ids(pa.array(place)), pa.array(numbers[place]), pa.array([at == 0 for _, at in parts]), *(pa.array(c) for c in counts.T), pa.array([found[i][2] for i in place])]
+            counts = np.array([x.counts for x in found]).reshape(-1, 4)[place]
+            columns = [ids(pa.array(place)), pa.array(numbers[place]), pa.array([at == 0 for _, at in parts]), *(pa.array(c) for c in counts.T), pa.array([found[i].groups_sha256 for i in place])]
             columns += [pa.array(np.full(len(parts), pair.width, np.int32))]
             columns += [pa.ListArray.from_arrays(edges, pa.array(np.concatenate([x[k] for x in lists]) if lists else [], pa.int64())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "first", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "width", "pairs", "links"])

@@ -16,30 +16,6 @@ KEPT_BYTES = 96 << 20
 SLAB = 1 << 20
 
 
-class Memo:
-    """What ``make`` gives for chunks (a list for a list), kept up to ``KEPT_BYTES`` by ``weigh``; when full, all goes."""
-
-    def __init__(self, make: Callable[[list[str]], list], weigh: Callable[[str, object], int]):
-        self.make, self.weigh, self.kept, self.held = make, weigh, {}, 0
-
-    def of(self, chunks: list[str]) -> list:
-        """An entry for each of distinct chunks."""
-        if self.held > KEPT_BYTES:
-            self.kept.clear()
-            self.held = 0
-        fresh = [c for c in chunks if c not in self.kept]
-        for chunk, entry in zip(fresh, self.make(fresh) if fresh else ()):
-            self.kept[chunk] = entry
-            self.held += self.weigh(chunk, entry)
-        return [self.kept[c] for c in chunks]
-
-
-def numbered(chunks: list[str]) -> tuple[np.ndarray, list[str]]:
-    """Of each chunk its place among the distinct ones, and these."""
-    places = {c: i for i, c in enumerate(dict.fromkeys(chunks))}
-    return np.fromiter(map(places.__getitem__, chunks), np.int64, len(chunks)), list(places)
-
-
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places of runs of ``lengths`` from ``starts`` on, one run after the other."""
     ends = np.cumsum(lengths)

@@ -70,12 +70,12 @@ def test_documents_as_sets_of_ends_give_them(plain, monkeypatch, slab, kept, exp
     pair, batch = alignment.Pair(A, B), texts(1500)
     got = [x for at in range(0, len(batch), 50) for x in pair.documents(batch[at : at + 50])]
     some = 0
-    for text, (kept_, counts, digest, keys, times) in zip(batch, got):
+    for text, x in zip(batch, got):
         groups = plain(text)
         (row,) = plain_rows([groups])
-        assert (tuple(counts), digest) == (row[:4], row[6]), repr(text)
-        want = Counter((x * pair.width + y) for a, b in groups for x in a for y in b)
-        assert kept_ == bool(groups) and dict(zip(keys.tolist(), times.tolist())) == want and len(keys) == len(want)
+        assert (tuple(x.counts), x.groups_sha256) == (row[:4], row[6]), repr(text)
+        want = Counter((i * pair.width + j) for a, b in groups for i in a for j in b)
+        assert dict(zip(x.keys.tolist(), x.times.tolist())) == want and len(x.keys) == len(want)
         some += bool(groups)
     assert 500 < some < 1500
 
