@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Bytes of encodings that a worker keeps for one tokenizer.
-KEPT_BYTES = 96 << 20
+KEPT_BYTES = 128 << 20
 #: Characters of texts that are cut into chunks at once.
 SLAB = 1 << 20
 

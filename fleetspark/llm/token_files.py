@@ -26,6 +26,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -49,8 +50,8 @@ READ_ROWS, CHECK_ROWS = 512, 100
 #: How the tokenizer of words cuts a text, by its file. Only for files that say so are short words cut here.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words in which nothing composes and no letter's case depends on its neighbours, and their pieces in lower case.
-_SIMPLE = re.compile(r"[\n\t -&(-~À-ÖØ-öø-ÿ]*\Z")
+#: Words in which nothing composes, no letter's case depends on its neighbours and no special token can be, and their pieces in lower case.
+_SIMPLE = re.compile(r"[\n\t -&(-;=-~À-ÖØ-öø-ÿ]*\Z")
 _SIMPLE_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\n\t 0-9a-zß-öø-ÿ]+")
 
 
@@ -70,10 +71,10 @@ class WordIds:
         cut, bytes_ = ((said["pre_tokenizer"] or {}).get("pretokenizers") or [{}, {}])[:2]
         normal = [n["type"] for n in (said["normalizer"] or {}).get("normalizers", [])]
         self.simple = normal == _NORMALIZERS and cut.get("pattern") == {"Regex": _PIECES} and bytes_.get("type") == "ByteLevel" and said["model"]["type"] == "BPE"
-        self.special = [t["content"] for t in said["added_tokens"]]
+        self.simple &= all("<" in t["content"] for t in said["added_tokens"])
         self.letters = {b: c for c, b in byte_letters().items()}
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.held = 0
 
     @staticmethod
@@ -84,12 +85,9 @@ class WordIds:
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<i4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = [t.id for t in self.library.model.tokenize(letters)]
-            self.held += 200
+    def piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = self.pieces[piece] = array("i", [t.id for t in self.library.model.tokenize(letters)]).tobytes()
         return ids
 
     def learn(self, words: set[str]) -> None:
@@ -98,17 +96,19 @@ class WordIds:
             self.words.clear()
             self.pieces.clear()
             self.held = 0
-        whole_ = []
-        for word in words.difference(self.words):
-            if self.simple and _SIMPLE.match(word) and not any(s in word for s in self.special):
-                ids = [i for p in _SIMPLE_PIECES.findall(word.lower()) for i in self.piece(p)]
-                self.words[word] = np.array(ids, "<i4").tobytes()
-                self.held += 160 + len(word) + 4 * len(ids)
+        fresh = words.difference(self.words)
+        known, made, whole_ = self.pieces, self.words, []
+        before = len(known)
+        for word in fresh:
+            if self.simple and word.isascii() and word.isalpha():
+                piece = word.lower()
+                made[word] = known.get(piece) or self.piece(piece)
+            elif self.simple and _SIMPLE.match(word):
+                made[word] = b"".join([known.get(p) or self.piece(p) for p in _SIMPLE_PIECES.findall(word.lower())])
             else:
                 whole_.append(word)
-        for word, ids in zip(whole_, self.encoded(whole_)):
-            self.words[word] = ids
-            self.held += 160 + len(word) + len(ids)
+        made.update(zip(whole_, self.encoded(whole_)))
+        self.held += sum(map(len, fresh)) + 4 * sum(len(made[w]) for w in whole_) + 180 * (len(fresh) + len(known) - before)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
