@@ -20,9 +20,9 @@ UPDATE_SETS = {
 }
 
 
-def first_agent_by_trace(spans: DataFrame) -> DataFrame:
-    """``trace_id, trace_agent``: the first id present in each trace, in span order; resolvable or not."""
-    return spans.where("native_agent_id IS NOT NULL").groupBy("trace_id").agg(F.min_by("native_agent_id", "span_id").alias("trace_agent"))
+def first_agent_by_trace(spans: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """``trace_id, trace_agent``: the first id present in each trace, resolvable or not, in the order of columns such as file and row (by default, of span ids)."""
+    return spans.where("trace_id IS NOT NULL AND native_agent_id IS NOT NULL").groupBy("trace_id").agg(F.min_by("native_agent_id", F.struct(*(order or ["span_id"]))).alias("trace_agent"))
 
 
 def resolve(spans: DataFrame, agents: DataFrame, identity: DataFrame) -> DataFrame:

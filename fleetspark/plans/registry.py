@@ -23,7 +23,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def _load() -> None:
-    from fleetspark.plans import catalog, loads, reports, source_loads, star  # noqa: F401  they register what they define
+    from fleetspark.plans import catalog, fleet, loads, reports, source_loads, star  # noqa: F401  they register what they define
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 ORDER = ["_file", "_row"]
 
 
-def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Landed Parquet under ``dt=`` folders with ``_file`` and ``_row``, which give its order."""
+def scan(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Landed Parquet under ``dt=`` folders, or some of its files, with ``_file`` and ``_row``, which give its order."""
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return reader.parquet(*([path] if isinstance(path, str) else path)).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def new_files(scanned: DataFrame, log: DataFrame, full_scan: bool = False) -> DataFrame:
