@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.operators import similar
+from fleetspark.operators import similar, trends
 from fleetspark.plans.catalog import table
 from fleetspark.plans.registry import query
-from fleetspark.sources import pipelines, star_load
+from fleetspark.sources import landing, pipelines, star_load
 from fleetspark.sources.scratch import folder
 from fleetspark.sources.store import Store
 
@@ -183,3 +183,68 @@ def star_load_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The end state of the star's tables; a run without news makes no version."""
     store = loaded_star(spark, sf_dir)
     return star_rows(store, len(store.versions()) - 1)  # one version is the curated bridge's
+
+
+# --- trends, overlaps, chunks ------------------------------------------------------------------------------------------
+
+
+@query(
+    "risk_changes",
+    """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(CASE event_type WHEN 'view' THEN 'low' WHEN 'click' THEN 'low' WHEN 'signup' THEN 'medium' WHEN 'error' THEN 'high' END, event_id) AS level FROM events WHERE event_type <> 'purchase' GROUP BY 1, 2),
+    w AS (SELECT *, (SELECT max(p.day) FROM d p WHERE p.user_id = d.user_id AND p.day < d.day) AS last_day FROM d)
+    SELECT w.user_id AS agent_key, w.day, p.level AS before, w.level AS after, CAST(w.day - w.last_day AS INT) AS days FROM w JOIN d p ON p.user_id = w.user_id AND p.day = w.last_day WHERE p.level <> w.level""",
+)
+def risk_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk levels of agents by the day's last event; purchases tell no level."""
+    level = F.expr("CASE event_type WHEN 'view' THEN 'low' WHEN 'click' THEN 'low' WHEN 'signup' THEN 'medium' WHEN 'error' THEN 'high' END")
+    posture = table(spark, sf_dir, "events").select(F.col("user_id").alias("agent_key"), F.col("ts").cast("date").alias("day"), level.alias("level"), "event_id")
+    return trends.level_changes(posture, "agent_key", "day", "level", "event_id")
+
+
+@query(
+    "breach_runs",
+    """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1, 2), s AS (SELECT user_id, min(day) AS a, max(day) AS b FROM d GROUP BY 1),
+    f AS (SELECT s.user_id, CAST(x AS DATE) AS day, coalesce(n, 0) AS n FROM s, unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS t(x) LEFT JOIN d ON d.user_id = s.user_id AND d.day = CAST(x AS DATE)),
+    g AS (SELECT t.user_id, t.day, t.n - y.n AS step, t.day - CAST(row_number() OVER (PARTITION BY t.user_id ORDER BY t.day) AS INT) AS island FROM f t JOIN f y ON y.user_id = t.user_id AND y.day = t.day - 1 WHERE t.n > y.n)
+    SELECT user_id AS agent_key, min(day) AS first_day, max(day) AS last_day, count(*) AS steps, CAST(sum(step) AS BIGINT) AS gained FROM g GROUP BY user_id, island HAVING count(*) >= 2""",
+)
+def breach_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which an agent's breaches rose, two or more in a row."""
+    daily = table(spark, sf_dir, "events").where("event_type IN ('error', 'signup')").groupBy(F.col("user_id").alias("agent_key"), F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    return trends.rising_runs(daily, "agent_key", "day", "n", least=2)
+
+
+_DEPLOYED = "SELECT DISTINCT 'd' || CAST(o_custkey % 400 AS VARCHAR) AS deployment, DATE '2024-01-01' + CAST(o_orderkey % 31 AS INT) AS day FROM orders"
+
+
+@query("orphan_deployments", f"SELECT * FROM ({_DEPLOYED}) x WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_id % 3 = 0 AND 'd' || user_id = x.deployment AND CAST(ts AS DATE) BETWEEN x.day - 3 AND x.day)")
+def orphan_deployments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deployments on days with no span of theirs on that day or the three before."""
+    deployed = table(spark, sf_dir, "orders").selectExpr("concat('d', o_custkey % 400) AS deployment", "date_add(DATE '2024-01-01', int(o_orderkey % 31)) AS day")
+    used = table(spark, sf_dir, "events").where("event_id % 3 = 0").selectExpr("concat('d', user_id) AS deployment", "cast(ts AS date) AS day")
+    return trends.orphan_days(deployed, used, "deployment", "day", 3)
+
+
+_RATES = "SELECT o_custkey AS driver, o_orderkey AS rate_id, CAST(o_orderdate AS DATE) AS valid_from, CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 200 - 3 AS INT) END AS valid_to FROM orders"
+
+
+@query("rate_overlaps", f"""WITH r AS (SELECT *, coalesce(valid_to, DATE '9999-12-31') AS e FROM ({_RATES})) SELECT i.driver, i.rate_id, i.valid_from, i.valid_to, max(j.e) AS until FROM r i
+    JOIN r j ON j.driver = i.driver AND (j.valid_from, j.rate_id) < (i.valid_from, i.rate_id) AND j.valid_from < j.e WHERE i.valid_from < i.e GROUP BY ALL HAVING max(j.e) > i.valid_from""")
+def rate_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates whose validity overlaps an earlier one's; some are open, some empty."""
+    rates = table(spark, sf_dir, "orders").selectExpr("o_custkey AS driver", "o_orderkey AS rate_id", "cast(o_orderdate AS date) AS valid_from", "if(o_orderkey % 13 <> 0, date_add(cast(o_orderdate AS date), int(o_orderkey % 200 - 3)), NULL) AS valid_to")
+    return trends.overlapping_rates(rates, ["driver"])
+
+
+@query(
+    "event_chunk_sink",
+    """SELECT strftime(ts, '%Y-%m-%d') AS dt, CASE WHEN event_id % 2 = 0 THEN 'copilot' ELSE 'exchange' END AS service, CASE WHEN event_id % 4 < 2 THEN 'c1' ELSE 'c2' END AS chunk, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
+    WHERE event_id % 4 <> 0 OR event_id % 8 = 0 GROUP BY 1, 2, 3""",
+)
+def event_chunk_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two services in two chunks each over the same days; the first chunk of one runs again with half of its rows and replaces its own."""
+    path, rows = folder(spark, "chunks"), table(spark, sf_dir, "events").withColumn("creation_date", F.date_format("ts", "yyyy-MM-dd HH:mm"))
+    for service, chunk, where in (("Copilot", "c1", "event_id % 4 = 0"), ("Exchange", "c1", "event_id % 4 = 1"), ("Copilot", "c2", "event_id % 4 = 2"), ("Exchange", "c2", "event_id % 4 = 3"), ("Copilot", "c1", "event_id % 8 = 0")):
+        landing.write_chunk(rows.where(where), path, service, chunk)
+    found = spark.read.schema("event_id long, dt string, service string, chunk string").parquet(path)
+    return found.groupBy("dt", "service", "chunk").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))

@@ -40,6 +40,12 @@ def event_day(df: DataFrame, column: str = "creation_date") -> DataFrame:
     return df.withColumn("dt", F.coalesce(F.nullif(F.left(F.col(column), F.lit(10)), F.lit("")), F.lit("unknown")))
 
 
+def write_chunk(df: DataFrame, path: str, service: str, chunk: str, column: str = "creation_date") -> None:
+    """A chunk of a service's events by their day: ``dt=/service=/chunk=``. A rerun of the chunk replaces its own files of the days it has and no others."""
+    rows = event_day(df, column).withColumns({"service": F.lit(service.lower()), "chunk": F.lit(chunk)})
+    write_partitioned(rows.hint("rebalance", "dt"), path, ["dt", "service", "chunk"])
+
+
 def write_quarantine(invalid: DataFrame, path: str, dt: str) -> None:
     """Rejected rows (``error, raw``) as JSON lines of a day."""
     invalid.withColumn("dt", F.lit(dt)).write.mode("append").partitionBy("dt").json(path)
@@ -108,18 +114,19 @@ def csv_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def ndjson_parts(spark: SparkSession, pattern: str) -> DataFrame:
-    """Records of the JSON-lines parts that a glob finds, or none: ``raw, _file, _row``.
+    """Records of the JSON-lines parts that a glob finds, or none: ``raw, _file, _row``, in the order of file and line.
 
-    Lines have no number that a rerun would give again, so a line's place is a hash of its text.
+    Lines have no number of their own in a split file, so each part is one record whose lines are numbered; a part is what one page of a
+    download left and fits into memory.
     """
     try:
-        lines = spark.read.option("ignoreMissingFiles", True).text(pattern)
+        parts = spark.read.option("ignoreMissingFiles", True).text(pattern, wholetext=True)
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         return spark.createDataFrame([], "raw string, _file string, _row long")
-    rows = lines.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("_file"))
-    return rows.where(F.trim("raw") != "").withColumn("_row", F.xxhash64("raw"))
+    lines = parts.select(F.col("_metadata.file_path").alias("_file"), F.posexplode(F.split("value", "\r?\n")).alias("_row", "raw"))
+    return lines.where(F.trim("raw") != "").select("raw", "_file", F.col("_row").cast("long").alias("_row"))
 
 
 def write_by_hour(df: DataFrame, path: str, time: str) -> None:

@@ -172,3 +172,23 @@ def test_missing_rate_drops_the_week_and_zero_total_allocates_nothing(spark):
     cost = spark.createDataFrame([("azure", 20240101, "5.00", None, "EUR")], "cloud string, date_key int, billed_cost string, effective_cost string, currency string")
     got = {(r["cost_basis"], float(r["allocated_cost"])) for r in views.cost_allocation(spans, cost.withColumn("billed_cost", F.col("billed_cost").cast("decimal(18,2)")).withColumn("effective_cost", F.lit(None).cast("decimal(18,2)"))).collect()}
     assert got == {("allocated", 0.0), ("unallocated", 5.0)}
+
+
+def test_gaps_end_a_rising_run_and_long_rates_overlap_later_ones(spark):
+    from datetime import date
+
+    from fleetspark.operators import trends
+
+    days = spark.createDataFrame([("a", date(2024, 1, d), n) for d, n in ((1, 1), (2, 2), (3, 3), (5, 4), (6, 5), (7, 9))] + [("b", date(2024, 1, 1), 5)], "k string, day date, n int")
+    got = {(r["first_day"].day, r["last_day"].day, r["steps"], r["gained"]) for r in trends.rising_runs(days, "k", "day", "n", 2).collect()}
+    assert got == {(2, 3, 2, 2), (5, 7, 3, 9)}
+    rates = spark.createDataFrame([("x", 1, date(2024, 1, 1), None), ("x", 2, date(2024, 2, 1), date(2024, 3, 1)), ("x", 3, date(2024, 6, 1), date(2024, 6, 1)), ("y", 4, date(2024, 1, 1), date(2024, 2, 1)), ("y", 5, date(2024, 2, 1), None)], "unit string, rate_id int, valid_from date, valid_to date")
+    assert [r["rate_id"] for r in trends.overlapping_rates(rates, ["unit"]).collect()] == [2]
+
+
+def test_lines_of_a_part_keep_their_order(spark, tmp_path):
+    from fleetspark.sources import landing
+
+    (tmp_path / "a.json").write_text('{"k":1}\n\n{"k":1,"v":"later"}\r\n{"k":2}\n')
+    got = [(r["_row"], r["raw"]) for r in landing.ndjson_parts(spark, str(tmp_path / "*.json")).orderBy("_row").collect()]
+    assert got == [(0, '{"k":1}'), (2, '{"k":1,"v":"later"}'), (3, '{"k":2}')]
