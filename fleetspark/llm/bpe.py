@@ -29,7 +29,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bytes of encoded chunks, and pairs of tokens, that a worker keeps. Of full chunks the older half goes, full pairs go.
-CACHE_BYTES, CACHE_PAIRS = 80 << 20, 400_000
+CACHE_BYTES, CACHE_PAIRS = 240 << 20, 400_000
 #: What an entry takes beside its characters, about.
 _ENTRY = 250
 #: Characters of a text that are cut into chunks at once.
