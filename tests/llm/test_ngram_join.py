@@ -35,6 +35,16 @@ def test_against_all_pairs(spark, n, percent, cell, star, most):
     assert got == brute.alike(rows, n, percent)
 
 
+def test_very_long_texts(spark):
+    """Two texts of 60,000 words that differ in one, a part of them, and short ones."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(30_000)}" for _ in range(60_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1] + ["other"])), (3, " ".join(words[:20_000])), (4, " ".join(words[:30])), (5, " ".join(words[:30]) + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.alike(docs, 3, 90).collect()}
+    assert got == brute.alike(rows, 3, 90) and got[2][1] == 1 and got[3][1] == 3
+
+
 def test_the_heap_merge_counts_as_a_plain_count():
     rng = random.Random(3)
     for _ in range(300):

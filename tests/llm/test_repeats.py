@@ -59,6 +59,13 @@ def test_slabs_change_nothing(spark, monkeypatch):
     assert got == brute.repeats_of_words(rows)
 
 
+def test_slabs_change_nothing_for_bytes(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SLAB", 150)
+    rows = made(4)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_array.without_repeats(frame(spark, rows)).collect()}
+    assert got == brute.repeats_of_bytes(rows)
+
+
 def test_empty_table_null_ids_and_repeated_rows(spark):
     assert suffix_trees.without_repeats(frame(spark, [])).count() == 0
     assert suffix_array.without_repeats(frame(spark, [])).count() == 0
