@@ -123,7 +123,7 @@ def source_audit_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 2 THEN parse_json(concat('{"Id":"own', event_id, '","Operation":"inner","UserId":null,"CopilotEventData":{"AppIdentity":"","TargetPlatformAgentId":"b', user_id, '"}}')) END"""
     text = f"""named_struct('id', concat('g', event_id), 'createdDateTime', concat('t', event_id), 'operation', event_type, 'userPrincipalName', if(event_id % 3 = 0, concat('u', user_id), ''), 'userId', concat('id', user_id),
         'service', if(event_type = 'view', 'Copilot', 'Exchange'), 'auditData', {data})"""
-    return _valid(spark, sf_dir, "audit_graph", text).select("record_id", "creation_date", "operation", "user_id", "workload", "app_identity")
+    return pipelines.run(_pages(spark, sf_dir, text), pipelines.AUDIT_GRAPH)[0].select("record_id", "creation_date", "operation", "user_id", "workload", "app_identity")
 
 
 @query("source_purview_audit_drift", _first("'a' || h AS record_id, 'ip' || user_id AS client, CASE WHEN event_type = 'view' THEN NULL ELSE '{\"AppIdentity\":\"inner\",\"AppHost\":\"host\"}' END AS interaction, CASE WHEN event_type <> 'view' THEN 'host' END AS app_host", "event_type <> 'click'"))

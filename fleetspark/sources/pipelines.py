@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -58,10 +58,12 @@ SOURCES = {
     "m365_usage": Source("m365-usage", "package_id string, report_date string, agent_name string, active_users long, total_message_count long, agent_type string, last_activity string, is_anonymized boolean", ["package_id", "report_date"], ["package_id", "report_date"]),
     "m365_user_activity": Source("m365-user-activity", "user_id string, report_date string, product string, activity_count long, is_active boolean, is_anonymized boolean", ["user_id", "report_date"], ["user_id", "report_date"]),
     "purview_audit": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((_audit_records, []),)),
-    "audit_graph": Source("m365/purview/audit_log", "record_id string, creation_date string, record_type string, operation string, app_identity string, user_id string, workload string, sensitivity_labels array<string>, dlp_matches array<string>", ["record_id"], ["record_id", "creation_date"], steps=((flatten.graph_audit, []), (_audit_records, []))),
     "purview_dspm": Source("m365/purview/dspm_posture", "dspm_agent_instance_id string, assessment_date string, insider_risk_level string, sensitivity_accessed array<string>, dlp_violations long, oversharing_detected boolean, entra_agent_id string, package_id string", ["dspm_agent_instance_id"], ["dspm_agent_instance_id", "assessment_date"]),
 }
 
+#: The audit source when its pages are those of a Graph search.
+AUDIT_GRAPH = replace(SOURCES["purview_audit"], steps=((flatten.graph_audit, []), *SOURCES["purview_audit"].steps))
+
 
 def parsed(pages: DataFrame, source: Source) -> DataFrame:
     """Records (``raw``, with ``_file, _row``) as declared columns, the undeclared ones as ``_drift``, and what is wrong as ``_errors``.
