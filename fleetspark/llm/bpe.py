@@ -151,11 +151,18 @@ class PrefixTable:
 
 
 class _Chunks(dict):
-    """Encodings of chunks, as bytes of little-endian 32-bit ids, up to ``CACHE_BYTES``."""
+    """Encodings of chunks, as bytes of little-endian 32-bit ids, up to ``most`` bytes."""
 
-    def __init__(self, encode, prefix: str):
+    def __init__(self, encode, prefix: str, most: int):
         super().__init__()
-        self.encode, self.prefix, self.held, self.old = encode, prefix, 0, {}
+        self.encode, self.prefix, self.most, self.held, self.old = encode, prefix, most, 0, {}
+
+    def bound(self, most: int) -> None:
+        """Keep up to ``most`` bytes from now on; what was kept under a wider bound goes."""
+        if most < self.most:
+            self.clear()
+            self.held, self.old = 0, {}
+        self.most = most
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.old.get(chunk)
@@ -165,7 +172,7 @@ class _Chunks(dict):
         return found
 
     def put(self, chunk: str, ids: bytes) -> None:
-        if self.held > CACHE_BYTES // 2:
+        if self.held > self.most // 2:
             self.old = dict(self)
             self.clear()
             self.held = 0
@@ -174,20 +181,22 @@ class _Chunks(dict):
 
 
 class Tokenizer:
-    """Encoding and decoding with one vocabulary and pattern."""
+    """Encoding and decoding with one vocabulary and pattern; ``cache_bytes`` bounds the chunks kept and changes no result."""
 
     _made: dict[tuple[str, str], "Tokenizer"] = {}
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_bytes: int | None = None):
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern)
-        self.behind_space = _Chunks(self.encode_chunk, " ")
+        self.behind_space = _Chunks(self.encode_chunk, " ", CACHE_BYTES if cache_bytes is None else cache_bytes)
 
     @classmethod
-    def of(cls, path: str, pattern: str) -> "Tokenizer":
+    def of(cls, path: str, pattern: str, cache_bytes: int | None = None) -> "Tokenizer":
         if (path, pattern) not in cls._made:
-            cls._made[path, pattern] = cls(load_ranks(path), pattern)
-        return cls._made[path, pattern]
+            cls._made[path, pattern] = cls(load_ranks(path), pattern, cache_bytes)
+        found = cls._made[path, pattern]
+        found.behind_space.bound(CACHE_BYTES if cache_bytes is None else cache_bytes)
+        return found
 
     def encode_chunk(self, chunk: str) -> bytes:
         ranks, ids = self.vocabulary.ranks, []
@@ -305,12 +314,15 @@ class EncodedText:
         return b"".join(ids for _, ids in self.parts)
 
 
-def encoded(text: Column, path: str, pattern: str) -> Column:
-    """A struct of ``ids, n_tokens, ids_sha256, decoded_sha256``: a text is encoded, and its ids are decoded again."""
+def encoded(text: Column, path: str, pattern: str, cache_bytes: int | None = None) -> Column:
+    """A struct of ``ids, n_tokens, ids_sha256, decoded_sha256``: a text is encoded, and its ids are decoded again.
+
+    A worker keeps ``cache_bytes`` of chunks (by default ``CACHE_BYTES``): fewer cost seconds, more memory.
+    """
 
     @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
     def made(texts: pd.Series) -> pd.DataFrame:
-        tokenizer, rows = Tokenizer.of(path, pattern), []
+        tokenizer, rows = Tokenizer.of(path, pattern, cache_bytes), []
         texts = texts.fillna("")
         tokenizer.learn_short(texts)
         for text in texts:

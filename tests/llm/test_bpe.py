@@ -102,3 +102,16 @@ def test_odd_tables(spark):
     rows = [("a b", 1, "x"), ("a b", 1, "x"), (None, None, None)]
     got = spark.createDataFrame(rows, "text string, ids int, n_tokens string").select(bpe.encoded(F.col("text"), PATH, public_tokenizers.PATTERN).alias("e"), "ids", "n_tokens").collect()
     assert [(r["e"]["n_tokens"], r["ids"], r["n_tokens"]) for r in got] == [(2, 1, "x"), (2, 1, "x"), (0, None, None)]
+
+
+def test_a_narrower_bound_drops_what_was_kept_and_changes_nothing(reference):
+    texts = [" ".join(f"word{i * j}" for j in range(40)) for i in range(60)]
+    pattern = public_tokenizers.PATTERN
+    wide = bpe.Tokenizer.of(PATH, pattern, 1 << 20)
+    before = [wide.encode(t) for t in texts]
+    narrow = bpe.Tokenizer.of(PATH, pattern, 4000)
+    assert narrow is wide and not narrow.behind_space and not narrow.behind_space.old
+    assert [narrow.encode(t) for t in texts] == before
+    assert narrow.behind_space.held < 4000
+    assert [np.frombuffer(b, "<u4").tolist() for b in before] == [reference.encode_ordinary(t) for t in texts]
+    assert bpe.Tokenizer.of(PATH, pattern).behind_space.most == bpe.CACHE_BYTES
