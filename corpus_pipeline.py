@@ -16,6 +16,8 @@ from fleetspark.llm.common import WORD, documents, short_batches, stored, whole
 ORACLE_SQL = None
 #: Blocks of a shard of the mix.
 SHARD_BLOCKS = 512
+#: Bytes of chunks that a worker keeps in the last stage, less than where it runs alone: a worker serves all stages.
+CHUNK_BYTES = 40 << 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     short_batches(spark)
-    encoded = bpe.encoded(F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe.encoded(F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, CHUNK_BYTES)
     return docs.select("doc_id", "source", encoded.alias("e")).select("doc_id", "source", "e.*")
 
 
