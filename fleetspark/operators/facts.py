@@ -29,22 +29,29 @@ def resolve(spans: DataFrame, agents: DataFrame, identity: DataFrame) -> DataFra
     """``spans`` with ``agent_key`` and ``resolution_tier``.
 
     In turn: the span's id through the identity bridge, the span's id in the catalogue, the trace's first id through
-    either (correlation), else the sentinel of the span's cloud. Lookups join on the id's base, so each side is
-    shuffled or broadcast by its size; traces are reduced to one row each before they meet their spans.
+    either (correlation), else the sentinel of the span's cloud. Bridge and catalogue are one table by the id's base, so spans
+    meet it once; traces are reduced to one row each before they meet their spans. Spans without an id, or without a trace, match
+    nothing: their join keys are spread by the span's own id, so that they don't meet in one task.
     """
-    bridge = identity.where("valid_to IS NULL").groupBy(F.col("native_id").alias("b_id")).agg(F.min("agent_key").alias("b_key"))
-    native = agents.where(F.col("native_agent_id") != SENTINEL).groupBy(F.col("native_agent_id").alias("n_id")).agg(F.min("agent_key").alias("n_key"))
-    sentinels = agents.where(F.col("native_agent_id") == SENTINEL).select(F.col("cloud").alias("s_cloud"), F.col("agent_key").alias("s_key"))
-
-    def looked_up(df: DataFrame, id_col: str, tag: str) -> DataFrame:
-        b, n = bridge.select(F.col("b_id").alias(f"{tag}b_id"), F.col("b_key").alias(f"{tag}b")), native.select(F.col("n_id").alias(f"{tag}n_id"), F.col("n_key").alias(f"{tag}n"))
-        base = x.identity_base(id_col)
-        return df.join(b, base == F.col(f"{tag}b_id"), "left").join(n, base == F.col(f"{tag}n_id"), "left").drop(f"{tag}b_id", f"{tag}n_id")
-
-    traces = looked_up(first_agent_by_trace(spans), "trace_agent", "t").select("trace_id", F.coalesce("tb", "tn").alias("trace_key"))
-    found = looked_up(spans, "native_agent_id", "s").join(traces, "trace_id", "left").join(sentinels, F.col("cloud") == F.col("s_cloud"), "left")
-    tier = F.when(F.col("sb").isNotNull(), "bridge").when(F.col("sn").isNotNull(), "native").when(F.col("trace_key").isNotNull(), "correlation").otherwise("unattributed")
-    return found.withColumn("agent_key", F.coalesce("sb", "sn", "trace_key", "s_key")).withColumn("resolution_tier", tier).drop("sb", "sn", "trace_key", "s_cloud", "s_key")
+    bridge = identity.where("valid_to IS NULL").select(F.col("native_id").alias("_id"), F.col("agent_key").alias("_b"), F.lit(None).cast("long").alias("_n"))
+    native = agents.where(F.col("native_agent_id") != SENTINEL).select(F.col("native_agent_id").alias("_id"), F.lit(None).cast("long").alias("_b"), F.col("agent_key").alias("_n"))
+    known = bridge.unionByName(native).groupBy("_id").agg(F.min("_b").alias("_b"), F.min("_n").alias("_n")).where("_id IS NOT NULL")
+    known = known.select(_key_of("_id").alias("_k"), "_b", "_n")
+    sentinels = agents.where(F.col("native_agent_id") == SENTINEL).groupBy(F.col("cloud").alias("s_cloud")).agg(F.min("agent_key").alias("s_key"))
+
+    first = first_agent_by_trace(spans).withColumn("_k", _key_of(x.identity_base("trace_agent")))
+    traces = first.join(known, "_k").select(_key_of("trace_id").alias("_t"), F.coalesce("_b", "_n").alias("trace_key"))
+    own = spans.withColumns({"_k": _key_of(x.identity_base("native_agent_id"), "span_id"), "_t": _key_of("trace_id", "span_id")})
+    found = own.join(known, "_k", "left").join(traces, "_t", "left").join(F.broadcast(sentinels), F.col("cloud") == F.col("s_cloud"), "left")  # a row a cloud
+    tier = F.when(F.col("_b").isNotNull(), "bridge").when(F.col("_n").isNotNull(), "native").when(F.col("trace_key").isNotNull(), "correlation").otherwise("unattributed")
+    return found.withColumns({"agent_key": F.coalesce("_b", "_n", "trace_key", "s_key"), "resolution_tier": tier}).drop("_k", "_t", "_b", "_n", "trace_key", "s_cloud", "s_key")
+
+
+def _key_of(value: str | Column, spread: str | None = None) -> Column:
+    """A join key that is never null: the value behind an ``i``, or for null, which matches nothing, the hash of another column behind an ``n``."""
+    value = F.col(value) if isinstance(value, str) else value
+    there = F.concat(F.lit("i"), value.cast("string"))
+    return F.coalesce(there, F.concat(F.lit("n"), F.xxhash64(spread).cast("string"))) if spread else there
 
 
 def consumption(spans: DataFrame, measures: list[str]) -> DataFrame:

@@ -75,13 +75,16 @@ def run_stats(df: DataFrame, key: list[str], is_valid: Column, drifted: Column)
     return counts.crossJoin(F.broadcast(kept)).select("kept", (F.col("valid") - F.col("kept")).alias("duplicates"), "invalid", "drifted")  # one row each
 
 
-def orphans(checks: list[tuple[str, DataFrame, str, DataFrame, str, bool]]) -> DataFrame:
-    """``check_name, orphans``: rows whose key has no parent. (name, child, key, parent, key, optional): null passes if optional."""
+def orphans(checks: list[tuple[str, DataFrame, str, DataFrame, str, bool]], rows: str | None = None) -> DataFrame:
+    """``check_name, orphans``: rows whose key has no parent. (name, child, key, parent, key, optional): null passes if optional.
+
+    A row of a child stands for one, or for as many as its column ``rows`` says.
+    """
     out = None
     for name, child, key, parent, parent_key, optional in checks:
-        keys = child.select(F.col(key).alias("k"))
+        keys = child.select(F.col(key).alias("k"), (F.col(rows) if rows else F.lit(1)).alias("n"))
         keys = keys.where("k IS NOT NULL") if optional else keys
-        counts = keys.groupBy("k").agg(F.count("*").alias("n"))  # a hot key is one row before the join
+        counts = keys.groupBy("k").agg(F.sum("n").alias("n"))  # a hot key is one row before the join
         lost = counts.join(parent.select(F.col(parent_key).alias("k")).distinct(), "k", "left_anti")
         row = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphans")).select(F.lit(name).alias("check_name"), "orphans")
         out = row if out is None else out.unionByName(row)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions import expressions as x
 from fleetspark.operators import facts, quality
+from fleetspark.sources.scratch import stored
 
 UNKNOWN_MODEL = "(unknown)"
 CREDIT_KEY = ["date_key", "person_id", "service_id"]
@@ -29,9 +30,18 @@ STAR_CHECKS = [
 
 
 def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """``check_name, orphans`` of the declared checks whose tables are there; a null key is an orphan unless it is optional."""
+    """``check_name, orphans`` of the declared checks whose tables are there; a null key is an orphan unless it is optional.
+
+    A child with several checks is counted once by all keys that they ask for, and stored: it may be a long plan itself, and its
+    keys are few beside its rows.
+    """
     here = [c for c in STAR_CHECKS if c[1] in tables and c[3] in tables]
-    return quality.orphans([(name, tables[child], key, tables[parent], key, optional) for name, child, key, parent, optional in here])
+    children = {}
+    for child in dict.fromkeys(c[1] for c in here):
+        keys = [c[2] for c in here if c[1] == child]
+        counted = tables[child].groupBy(*keys).agg(F.count("*").alias("_rows"))
+        children[child] = stored(counted, "star-keys") if len(keys) > 1 else counted
+    return quality.orphans([(name, children[child], key, tables[parent], key, optional) for name, child, key, parent, optional in here], "_rows")
 
 
 def orphans_not_in(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:

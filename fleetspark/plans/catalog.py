@@ -10,7 +10,7 @@ from fleetspark.operators import facts, flatten, quality
 from fleetspark.plans import measures, views
 from fleetspark.plans.bind import bound, with_views
 from fleetspark.plans.registry import query
-from fleetspark.sources.scratch import folder
+from fleetspark.sources.scratch import stored
 
 SINCE = "2024-01-01"
 
@@ -32,16 +32,18 @@ def allocation_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unified_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unified cost. What several of its branches read is stored first, reduced: tokens by agent, model and day, events by agent and day, pools by week."""
     agents = bound(spark, sf_dir, "b_agent")
     methods = views.cost_methods(agents, views.method_map(spark))
-    return views.unified_cost(allocation_of(spark, sf_dir), bound(spark, sf_dir, "b_credits"), audit_of(spark, sf_dir), agents, methods, views.rates(spark, SINCE))
+    grain = stored(views.token_grain(spans_of(spark, sf_dir)), "grain")
+    daily = stored(views.events_daily(audit_of(spark, sf_dir)), "events")
+    pools = stored(views.weekly_pools(bound(spark, sf_dir, "b_credits")), "pools")
+    return views.unified_cost(views.grain_allocation(grain, bound(spark, sf_dir, "b_cost")), pools, daily, agents, methods, views.rates(spark, SINCE))
 
 
 def scorecard_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scorecard; spans are resolved once, for their use and for what they are allocated."""
-    path = folder(spark, "spans")
-    spans_of(spark, sf_dir).write.parquet(path)
-    spans = spark.read.parquet(path)
+    spans = stored(spans_of(spark, sf_dir), "spans")
     return views.scorecard(bound(spark, sf_dir, "b_agent"), audit_of(spark, sf_dir), spans, views.cost_allocation(spans, bound(spark, sf_dir, "b_cost")))
 
 

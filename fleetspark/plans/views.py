@@ -31,13 +31,22 @@ def _shared_out(grain: DataFrame, cost: DataFrame, keys: list[str]) -> tuple[Dat
     return allocated, left
 
 
-def cost_allocation(spans: DataFrame, cost: DataFrame) -> DataFrame:
-    """By the model's cloud, day, agent and model: a share of the cloud's cost of the day, and the remainder of each cloud and day."""
-    grain = (
+def token_grain(spans: DataFrame) -> DataFrame:
+    """Tokens and invocations of attributed spans by the model's cloud, day, agent and model."""
+    return (
         spans.where("resolution_tier <> 'unattributed' AND model_key IS NOT NULL")
         .groupBy(x.model_cloud("model_key", "cloud").alias("cloud"), "date_key", "agent_key", "model_key")
         .agg(F.sum(F.coalesce("total_tokens", F.lit(0))).alias("tokens"), F.count_if(F.col("operation_name") == "invoke_agent").alias("invocations"))
     )
+
+
+def cost_allocation(spans: DataFrame, cost: DataFrame) -> DataFrame:
+    """By the model's cloud, day, agent and model: a share of the cloud's cost of the day, and the remainder of each cloud and day."""
+    return grain_allocation(token_grain(spans), cost)
+
+
+def grain_allocation(grain: DataFrame, cost: DataFrame) -> DataFrame:
+    """``cost_allocation`` from ``token_grain``, which a caller may have stored: it is read for the shares and for the remainders."""
     allocated, left = _shared_out(grain, cost, ["cloud", "date_key"])
     return allocated.select("cloud", "date_key", "agent_key", "model_key", "tokens", "invocations", "allocated_cost", "currency", F.lit("allocated").alias("cost_basis")).unionByName(
         left.select("cloud", "date_key", F.col("rest").alias("allocated_cost"), "currency", F.lit("unallocated").alias("cost_basis")), allowMissingColumns=True
@@ -205,9 +214,25 @@ def _valid(day: str):
     return (F.col("valid_from") <= F.col(day)) & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to")))
 
 
-def unified_cost(allocation: DataFrame, credits: DataFrame, audit: DataFrame, agents: DataFrame, methods: DataFrame, rates_: DataFrame) -> DataFrame:
+def weekly_pools(credits: DataFrame) -> DataFrame:
+    """``date_key, week_start, paid, included, seats``: credits of unlicensed and of licensed people, and the licensed people, by week."""
+    licensed = F.coalesce("is_copilot_licensed", F.lit(False))
+    return credits.groupBy("date_key", "week_start").agg(
+        F.coalesce(F.sum(F.when(~licensed, F.col("total_credits_used"))), F.lit(0)).cast("decimal(38,6)").alias("paid"),
+        F.coalesce(F.sum(F.when(licensed, F.col("total_credits_used"))), F.lit(0)).cast("decimal(38,6)").alias("included"),
+        F.countDistinct(F.when(licensed, F.col("person_id"))).alias("seats"),
+    )
+
+
+def events_daily(audit: DataFrame) -> DataFrame:
+    """``date_key, agent_key, n``: audit events of known agents by day."""
+    return audit.where("agent_key IS NOT NULL").groupBy("date_key", "agent_key").agg(F.count("*").alias("n"))
+
+
+def unified_cost(allocation: DataFrame, pools: DataFrame, daily: DataFrame, agents: DataFrame, methods: DataFrame, rates_: DataFrame) -> DataFrame:
     """Metered cost by day, weekly credit pools shared out by events, and seats, in one table told apart by ``period_grain``.
 
+    ``pools`` is ``weekly_pools``, ``daily`` is ``events_daily``; four branches read them, so a caller stores them.
     Weeks meet events by the seven days of each week, an equal join instead of an interval; rates, a curated table of a few rows, are broadcast.
     """
     qty = "decimal(38,6)"
@@ -216,16 +241,10 @@ def unified_cost(allocation: DataFrame, credits: DataFrame, audit: DataFrame, ag
         "allocated_cost", "currency", F.when(F.col("cost_basis") == "allocated", "billed_allocated").otherwise("billed_unallocated").alias("cost_quality"), F.lit("day").alias("period_grain"),
     )
 
-    licensed = F.coalesce("is_copilot_licensed", F.lit(False))
-    pools = credits.groupBy("date_key", "week_start").agg(
-        F.coalesce(F.sum(F.when(~licensed, F.col("total_credits_used"))), F.lit(0)).cast(qty).alias("paid"),
-        F.coalesce(F.sum(F.when(licensed, F.col("total_credits_used"))), F.lit(0)).cast(qty).alias("included"),
-        F.countDistinct(F.when(licensed, F.col("person_id"))).alias("seats"),
-    )
     weeks = pools.join(F.broadcast(_rate_on(rates_, "m365", "credit", "rate")), _valid("week_start")).select("date_key", "week_start", "paid", "included", "rate")
 
     days = weeks.select(F.col("date_key").alias("week"), F.explode(F.sequence("week_start", F.date_add("week_start", 6))).alias("day"))
-    per_day = audit.where("agent_key IS NOT NULL").groupBy(x.key_date("date_key").alias("day"), "agent_key").agg(F.count("*").alias("n"))
+    per_day = daily.select(x.key_date("date_key").alias("day"), "agent_key", "n")
     events = days.join(per_day, "day").groupBy("week", "agent_key").agg(F.sum("n").alias("agent_events"))
     totals = events.groupBy("week").agg(F.sum("agent_events").alias("all_events"))
     eligible = methods.where("cost_method = 'credit_rated'").select("agent_key").join(agents.where(F.col("native_agent_id") == SENTINEL).select("agent_key"), "agent_key", "left_anti")

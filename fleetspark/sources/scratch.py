@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: The local folder of a session without a shared one, by application.
@@ -23,3 +23,10 @@ def folder(spark: SparkSession, name: str) -> str:
             _LOCAL[app] = tempfile.mkdtemp(prefix="fleetspark-")
         base = _LOCAL[app]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A table written once and read again, for plans that need it in several branches."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -93,6 +93,29 @@ def test_resolution_tiers(spark):
     assert got == {1: (2, "bridge"), 2: (2, "correlation"), 3: (1, "native"), 4: (-2, "unattributed"), 5: (-2, "unattributed"), 6: (1, "native")}
 
 
+def test_spans_without_an_id_or_a_trace(spark):
+    agents = spark.createDataFrame([(1, "azure", "n1"), (2, "aws", "n1"), (-2, "azure", "(unattributed)"), (-1, "aws", "(unattributed)")], "agent_key long, cloud string, native_agent_id string")
+    identity = spark.createDataFrame([(3, None, None), (5, "n1", None), (4, "n1", None)], "agent_key long, native_id string, valid_to date")
+    rows = [(None, 1, "azure", None), (None, 2, "aws", "n1"), (7, 3, "aws", None), (7, None, "aws", None), (7, 4, "azure", "n1:2"), (8, 5, "other", None)]
+    spans = spark.createDataFrame(rows, "trace_id long, span_id long, cloud string, native_agent_id string")
+    found = facts.resolve(spans, agents, identity)
+    assert found.columns == [*spans.columns, "agent_key", "resolution_tier"]
+    got = sorted((r["span_id"] or 0, r["agent_key"], r["resolution_tier"]) for r in found.collect())
+    # of two bridged keys the least; a cloud without a sentinel has no key
+    assert got == [(0, 4, "correlation"), (1, -2, "unattributed"), (2, 4, "bridge"), (3, 4, "correlation"), (4, 4, "bridge"), (5, None, "unattributed")]
+    none = facts.resolve(spans.limit(0), agents, identity)
+    assert none.count() == 0
+
+
+def test_orphans_by_counted_rows(spark):
+    child = spark.createDataFrame([(1, 2), (9, 3), (None, 4), (9, 1)], "k long, c long")
+    parent = spark.createDataFrame([(1,)], "p long")
+    checks = [("needed", child, "k", parent, "p", False), ("optional", child, "k", parent, "p", True)]
+    assert {tuple(r) for r in quality.orphans(checks, "c").collect()} == {("needed", 8), ("optional", 4)}
+    assert {tuple(r) for r in quality.orphans(checks).collect()} == {("needed", 3), ("optional", 2)}
+    assert {tuple(r) for r in quality.orphans([("none", child.limit(0), "k", parent, "p", False)]).collect()} == {("none", 0)}
+
+
 def test_allocation_ties_to_cost_within_rounding(spark, sf_dir):
     from fleetspark.plans.bind import bound
     from fleetspark.plans.catalog import allocation_of
