@@ -83,9 +83,15 @@ def upsert(existing: DataFrame, batch: DataFrame, key: list[str], update: list[s
     return _merged(existing, keep_last(batch, key, order) if order else batch, key, update)
 
 
+def _one_by_one(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """The columns through a generator, so that one which holds a constant stays a column. Two sides with different constants in a key would be folded
+    to a join without any key, which compares all rows with all."""
+    return df.select(F.explode(F.array(F.struct(*columns))).alias("_row_")).select("_row_.*")
+
+
 def _merged(existing: DataFrame, new: DataFrame, key: list[str], update: list[str]) -> DataFrame:
-    old = existing.select(*key, F.struct(*[c for c in existing.columns if c not in key]).alias("_o"))
-    fresh = new.select(*key, F.struct(*[c for c in existing.columns if c not in key]).alias("_n"))
+    rest = [c for c in existing.columns if c not in key]
+    old, fresh = _one_by_one(existing, *key, F.struct(*rest).alias("_o")), _one_by_one(new, *key, F.struct(*rest).alias("_n"))
 
     def value(c: str) -> Column:
         if c in update:
@@ -100,7 +106,7 @@ def merge_newest(existing: DataFrame, batch: DataFrame, key: list[str], order: l
     """Dimension merge: of a batch the first row of a key counts; across batches each attribute's newest value that isn't null."""
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     first = batch.withColumn("_r", rank).where("_r = 1").select(*existing.columns)
-    both = existing.alias("o").join(first.alias("n"), key, "full")
+    both = _one_by_one(existing, *existing.columns).alias("o").join(_one_by_one(first, *existing.columns).alias("n"), key, "full")
     return both.select(*key, *[F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in existing.columns if c not in key])
 
 
