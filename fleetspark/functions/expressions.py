@@ -152,6 +152,16 @@ def effective_cost() -> Column:
     return F.coalesce(F.col("effective_cost"), F.col("billed_cost"), F.lit(0)).cast("decimal(18,2)")
 
 
+def millionths(amount: str | Column) -> Column:
+    """A double as a decimal of six places, rounded in binary arithmetic as SQL engines do: times a million, half away from zero, and back.
+
+    ``round`` goes by the shortest decimal text of a double instead. From about 10^8 on doubles are so far apart that the two differ in the last place.
+    """
+    whole = F.round(F.round(c(amount) * 1e6) / 1e6 * 1e6).try_cast("bigint")  # null beyond 9 * 10^12
+    exact = whole.cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    return F.coalesce(exact.cast("decimal(38,6)"), F.round(c(amount), 6).cast("decimal(38,6)"))
+
+
 def metric_stat(name: str | Column) -> Column:
     """Latencies are averaged, counts are summed."""
     return F.when(F.lower(c(name)).rlike("latency|time"), "Average").otherwise("Sum")

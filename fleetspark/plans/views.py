@@ -23,7 +23,7 @@ def _shared_out(grain: DataFrame, cost: DataFrame, keys: list[str]) -> tuple[Dat
     totals = F.sum("tokens").over(Window.partitionBy(*keys))  # the grain is aggregated, a group is some thousand rows
     share = F.col("tokens").cast("double") / F.col("total_tokens") * F.coalesce(F.col("cost").cast("double"), F.lit(0.0))
     allocated = grain.withColumn("total_tokens", totals).join(day_cost, keys, "left").withColumn(
-        "allocated_cost", F.when(F.col("total_tokens") > 0, F.round(share, 6)).otherwise(F.lit(0.0)).cast("decimal(38,6)")
+        "allocated_cost", F.when(F.col("total_tokens") > 0, x.millionths(share)).otherwise(F.lit(0).cast("decimal(38,6)"))
     )
     taken = allocated.groupBy(*keys).agg(F.sum("allocated_cost").alias("taken"))
     rest = F.col("cost").cast("decimal(38,6)") - F.coalesce("taken", F.lit(0).cast("decimal(38,6)"))
@@ -248,7 +248,7 @@ def unified_cost(allocation: DataFrame, pools: DataFrame, daily: DataFrame, agen
     events = days.join(per_day, "day").groupBy("week", "agent_key").agg(F.sum("n").alias("agent_events"))
     totals = events.groupBy("week").agg(F.sum("agent_events").alias("all_events"))
     eligible = methods.where("cost_method = 'credit_rated'").select("agent_key").join(agents.where(F.col("native_agent_id") == SENTINEL).select("agent_key"), "agent_key", "left_anti")
-    cost = F.round((F.col("paid").cast("double") * F.col("rate").cast("double") * F.col("agent_events")) / F.col("all_events"), 6).cast(qty)
+    cost = x.millionths((F.col("paid").cast("double") * F.col("rate").cast("double") * F.col("agent_events")) / F.col("all_events"))
     shares = events.join(eligible, "agent_key").join(totals, "week").join(weeks, F.col("week") == F.col("date_key")).withColumn("agent_cost", cost)
     assigned = shares.groupBy("week").agg(F.sum("agent_cost").alias("assigned"))
 
@@ -260,14 +260,14 @@ def unified_cost(allocation: DataFrame, pools: DataFrame, daily: DataFrame, agen
 
     none, rate = F.lit(None), F.col("rate")
     summary = weeks.join(assigned, F.col("week") == F.col("date_key"), "left").withColumn("assigned", F.coalesce("assigned", F.lit(0).cast(qty)))
-    paid = F.round(F.col("paid").cast("double") * rate.cast("double") - F.col("assigned").cast("double"), 6)
-    unused = F.round(F.col("paid").cast("double") - F.try_divide(F.col("assigned").cast("double"), rate.cast("double")), 6)
+    paid = x.millionths(F.col("paid").cast("double") * rate.cast("double") - F.col("assigned").cast("double"))
+    unused = x.millionths(F.col("paid").cast("double") - F.try_divide(F.col("assigned").cast("double"), rate.cast("double")))
     seat = pools.join(F.broadcast(_rate_on(rates_, "m365", "copilot_seat_month", "rate")), _valid("week_start"))
     return (
         metered.unionByName(rows(shares, F.col("agent_key"), "audit_events", F.col("agent_events"), rate, F.col("agent_cost"), "rated_payg_allocated"))
         .unionByName(rows(summary, none, "audit_events", unused, rate, paid, "rated_payg_unallocated"))
-        .unionByName(rows(weeks, none, "credits", F.col("included"), rate, F.round(F.col("included").cast("double") * rate.cast("double"), 6), "rated_included"))
-        .unionByName(rows(seat, none, "seats", F.col("seats"), rate, F.round(F.col("seats") * rate.cast("double") * 12.0 / 52.18, 6), "estimated", "license_amortized"))
+        .unionByName(rows(weeks, none, "credits", F.col("included"), rate, x.millionths(F.col("included").cast("double") * rate.cast("double")), "rated_included"))
+        .unionByName(rows(seat, none, "seats", F.col("seats"), rate, x.millionths(F.col("seats") * rate.cast("double") * 12.0 / 52.18), "estimated", "license_amortized"))
     )
 
 
