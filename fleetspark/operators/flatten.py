@@ -40,6 +40,11 @@ def kept(df: DataFrame, condition: Column) -> DataFrame:
     return df.where(condition | F.col("_pass").isNotNull()) if "_pass" in df.columns else df.where(condition)
 
 
+def dealt(pages: DataFrame) -> DataFrame:
+    """Pages dealt out by their place, or else by their text. They are little to read and long to parse, so splits of files by bytes would leave most cores idle."""
+    return pages.repartition(*[c for c in ("_file", "_row") if c in pages.columns] or ["raw"])
+
+
 def envelope(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Objects of JSON documents that are a list, one object, or an object with the list under ``value``: ``doc, pos``."""
     parsed = df.withColumn("_v", F.try_parse_json(raw)).where("_v IS NOT NULL")
@@ -209,7 +214,7 @@ def agent_details(df: DataFrame) -> DataFrame:
     Definitions are JSON inside JSON in three dialects; of a list's items, objects give their name and text is itself. Lists keep the
     order of the definitions, and in each its own items before those of its tools. Who says nothing of being blocked is neither enabled nor not.
     """
-    docs = envelope(df)
+    docs = envelope(dealt(df))
     said = lambda path: x.text(got("doc", path))
     base = docs.select(
         *place(docs), "pos", said("$.id").alias("native_agent_id"), said("$.displayName").alias("agent_name"), said("$.platform").alias("agent_type"), said("$.publisher").alias("publisher"), said("$.ownerId").alias("owner_id"),
@@ -228,7 +233,7 @@ def agent_details(df: DataFrame) -> DataFrame:
         return F.transform(F.filter(items(d, "Tools"), lambda t: F.try_variant_get(t, "$.metadata.tool_type", "string") == kind), value)
 
     skills = F.transform("defs", lambda d: F.concat(named(d, "capabilities", "name"), tools(d, "capability", lambda t: F.coalesce(given(t, "$.metadata.capability_type"), given(t, "$.name")))))
-    connectors = F.transform("defs", lambda d: F.concat(named(d, "actions", "name", "id"), tools(d, "api_action", lambda t: x.connector_service(given(t, "$.name")))))
+    connectors = F.transform("defs", lambda d: F.concat(named(d, "actions", "name", "id"), F.transform(tools(d, "api_action", lambda t: given(t, "$.name")), lambda n: x.connector_service(n))))
     clean = lambda a: F.array_distinct(F.array_compact(F.flatten(F.filter(a, lambda v: v.isNotNull()))))
     prompt = F.try_element_at(F.filter(F.transform("defs", lambda d: F.coalesce(given(d, "$.instructions"), given(d, "$.Instructions"))), lambda i: i.isNotNull()), F.lit(1))
     found = base.withColumns({"instructions": prompt, "skills": clean(skills), "connectors": clean(connectors)}).drop("defs")

@@ -89,7 +89,7 @@ def records(pages: DataFrame, source: Source, *context: DataFrame) -> DataFrame:
     """Pages as one JSON record a row, with ``_file, _row, _pos``. A payload that is no object, that has a column of a record already or
     that lacks a step's lists passes by the step as it is (``_pass``), in the same scan, so that validation, not the step, decides on it.
     ``context`` goes to the steps."""
-    rows = pages.select("raw", "_file", "_row", F.expr("cast(array() as array<int>)").alias("_pos"))
+    rows = flatten.dealt(pages.select("raw", "_file", "_row")).withColumn("_pos", F.expr("cast(array() as array<int>)"))
     for step, lists in source.steps:
         v = F.try_parse_json("raw")
         kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))  # noqa: B023, E731
