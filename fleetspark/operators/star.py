@@ -127,10 +127,19 @@ def newest_by_run(rows: DataFrame, key: list[str], run: str, order: list[str]) -
     return first.groupBy(*key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(run))).alias(c) for c in attributes])
 
 
+#: Rows up to which a dimension is sent to all tasks.
+FEW = 100_000
+
+
+def few_first(dim: DataFrame) -> DataFrame:
+    """A dimension, to be broadcast if it has few rows: then many facts share each of its keys and would sort in one task a key. Else its joins shuffle."""
+    return F.broadcast(dim) if dim.limit(FEW + 1).count() <= FEW else dim
+
+
 def bridge(rows: DataFrame, key: str, items: str, dim: DataFrame, dim_name: str, dim_key: str) -> DataFrame:
     """``key, dim_key, place``: a row for each distinct item of a row's list, at the place where it stands first."""
     listed = rows.select(key, F.posexplode(F.array_distinct(items)).alias("place", "_item"))
-    named = listed.join(dim.select(F.col(dim_name).alias("_item"), dim_key), "_item")
+    named = listed.join(few_first(dim.select(F.col(dim_name).alias("_item"), dim_key)), "_item")
     return named.groupBy(key, dim_key).agg(F.min("place").alias("place"))
 
 

@@ -248,7 +248,7 @@ def agent_bridges(spark: SparkSession, sf_dir: str) -> DataFrame:
     agents = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("agent_key"), F.transform(names, lambda n: x.connector_service(n)).alias("connectors"))
     none = spark.createDataFrame([], "connector string, connector_key long")
     dim = facts.with_keys(none, agents.select(F.explode("connectors").alias("connector")), ["connector"], "connector_key")
-    return star.bridge(agents, "agent_key", "connectors", dim, "connector", "connector_key").join(dim, "connector_key").select("agent_key", "connector", "place")
+    return star.bridge(agents, "agent_key", "connectors", dim, "connector", "connector_key").join(star.few_first(dim), "connector_key").select("agent_key", "connector", "place")
 
 
 @query("unknown_models", _sql(["b_span"], " SELECT CASE WHEN span_id % 5 = 0 OR span_id % 5 = 1 THEN '(unknown)' ELSE model_key END AS model, count(*) AS spans FROM b_span GROUP BY 1"))
