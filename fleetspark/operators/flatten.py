@@ -81,7 +81,7 @@ def metric_arrays(df: DataFrame, identity: DataFrame) -> DataFrame:
     zipped = r.withColumn("Timestamps", F.slice("Timestamps", F.lit(1), n)).withColumn("Values", F.slice("Values", F.lit(1), n))
     points = each(zipped, F.arrays_zip("Timestamps", "Values"), "_i", "p")
     points = points.select(*place(points, "_i"), F.col("Id").alias("id"), F.col("p.Timestamps").alias("timestamp"), F.col("p.Values").alias("value"))
-    known = points.join(identity.withColumn("_known", F.lit(True)), "id", "left")
+    known = points.join(F.broadcast(identity.withColumn("_known", F.lit(True))), "id", "left")  # a curated row a query; its points all share the id
     return kept(known, F.col("_known").isNotNull()).drop("id", "_known").withColumn("stat", x.metric_stat("metric_name"))
 
 
