@@ -46,3 +46,24 @@ def test_chains_and_empty_tables(spark):
     got = {r["node"]: r["component"] for r in similar.components(edges).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {100: 100, 101: 100}
     assert similar.near_duplicates(spark.createDataFrame([], "id long, text string"), "id", "text").count() == 0
+
+
+def _held(path):
+    return sum(p.stat().st_size for p in path.rglob("*.parquet"))
+
+
+def test_texts_are_not_stored_again(spark, tmp_path, monkeypatch):
+    """Texts that nothing resembles leave their minima behind and no words: the intermediate tables are less than half the texts."""
+    monkeypatch.setattr(similar, "folder", lambda spark, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    rng = random.Random(6)
+    texts = [" ".join(f"{rng.getrandbits(64):x}" for _ in range(1500)) for _ in range(60)]
+    rows = list(enumerate(texts)) + [(100, texts[7] + " more"), (101, texts[9])]
+    got = similar.near_duplicates(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()
+    assert sorted((r["agent_id"], r["cluster_id"]) for r in got) == [(7, 7), (9, 9), (100, 7), (101, 9)]
+    assert 0 < _held(tmp_path) < sum(map(len, texts)) / 2
+
+
+def test_words_of_two_texts_are_counted_together(spark):
+    rows = spark.createDataFrame([(1, "b a b, B c", "a b d d"), (2, "x", "x x"), (3, "q", "r")], "agent_id long, text string, first_text string")
+    got = {(r["agent_id"], r["term"]): (r["tf"], r["first_tf"]) for r in similar._shared(rows).collect()}
+    assert got == {(1, "a"): (1, 1), (1, "b"): (3, 1), (1, "c"): (1, 0), (1, "d"): (0, 2), (2, "x"): (1, 2), (3, "q"): (1, 0), (3, "r"): (0, 1)}
