@@ -17,6 +17,11 @@ def got(v: str | Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(F.col(v) if isinstance(v, str) else v, path, kind)
 
 
+def once(column: Column) -> Column:
+    """A value that is computed once a row: a generator, so that neither expressions nor filters that read it are merged with it, nor moved before the pages are dealt out."""
+    return F.explode(F.array(column))
+
+
 def place(df: DataFrame, *at: str) -> list[Column]:
     """Where a record comes from (``_file, _row``), with its places in its page (``_pos``), if the page tells, and what it passes by with (``_pass``); else nothing."""
     if "_row" not in df.columns:
@@ -47,7 +52,7 @@ def dealt(pages: DataFrame) -> DataFrame:
 
 def envelope(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Objects of JSON documents that are a list, one object, or an object with the list under ``value``: ``doc, pos``."""
-    parsed = df.withColumn("_v", F.try_parse_json(raw)).where("_v IS NOT NULL")
+    parsed = df.withColumn("_v", once(F.try_parse_json(raw))).where("_v IS NOT NULL")
     kind = F.schema_of_variant("_v")
     listed = F.when(kind.startswith("ARRAY"), F.col("_v")).when(got("_v", "$.value", "variant").isNotNull(), got("_v", "$.value", "variant")).otherwise(F.parse_json(F.concat(F.lit("["), F.to_json("_v"), F.lit("]"))))
     items = parsed.withColumn("_l", listed)
@@ -65,7 +70,7 @@ def cost_buckets(df: DataFrame) -> DataFrame:
 
 def log_envelope(df: DataFrame) -> DataFrame:
     """Log events whose message is JSON; a bad message leaves nulls and the event's id."""
-    e = df.withColumn("e", F.try_parse_json("raw")).withColumn("m", F.try_parse_json(got("e", "$.message")))
+    e = df.withColumn("e", once(F.try_parse_json("raw"))).withColumn("m", once(F.try_parse_json(got("e", "$.message"))))
     return e.select(
         *place(e), got("m", "$.schemaType").alias("schema_type"), got("m", "$.identity.arn").alias("identity_arn"),
         F.coalesce(got("m", "$.requestId"), got("e", "$.eventId")).alias("request_id"), got("m", "$.timestamp").alias("timestamp"), got("m", "$.modelId").alias("model_id"), got("m", "$.operation").alias("operation"),
@@ -90,9 +95,9 @@ def otel_spans(df: DataFrame) -> DataFrame:
 
     Ids are spelled in camel or snake case. An empty value is as good as none; a token count under a key that is there counts even if it is null.
     """
-    s = df.withColumn("s", F.try_parse_json("raw")).withColumn("_m", got("s", "$.attributes", "map<string,variant>"))
+    s = df.withColumn("s", once(F.try_parse_json("raw"))).withColumn("_m", once(got("s", "$.attributes", "map<string,variant>")))
     nested = got("s", "$.resource.attributes", "variant")
-    s = s.withColumn("res", F.when(F.schema_of_variant(nested).startswith("OBJECT"), nested).otherwise(got("s", "$.resource", "variant")))
+    s = s.withColumn("res", once(F.when(F.schema_of_variant(nested).startswith("OBJECT"), nested).otherwise(got("s", "$.resource", "variant"))))
     t = lambda path: F.nullif(got("s", path), F.lit(""))
     a = lambda k: F.nullif(got("s", f"$.attributes['{k}']"), F.lit(""))
     r = lambda k: F.nullif(got("res", f"$['{k}']"), F.lit(""))
@@ -147,7 +152,7 @@ def table_records(df: DataFrame) -> DataFrame:
 
 def gen_ai_spans(df: DataFrame) -> DataFrame:
     """Spans of a dependency table with a property bag (an object, or its text): those of gen_ai scope, aliases resolved, an empty value as missing."""
-    s = df.withColumn("s", F.try_parse_json("raw")).withColumn("b", F.coalesce(F.try_parse_json(got("s", "$.Properties")), got("s", "$.Properties", "variant")))
+    s = df.withColumn("s", once(F.try_parse_json("raw"))).withColumn("b", once(F.coalesce(F.try_parse_json(got("s", "$.Properties")), got("s", "$.Properties", "variant"))))
     a = lambda k: F.nullif(got("s", f"$.{k}"), F.lit(""))
     p = lambda k: F.nullif(got("b", f"$['{k}']"), F.lit(""))
     n = lambda k: p(k).try_cast("double").try_cast("bigint")
@@ -181,7 +186,7 @@ def graph_audit(df: DataFrame) -> DataFrame:
 
     A key that is there keeps its value, null included; so the record's fields are only added under keys that ``auditData`` lacks.
     """
-    e = df.withColumn("e", F.try_parse_json("raw")).withColumn("d", F.coalesce(got("e", "$.auditData", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)")))
+    e = df.withColumn("e", once(F.try_parse_json("raw"))).withColumn("d", once(F.coalesce(got("e", "$.auditData", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))))
     text = lambda v: F.to_variant_object(F.struct(v.alias("v")))
     user = F.coalesce(F.nullif(got("e", "$.userPrincipalName"), F.lit("")), got("e", "$.userId"))
     said = {"Id": got("e", "$.id"), "CreationTime": got("e", "$.createdDateTime"), "Operation": got("e", "$.operation"), "UserId": user, "Workload": got("e", "$.service")}
@@ -194,7 +199,7 @@ def audit_events(df: DataFrame) -> DataFrame:
     """Audit events in scope: those with an id, and interaction data or an AI workload. The identity and what else is said of the agent come from
     the interaction data alone. ``rest`` has what the event says besides, its interaction data included."""
     data = got("e", "$.CopilotEventData", "variant")
-    e = df.withColumn("e", F.try_parse_json("raw")).withColumn("d", F.when(~F.is_variant_null(data), data))
+    e = df.withColumn("e", once(F.try_parse_json("raw"))).withColumn("d", once(F.when(~F.is_variant_null(data), data)))
     t = lambda path: F.nullif(got("e", path), F.lit(""))
     i = lambda k: F.nullif(got("d", f"$.{k}"), F.lit(""))
     scope = F.col("d").isNotNull() | F.lower(got("e", "$.Workload")).isin("copilot", "aiapps", "ai")

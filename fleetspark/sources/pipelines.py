@@ -91,14 +91,14 @@ def records(pages: DataFrame, source: Source, *context: DataFrame) -> DataFrame:
     ``context`` goes to the steps."""
     rows = flatten.dealt(pages.select("raw", "_file", "_row")).withColumn("_pos", F.expr("cast(array() as array<int>)"))
     for step, lists in source.steps:
-        v = F.try_parse_json("raw")
+        v = F.col("_v")
         kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))  # noqa: B023, E731
         nested = F.schema_of_variant(v).startswith("OBJECT")
         for k in source.own or source.required:
             nested &= F.try_variant_get(v, f"$.{k}", "variant").isNull()
         for k in lists:
             nested &= kind(f"$.{k}").startswith("ARRAY")
-        marked = rows.withColumn("_nested", F.coalesce(nested, F.lit(False)))
+        marked = rows.withColumn("_v", flatten.once(F.try_parse_json("raw"))).withColumn("_nested", flatten.once(F.coalesce(nested, F.lit(False)))).drop("_v")
         flat = step(marked.withColumns({"_pass": F.when(~F.col("_nested"), F.struct("raw")), "raw": F.when(F.col("_nested"), F.col("raw"))}).drop("_nested"), *context)
         made = F.col("raw") if "raw" in flat.columns else F.to_json(F.struct(*[c for c in flat.columns if c not in ("_file", "_row", "_pos", "_pass")]))
         made = F.when(F.col("_pass").isNotNull(), F.col("_pass.raw")).otherwise(made)

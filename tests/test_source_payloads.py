@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from fleetspark.plans import registry
 from fleetspark.sources import pipelines
 
@@ -41,3 +43,13 @@ def test_a_span_in_snake_case_is_no_record(spark):
     valid, _, _ = pipelines.run(spark.createDataFrame(rows, "raw string, _file string, _row long"), pipelines.SOURCES["bedrock_traces"])
     got = {r["span_id"]: r for r in valid.collect()}
     assert got["s1"]["trace_id"] == "t1" and '"span_name":"n"' in got["s1"]["_drift"] and got["s2"]["timestamp"] == "t" and got["s2"]["_drift"] == '{"extra":"1"}'
+
+
+@pytest.mark.parametrize("source", ["bedrock_traces", "foundry_traces", "purview_audit"])
+def test_payloads_are_parsed_behind_their_shuffle(spark, source):
+    """No filter that parses is moved in front of the shuffle that deals pages out, and a step doesn't repeat its parse for each value it reads."""
+    pages = spark.createDataFrame([("{}", "f", 0)], "raw string, _file string, _row long")
+    plan = pipelines.records(pages, pipelines.SOURCES[source])._jdf.queryExecution().optimizedPlan().toString()
+    above, dealt, below = plan.partition("RepartitionByExpression")
+    assert dealt and "parse" not in below.lower()
+    assert above.lower().count("parsejson") + above.lower().count("parse_json") <= 6
