@@ -118,8 +118,8 @@ def sentinels(spark: SparkSession) -> DataFrame:
 
 
 def registered(catalogue: DataFrame) -> DataFrame:
-    """Agents of a catalogue (``raw, _file, _row``), without the ghosts of agents that have an owner."""
-    details = flatten.agent_details(catalogue)
+    """Agents of a catalogue (``raw, _file, _row``), without the ghosts of agents that have an owner. Pages are parsed once, and the agents stored."""
+    details = _kept(flatten.agent_details(catalogue), "details")
     named = details.withColumns({"display_name": F.col("agent_name"), "platform": F.col("agent_type")})
     owner = F.coalesce(F.col("owner_id"), F.lit(""))  # an owner that isn't told is no ghost, and no real owner either
     real = named.where((owner != NULL_OWNER) & (owner != "")).select("display_name", "platform").distinct()
@@ -127,7 +127,7 @@ def registered(catalogue: DataFrame) -> DataFrame:
     ghosts = named.where(owner == NULL_OWNER)
     alone = ghosts.join(twin, F.col("display_name").eqNullSafe(F.col("_n")) & F.col("platform").eqNullSafe(F.col("_p")), "left_anti")
     kept = named.where(owner != NULL_OWNER).unionByName(alone)
-    return kept.withColumns({"cloud": F.lit("m365"), "_source": F.lit(0), "_row": F.col("_row") * (1 << 32) + F.col("pos")})
+    return _kept(kept.withColumns({"cloud": F.lit("m365"), "_source": F.lit(0), "_row": F.col("_row") * (1 << 32) + F.col("pos")}), "listed")
 
 
 def resolved(spans: DataFrame, agents: DataFrame, identity: DataFrame, namespace: str, cloud: str, first: DataFrame) -> DataFrame:

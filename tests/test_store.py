@@ -108,3 +108,11 @@ def test_the_first_id_of_a_trace_by_row_and_from_run_to_run(spark):
             have.select(*[(F.col(f.name) if f.name in have.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]).write.parquet(f"{raw}/foundry/traces/dt=2024-01-0{n}")
             star_load.load_star(spark, store, raw, carry_traces=carry, buckets=2)
         assert {r["span_id"]: r["resolution_tier"] for r in store.read("fact_agent_traces").collect()} == want
+
+
+def test_a_catalogue_is_parsed_once(spark):
+    """A load reads its catalogue's agents many times; they are stored, so that no later plan parses the pages again."""
+    pages = [('{"value":[{"id":"a","displayName":"A","ownerId":"o"},{"id":"b","displayName":"A","ownerId":"00000000-0000-0000-0000-000000000000"}]}', "f", 3)]
+    listed = star_load.registered(spark.createDataFrame(pages, "raw string, _file string, _row long"))
+    assert [(r["native_agent_id"], r["cloud"], r["_row"]) for r in listed.collect()] == [("a", "m365", 3 << 32)]
+    assert "parse" not in listed._jdf.queryExecution().optimizedPlan().toString().lower()
