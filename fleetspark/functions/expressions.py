@@ -17,6 +17,9 @@ MODEL_CLOUD = {
 }
 AWS_MODEL_PREFIX = r"^(arn:aws:|amazon\.|eu\.amazon\.|us\.amazon\.)"
 
+# Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 # Span kinds by operation.
 SPAN_KINDS = {"invoke_agent": "agent_run", "create_agent": "agent_run", "chat": "model_call", "text_completion": "model_call", "execute_tool": "tool_call"}
 
@@ -32,8 +35,8 @@ def c(x: str | Column) -> Column:
 
 
 def strip(x: str | Column) -> Column:
-    """Without white space, Unicode's included, at both ends."""
-    return F.regexp_replace(c(x).cast("string"), r"(?U)^\s+|\s+$", "")
+    """Without white space, Unicode's included, at both ends. Only the ends are looked at; a pattern would be tried at each place of a text."""
+    return F.btrim(c(x).cast("string"), F.lit(WHITE))
 
 
 def text(x: str | Column) -> Column:
@@ -51,11 +54,14 @@ def json_or_null(x: str | Column) -> Column:
     return F.when(F.trim(c(x)).isin("", "[]", "{}", "null"), None).otherwise(c(x))
 
 
+def braced(x: str | Column) -> Column:
+    """Whether a text, if it is JSON, is an object: told by its first character, where a variant's schema would go through all of its values."""
+    return F.ltrim(c(x).cast("string"), F.lit(" \t\n\r")).startswith("{")
+
+
 def drift_object(x: str | Column) -> Column:
     """A JSON object as a variant; anything else is an empty object."""
-    parsed = F.try_parse_json(c(x).cast("string"))
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    return F.coalesce(F.when(is_object, parsed), F.parse_json(F.lit("{}")))
+    return F.coalesce(F.when(braced(x), F.try_parse_json(c(x).cast("string"))), F.parse_json(F.lit("{}")))
 
 
 def safe_long(x: str | Column) -> Column:
@@ -179,7 +185,8 @@ FAILED = ["ERROR", "STATUS_CODE_ERROR"]
 
 def span_error(status_code: Column, message: Column, http: Column, exception: Column) -> Column:
     """Error label: of a failed status its message, the exception or ERROR; of HTTP 400 and up its number; the exception."""
-    failed, named = F.upper(status_code).isin(FAILED), F.nullif(exception, F.lit(""))
+    failed = status_code.isin(FAILED) | (status_code.rlike("(?i)error$") & F.upper(status_code).isin(FAILED))  # upper case by Unicode's rules is dear, and no other letters become ERROR
+    named = F.nullif(exception, F.lit(""))
     return F.when(failed, F.coalesce(F.nullif(message, F.lit("")), named, F.lit("ERROR"))).when(http >= 400, F.concat(F.lit("HTTP "), http.cast("string"))).otherwise(named)
 
 

@@ -22,6 +22,16 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
+def document(df: DataFrame) -> Column:
+    """The parsed payload (``raw``), taken from ``_v`` if a caller has parsed it already."""
+    return F.col("_v") if "_v" in df.columns else once(F.try_parse_json("raw"))
+
+
+def members(df: DataFrame) -> Column:
+    """The payload's members by name, from ``_m`` if a caller has them. A path that isn't there ends in an exception inside of ``try_variant_get``, a key that a map lacks doesn't."""
+    return F.col("_m") if "_m" in df.columns else once(got(F.try_parse_json("raw"), "$", "map<string,variant>"))
+
+
 def place(df: DataFrame, *at: str) -> list[Column]:
     """Where a record comes from (``_file, _row``), with its places in its page (``_pos``), if the page tells, and what it passes by with (``_pass``); else nothing."""
     if "_row" not in df.columns:
@@ -70,7 +80,7 @@ def cost_buckets(df: DataFrame) -> DataFrame:
 
 def log_envelope(df: DataFrame) -> DataFrame:
     """Log events whose message is JSON; a bad message leaves nulls and the event's id."""
-    e = df.withColumn("e", once(F.try_parse_json("raw"))).withColumn("m", once(F.try_parse_json(got("e", "$.message"))))
+    e = df.withColumn("e", document(df)).withColumn("m", once(F.try_parse_json(got("e", "$.message"))))
     return e.select(
         *place(e), got("m", "$.schemaType").alias("schema_type"), got("m", "$.identity.arn").alias("identity_arn"),
         F.coalesce(got("m", "$.requestId"), got("e", "$.eventId")).alias("request_id"), got("m", "$.timestamp").alias("timestamp"), got("m", "$.modelId").alias("model_id"), got("m", "$.operation").alias("operation"),
@@ -95,29 +105,29 @@ def otel_spans(df: DataFrame) -> DataFrame:
 
     Ids are spelled in camel or snake case. An empty value is as good as none; a token count under a key that is there counts even if it is null.
     """
-    s = df.withColumn("s", once(F.try_parse_json("raw"))).withColumn("_m", once(got("s", "$.attributes", "map<string,variant>")))
-    nested = got("s", "$.resource.attributes", "variant")
-    s = s.withColumn("res", once(F.when(F.schema_of_variant(nested).startswith("OBJECT"), nested).otherwise(got("s", "$.resource", "variant"))))
-    t = lambda path: F.nullif(got("s", path), F.lit(""))
-    a = lambda k: F.nullif(got("s", f"$.attributes['{k}']"), F.lit(""))
-    r = lambda k: F.nullif(got("res", f"$['{k}']"), F.lit(""))
-    whole = lambda k: got("s", f"$.attributes['{k}']", "bigint")
-    used = lambda k, alias: F.when(F.map_contains_key("_m", k), a(k)).otherwise(a(alias))
+    texts, s = "map<string,string>", df.withColumn("s", members(df))
+    v = lambda k: F.element_at("s", k)
+    t = lambda k: F.nullif(got(v(k), "$"), F.lit(""))
+    s = kept(s.withColumn("_n", once(F.struct(F.coalesce(t("spanId"), t("span_id")).alias("id"), got(v("name"), "$").alias("name")))), F.col("_n.id").isNotNull())
+    s = s.withColumn("_a", once(got(v("attributes"), "$", texts))).withColumn("_r", once(F.coalesce(got(v("resource"), "$.attributes", texts), got(v("resource"), "$", texts))))
+    a = lambda k: F.nullif(F.element_at("_a", k), F.lit(""))
+    r = lambda k: F.nullif(F.element_at("_r", k), F.lit(""))
+    whole = lambda k: F.when(F.element_at("_a", k).isNotNull(), got(v("attributes"), f"$['{k}']", "bigint"))
+    used = lambda k, alias: F.when(F.map_contains_key("_a", k), a(k)).otherwise(a(alias))
     input_, output = used("gen_ai.usage.input_tokens", "gen_ai.usage.prompt_tokens"), used("gen_ai.usage.output_tokens", "gen_ai.usage.completion_tokens")
     readable = (input_.isNull() | input_.try_cast("bigint").isNotNull()) & (output.isNull() | output.try_cast("bigint").isNotNull())
     parts = F.when(readable, x.token_total(F.lit(None).cast("bigint"), input_.try_cast("bigint"), output.try_cast("bigint")))
     tokens = F.coalesce(whole("gen_ai.usage.total_tokens"), whole("llm.usage.total_tokens"), parts)
     http = F.coalesce(F.nullif(whole("http.response.status_code"), F.lit(0)), whole("http.status_code"))
-    error = x.span_error(F.coalesce(got("s", "$.status.code"), F.lit("")), got("s", "$.status.message"), http, a("exception.type"))
-    lasted = F.when(F.schema_of_variant(got("s", "$.durationNano", "variant")) != "STRING", got("s", "$.durationNano", "double") / 1e6)
-    found = s.select(
-        *place(s), F.coalesce(t("$.spanId"), t("$.span_id")).alias("span_id"), F.coalesce(t("$.traceId"), t("$.trace_id")).alias("trace_id"), got("s", "$.parentSpanId").alias("parent_span_id"), got("s", "$.name").alias("operation_name"),
-        x.nanos_iso(got("s", "$.startTimeUnixNano")).alias("timestamp"), lasted.alias("latency_ms"), F.coalesce(a("gen_ai.agent.id"), a("gen_ai.agent.name"), r("service.name")).alias("gen_ai_agent_id"),
-        F.coalesce(a("session.id"), a("gen_ai.conversation.id"), a("aws.bedrock.agentcore.session.id")).alias("session_id"), r("service.name").alias("service_name"), got("s", "$.kind").alias("span_kind"), got("s", "$.name").alias("span_name"),
+    error = x.span_error(F.coalesce(got(v("status"), "$.code"), F.lit("")), got(v("status"), "$.message"), http, a("exception.type"))
+    lasted = F.when(F.schema_of_variant(v("durationNano")) != "STRING", got(v("durationNano"), "$", "double") / 1e6)
+    return s.select(
+        *place(s), F.col("_n.id").alias("span_id"), F.coalesce(t("traceId"), t("trace_id")).alias("trace_id"), got(v("parentSpanId"), "$").alias("parent_span_id"), F.col("_n.name").alias("operation_name"),
+        x.nanos_iso(got(v("startTimeUnixNano"), "$")).alias("timestamp"), lasted.alias("latency_ms"), F.coalesce(a("gen_ai.agent.id"), a("gen_ai.agent.name"), r("service.name")).alias("gen_ai_agent_id"),
+        F.coalesce(a("session.id"), a("gen_ai.conversation.id"), a("aws.bedrock.agentcore.session.id")).alias("session_id"), r("service.name").alias("service_name"), got(v("kind"), "$").alias("span_kind"), F.col("_n.name").alias("span_name"),
         F.coalesce(r("cloud.resource_id"), r("service.name")).alias("agent_endpoint_id"), F.array_compact(F.array(F.coalesce(a("gen_ai.tool.name"), a("tool.name")))).alias("tool_invocations"), r("cloud.provider").alias("cloud_provider"),
-        r("cloud.region").alias("cloud_region"), r("aws.service.type").alias("aws_service_type"), a("gen_ai.request.model").alias("gen_ai_request_model"), got("s", "$.attributes", "map<string,string>").alias("span_attributes"), tokens.alias("token_count"), error.alias("error_type"),
+        r("cloud.region").alias("cloud_region"), r("aws.service.type").alias("aws_service_type"), a("gen_ai.request.model").alias("gen_ai_request_model"), F.col("_a").alias("span_attributes"), tokens.alias("token_count"), error.alias("error_type"),
     )
-    return kept(found, F.col("span_id").isNotNull())
 
 
 def named_rows(df: DataFrame) -> DataFrame:
@@ -152,7 +162,7 @@ def table_records(df: DataFrame) -> DataFrame:
 
 def gen_ai_spans(df: DataFrame) -> DataFrame:
     """Spans of a dependency table with a property bag (an object, or its text): those of gen_ai scope, aliases resolved, an empty value as missing."""
-    s = df.withColumn("s", once(F.try_parse_json("raw"))).withColumn("b", once(F.coalesce(F.try_parse_json(got("s", "$.Properties")), got("s", "$.Properties", "variant"))))
+    s = df.withColumn("s", document(df)).withColumn("b", once(F.coalesce(F.try_parse_json(got("s", "$.Properties")), got("s", "$.Properties", "variant"))))
     a = lambda k: F.nullif(got("s", f"$.{k}"), F.lit(""))
     p = lambda k: F.nullif(got("b", f"$['{k}']"), F.lit(""))
     n = lambda k: p(k).try_cast("double").try_cast("bigint")
@@ -186,7 +196,7 @@ def graph_audit(df: DataFrame) -> DataFrame:
 
     A key that is there keeps its value, null included; so the record's fields are only added under keys that ``auditData`` lacks.
     """
-    e = df.withColumn("e", once(F.try_parse_json("raw"))).withColumn("d", once(F.coalesce(got("e", "$.auditData", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))))
+    e = df.withColumn("e", document(df)).withColumn("d", once(F.coalesce(got("e", "$.auditData", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))))
     text = lambda v: F.to_variant_object(F.struct(v.alias("v")))
     user = F.coalesce(F.nullif(got("e", "$.userPrincipalName"), F.lit("")), got("e", "$.userId"))
     said = {"Id": got("e", "$.id"), "CreationTime": got("e", "$.createdDateTime"), "Operation": got("e", "$.operation"), "UserId": user, "Workload": got("e", "$.service")}
@@ -199,7 +209,7 @@ def audit_events(df: DataFrame) -> DataFrame:
     """Audit events in scope: those with an id, and interaction data or an AI workload. The identity and what else is said of the agent come from
     the interaction data alone. ``rest`` has what the event says besides, its interaction data included."""
     data = got("e", "$.CopilotEventData", "variant")
-    e = df.withColumn("e", once(F.try_parse_json("raw"))).withColumn("d", once(F.when(~F.is_variant_null(data), data)))
+    e = df.withColumn("e", document(df)).withColumn("d", once(F.when(~F.is_variant_null(data), data)))
     t = lambda path: F.nullif(got("e", path), F.lit(""))
     i = lambda k: F.nullif(got("d", f"$.{k}"), F.lit(""))
     scope = F.col("d").isNotNull() | F.lower(got("e", "$.Workload")).isin("copilot", "aiapps", "ai")

@@ -29,11 +29,16 @@ def validate(df: DataFrame, required: list[str], types: dict[str, str] | None =
     return valid, invalid
 
 
-def drift(record: str | Column, declared: list[str]) -> Column:
-    """Undeclared keys of a map of JSON values, sorted, as JSON; null if there are none."""
+def undeclared(record: str | Column, declared: list[str]) -> Column:
+    """Undeclared keys of a map, sorted."""
+    return F.sort_array(F.array_except(F.map_keys(record), F.array(*[F.lit(d) for d in declared])))
+
+
+def drift(record: str | Column, declared: list[str], keys: Column | None = None) -> Column:
+    """Undeclared keys of a map of JSON values, sorted, as JSON; null if there are none. ``keys`` are the undeclared ones where a caller has them."""
     r = F.col(record) if isinstance(record, str) else record
-    extra = F.array_except(F.map_keys(r), F.array(*[F.lit(d) for d in declared]))
-    entries = F.transform(F.sort_array(extra), lambda k: F.struct(k, F.element_at(r, k)))
+    extra = undeclared(r, declared) if keys is None else keys
+    entries = F.transform(extra, lambda k: F.struct(k, F.element_at(r, k)))
     return F.when(F.size(extra) > 0, F.to_json(F.map_from_entries(entries)))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.functions import expressions as x
-from fleetspark.operators import facts, quality
+from fleetspark.operators import facts, flatten, quality
 from fleetspark.sources.scratch import stored
 
 UNKNOWN_MODEL = "(unknown)"
@@ -68,12 +68,14 @@ def bedrock_span_fact(spans: DataFrame) -> DataFrame:
     service's name is the agent, else the agent's id, else the endpoint; without any the span is unattributed. Spans without a
     time or a key go.
     """
-    d = spans.withColumn("_d", x.drift_object("_drift")).withColumn("_a", x.drift_object(F.try_variant_get("_d", "$.span_attributes", "string")))  # an object, or its text
-    said = lambda path: x.text(F.try_variant_get("_d", f"$.{path}", "string"))
-    used = lambda *names: F.coalesce(*[x.safe_long(F.try_variant_get("_a", f"$['gen_ai.usage.{n}']", "string")) for n in names])
+    timed = spans.where(x.text("timestamp").isNotNull() & x.text("trace_id").isNotNull() & x.text("span_id").isNotNull())
+    texts = lambda v: F.try_variant_get(v, "$", "map<string,string>")
+    d = timed.withColumn("_d", flatten.once(texts(x.drift_object("_drift"))))
+    d = d.withColumn("_a", flatten.once(texts(x.drift_object(F.element_at("_d", "span_attributes")))))  # an object, or its text
+    said = lambda k: x.text(F.element_at("_d", k))
+    used = lambda *names: F.coalesce(*[x.safe_long(F.element_at("_a", f"gen_ai.usage.{n}")) for n in names])
     native = F.coalesce(said("service_name"), x.text("gen_ai_agent_id"), x.text("agent_endpoint_id"))
-    kept = d.where(x.text("timestamp").isNotNull() & x.text("trace_id").isNotNull() & x.text("span_id").isNotNull())
-    return kept.select(
+    return d.select(
         x.text("trace_id").alias("trace_id"), x.text("span_id").alias("span_id"), said("parent_span_id").alias("parent_span_id"), native.alias("native_agent_id"),
         or_unknown(said("gen_ai_request_model")).alias("model"), x.date_key("timestamp").alias("date_key"), "timestamp", said("span_name").alias("operation_name"), said("span_kind").alias("span_kind"),
         x.text("session_id").alias("caller_id"), x.text("error_type").alias("status"), "latency_ms", used("input_tokens", "prompt_tokens").alias("input_tokens"), used("output_tokens", "completion_tokens").alias("output_tokens"),

@@ -72,17 +72,21 @@ def parsed(pages: DataFrame, source: Source) -> DataFrame:
     """
     fields = source.schema.fields
     record = F.explode(F.array(F.from_json("raw", "map<string,string>")))  # a generator, so that a record is parsed once, however often its values are read
-    rows = pages.select("*", record.alias("_record"))
-    text = {f.name: F.element_at("_record", f.name) for f in fields}
+    names, text = [f.name for f in fields], {f.name: F.element_at("_record", f.name) for f in fields}
+    rows = pages.select("*", record.alias("_record")).withColumn("_extra", flatten.once(quality.undeclared("_record", names)))
+    containers = [f for f in fields if isinstance(f.dataType, (T.ArrayType, T.MapType))]
+    for f in containers:
+        rows = rows.withColumn(f"_{f.name}", flatten.once(F.from_json(text[f.name], f.dataType)))
 
     def value(f):
-        return F.from_json(text[f.name], f.dataType) if isinstance(f.dataType, (T.ArrayType, T.MapType)) else text[f.name].try_cast(f.dataType)
+        return F.col(f"_{f.name}") if f in containers else text[f.name].try_cast(f.dataType)
 
     wrong = [F.when(text[f.name].isNull(), F.lit(f"{f.name}: required")) for f in fields if f.name in source.required]
     wrong += [F.when(text[f.name].isNotNull() & value(f).isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")) for f in fields]
     wrong += [F.when(~text[k].isin(allowed), F.lit(f"{k}: not allowed")) for k, allowed in source.enums.items()]
-    checked = F.when(F.col("_record").isNull(), F.array(F.lit("not an object"))).otherwise(F.array_compact(F.array(*wrong)))
-    return rows.select(*[value(f).alias(f.name) for f in fields], quality.drift("_record", [f.name for f in fields]).alias("_drift"), checked.alias("_errors"), "raw", "_file", "_row", "_pos")
+    none = F.expr("cast(array() as array<string>)")
+    checked = F.when(F.col("_record").isNull(), F.array(F.lit("not an object"))).when(F.coalesce(*wrong).isNotNull(), F.array_compact(F.array(*wrong))).otherwise(none)  # the list is made anew for each value, so only where there is an error
+    return rows.select(*[value(f).alias(f.name) for f in fields], quality.drift("_record", names, F.col("_extra")).alias("_drift"), checked.alias("_errors"), "raw", "_file", "_row", "_pos")
 
 
 def records(pages: DataFrame, source: Source, *context: DataFrame) -> DataFrame:
@@ -91,15 +95,15 @@ def records(pages: DataFrame, source: Source, *context: DataFrame) -> DataFrame:
     ``context`` goes to the steps."""
     rows = flatten.dealt(pages.select("raw", "_file", "_row")).withColumn("_pos", F.expr("cast(array() as array<int>)"))
     for step, lists in source.steps:
-        v = F.col("_v")
-        kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))  # noqa: B023, E731
-        nested = F.schema_of_variant(v).startswith("OBJECT")
+        nested = F.col("_m").isNotNull()  # it is an object
         for k in source.own or source.required:
-            nested &= F.try_variant_get(v, f"$.{k}", "variant").isNull()
+            nested &= ~F.map_contains_key("_m", k)
         for k in lists:
-            nested &= kind(f"$.{k}").startswith("ARRAY")
-        marked = rows.withColumn("_v", flatten.once(F.try_parse_json("raw"))).withColumn("_nested", flatten.once(F.coalesce(nested, F.lit(False)))).drop("_v")
-        flat = step(marked.withColumns({"_pass": F.when(~F.col("_nested"), F.struct("raw")), "raw": F.when(F.col("_nested"), F.col("raw"))}).drop("_nested"), *context)
+            nested &= F.schema_of_variant(F.element_at("_m", k)).startswith("ARRAY")
+        parsed_once = rows.withColumn("_v", flatten.once(F.try_parse_json("raw"))).withColumn("_m", flatten.once(flatten.got("_v", "$", "map<string,variant>")))
+        marked = parsed_once.withColumn("_nested", flatten.once(F.coalesce(nested, F.lit(False))))
+        mine = {k: F.when(F.col("_nested"), F.col(k)) for k in ("raw", "_v", "_m")}
+        flat = step(marked.withColumns({"_pass": F.when(~F.col("_nested"), F.struct("raw")), **mine}).drop("_nested"), *context)
         made = F.col("raw") if "raw" in flat.columns else F.to_json(F.struct(*[c for c in flat.columns if c not in ("_file", "_row", "_pos", "_pass")]))
         made = F.when(F.col("_pass").isNotNull(), F.col("_pass.raw")).otherwise(made)
         rows = flat.select(F.explode(F.array(made)).alias("raw"), "_file", "_row", "_pos")  # a generator, so that later expressions are not merged with the step's

@@ -53,3 +53,18 @@ def test_payloads_are_parsed_behind_their_shuffle(spark, source):
     above, dealt, below = plan.partition("RepartitionByExpression")
     assert dealt and "parse" not in below.lower()
     assert above.lower().count("parsejson") + above.lower().count("parse_json") <= 6
+
+
+def test_a_span_is_parsed_once_and_missing_keys_are_no_paths(spark):
+    """A path that isn't there costs an exception in each row; the members of a span are looked up in a map instead, and its columns are told by key."""
+    pages = spark.createDataFrame([("{}", "f", 0)], "raw string, _file string, _row long")
+    plan = pipelines.records(pages, pipelines.SOURCES["bedrock_traces"])._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson(") == 1
+    assert not [k for k in ("$.timestamp", "$.token_count", "$.span_id", "$.durationnano", "$['service.name']") if k in plan]
+
+
+def test_repeated_keys_keep_the_first_value(spark):
+    rows = [('{"span_id":"a","span_id":"b","timestamp":"t","k":1,"k":2}', "f", 0), ('\n\t {"span_id":"c","timestamp":"t"}', "f", 1), ('[{"span_id":"d"}]', "f", 2)]
+    valid, wrong, _ = pipelines.run(spark.createDataFrame(rows, "raw string, _file string, _row long"), pipelines.SOURCES["bedrock_traces"])
+    assert {(r["span_id"], r["_drift"]) for r in valid.collect()} == {("a", '{"k":"1"}'), ("c", None)}
+    assert [r["error"] for r in wrong.collect()] == ["not an object"]
