@@ -10,7 +10,7 @@ where a part begins in the whole, so no row needs a sum over the rows before it
 Spark's readers take stripes in parallel, read only the columns that are asked for, and leave out stripes and row groups: by minima
 and maxima for ranges (``read_span``), by Bloom filters for single ids (``read_documents``).
 
-Words are encoded by the library once each (see ``chunks``). A text may be cut at every space: the tokenizers meant here drop white
+What stands between two places where a text may be cut is encoded by the library once (see ``chunks``). A text may be cut at every space: the tokenizers meant here drop white
 space, compose and lower letters by themselves, and no special token holds a space, so they don't look across one. Pass
 ``cut_at_spaces=False`` for others; their texts are then encoded whole.
 
@@ -50,16 +50,33 @@ READ_ROWS, CHECK_ROWS = 512, 100
 #: How the tokenizer of words cuts a text, by its file. Only for files that say so are short words cut here.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words in which nothing composes, no letter's case depends on its neighbours and no special token can be, and their pieces in lower case.
-_SIMPLE = re.compile(r"[\n\t -&(-;=-~À-ÖØ-öø-ÿ]*\Z")
-_SIMPLE_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\n\t 0-9a-zß-öø-ÿ]+")
+#: Texts in which nothing composes, no letter's case depends on its neighbours and no special token can be, and their pieces in lower case.
+_SIMPLE = re.compile(r"[\n\t -;=-~À-ÖØ-öø-ÿ]*\Z")
+_SIMPLE_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\n\t 0-9a-zß-öø-ÿ]+")
+#: Bytes that a kept encoding takes beside its key and ids.
+KEPT_ENTRY = 180
+
+
+class Pieces(dict):
+    """Ids of pieces in lower case, encoded by a model of the library when first asked for; ``held`` is about what they take."""
+
+    def __init__(self, model):
+        self.tokenize, self.held = model.tokenize, 0
+        self.letters = {b: c for c, b in byte_letters().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = self[piece] = array("i", [t.id for t in self.tokenize(letters)]).tobytes()
+        self.held += KEPT_ENTRY + len(piece) + len(ids)
+        return ids
 
 
 class WordIds:
     """Encodings of texts by a file of the tokenizers library, as little-endian 32-bit ids.
 
-    A word of ASCII and Latin-1 characters without an apostrophe is cut by the file's own pattern, in short, and the library's model encodes
-    each new piece; any other new word goes through the library whole.
+    A stretch of ASCII and Latin-1 characters is cut by the file's own pattern, in short, and the library's model encodes each new piece:
+    pieces are far fewer than words, which differ by their case and marks. A stretch with others is cut into words, and a new word that holds
+    others goes through the library whole.
     """
 
     def __init__(self, path: str, cut_at_spaces: bool):
@@ -72,9 +89,8 @@ class WordIds:
         normal = [n["type"] for n in (said["normalizer"] or {}).get("normalizers", [])]
         self.simple = normal == _NORMALIZERS and cut.get("pattern") == {"Regex": _PIECES} and bytes_.get("type") == "ByteLevel" and said["model"]["type"] == "BPE"
         self.simple &= all("<" in t["content"] for t in said["added_tokens"])
-        self.letters = {b: c for c, b in byte_letters().items()}
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Pieces(self.library.model)
         self.held = 0
 
     @staticmethod
@@ -85,30 +101,24 @@ class WordIds:
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<i4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        ids = self.pieces[piece] = array("i", [t.id for t in self.library.model.tokenize(letters)]).tobytes()
-        return ids
+    def cut(self, text: str) -> bytes:
+        """The ids of a simple text."""
+        return b"".join(map(self.pieces.__getitem__, _SIMPLE_PIECES.findall(text.lower())))
 
-    def learn(self, words: set[str]) -> None:
-        """Encode the new ones of words; when too much is kept, all goes first."""
-        if self.held > chunks.KEPT_BYTES:
+    def forget(self) -> None:
+        """When too much is kept, all goes."""
+        if self.held + self.pieces.held > chunks.KEPT_BYTES:
             self.words.clear()
             self.pieces.clear()
-            self.held = 0
+            self.held = self.pieces.held = 0
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the new ones of words."""
         fresh = words.difference(self.words)
-        known, made, whole_ = self.pieces, self.words, []
-        before = len(known)
-        for word in fresh:
-            if self.simple and word.isascii() and word.isalpha():
-                piece = word.lower()
-                made[word] = known.get(piece) or self.piece(piece)
-            elif self.simple and _SIMPLE.match(word):
-                made[word] = b"".join([known.get(p) or self.piece(p) for p in _SIMPLE_PIECES.findall(word.lower())])
-            else:
-                whole_.append(word)
-        made.update(zip(whole_, self.encoded(whole_)))
-        self.held += sum(map(len, fresh)) + 4 * sum(len(made[w]) for w in whole_) + 180 * (len(fresh) + len(known) - before)
+        whole_ = [word for word in fresh if not (self.simple and _SIMPLE.match(word))]
+        made = {word: self.cut(word) for word in fresh.difference(whole_)} | dict(zip(whole_, self.encoded(whole_)))
+        self.words.update(made)
+        self.held += sum(KEPT_ENTRY + len(word) + len(ids) for word, ids in made.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -116,10 +126,11 @@ class WordIds:
             return self.encoded(texts)
         found: list[list[bytes]] = [[] for _ in texts]
         for group in chunks.slabs(texts, lambda text, at: (space + 1 if (space := text.find(" ", at)) >= 0 else len(text))):
-            cut = [stretch.split(" ") for _, stretch in group]
-            self.learn(set().union(*cut))
-            for (place, _), words in zip(group, cut):
-                found[place].append(b"".join(map(self.words.__getitem__, words)))
+            self.forget()
+            words = {place: stretch.split(" ") for place, (_, stretch) in enumerate(group) if not (self.simple and _SIMPLE.match(stretch))}
+            self.learn(set().union(*words.values()))
+            for place, (text, stretch) in enumerate(group):
+                found[text].append(b"".join(map(self.words.__getitem__, words[place])) if place in words else self.cut(stretch))
         return [b"".join(parts) for parts in found]
 
 

@@ -44,6 +44,19 @@ def test_each_short_word_as_the_library_encodes_it(library):
     assert all(fresh.words[w] == np.array(e.ids, "<i4").tobytes() for w, e in zip(words, library.encode_batch(words, add_special_tokens=False)))
 
 
+def test_words_that_differ_by_case_and_marks_share_their_pieces(library):
+    """Words are kept only where a text holds characters beyond Latin-1; a word in many guises is encoded once."""
+    rng = random.Random(2)
+    words = ["Straße", "don't", "WE'LL", "they're", "i'M", "o'clock", "''s", "x'reve", "été", "end"]
+    texts = [" ".join(rng.choice("(*-\"['") + w + rng.choice((".", ",", "!?", "'s", "'", ")\n", "\tÜ")) for w in rng.choices(words, k=40)) for _ in range(300)]
+    fresh = token_files.WordIds(PATH, True)
+    assert [np.frombuffer(x, "<i4").tolist() for x in fresh.encode(texts)] == [plain(library, t) for t in texts]
+    assert not fresh.words and len(fresh.pieces) < 100
+    mixed = [texts[0] + " Σ漢 " + texts[1], "a" + texts[2] + "\u0301", texts[3]]
+    assert [np.frombuffer(x, "<i4").tolist() for x in fresh.encode(mixed)] == [plain(library, t) for t in mixed]
+    assert fresh.words
+
+
 ROWS = [
     (5, None, 1, "x"), (3, "", 2, "x"), (9, "Hello  World", 3, "y"), (9, "another text of id 9", 4, "y"), (9, "another text of id 9", 4, "y"),
     (None, "no id", 5, "z"), (1, "<|endoftext|> inside", 6, None), (2, "long words " * 40000, 7, None), (4, "x" * 5000, 8, None),
