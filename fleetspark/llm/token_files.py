@@ -50,8 +50,9 @@ READ_ROWS, CHECK_ROWS = 512, 100
 #: How the tokenizer of words cuts a text, by its file. Only for files that say so are short words cut here.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Texts in which nothing composes, no letter's case depends on its neighbours and no special token can be, and their pieces in lower case.
-_SIMPLE = re.compile(r"[\n\t -;=-~À-ÖØ-öø-ÿ]*\Z")
+#: What a simple text doesn't hold: in one nothing composes, no letter's case depends on its neighbours and no special token can be.
+_OTHER = re.compile(r"[^\n\t -;=-~À-ÖØ-öø-ÿ]+")
+#: The pieces of a simple text in lower case.
 _SIMPLE_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\n\t 0-9a-zß-öø-ÿ]+")
 #: Bytes that a kept encoding takes beside its key and ids.
 KEPT_ENTRY = 180
@@ -75,8 +76,7 @@ class WordIds:
     """Encodings of texts by a file of the tokenizers library, as little-endian 32-bit ids.
 
     A stretch of ASCII and Latin-1 characters is cut by the file's own pattern, in short, and the library's model encodes each new piece:
-    pieces are far fewer than words, which differ by their case and marks. A stretch with others is cut into words, and a new word that holds
-    others goes through the library whole.
+    pieces are far fewer than words, which differ by their case and marks. A word that holds other characters goes through the library whole.
     """
 
     def __init__(self, path: str, cut_at_spaces: bool):
@@ -105,6 +105,22 @@ class WordIds:
         """The ids of a simple text."""
         return b"".join(map(self.pieces.__getitem__, _SIMPLE_PIECES.findall(text.lower())))
 
+    def parts(self, text: str) -> list[tuple[bool, str]]:
+        """What a text consists of, in order: other words, and the simple stretches between them, marked as such."""
+        if not self.simple:
+            return [(False, word) for word in text.split(" ")]
+        found, at = [], 0
+        for other in _OTHER.finditer(text):
+            if other.start() < at:
+                continue
+            start, stop = max(at, text.rfind(" ", at, other.start()) + 1), text.find(" ", other.end())
+            if start > at + 1:  # not a space alone
+                found.append((True, text[at:start]))
+            at = stop if stop >= 0 else len(text)
+            found.append((False, text[start:at]))
+        found.append((True, text[at:]))
+        return found
+
     def forget(self) -> None:
         """When too much is kept, all goes."""
         if self.held + self.pieces.held > chunks.KEPT_BYTES:
@@ -115,7 +131,7 @@ class WordIds:
     def learn(self, words: set[str]) -> None:
         """Encode the new ones of words."""
         fresh = words.difference(self.words)
-        whole_ = [word for word in fresh if not (self.simple and _SIMPLE.match(word))]
+        whole_ = [word for word in fresh if not self.simple or _OTHER.search(word)]
         made = {word: self.cut(word) for word in fresh.difference(whole_)} | dict(zip(whole_, self.encoded(whole_)))
         self.words.update(made)
         self.held += sum(KEPT_ENTRY + len(word) + len(ids) for word, ids in made.items())
@@ -127,10 +143,10 @@ class WordIds:
         found: list[list[bytes]] = [[] for _ in texts]
         for group in chunks.slabs(texts, lambda text, at: (space + 1 if (space := text.find(" ", at)) >= 0 else len(text))):
             self.forget()
-            words = {place: stretch.split(" ") for place, (_, stretch) in enumerate(group) if not (self.simple and _SIMPLE.match(stretch))}
-            self.learn(set().union(*words.values()))
-            for place, (text, stretch) in enumerate(group):
-                found[text].append(b"".join(map(self.words.__getitem__, words[place])) if place in words else self.cut(stretch))
+            cut = [self.parts(stretch) for _, stretch in group]
+            self.learn({part for parts in cut for simple, part in parts if not simple})
+            for (place, _), parts in zip(group, cut):
+                found[place] += [self.cut(part) if simple else self.words[part] for simple, part in parts]
         return [b"".join(parts) for parts in found]
 
 
